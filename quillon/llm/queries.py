@@ -1,6 +1,10 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import mixing
+from . import chat, mixing, secrets
 
-QUERIES = {"op4_mixing": mixing.op4_mixing}
+QUERIES = {
+    "op3_secrets": secrets.op3_secrets,
+    "op4_mixing": mixing.op4_mixing,
+    "op6_chat": chat.op6_chat,
+}
 ORACLES = {"op4_mixing": mixing.OP4_SQL}
