@@ -1,8 +1,9 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, mixing, secrets
+from . import chat, mixing, packing, secrets
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op3_secrets": secrets.op3_secrets,
     "op4_mixing": mixing.op4_mixing,
     "op6_chat": chat.op6_chat,
