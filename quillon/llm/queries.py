@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, jaccard, langid, mixing, packing, secrets, token_counts
+from . import chat, jaccard, langid, licenses, mixing, packing, secrets, token_counts
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op5_jaccard": jaccard.op5_jaccard,
     "op6_chat": chat.op6_chat,
+    "op7_licenses": licenses.op7_licenses,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": langid.op10_language_id,
 }

@@ -18,12 +18,14 @@ _U = np.uint64
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
     blank = np.zeros(256, bool)
     blank[[32, *range(9, 14)]] = True
-    return lower, blank
+    other = np.arange(256) < 128
+    other[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+    return lower, blank, other
 
 
 @lru_cache(maxsize=2)
@@ -46,34 +48,40 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str) -> np.ndarray:
     """One 64-bit hash per word, in order."""
+    return words_at(text)[0]
+
+
+def words_at(text: str, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first byte, end) of each word; ``plain``: all ASCII but letters and digits part words."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    blank, out, at = _tables()[1 + plain], [], 0
     if len(raw) <= BLOCK:
-        return _block(raw)
-    blank, out, at = _tables()[1], [], 0
+        return _block(raw, blank)
     while at < len(raw):
         end = min(at + BLOCK, len(raw))
         while end < len(raw) and not blank[raw[end]]:  # to the next blank
             near = np.flatnonzero(blank[raw[end : end + BLOCK]])
             end = end + int(near[0]) if len(near) else min(end + BLOCK, len(raw))
-        out.append(_block(raw[at:end]))
+        h, first, last = _block(raw[at:end], blank)
+        out.append((h, first + at, last + at))
         at = end
-    return np.concatenate(out)
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _block(raw: np.ndarray) -> np.ndarray:
-    lower, blank = _tables()
+def _block(raw: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    lower = _tables()[0]
     word = ~blank[raw]
     edge = np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
-        return np.zeros(0, _U)
+        return np.zeros(0, _U), start, end
     size = BLOCK
     while size < len(raw):
         size *= 2
     power, inverse = _powers(size)
     sums = np.zeros(len(raw) + 1, _U)
     np.cumsum((lower[raw].astype(_U) + _U(1)) * power[: len(raw)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(_U))
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(_U)), start, end
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
