@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, jaccard, langid, licenses, mixing, packing, secrets, token_counts
+from . import chat, jaccard, langid, licenses, mixing, packing, secrets, token_counts, topk
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -9,7 +9,8 @@ QUERIES = {
     "op5_jaccard": jaccard.op5_jaccard,
     "op6_chat": chat.op6_chat,
     "op7_licenses": licenses.op7_licenses,
+    "op8_topk": topk.op8_topk,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": langid.op10_language_id,
 }
-ORACLES = {"op4_mixing": mixing.OP4_SQL}
+ORACLES = {"op4_mixing": mixing.OP4_SQL, "op8_topk": topk.OP8_SQL}
