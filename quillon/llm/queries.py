@@ -1,9 +1,10 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, jaccard, langid, licenses, mixing, packing, secrets, token_counts, topk
+from . import chat, jaccard, langid, licenses, mixing, neardup, packing, secrets, token_counts, topk
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_neardup": neardup.op2_neardup,
     "op3_secrets": secrets.op3_secrets,
     "op4_mixing": mixing.op4_mixing,
     "op5_jaccard": jaccard.op5_jaccard,
