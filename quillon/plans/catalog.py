@@ -1,4 +1,9 @@
 """Registry of the screening queries and their SQL."""
 
+from . import q_rank
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for module in (q_rank,):
+    QUERIES |= module.QUERIES
+    ORACLES |= module.ORACLES
