@@ -1,9 +1,9 @@
 """Registry of the screening queries and their SQL."""
 
-from . import q_rank
+from . import q_labels, q_rank
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (q_rank,):
+for module in (q_rank, q_labels):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
