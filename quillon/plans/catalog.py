@@ -1,9 +1,9 @@
 """Registry of the screening queries and their SQL."""
 
-from . import q_labels, q_rank
+from . import q_fusion, q_labels, q_rank
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (q_rank, q_labels):
+for module in (q_rank, q_labels, q_fusion):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
