@@ -29,7 +29,7 @@ def number(text: Column) -> Column:
 
 def label(text: Column) -> Column:
     """0 or 1 from numeric text, else NULL."""
-    n = text.try_cast("double").cast("int")
+    n = finite(text.try_cast("double")).try_cast("int")
     return F.when(n.isin(0, 1), n)
 
 
