@@ -27,7 +27,7 @@ from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import save
@@ -41,6 +41,8 @@ SMALL_MOST = 40
 SUBSETS_MOST = 300
 #: Rows that a task combines before it hands on, and members that are compared at once.
 CHUNK, MEMBERS = 1 << 20, 1 << 20
+#: Bits of the filter by which candidates' texts are read again, at most (8 MB).
+FILTER_BITS = 1 << 26
 #: Sets of a block that are compared with each other in one step: its 64th part, within these.
 SIDE = (64, 2048)
 
@@ -264,10 +266,29 @@ def _compare(sets: list[np.ndarray], split: int, t: Threshold) -> np.ndarray:
     return np.stack([i, j + split], 1)
 
 
+def _among(key: Column, chosen: DataFrame) -> Column:
+    """Whether ``key`` may be in ``chosen`` (one column): a bitmap of hashes, 16 bits a row until it
+    has ``FILTER_BITS``.  It lets through rows that are not in ``chosen``, and never drops one that is.
+    """
+    page = 1 << 15  # bits of what bitmap_construct_agg makes
+    n, pages = chosen.count(), 1
+    while pages * page < min(16 * n, FILTER_BITS):
+        pages *= 2
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(pages * page))
+    at = place(F.col(chosen.columns[0]))
+    found = chosen.groupBy(F.floor(at / page).alias("page")).agg(F.bitmap_construct_agg(at % page).alias("bits")).collect()
+    bits = bytearray(pages * page // 8)
+    for r in found:
+        bits[r["page"] * page // 8 : r["page"] * page // 8 + len(r["bits"])] = r["bits"]
+    byte = F.substring(F.lit(bytes(bits)), F.floor(place(key) / 8).cast("int") + 1, F.lit(1))
+    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place(key) % 8).cast("int")) == 1
+
+
 def _verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k: int, t: Threshold) -> DataFrame:
     """(a, b): links among the sets of each block.
 
-    ``members`` has (set_id, block, doc), one document per set, whose text is read again.  A block is
+    ``members`` has (set_id, block, doc), one document per set, whose text is read again: a bitmap of
+    the ids keeps the other texts out, and no text is shuffled.  A block is
     dealt into sides by a hash of the set; every pair of sides is one step of one task, so that a block of any
     size is spread over tasks, and a task holds two sides at a time.
     """
@@ -275,21 +296,19 @@ def _verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k:
     side = F.greatest(F.lit(SIDE[0]), F.least(F.lit(SIDE[1]), (F.col("_n") / 64).cast("int")))
     sides = F.greatest(F.ceil(F.col("_n") / side), F.ceil(F.col("_m") / F.lit(MEMBERS))).cast("int")
     members = members.join(block.filter("_n > 1"), F.col("block") == F.col("_block")).withColumn("_sides", sides)
-    members = members.withColumn("_side", F.pmod(F.xxhash64("set_id"), F.col("_sides")).cast("int")).select("set_id", "block", "doc", "_sides", "_side")
-    members = save(members, "jaccard-members")
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(members, F.col("_id").eqNullSafe(F.col("doc"))).drop("_id", "doc")
+    members = members.withColumn("side", F.pmod(F.xxhash64("set_id"), F.col("_sides")).cast("int"))
+    members = save(members.select(F.col("set_id").alias("_set"), "block", "doc", F.col("_sides").alias("sides"), "side"), "jaccard-members")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    texts = texts.filter(_among(F.col("_id"), members.select("doc"))).select("_text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                sets = [shingle_set(x, k) for x in b.column("_text").to_pylist()]
-                # rows that only share the id of the chosen one fall away
-                ok = [i for i, (s, x) in enumerate(zip(sets, b.column("set_id").to_pylist())) if len(s) and set_digest(s) == x]
-                if ok:
-                    yield pa.RecordBatch.from_arrays([*[b.column(c).take(pa.array(ok)) for c in ("set_id", "block", "_sides", "_side")], _lists([sets[i] for i in ok])], ["set_id", "block", "sides", "side", "members"])
+                sets = [x for t in whole.column("_text").slice(at, 1000).to_pylist() if len(x := shingle_set(t, k))]
+                if sets:
+                    yield pa.RecordBatch.from_arrays([pa.array([set_digest(x) for x in sets], pa.int64()), _lists(sets)], ["set_id", "members"])
 
-    sets = texts.mapInArrow(read, "set_id long, block long, sides int, side int, members array<long>")
+    sets = texts.mapInArrow(read, "set_id long, members array<long>").join(members, F.col("set_id") == F.col("_set"))
     other = F.explode(F.sequence(F.lit(0), F.col("sides") - 1))
     dealt = sets.select("set_id", "block", "side", other.alias("other"), "members")
     dealt = dealt.select("set_id", "block", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "members")
@@ -297,7 +316,7 @@ def _verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def step() -> Iterator[pa.RecordBatch]:
-            keep = list({x: i for i, x in enumerate(ids)}.values())  # a document may have been read twice
+            keep = list({x: i for i, x in enumerate(ids)}.values())  # copies may have been read, too
             mine = [ids[i] for i in keep]
             lo = [i for i, x in enumerate(keep) if sides[x] == now[1]]
             order = lo + [i for i, x in enumerate(keep) if sides[x] != now[1]]
