@@ -125,7 +125,12 @@ def bedroc_upper(df: DataFrame, score: str, *, alpha: float = 20.0, by: Sequence
 
 def target_metrics(df: DataFrame, *, fraction: float = 0.01, scores: dict[str, str], statuses: Sequence[str] = (), gate: str | None = None) -> DataFrame:
     """One row per target: counts, and AUC, recall and enrichment for each of ``scores`` (column to
-    suffix), failure rates and the gate's pass rate."""
+    suffix), failure rates and the gate's pass rate.
+
+    All windows are partitioned by target (the AUC's by target and labelled or not), so rows are
+    shuffled once, however many scores there are.
+    """
+    labeled = F.col("label_role").isin(POSITIVE, NEGATIVE)
     agg = [
         F.count("*").alias("n_pool"),
         F.count_if(is_positive()).alias("n_labeled_positive"),
@@ -135,12 +140,25 @@ def target_metrics(df: DataFrame, *, fraction: float = 0.01, scores: dict[str, s
     ]
     if gate:
         agg.append(rounded(F.avg((F.col(gate) == "PASS").cast("double")), 8).alias("gate_pass_rate"))
-    out = df.groupBy("target_id").agg(*agg).withColumn("top_k_1pct", top_count(F.col("n_pool"), fraction))
-    for column, suffix in scores.items():
-        early = early_retrieval(df, column, fraction=fraction)
-        early = early.select("target_id", F.col("recall").alias(f"recall_at_1pct_{suffix}"), F.col("enrichment").alias(f"observed_enrichment_at_1pct_{suffix}"))
-        out = out.join(auc(df, column, name=f"auc_{suffix}_labeled"), "target_id").join(early, "target_id")
-    return out
+    agg.append(top_count(F.count("*"), fraction).alias("top_k_1pct"))
+    rows = df.repartition("target_id").withColumn("_n", F.count("*").over(W.partitionBy("target_id"))) if scores else df
+    k = top_count(F.col("_n"), fraction)
+    for i, column in enumerate(scores):
+        value, lab, rank = finite(F.col(column)), f"_l{i}", f"_r{i}"
+        rows = rows.withColumn(f"_v{i}", value).withColumn(lab, labeled & value.isNotNull())
+        w = W.partitionBy("target_id", lab)
+        mean_rank = F.rank().over(w.orderBy(f"_v{i}")) + (F.count("*").over(W.partitionBy("target_id", lab, f"_v{i}")) - 1) / 2.0
+        rows = rows.withColumn(f"_a{i}", mean_rank)
+        rows = rows.withColumn(rank, F.row_number().over(W.partitionBy("target_id").orderBy(F.col(f"_v{i}").desc_nulls_last(), "candidate_index")))
+        p, q = F.count_if(F.col(lab) & is_positive()), F.count_if(F.col(lab) & ~is_positive())
+        total = F.sum(F.when(F.col(lab) & is_positive(), F.col(f"_a{i}")))
+        hits, some, suffix = F.count_if(is_positive() & (F.col(rank) <= k)), F.count_if(is_positive()), scores[column]
+        agg += [
+            F.when((p > 0) & (q > 0), rounded((total - p * (p + 1) / 2.0) / (p * q), 6)).alias(f"auc_{suffix}_labeled"),
+            F.when(some > 0, rounded(hits / some, 6)).alias(f"recall_at_1pct_{suffix}"),
+            F.when(some > 0, rounded((hits / F.max(k)) / (some / F.count("*")), 6)).alias(f"observed_enrichment_at_1pct_{suffix}"),
+        ]
+    return rows.groupBy("target_id").agg(*agg)
 
 
 def overall_rank(df: DataFrame, score: str, *, name: str = "rank") -> DataFrame:
