@@ -1,9 +1,9 @@
 """Registry of the screening queries and their SQL."""
 
-from . import q_audit, q_fusion, q_labels, q_models, q_rank
+from . import q_audit, q_evidence, q_fusion, q_labels, q_models, q_rank
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (q_rank, q_labels, q_fusion, q_audit, q_models):
+for module in (q_rank, q_labels, q_fusion, q_audit, q_models, q_evidence):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
