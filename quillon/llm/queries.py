@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, jaccard, langid, licenses, mixing, neardup, packing, secrets, token_counts, topk
+from . import chat, jaccard, langid, licenses, mixing, neardup, oracles, packing, secrets, token_counts, topk
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -14,4 +14,10 @@ QUERIES = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": langid.op10_language_id,
 }
-ORACLES = {"op4_mixing": mixing.OP4_SQL, "op8_topk": topk.OP8_SQL}
+ORACLES = {
+    "op2_neardup": oracles.OP2_SQL,
+    "op4_mixing": mixing.OP4_SQL,
+    "op5_jaccard": oracles.OP5_SQL,
+    "op6_chat": oracles.OP6_SQL,
+    "op8_topk": topk.OP8_SQL,
+}
