@@ -10,7 +10,8 @@ of these sizes, once for each size of partner.
 Large sets are found by inverted lists.  A list of single shingles would hold every document with a
 passage that many share, so the terms of the lists are parts of sets: the members are dealt into one
 part more than two linking sets of that size class can differ by, so at least one part is the same
-in both.
+in both.  Members that are frequent in a sample of the texts are left out of the parts (two sets differ
+no more in what is left): a set that is mostly frequent members lists parts of all of its members.
 
 Neither kind of list yields pairs: every set of a list is tied to the list's first set, the tied sets
 form blocks, and within blocks sets are compared exactly, in steps of bounded size.
@@ -41,6 +42,10 @@ SMALL_MOST = 40
 SUBSETS_MOST = 300
 #: Rows that a task combines before it hands on, and members that are compared at once.
 CHUNK, MEMBERS = 1 << 20, 1 << 20
+#: Texts in which frequent members are looked for, in how many of them a member is frequent, and how
+#: many members are taken as frequent at most (the most frequent; they go to every task).  Any choice
+#: gives the same classes; it decides how many sets are compared in vain.
+SAMPLE, FREQUENT, FREQUENT_MOST = 50_000, 8, 500_000
 #: Bits of the filter by which candidates' texts are read again, at most (8 MB).
 FILTER_BITS = 1 << 26
 #: Sets of a block that are compared with each other in one step: its 64th part, within these.
@@ -84,6 +89,21 @@ class Threshold:
             out.append((c, (self.den - self.num) * 2 * top // (self.den + self.num) + 1))
         return tuple(out)
 
+    @property
+    def rare_least(self) -> float:
+        """Part of a set that must be rare for its rare members alone to be listed: two members, about,
+        for each part."""
+        return min(1.0, 2.25 * 1.25 * 2 * (self.den - self.num) / (self.den + self.num))
+
+    def bases(self, size: int, rare: int) -> tuple[bool, bool]:
+        """Whether a set lists parts of its rare members, and of all members.
+
+        The rare parts of two linking sets differ by 1 - similarity at most (that is how far the uniform
+        distributions over them are apart), so they have one basis in common.
+        """
+        share = rare / size
+        return share >= self.rare_least, share < self.rare_least + 1 - self.ratio + 1e-9
+
     def _class(self, s: int) -> int:
         c = int(log(s) / -log(self.ratio)) if self.ratio < 1 else s
         while self._top(c) < s:
@@ -111,30 +131,59 @@ def subset_keys(members: np.ndarray, t: Threshold) -> np.ndarray:
     return np.concatenate(out)
 
 
-def part_keys(members: np.ndarray, t: Threshold) -> np.ndarray:
-    """Keys of the parts of a set, for each class of pairs it can be in.
+def part_keys(members: np.ndarray, size: int, t: Threshold, basis: int = 0) -> np.ndarray:
+    """Keys of the parts of ``members`` of a set of ``size``, for each class of pairs it can be in.
 
-    Empty parts are the same in all sets.  They are left out, unless a set has so many that the part
-    it shares with another may be an empty one.
+    With ``spare`` parts more than needed, ``spare + 1`` parts are the same in two linking sets.  A set
+    leaves out its smallest parts, up to ``spare`` of them and whole sizes only, so one of the parts
+    they share is left: small parts are in many sets, and an empty one is the same in all.
     """
     out = []
-    for c, parts in t.classes(len(members)):
-        # of parts + spare parts, spare + 1 at least are the same in two linking sets
-        spare = max(1, parts // 16)
+    for c, parts in t.classes(size):
+        spare = max(1, parts // 4)
         total = parts + spare
-        part = mix(members + _U(c)) % _U(total)
-        order = np.argsort(part, kind="stable")
-        found, first = np.unique(part[order], return_index=True)
-        sums = np.add.reduceat(mix(members[order] + _U(0x8CB92BA72F3D8DD7)), first)
-        keys = mix(sums + mix(_U(c) * _U(1 << 32) + found))
-        if total - len(found) > spare:
-            empty = np.setdiff1d(np.arange(total, dtype=_U), found)
-            keys = np.concatenate([keys, mix(mix(_U(c) * _U(1 << 32) + empty))])
-        out.append(keys)
+        name = _U(2 * c + basis) * _U(1 << 32)
+        part = (mix(members + _U(2 * c + basis)) % _U(total)).astype(np.int64)
+        count = np.bincount(part, minlength=total)
+        least = int(np.sort(count)[spare])  # fewer than spare + 1 parts are smaller than this
+        sums = np.zeros(total, _U)
+        np.add.at(sums, part, mix(members + _U(0x8CB92BA72F3D8DD7)))
+        keep = np.flatnonzero(count >= least)
+        out.append(mix(sums[keep] + mix(name + keep.astype(_U))))
     return np.concatenate(out)
 
 
-ROWS = "n_shingles long, set_id long, small array<long>, large array<long>"
+def list_keys(members: np.ndarray, frequent: np.ndarray, t: Threshold) -> np.ndarray:
+    """Keys of a set in the inverted lists; ``frequent`` is ascending."""
+    if not len(frequent):
+        return part_keys(members, len(members), t)
+    at = np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)
+    rare = members[frequent[at] != members]
+    by_rare, by_all = t.bases(len(members), len(rare))
+    out = [part_keys(rare, len(members), t, 1)] if by_rare else []
+    return np.concatenate([*out, part_keys(members, len(members), t)] if by_all else out)
+
+
+def frequent_members(docs: DataFrame, id_col: str, text_col: str, k: int, n: int) -> np.ndarray:
+    """Hashes of shingles that many of a sample's texts have, ascending."""
+    share = min(1 << 20, SAMPLE * (1 << 20) // max(1, n))
+    rows = docs.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(77)), F.lit(1 << 20)) < share).select(F.col(text_col).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, sets = set(), []
+        for b in batches:
+            for text in b.column("_text").to_pylist():
+                members = shingle_set(text, k)
+                if len(members) and (name := set_digest(members)) not in seen:  # copies count once
+                    seen.add(name)
+                    sets.append(members)
+        if sets:
+            member, count = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([_signed(member[count > 1]), _signed(count[count > 1])], ["member", "n"])
+
+    found = rows.mapInArrow(run, "member long, n long").groupBy("member").agg(F.sum("n").alias("n"))
+    found = found.filter(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "member").limit(FREQUENT_MOST).toPandas()
+    return np.sort(found["member"].to_numpy(np.int64).astype(_U))
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -146,98 +195,147 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), _signed(np.concatenate(arrays) if arrays else np.zeros(0, _U)))
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str, k: int, t: Threshold) -> DataFrame:
-    """(id, n_shingles, set_id, small, large) of every row; set_id is null for an empty set."""
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    kind = rows.schema[id_col].dataType.simpleString()
+def pack(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, highest bytes last: runs of zeros shrink in the shuffle."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, _U)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                n, name, small, large = [], [], [], []
-                for text in b.column("_text").to_pylist():
-                    members = shingle_set(text, k)
-                    n.append(len(members))
-                    name.append(set_digest(members) if len(members) else None)
-                    small.append(subset_keys(members, t) if len(members) else none)
-                    large.append(part_keys(members, t) if len(members) else none)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64()), _lists(small), _lists(large)], ["_id", "n_shingles", "set_id", "small", "large"])
 
-    return rows.mapInArrow(run, f"_id {kind}, {ROWS}")
+def unpack(raw: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def boundary(rows: DataFrame, t: Threshold) -> int:
-    """Largest size that is listed by subsets: where these cost least together with the lists.
+def sketch(docs: DataFrame, id_col: str, text_col: str, k: int, t: Threshold, small: int, buckets: int, frequent: np.ndarray) -> DataFrame:
+    """(id, n_shingles, set_id) of every row, and (a, b) ties of sets that have a key in common.
 
-    Sets up to the boundary list their subsets; sets that can link with one above it are in the
-    lists, too.  The histogram has a row per size up to ``SMALL_MOST``.
+    A task ties the sets that it has itself and hands on one set per key, so a key that very many sets
+    have reaches the next task with one entry from each chunk before.  Entries of a chunk go by ranges
+    of keys, packed into one row per range.
     """
-    sizes = {r["n"]: r["k"] for r in rows.filter(F.col("n_shingles").between(1, SMALL_MOST)).groupBy(F.col("n_shingles").alias("n")).agg(F.count("*").alias("k")).collect()}
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    kind = rows.schema["_id"].dataType.simpleString()
+    fields = ["bucket", "_id", "n_shingles", "set_id", "keys", "nodes", "names", "ties"]
+    binary = [pa.binary()] * 4
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT_MOST numbers at most
 
-    def cost(b: int) -> int:
-        lists = sum(k * sum(p for _, p in t.classes(s)) for s, k in sizes.items() if t.largest(s) > b)
-        return sum(k * t.subsets(s) for s, k in sizes.items() if s <= b) + lists
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, names, at, held, null = [], [], [], 0, None
+        seen, common = 0, shared.value
 
-    allowed = [b for b in range(SMALL_MOST + 1) if all(t.subsets(s) <= SUBSETS_MOST for s in range(1, b + 1))]
-    return min(allowed, key=lambda b: (cost(b), b))
+        def flush() -> Iterator[pa.RecordBatch]:
+            key, node, name = np.concatenate(keys), np.repeat(np.arange(len(names)), at), np.array(names, np.int64)
+            order = np.argsort(key, kind="stable")
+            key, node = key[order], node[order]
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            first = node[new][np.cumsum(new) - 1]
+            tie = np.unique(np.stack([name[node], name[first]], 1)[name[node] != name[first]], axis=0)
+            key, node = key[new], node[new]
+            edge = (np.arange(buckets + 1, dtype=np.float64) * (2.0**64 / buckets)).astype(np.float64)
+            cut = np.searchsorted(key, edge[1:-1].astype(_U)) if buckets > 1 else np.zeros(0, np.int64)
+            out = []
+            for number, (i, j) in enumerate(zip([0, *cut], [*cut, len(key)])):
+                if i < j:
+                    own, place = np.unique(node[i:j], return_inverse=True)
+                    out.append((number, pack(np.diff(key[i:j], prepend=_U(0))), pack(place.astype(np.uint32)), pack(name[own]), None))
+            if len(tie):
+                out.append((int(tie[0, 0] % buckets), None, None, None, tie.tobytes()))
+            m = len(out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int32()), pa.nulls(m, null), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), *[pa.array([x[c + 1] for x in out], binary[c]) for c in range(4)]], fields
+            )
 
+        for whole in batches:
+            null = whole.schema.field("_id").type
+            for lo in range(0, whole.num_rows, 1000):
+                b = whole.slice(lo, 1000)
+                n, name = [], []
+                for text in b.column("_text").to_pylist():
+                    members = shingle_set(text, k)
+                    n.append(len(members))
+                    name.append(set_digest(members) if len(members) else None)
+                    if len(members):
+                        own = []
+                        if len(members) <= small and t.subsets(len(members)) > 1:
+                            own.append(subset_keys(members, t))
+                        if t.largest(len(members)) > small:  # it can link with a set above the boundary
+                            own.append(list_keys(members, common, t))
+                        if own:
+                            keys.append(np.concatenate(own))
+                            names.append(name[-1])
+                            at.append(len(keys[-1]))
+                            held += at[-1]
+                m = len(n)
+                bucket = (np.arange(seen, seen + m) % buckets).astype(np.int32)
+                seen += m
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), b.column("_id"), pa.array(n, pa.int64()), pa.array(name, pa.int64()), *[pa.nulls(m, x) for x in binary]], fields)
+                if held >= CHUNK:
+                    yield from flush()
+                    keys, names, at, held = [], [], [], 0
+        if held:
+            yield from flush()
 
-def _ties(keyed: DataFrame) -> DataFrame:
-    """(a, b): each set of a list (``key``) with the list's first set.
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, nodes = None, [], []
 
-    A task ties the sets that it has itself and hands on one row per key, so a key with very many
-    rows reaches the next task with a row from each task before.  There the rows of a key come
-    sorted and are streamed.
-    """
+        def found(tie: np.ndarray) -> pa.RecordBatch:
+            m = len(tie)
+            return pa.RecordBatch.from_arrays([pa.nulls(m, null), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), _signed(tie[:, 0]), _signed(tie[:, 1])], ["_id", "n_shingles", "set_id", "a", "b"])
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> Iterator[pa.RecordBatch]:
+        def close() -> Iterator[pa.RecordBatch]:
             key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.lexsort((node, key))
+            order = np.argsort(key, kind="stable")
             key, node = key[order], node[order]
             new = np.concatenate([[True], key[1:] != key[:-1]])
             first = node[new][np.cumsum(new) - 1]
-            ties = np.unique(np.stack([node, first], 1)[node != first], axis=0)
-            yield pa.RecordBatch.from_arrays([_signed(key[new]), _signed(node[new]), pa.nulls(int(new.sum()), pa.int64())], ["key", "a", "b"])
-            if len(ties):  # a tie goes anywhere: its key is its own
-                yield pa.RecordBatch.from_arrays([_signed(mix(ties[:, 0].astype(_U))), _signed(ties[:, 0]), _signed(ties[:, 1])], ["key", "a", "b"])
+            tie = np.stack([node, first], 1)[node != first]
+            if len(tie):
+                yield found(np.unique(tie, axis=0))
 
-        keys, nodes, n = [], [], 0
         for b in batches:
-            lists = b.column(1)
-            size = lists.value_lengths().to_numpy()
-            keys.append(lists.flatten().to_numpy())
-            nodes.append(np.repeat(b.column(0).to_numpy(), size))
-            n += int(size.sum())
-            if n >= CHUNK:
-                yield from flush()
-                keys, nodes, n = [], [], 0
-        if n:
-            yield from flush()
+            null = b.schema.field("_id").type
+            packed = b.column("keys").is_valid().to_numpy(zero_copy_only=False)
+            tied = b.column("ties").is_valid().to_numpy(zero_copy_only=False)
+            plain = np.flatnonzero(~packed & ~tied)
+            if len(plain):
+                d = b.take(pa.array(plain))
+                yield pa.RecordBatch.from_arrays([*[d.column(c) for c in ("_id", "n_shingles", "set_id")], pa.nulls(len(plain), pa.int64()), pa.nulls(len(plain), pa.int64())], ["_id", "n_shingles", "set_id", "a", "b"])
+            for i in np.flatnonzero(tied).tolist():
+                yield found(np.frombuffer(b.column("ties")[i].as_py(), np.int64).reshape(-1, 2))
+            for i in np.flatnonzero(packed).tolist():
+                bucket = b.column("bucket")[i].as_py()
+                if bucket != now:
+                    if keys:
+                        yield from close()
+                    now, keys, nodes = bucket, [], []
+                keys.append(np.cumsum(unpack(b.column("keys")[i].as_py(), np.uint64), dtype=_U))
+                nodes.append(unpack(b.column("names")[i].as_py(), np.int64)[unpack(b.column("nodes")[i].as_py(), np.uint32)])
+        if keys:
+            yield from close()
+
+    dealt = rows.mapInArrow(local, f"bucket int, _id {kind}, n_shingles long, set_id long, keys binary, nodes binary, names binary, ties binary")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, f"_id {kind}, n_shingles long, set_id long, a long, b long")
+
+
+def plan(docs: DataFrame, text_col: str, k: int, t: Threshold) -> tuple[int, int, int]:
+    """(boundary, key ranges, rows) from the texts' numbers of blanks, which bound their numbers of words.
+
+    The boundary is the largest size that is listed by subsets, where these cost least together with
+    the lists.  Sets up to the boundary list their subsets; sets that can link with one above it are
+    in the lists, too.  The histogram has a row per size up to ``SMALL_MOST`` and one for all others.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words = F.length(text) - F.length(F.translate(text, " \t\n\x0b\x0c\r", "")) + 1
+    size = F.greatest(F.lit(1), words - (k - 1))
+    found = docs.groupBy(F.least(size, F.lit(SMALL_MOST + 1)).alias("n")).agg(F.count("*").alias("k"), F.sum(size).alias("m")).collect()
+    sizes = {r["n"]: r["k"] for r in found if r["n"] <= SMALL_MOST}
 
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = last = None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            tie = b.column("b").is_valid().to_numpy(zero_copy_only=False)
-            a = b.column("a").to_numpy()
-            key, node = b.column("key").to_numpy()[~tie], a[~tie]
-            out = [np.stack([a[tie], b.column("b").drop_null().to_numpy()], 1)]
-            if len(key):
-                new = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
-                # before the first new key of the batch, the first set is the one carried over
-                firsts = np.concatenate([[last if last is not None else 0], node[new]])
-                first = firsts[np.cumsum(new)]
-                out.append(np.stack([node, first], 1)[node != first])
-                last_key, last = key[-1], first[-1]
-            ties = np.unique(np.concatenate(out), axis=0)
-            yield pa.RecordBatch.from_arrays([_signed(ties[:, 0]), _signed(ties[:, 1])], ["a", "b"])
-
-    dealt = keyed.mapInArrow(local, "key long, a long, b long").repartition("key").sortWithinPartitions("key", "a")
-    return dealt.mapInArrow(stream, "a long, b long").distinct()
+    def cost(b: int) -> int:
+        lists = sum(k * sum(p for _, p in t.classes(s)) for s, k in sizes.items() if t.largest(s) > b)
+        return sum(k * t.subsets(s) for s, k in sizes.items() if s <= b) + lists
+
+    allowed = [b for b in range(SMALL_MOST + 1) if all(t.subsets(s) <= SUBSETS_MOST for s in range(1, b + 1))]
+    per = sum(p for _, p in t.classes(1000)) / 1000  # keys for each member of a large set
+    return min(allowed, key=lambda b: (cost(b), b)), max(1, ceil(sum(r["m"] for r in found) * per / CHUNK)), sum(r["k"] for r in found)
 
 
 def _compare(sets: list[np.ndarray], split: int, t: Threshold) -> np.ndarray:
@@ -288,7 +386,7 @@ def _verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k:
     """(a, b): links among the sets of each block.
 
     ``members`` has (set_id, block, doc), one document per set, whose text is read again: a bitmap of
-    the ids keeps the other texts out, and no text is shuffled.  A block is
+    the ids keeps most other texts out of the shuffle.  A block is
     dealt into sides by a hash of the set; every pair of sides is one step of one task, so that a block of any
     size is spread over tasks, and a task holds two sides at a time.
     """
@@ -297,26 +395,17 @@ def _verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k:
     sides = F.greatest(F.ceil(F.col("_n") / side), F.ceil(F.col("_m") / F.lit(MEMBERS))).cast("int")
     members = members.join(block.filter("_n > 1"), F.col("block") == F.col("_block")).withColumn("_sides", sides)
     members = members.withColumn("side", F.pmod(F.xxhash64("set_id"), F.col("_sides")).cast("int"))
-    members = save(members.select(F.col("set_id").alias("_set"), "block", "doc", F.col("_sides").alias("sides"), "side"), "jaccard-members")
+    members = save(members.select("set_id", "block", F.col("doc").alias("_doc"), F.col("_sides").alias("sides"), "side"), "jaccard-members")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    texts = texts.filter(_among(F.col("_id"), members.select("doc"))).select("_text")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                sets = [x for t in whole.column("_text").slice(at, 1000).to_pylist() if len(x := shingle_set(t, k))]
-                if sets:
-                    yield pa.RecordBatch.from_arrays([pa.array([set_digest(x) for x in sets], pa.int64()), _lists(sets)], ["set_id", "members"])
-
-    sets = texts.mapInArrow(read, "set_id long, members array<long>").join(members, F.col("set_id") == F.col("_set"))
+    texts = texts.filter(_among(F.col("_id"), members.select("_doc"))).join(members, F.col("_id").eqNullSafe(F.col("_doc")))
     other = F.explode(F.sequence(F.lit(0), F.col("sides") - 1))
-    dealt = sets.select("set_id", "block", "side", other.alias("other"), "members")
-    dealt = dealt.select("set_id", "block", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "members")
+    dealt = texts.select("set_id", "block", "side", other.alias("other"), "_text")
+    dealt = dealt.select("set_id", "block", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "_text")
     dealt = dealt.repartition("block", "lo", "hi").sortWithinPartitions("block", "lo", "hi", "side")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def step() -> Iterator[pa.RecordBatch]:
-            keep = list({x: i for i, x in enumerate(ids)}.values())  # copies may have been read, too
+            keep = list({x: i for i, x in enumerate(ids)}.values())  # the id may have been repeated
             mine = [ids[i] for i in keep]
             lo = [i for i, x in enumerate(keep) if sides[x] == now[1]]
             order = lo + [i for i, x in enumerate(keep) if sides[x] != now[1]]
@@ -331,16 +420,17 @@ def _verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k:
 
         now, ids, sides, sets_ = None, [], [], []
         for b in batches:
-            values, offsets = b.column("members").values.to_numpy().view(_U), b.column("members").offsets.to_numpy()
-            names, side = b.column("set_id").to_pylist(), b.column("side").to_pylist()
+            names, side, texts_ = b.column("set_id").to_pylist(), b.column("side").to_pylist(), b.column("_text")
             for i, at in enumerate(zip(b.column("block").to_pylist(), b.column("lo").to_pylist(), b.column("hi").to_pylist())):
                 if at != now:
                     if len(ids) > 1:
                         yield from step()
                     now, ids, sides, sets_ = at, [], [], []
-                ids.append(names[i])
-                sides.append(side[i])
-                sets_.append(values[offsets[i] : offsets[i + 1]].copy())
+                members = shingle_set(texts_[i].as_py(), k)
+                if len(members) and set_digest(members) == names[i]:  # not another text with the chosen one's id
+                    ids.append(names[i])
+                    sides.append(side[i])
+                    sets_.append(members)
         if len(ids) > 1:
             yield from step()
 
@@ -375,14 +465,12 @@ def jaccard_classes(
     gives no rows and other columns aren't looked at.  Sets are told apart by 64-bit digests.
     """
     t = Threshold(*similarity)
-    rows = save(sketch(docs, id_col, text_col, words, t), "jaccard-rows")
-    b = boundary(rows, t)
+    small, buckets, n = plan(docs, text_col, words, t)
+    frequent = frequent_members(docs, id_col, text_col, words, n)
+    found = save(sketch(docs, id_col, text_col, words, t, small, buckets, frequent), "jaccard-rows")
+    rows = found.filter(F.col("a").isNull()).select("_id", "n_shingles", "set_id")
     sets = rows.filter(F.col("set_id").isNotNull())
-    small = _ties(sets.filter((F.col("n_shingles") <= b) & (F.size("small") > 1)).select("set_id", "small"))
-    # a set is in the lists if it can link with one above the boundary
-    listed = F.floor(F.col("n_shingles") * t.den / F.lit(t.num)) > b
-    tied = _ties(sets.filter(listed).select("set_id", "large"))
-    blocks = save(components(small.union(tied)), "jaccard-blocks")
+    blocks = save(components(found.filter(F.col("a").isNotNull()).select("a", "b")), "jaccard-blocks")
     of_set = save(sets.groupBy("set_id").agg(F.min("_id").alias("doc"), F.first("n_shingles").alias("n_shingles")), "jaccard-sets")
     members = of_set.join(blocks, F.col("set_id") == F.col("node")).select("set_id", F.col("component").alias("block"), "doc", "n_shingles")
     found = save(components(_verify(docs, members, id_col, text_col, words, t)), "jaccard-components")

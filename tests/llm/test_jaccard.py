@@ -85,7 +85,8 @@ def test_linking_sets_share_a_key(ratio):
         n = len(np.intersect1d(a, b))
         link = t.den * n >= t.num * (len(a) + len(b) - n)
         if link:
-            assert len(np.intersect1d(jaccard.part_keys(a, t), jaccard.part_keys(b, t)))
+            for common in (a[:0], a[: size // 4], np.unique(np.concatenate([a[: size // 2], b[: size // 3]])), a):
+                assert len(np.intersect1d(jaccard.list_keys(a, common, t), jaccard.list_keys(b, common, t)))
         small = jaccard.subset_keys(a, t), jaccard.subset_keys(b, t)
         if link and len(small[0]) and len(small[1]):
             assert len(np.intersect1d(*small))
