@@ -348,7 +348,7 @@ def _compare(sets: list[np.ndarray], split: int, t: Threshold) -> np.ndarray:
     owner, column = owner[shared[inverse]], column[inverse[shared[inverse]]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    common = np.zeros((split or len(sets), len(sets) - split), np.float32)
+    common = np.zeros((split or len(sets), len(sets) - split))  # sums of whole numbers, exact in doubles
     width = max(1, (1 << 22) // len(sets))
     for lo in range(0, int(shared.sum()), width):
         i, j = np.searchsorted(column, [lo, lo + width])
