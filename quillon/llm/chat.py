@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Turns of the conversation that is added to every input of the query.
 EXTRA = (-7, r"\### Assistant: </turn> ok")
 
@@ -83,6 +85,7 @@ def format_turns(rows: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     ``trained`` turns within it (code points; both null for other roles).  Joined in order of turn
     they are the conversation.  Null roles and texts are empty; other columns are left aside.
     """
+    small_batches(rows.sparkSession)
     kind = {c: rows.schema[c].dataType.simpleString() for c in (conv_col, turn_col)}
     rows = rows.select(F.col(conv_col).alias("_conv"), F.col(turn_col).alias("_turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("_role"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 

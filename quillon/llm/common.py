@@ -22,6 +22,17 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows and bytes of text that a Python worker gets at once; the session's defaults suit narrow rows.
+BATCH_ROWS, BATCH_BYTES = 1000, "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches for rows with long texts, unless they are smaller already."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -30,6 +41,7 @@ def save(df: DataFrame, name: str) -> DataFrame:
     planner knows the size of what it reads back.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 #: Components of the vectors.
 DIM = 512
 #: Letters are told apart by 128 classes: 0 parts words, a-z have their own, others share the rest.
@@ -76,9 +78,12 @@ def learn(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang:
     fewer use all.  Sums are made per task and language first; the driver gets one row of ``DIM``
     numbers per language.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id")).filter(F.col("_text").isNotNull() & F.col("_lang").isNotNull())
-    counts = rows.groupBy(F.col("_lang").alias("_of")).agg((F.lit(float(per_lang)) / F.count("*")).alias("_share"))
-    picked = rows.join(counts, F.col("_lang") == F.col("_of")).filter(F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 20)) < F.col("_share") * (1 << 20))
+    # the driver has a row per language anyway; no text is shuffled to find its language's share
+    share = {r["_lang"]: per_lang / r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
+    limits = F.create_map(*[F.lit(x) for lang, part in share.items() for x in (lang, min(1.0, part) * (1 << 20))]) if share else None
+    picked = rows.filter(F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 20)) < limits[F.col("_lang")]) if share else rows.limit(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -102,6 +107,7 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, text_col:
     The score is the cosine with the prototype, 0 where it is negative.  Null texts and texts
     without a letter get ``und`` and 0, as does every text if no language was learned.
     """
+    small_batches(docs.sparkSession)
     keep = docs.drop("lang_pred", "score")
     at = keep.columns.index(text_col)
     carried = [i for i in range(len(keep.columns)) if with_text or i != at]

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .shingles import shingle_hashes, words_at
 
 GRAM, WINDOW = 3, 2
@@ -164,6 +165,7 @@ def scan_licenses(
     one template are one.  Null, empty and short texts have none; repeated rows each have theirs;
     other columns aren't looked at; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     index = Index.build(templates)
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
     kind = rows.schema[id_col].dataType.simpleString()

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .tokens import RANKS, encoding, token_bytes
 
 RULES = ("start", "most", "share")
@@ -67,6 +68,7 @@ def count_tokens(
     tokens of its whole text.  Null and empty texts have one empty section with no tokens; repeated
     rows each have their sections; other columns aren't looked at.
     """
+    small_batches(docs.sparkSession)
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     cols = [F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text")]
