@@ -8,6 +8,7 @@ the language whose prototype has the largest cosine with it.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +30,13 @@ TRAIN_PER_LANG = 3000
 #: Components of a training text's vector are rounded to this many parts of its length, so that sums
 #: of them don't depend on the order of rows.
 PARTS = 100_000
+#: Part of a language's training texts that have a trigram, from which on it is familiar.
+FAMILIAR = 0.001
+#: Share of unfamiliar trigrams that is allowed in any case and at most, and the allowance in standard
+#: deviations for texts with few trigrams.
+LEAST_SHARE, MOST_SHARE, DEVIATIONS = 0.15, 0.5, 3.0
+#: Distinct trigrams from which on a held-out text tells its share of unfamiliar ones, and the quantile taken.
+LONG, QUANTILE = 64, 0.999
 
 
 @lru_cache(maxsize=1)
@@ -50,8 +58,8 @@ def letter_vectors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.roll(v, 2, axis=1), np.roll(v, 1, axis=1), v
 
 
-def bundle(text: str) -> np.ndarray | None:
-    """Sum of the vectors of all trigrams of a text; None if it has no letter.
+def trigrams(text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Codes and numbers of a text's trigrams; None if it has no letter.
 
     Runs of other characters count as one space, and the text begins and ends with one.
     """
@@ -61,7 +69,11 @@ def bundle(text: str) -> np.ndarray | None:
     c = c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])].astype(np.int64)
     if len(c) < 3:
         return None
-    codes, n = np.unique((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], return_counts=True)
+    return np.unique((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], return_counts=True)
+
+
+def bundle(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sum of the vectors of all trigrams of a text."""
     first, second, third = letter_vectors()
     out = np.zeros(DIM)
     for i in range(0, len(codes), 4096):  # bounded memory for texts with very many trigrams
@@ -71,6 +83,17 @@ def bundle(text: str) -> np.ndarray | None:
     return out
 
 
+def pick(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang: int) -> tuple[DataFrame, dict[str, int]]:
+    """(_text, _lang) of about ``per_lang`` labelled rows of each language, picked by a hash of the id,
+    and the languages' rows."""
+    rows = docs.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id")).filter(F.col("_text").isNotNull() & F.col("_lang").isNotNull())
+    # the driver has a row per language anyway; no text is shuffled to find its language's share
+    n = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
+    limits = F.create_map(*[F.lit(x) for lang, k in n.items() for x in (lang, min(1.0, per_lang / k) * (1 << 20))]) if n else None
+    picked = rows.filter(F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 20)) < limits[F.col("_lang")]) if n else rows.limit(0)
+    return picked.select("_text", "_lang"), n
+
+
 def learn(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang: int = TRAIN_PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages and their prototypes from the labelled rows ``docs``.
 
@@ -79,56 +102,102 @@ def learn(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang:
     numbers per language.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id")).filter(F.col("_text").isNotNull() & F.col("_lang").isNotNull())
-    # the driver has a row per language anyway; no text is shuffled to find its language's share
-    share = {r["_lang"]: per_lang / r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
-    limits = F.create_map(*[F.lit(x) for lang, part in share.items() for x in (lang, min(1.0, part) * (1 << 20))]) if share else None
-    picked = rows.filter(F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 20)) < limits[F.col("_lang")]) if share else rows.limit(0)
+    picked, _ = pick(docs, text_col, lang_col, id_col, per_lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for b in batches:
             for text, lang in zip(b.column("_text").to_pylist(), b.column("_lang").to_pylist()):
-                v = bundle(text)
-                if v is not None and (size := np.linalg.norm(v)):
+                found = trigrams(text)
+                if found and (size := np.linalg.norm(v := bundle(*found))):
                     sums[lang] = sums.get(lang, 0) + np.rint(v * (PARTS / size)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], ["lang", "sums"])
 
-    parts = picked.select("_text", "_lang").mapInArrow(run, "lang string, sums array<long>")
+    parts = picked.mapInArrow(run, "lang string, sums array<long>")
     per = parts.select("lang", F.posexplode("sums")).groupBy("lang", "pos").agg(F.sum("col").alias("n"))
     found = per.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("v")).orderBy("lang").collect()
     vectors = np.array([[x["n"] for x in r["v"]] for r in found], float).reshape(-1, DIM)
     return [r["lang"] for r in found], vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
-def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, text_col: str = "text", with_text: bool = True) -> DataFrame:
+def unfamiliar_most(n: float, share: float) -> float:
+    """How many of ``n`` distinct trigrams may be unfamiliar: the expected share, and what chance adds to it."""
+    return share * n + DEVIATIONS * (share * (1 - share) * n) ** 0.5
+
+
+def learn_familiar(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang: int = TRAIN_PER_LANG) -> tuple[np.ndarray, float]:
+    """Codes of the trigrams that are familiar in any language, and the share of others that texts may have.
+
+    Familiar trigrams come from labelled rows that aren't held out, the share from those that are:
+    their ``QUANTILE`` between ``LEAST_SHARE`` and ``MOST_SHARE``, and ``MOST_SHARE`` if none is long
+    enough.  The driver gets the familiar trigrams, a part of the ``CLASSES ** 3`` possible ones.
+    """
+    small_batches(docs.sparkSession)
+    held = held_out(F.col(id_col))
+    picked, n = pick(docs.filter(~held), text_col, lang_col, id_col, per_lang)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[str, Counter] = {}
+        for b in batches:
+            for text, lang in zip(b.column("_text").to_pylist(), b.column("_lang").to_pylist()):
+                if found := trigrams(text):
+                    texts.setdefault(lang, Counter()).update(found[0].tolist())
+        for lang, n in texts.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())], ["lang", "code", "texts"])
+
+    texts = picked.mapInArrow(count, "lang string, code long, texts long").groupBy("lang", "code").agg(F.sum("texts").alias("texts"))
+    least = F.create_map(*[F.lit(x) for lang, k in n.items() for x in (lang, FAMILIAR * min(k, per_lang))]) if n else None
+    rows = texts.filter(F.col("texts") >= least[F.col("lang")]).select("code").distinct().collect() if n else []
+    familiar = np.array(sorted(r["code"] for r in rows), np.int64)
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [x[0] for t in b.column("_text").to_pylist() if (x := trigrams(t)) and len(x[0]) >= LONG]
+            yield pa.RecordBatch.from_arrays([pa.array([1 - float(np.isin(c, familiar).mean()) for c in found], pa.float64())], ["share"])
+
+    kept, _ = pick(docs.filter(held), text_col, lang_col, id_col, per_lang)
+    share = kept.mapInArrow(shares, "share double").agg(F.percentile("share", F.lit(QUANTILE))).first()[0]
+    return familiar, MOST_SHARE if share is None else min(MOST_SHARE, max(LEAST_SHARE, share))
+
+
+def predict(
+    docs: DataFrame, langs: list[str], prototypes: np.ndarray, text_col: str = "text", with_text: bool = True, familiar: tuple[np.ndarray, float] | None = None
+) -> DataFrame:
     """``docs`` (without the text, if not ``with_text``) with ``lang_pred`` and ``score``; columns of these names are replaced.
 
+    With ``familiar`` (see ``learn_familiar``) ``in_language`` says whether few enough of the text's
+    distinct trigrams are unfamiliar to be a text of the learned languages, be it of several.
+
     The score is the cosine with the prototype, 0 where it is negative.  Null texts and texts
     without a letter get ``und`` and 0, as does every text if no language was learned.
     """
     small_batches(docs.sparkSession)
-    keep = docs.drop("lang_pred", "score")
+    keep = docs.drop("lang_pred", "score", *(["in_language"] if familiar else []))
     at = keep.columns.index(text_col)
     carried = [i for i in range(len(keep.columns)) if with_text or i != at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            best, scores = [], []
+            best, scores, inside = [], [], []
             for text in b.column(at).to_pylist():
-                v = bundle(text) if text is not None and langs else None
-                size = 0.0 if v is None else float(np.linalg.norm(v))
-                if v is None:
+                found = trigrams(text) if text is not None and langs else None
+                if found is None:
                     best.append("und")
                     scores.append(0.0)
+                    inside.append(False)
                     continue
-                cos = prototypes @ v / max(size, 1e-12)
+                v = bundle(*found)
+                cos = prototypes @ v / max(float(np.linalg.norm(v)), 1e-12)
                 k = int(cos.argmax())
                 best.append(langs[k])
                 scores.append(min(1.0, max(0.0, float(cos[k]))))
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in carried], pa.array(best, pa.string()), pa.array(scores, pa.float64())], schema.names)
+                if familiar:
+                    n = len(found[0])
+                    inside.append(n - int(np.isin(found[0], familiar[0]).sum()) <= unfamiliar_most(n, familiar[1]))
+            columns = [*[b.column(i) for i in carried], pa.array(best, pa.string()), pa.array(scores, pa.float64()), *([pa.array(inside, pa.bool_())] if familiar else [])]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    schema = T.StructType([*[keep.schema.fields[i] for i in carried], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*[keep.schema.fields[i] for i in carried], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *([T.StructField("in_language", T.BooleanType())] if familiar else [])])
     return keep.mapInArrow(run, schema)
 
 
@@ -137,14 +206,15 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = TRAIN_PER_LANG) -> DataFrame:
-    """``docs`` with ``held_out``, ``lang_pred`` and ``score``, learned from its own labelled rows.
+def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = TRAIN_PER_LANG, judged: bool = False) -> DataFrame:
+    """``docs`` with ``held_out``, ``lang_pred`` and ``score``, learned from its own labelled rows; with ``in_language`` if ``judged``.
 
-    Only rows that aren't held out are learned from.  Repeated rows are predicted alike; an empty
-    table gives no rows; further columns are kept.
+    Only rows that aren't held out are learned from; held-out ones set the bound of ``in_language``.
+    Repeated rows are predicted alike; an empty table gives no rows; further columns are kept.
     """
     langs, prototypes = learn(docs.filter(~held_out(F.col(id_col))), text_col, lang_col, id_col, per_lang)
-    return predict(docs.withColumn("held_out", held_out(F.col(id_col))), langs, prototypes, text_col)
+    familiar = learn_familiar(docs, text_col, lang_col, id_col, per_lang) if judged else None
+    return predict(docs.withColumn("held_out", held_out(F.col(id_col))), langs, prototypes, text_col, familiar=familiar)
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

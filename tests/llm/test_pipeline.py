@@ -1,8 +1,12 @@
+import random
+import zlib
 from collections import Counter
 
 import corpus_pipeline as cp
+import numpy as np
 from quillon.llm import mixing
 from quillon.llm.common import save
+from quillon.llm.langid import letter_classes
 from test_jaccard import brute
 from test_packing import verify
 from test_secrets_chat import brute as brute_secrets
@@ -53,3 +57,40 @@ def test_repeated_ids_and_empty_tables(spark):
 def test_run(spark, sf):
     rows = cp.run(spark, sf).collect()
     assert rows and all(r["length"] + r["offset"] <= 2048 for r in rows)
+
+
+def trigrams_of(text):
+    """Distinct trigrams over letter classes, as tuples."""
+    table, word = letter_classes(), [0]
+    for c in text or "":
+        k = int(table[ord(c)])
+        if k or word[-1]:
+            word.append(k)
+    word += [0] if word[-1] else []
+    return {tuple(word[i : i + 3]) for i in range(len(word) - 2)}
+
+
+def test_language_stage_drops_what_is_in_no_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*COLUMNS)
+    rng = random.Random(5)
+    letters = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    odd = ["asdf qwer zxcv hjkl", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw", "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar"]
+    odd += [letters("bcdfghjklmnpqrstvwxz", 500) for _ in range(20)] + [letters("abcdefghijklmnopqrstuvwxyz    ", 5000) for _ in range(20)]
+    odd += [letters([chr(first + i) for i in range(24)], n) for first in (0x430, 0x3B1, 0x4E00) for n in (50, 500, 5000) for _ in range(5)]
+    words = ["The.", "De.", "Avec.", "This.", "the of the and"]
+    both = " ".join(r["text"] for lang in ("en", "fr", "de") for r in docs.filter(f"lang = '{lang}'").orderBy("doc_id").limit(2).collect())
+    extra = [(10**6 + i, t, None, "s", len(t)) for i, t in enumerate([*odd, *words, both])]
+    every = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+
+    rows = [r for r in rows_of(docs) if r[1]]
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    texts = {lang: Counter(t for r in rows if r[2] == lang and not held(r[0]) for t in trigrams_of(r[1])) for lang in {r[2] for r in rows}}
+    n = Counter(r[2] for r in rows if not held(r[0]))
+    familiar = {t for lang, c in texts.items() for t, k in c.items() if k >= 0.001 * n[lang]}
+    shares = sorted(1 - len(t & familiar) / len(t) for r in rows if held(r[0]) and len(t := trigrams_of(r[1])) >= 64)
+    share = min(0.5, max(0.15, float(np.quantile(shares, 0.999))))
+    fits = lambda t: bool(t) and len(t - familiar) <= share * len(t) + 3 * (share * (1 - share) * len(t)) ** 0.5
+
+    got = {r[0] for r in rows_of(cp.language_stage(spark, every, ""))}
+    assert got == {r[0] for r in [*rows, *extra] if fits(trigrams_of(r[1]))}
+    assert {i - 10**6 for i in got if i >= 10**6} == {*range(len(odd), len(extra))}
