@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import save
-from .tokens import RANKS, encoding
+from .tokens import RANKS, encoder
 
 #: Items that one best-fit run holds.
 CHUNK = 65_536
@@ -103,7 +103,7 @@ def pack_counts(counts: dict[int, int], capacity: int) -> list[tuple[int, int, i
 PIECES = "piece int, start long, length long, ids_crc32 long, node long, bin long, at long, used long"
 
 
-def cut_and_pack(docs: DataFrame, id_col: str, text_col: str, capacity: int, end_id: int, ranks: str) -> DataFrame:
+def cut_and_pack(docs: DataFrame, id_col: str, text_col: str, capacity: int, end_id: int, ranks: str, special: bool = False) -> DataFrame:
     """Encode each document, cut it, and pack the pieces of each task.
 
     A document longer than ``capacity`` is cut into pieces of ``capacity``; the first takes the rest.
@@ -113,7 +113,7 @@ def cut_and_pack(docs: DataFrame, id_col: str, text_col: str, capacity: int, end
     names = ["_id", *[x.split()[0] for x in PIECES.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, node = encoding(ranks).encode_ordinary, TaskContext.get().partitionId()
+        encode, node = encoder(ranks, special), TaskContext.get().partitionId()
         bins, held, ids = 0, [], []
 
         def pack() -> pa.RecordBatch:
@@ -178,17 +178,18 @@ def pack_nodes(bins: DataFrame, nodes: int, level: int, capacity: int) -> DataFr
 
 
 def pack_documents(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0, ranks: str = RANKS
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0, ranks: str = RANKS, special: bool = False
 ) -> DataFrame:
     """Pack every row of ``docs`` into sequences of at most ``capacity`` tokens.
 
     Returns one row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.  Each text
-    is followed by ``end_id``; null and empty texts have that id alone.  Repeated rows and repeated or
+    is followed by ``end_id``; null and empty texts have that id alone.  ``special`` says whether
+    ``<|endoftext|>`` in a text is the token of that name.  Repeated rows and repeated or
     null ids each keep their pieces, since no step joins on the id; an empty table gives no rows and
     other columns aren't looked at.  Sequence ids are unique, not dense.
     """
     spark = docs.sparkSession
-    pieces = save(cut_and_pack(docs, id_col, text_col, capacity, end_id, ranks), "pack-pieces")
+    pieces = save(cut_and_pack(docs, id_col, text_col, capacity, end_id, ranks, special), "pack-pieces")
     room = capacity - capacity // SLACK
     # a bin's first piece stands for it
     open_bins = pieces.filter((F.col("at") == 0) & (F.col("used") < room)).select("bin", "node", "used")
@@ -234,13 +235,13 @@ def root(open_bins: DataFrame, place: DataFrame, capacity: int) -> DataFrame:
     return place.join(ends, "top", "left").select("bin", F.coalesce("up", "top").alias("top"), (F.col("base") + F.coalesce("off", F.lit(0))).alias("base"))
 
 
-def packed_ids(docs: DataFrame, packed: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, ranks: str = RANKS) -> DataFrame:
+def packed_ids(docs: DataFrame, packed: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, ranks: str = RANKS, special: bool = False) -> DataFrame:
     """(sequence_id, ids): the sequences themselves, for tables whose ids are unique."""
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     per_doc = packed.groupBy(id_col).agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("_cuts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(ranks).encode_ordinary
+        encode = encoder(ranks, special)
         for b in batches:
             out = []
             for text, cuts in zip(b.column("_text").to_pylist(), b.column("_cuts").to_pylist()):
@@ -256,4 +257,4 @@ def packed_ids(docs: DataFrame, packed: DataFrame, *, id_col: str = "doc_id", te
 
 def op1_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2,048 tokens."""
-    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), special=True)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches
-from .tokens import RANKS, encoding, token_bytes
+from .tokens import RANKS, encoder, token_bytes
 
 RULES = ("start", "most", "share")
 
@@ -59,13 +59,13 @@ def attribute(start: np.ndarray, end: np.ndarray, bounds: np.ndarray, rule: str)
 
 
 def count_tokens(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sections_col: str | None = None, rule: str = "start", ranks: str = RANKS
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sections_col: str | None = None, rule: str = "start", ranks: str = RANKS, special: bool = False
 ) -> DataFrame:
     """(id, section, start, end, n_tokens) for every section of every row.
 
     Sections begin at the offsets in ``sections_col`` (an array of longs; what is before the first
     one is section 0 as well) or, without it, at each line.  Counts of a row's sections add up to the
-    tokens of its whole text.  Null and empty texts have one empty section with no tokens; repeated
+    tokens of its whole text, in which ``<|endoftext|>`` is one token if ``special``.  Null and empty texts have one empty section with no tokens; repeated
     rows each have their sections; other columns aren't looked at.
     """
     small_batches(docs.sparkSession)
@@ -76,7 +76,7 @@ def count_tokens(
     kind = rows.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, sizes = encoding(ranks).encode_ordinary, token_bytes(ranks)
+        encode, sizes = encoder(ranks, special), token_bytes(ranks)
         for b in batches:
             given = b.column(2).to_pylist() if sections_col else None
             row, columns = [], [[], [], [], []]
@@ -102,4 +102,4 @@ def count_tokens(
 
 def op9_token_counts(spark, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document; a token counts where it starts."""
-    return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), special=True)

@@ -2,13 +2,14 @@ import zlib
 from array import array
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from quillon.llm import packing
+from quillon.llm import packing, token_counts
 
 
 @settings(max_examples=60, deadline=None)
@@ -86,3 +87,26 @@ def test_sequences_hold_the_ids(spark):
     for r in rows:
         got = ids[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]]
         assert zlib.crc32(array("I", got)) == r["ids_crc32"]
+
+
+ENDS = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x\nwörd <|endoftext|", "中文 " * 3000 + "<|endoftext|>\n\n", "none"]
+
+
+def test_queries_know_the_added_token(spark, tmp_path):
+    df = spark.createDataFrame(list(enumerate(ENDS)), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for i, t in enumerate(ENDS):
+        ids = reference(t, tok)
+        cuts = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
+        want.update((i, p, a, b - a, zlib.crc32(array("I", ids[a:b]))) for p, (a, b) in enumerate(zip(cuts, cuts[1:])))
+    for packed in (packing.op1_packing(spark, str(tmp_path)), corpus_pipeline.packing_stage(spark, df, "")):
+        assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packed.collect()) == want
+    got = {(r["doc_id"], r["start"]): r["n_tokens"] for r in token_counts.op9_token_counts(spark, str(tmp_path)).collect()}
+    lines = Counter()
+    for i, t in enumerate(ENDS):
+        starts = [k for k in range(len(t)) if k == 0 or t[k - 1] == "\n"]
+        lines.update({(i, k): 0 for k in starts})
+        lines.update((i, max(k for k in starts if k <= s)) for s, _ in tok.encode(t, add_special_tokens=False).offsets)
+    assert got == dict(lines)
