@@ -6,13 +6,20 @@ doesn't pair everything with everything, and candidates are checked on the sets.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import rounded
+from ..llm.common import small_batches
+from ..llm.topk import usable
+
+#: Rows and references of a block in the search for the nearest references.
+ROW_BLOCK, REFERENCE_BLOCK = 1024, 2048
 
 
 def tanimoto(a: Column, b: Column) -> Column:
@@ -95,19 +102,69 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def nearest_references(rows: DataFrame, references: DataFrame, *, k: int = 10, shown: int = 5, most: int = 10_000) -> DataFrame:
+def in_blocks(df: DataFrame, size: int, name: str) -> DataFrame:
+    """Column ``name``: lists of about ``size`` rows."""
+    blocks = max(1, -(-df.count() // size))
+    return df.repartition(blocks).groupBy(F.spark_partition_id().alias("_block")).agg(F.collect_list(F.struct(*df.columns)).alias(name)).select(name)
+
+
+def matrix(lists: pa.ListArray) -> np.ndarray:
+    """Rows of a list of vectors; shorter ones end in zeros."""
+    n = lists.value_lengths().to_numpy()
+    out = np.zeros((len(lists), n.max(initial=0)))
+    out[np.arange(out.shape[1]) < n[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def best_cosines(v: np.ndarray, r: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, reference, cosine) of the references that can be among each row's ``k`` nearest.
+
+    Cosines are summed component by component, so they don't depend on blocks; a quick product
+    only leaves out what is farther by more than its error.
+    """
+    width = max(v.shape[1], r.shape[1])
+    v, r = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (v, r))
+    quick = v @ r.T
+    least = np.partition(quick, len(r) - k, axis=1)[:, len(r) - k] if len(r) > k else np.full(len(v), -np.inf)
+    i, j = np.nonzero(quick >= least[:, None] - 1e-9)
+    exact = np.zeros(len(i))
+    for d in range(width):
+        exact += v[i, d] * r[j, d]
+    return i, j, exact
+
+
+def nearest_references(rows: DataFrame, references: DataFrame, *, k: int = 10, shown: int = 5) -> DataFrame:
     """(id, score, top): mean cosine with the ``k`` nearest references, and the nearest ``shown``.
 
-    The reference set is a fixed table of known items; it is broadcast after its size is checked, and
-    each row meets it within its own task.
+    Blocks of rows meet blocks of references, each pair in one task step that hands on ``k``
+    references per row; a window per row merges them.  Of any number of references none is left out
+    but those whose vector is null or has null or non-finite components; rows of that kind have no
+    score.  Without references the score is 0.
     """
-    n = references.count()
-    if n > most:
-        raise ValueError(f"{n} references; at most {most} are broadcast")
-    refs = references.select(F.col("id").alias("ref"), normalised(F.col("vector")).alias("_r"))
-    every = refs.agg(F.collect_list(F.struct("ref", "_r")).alias("_refs"))
-    out = rows.select("id", normalised(F.col("vector")).alias("_v")).crossJoin(F.broadcast(every))
-    best = F.slice(F.array_sort(F.transform("_refs", lambda r: F.struct((-dot(F.col("_v"), r["_r"])).alias("s"), r["ref"].alias("ref")))), 1, k)
-    out = out.withColumn("_b", best)
-    mean = F.when(F.size("_b") > 0, F.aggregate("_b", F.lit(0.0), lambda s, x: s - x["s"]) / F.size("_b")).otherwise(0.0)
-    return out.select("id", rounded(mean, 4).alias("score"), F.transform(F.slice("_b", 1, shown), lambda x: x["ref"]).alias("top"))
+    small_batches(rows.sparkSession)
+    keyed = rows.select("id", F.when(usable(F.col("vector")), normalised(F.col("vector"))).alias("_v"))
+    keyed = keyed.withColumn("_key", F.xxhash64("id", "_v"))
+    asked = keyed.filter("_v is not null").dropDuplicates(["id", "_key"])  # repeated rows are scored once
+    refs = references.filter(usable(F.col("vector"))).select(F.col("id").alias("ref"), normalised(F.col("vector")).alias("_r"))
+    pairs = in_blocks(asked, ROW_BLOCK, "_rows").crossJoin(in_blocks(refs, REFERENCE_BLOCK, "_refs"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for n in range(b.num_rows):
+                x, y = b.column(0)[n].values, b.column(1)[n].values
+                i, j, c = best_cosines(matrix(x.field("_v")), matrix(y.field("_r")), k)
+                order = np.lexsort((y.field("ref").to_pandas().rank(method="dense").to_numpy()[j], -c, i))
+                i, j, c = i[order], j[order], c[order]
+                kept = np.arange(len(i)) - np.searchsorted(i, i) < k
+                i, j = pa.array(i[kept]), pa.array(j[kept])
+                yield pa.RecordBatch.from_arrays([x.field("id").take(i), x.field("_key").take(i), pa.array(-c[kept]), y.field("ref").take(j)], ["_id", "_k", "s", "ref"])
+
+    kinds = f"_id {asked.schema['id'].dataType.simpleString()}, _k long, s double, ref {refs.schema['ref'].dataType.simpleString()}"
+    place = F.row_number().over(W.partitionBy("_id", "_k").orderBy("s", "ref"))
+    found = pairs.mapInArrow(run, kinds).withColumn("_place", place).filter(F.col("_place") <= k)
+    best = found.groupBy("_id", "_k").agg(F.array_sort(F.collect_list(F.struct("s", "ref"))).alias("_b"))
+    out = keyed.join(best, F.col("id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
+    mean = F.aggregate("_b", F.lit(0.0), lambda s, x: s - x["s"]) / F.size("_b")
+    score = F.when(F.col("_v").isNotNull(), F.coalesce(mean, F.lit(0.0)))
+    top = F.coalesce(F.transform(F.slice("_b", 1, shown), lambda x: x["ref"]), F.array().cast(f"array<{refs.schema['ref'].dataType.simpleString()}>"))
+    return out.select("id", rounded(score, 4).alias("score"), top.alias("top"))

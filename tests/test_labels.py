@@ -1,3 +1,6 @@
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +63,24 @@ def test_similarity(spark):
     assert got[1] == (0.8536, [8, 7]) and got[2][0] == 0.0
 
 
+def test_any_number_of_references(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(-3, 4, (10_500, 3)).astype(float)  # many equal vectors
+    refs = spark.createDataFrame([*((i, x.tolist()) for i, x in enumerate(base)), (-1, None), (-2, [float("nan")] * 3)], "id long, vector array<double>").repartition(7)
+    asked = [(1, [1.0, 2.0, -1.0]), (1, [1.0, 2.0, -1.0]), (1, [0.5, -1.0, 3.0]), (None, [0.0, 1.0, 0.0]), (2, [0.0, 0.0, 0.0]), (3, None)]
+    rows = spark.createDataFrame(asked, "id long, vector array<double>")
+    unit = lambda x: [c / (math.sqrt(sum(y * y for y in x)) + 1e-8) for c in x]
+    units = [unit(x) for x in base.tolist()]
+    want = []
+    for i, x in asked:
+        best = sorted((-sum(a * b for a, b in zip(unit(x), u)), k) for k, u in enumerate(units))[:10] if x else []
+        want.append((i, round(-sum(s for s, _ in best) / 10, 4) + 0.0 if x else None, [k for _, k in best[:5]]))
+    got = [(r["id"], r["score"], r["top"]) for r in similarity.nearest_references(rows, refs).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    none = similarity.nearest_references(rows, refs.limit(0)).collect()
+    assert len(none) == 6 and {(r["score"], tuple(r["top"])) for r in none} == {(0.0, ()), (None, ())}
+
+
 def test_routing(spark):
     reg = spark.createDataFrame([("T1", "Neur A", True, [1.0, 2.0, 3.0], [1.0, 1.0, 1.0]), ("T2", "Other", True, [1.0, 2.0, 3.0], [0.0, 1.0, 1.0]), ("T3", "gone", False, [1.0] * 3, [1.0] * 3)], "reg_key string, reg_name string, available boolean, box_center array<double>, box_size array<double>")
     t = spark.createDataFrame([("T1", "x"), ("q", " neur_A "), ("T2", "x"), ("T3", "x"), ("w", None)], "target_id string, target_name string")
