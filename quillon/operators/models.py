@@ -86,14 +86,47 @@ def predict_tasks(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
     return df.withColumn("tasks", F.create_map(*pairs)).drop(*[f"_p_{n}" for n in models])
 
 
+def placed(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``_no``: places from 0 on in each group, in the order of a hash of the row.
+
+    Rows are numbered within hash buckets, and buckets begin where the ones before end, so no task
+    sorts a whole group.
+    """
+    hashed = df.withColumn("_h", F.xxhash64(F.lit("place"), *by, *columns)).withColumn("_bucket", F.shiftright("_h", 54))
+    per = hashed.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
+    starts = per.select(*by, "_bucket", F.coalesce(before, F.lit(0)).alias("_start"))
+    place = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy("_h", *columns))
+    return hashed.withColumn("_place", place).join(starts, [*by, "_bucket"]).withColumn("_no", F.col("_start") + F.col("_place") - 1).drop("_h", "_bucket", "_place", "_start")
+
+
+def partners(better: DataFrame, worse: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(by, columns, _w_columns): as many pairs of a group as its larger side has rows.
+
+    Every row of the larger side comes once, with the row of the smaller side whose place is its own
+    modulo that side's number, so every row is used and the work is linear.  Groups with rows on one
+    side only have no pairs.
+    """
+    w = worse.select(*by, *[F.col(c).alias(f"_w_{c}") for c in columns])
+    sides = [placed(better.select(*by, *columns), by, columns), placed(w, by, [f"_w_{c}" for c in columns])]
+    n = [df.groupBy(*by).agg(F.count("*").alias(name)) for df, name in ((better, "_nb"), (worse, "_nw"))]
+    both = n[0].join(n[1], list(by))
+    a, b = (df.join(both, list(by)) for df in sides)
+    small, large = F.least("_nb", "_nw"), F.col("_nb") >= F.col("_nw")
+    out = [*by, *columns, *[f"_w_{c}" for c in columns]]
+    keys = [*by, "_no"]
+    by_better = a.filter(large).withColumn("_no", F.col("_no") % small).join(sides[1], keys).select(*out)
+    by_worse = b.filter(~large).withColumn("_no", F.col("_no") % small).join(sides[0], keys).select(*out)
+    return by_better.unionByName(by_worse)
+
+
 def train_pairwise(better: DataFrame, worse: DataFrame, by: Sequence[str], columns: Sequence[str]) -> LogisticRegression:
     """Weights of a ranking function: a logistic model without intercept on differences.
 
-    ``better`` and ``worse`` have ``by`` and the feature columns; every difference comes once with
-    either sign, so both labels occur.
+    ``better`` and ``worse`` have ``by`` and the feature columns; ``partners`` pairs all their rows,
+    and every difference comes once with either sign, so both labels occur.
     """
-    w = worse.select(*by, *[F.col(c).alias(f"_w_{c}") for c in columns])
-    d = better.join(w, list(by)).select(*[(F.col(c) - F.col(f"_w_{c}")).alias(c) for c in columns])
+    d = partners(better, worse, by, columns).select(*[(F.col(c) - F.col(f"_w_{c}")).alias(c) for c in columns])
     both = d.withColumn("label", F.lit(1.0)).unionByName(d.select(*[(-F.col(c)).alias(c) for c in columns]).withColumn("label", F.lit(0.0)))
     rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(both)
     return LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=50).fit(rows)

@@ -68,10 +68,10 @@ def train_forest(spark, sf):
 
 @query("train_pairwise")
 def train_pairwise(spark, sf):
-    """Ranking weights from positive/negative pairs of a target, evaluated as a score."""
+    """Ranking weights from positive/negative pairs of a target, in which every fit row occurs, evaluated as a score."""
     rows = labelled(spark, sf).withColumn("grp", F.col("part_key") % 50)
     fit = rows.filter("not held")
-    model = models.train_pairwise(fit.filter("label = 1").select("grp", *FEATURES), fit.filter("label = 0 and part_key % 3 = 0").select("grp", *FEATURES), ["grp"], FEATURES)
+    model = models.train_pairwise(fit.filter("label = 1").select("grp", *FEATURES), fit.filter("label = 0").select("grp", *FEATURES), ["grp"], FEATURES)
     score = sum((F.lit(float(w)) * F.col(c) for w, c in zip(model.coefficients, FEATURES)), F.lit(0.0))
     return evaluated(rows.withColumn("p", score), "pairwise")
 

@@ -1,5 +1,6 @@
 import gzip
 import json
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -125,6 +126,24 @@ def test_models_beat_chance(spark):
         assert all(r["auc"] > 0.75 for r in q_models.QUERIES[name](spark, sf).collect())
 
 
+def test_pairwise_training_uses_every_row(spark, monkeypatch):
+    given = []
+    train = models.train_pairwise
+    monkeypatch.setattr(models, "train_pairwise", lambda better, worse, by, columns: given.append((better, worse)) or train(better, worse, by, columns))
+    sf = "/root/testdata/sf0.001"
+    q_models.train_pairwise(spark, sf)
+    fit = q_models.labelled(spark, sf).filter("not held")
+    assert [x.count() for x in given[0]] == [fit.filter(f"label = {k}").count() for k in (1, 0)]
+    better = [("a", float(i)) for i in range(1000)] + [("b", 1.0), ("b", 1.0), ("c", 5.0)]
+    worse = [("a", float(-i)) for i in range(1, 8)] + [("b", float(-i)) for i in range(1, 40)] + [("d", 0.0)]
+    frame = lambda rows: spark.createDataFrame(rows, "g string, x double").repartition(5)
+    pairs = [tuple(r) for r in models.partners(frame(better), frame(worse), ["g"], ["x"]).collect()]
+    assert sorted((g, x) for g, x, _ in pairs if g == "a") == better[:1000] and sorted((g, y) for g, _, y in pairs if g == "b") == sorted(worse[7:46])
+    times = Counter(y for g, _, y in pairs if g == "a")
+    assert set(times) == {y for g, y in worse if g == "a"} and max(times.values()) - min(times.values()) <= 1
+    assert {g for g, *_ in pairs} == {"a", "b"}
+
+
 def test_minhash_recall(spark):
     sf = "/root/testdata/sf0.001"
     from quillon.plans import q_audit
