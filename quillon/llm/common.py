@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,10 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+#: Paths of saved tables, as they were made.
+_paths: list[str] = []
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -44,4 +50,29 @@ def save(df: DataFrame, name: str) -> DataFrame:
     small_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _paths.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop(saved: DataFrame) -> None:
+    """Delete a table that ``save`` made and nothing reads any more."""
+    _paths.remove(saved._saved_at)
+    _delete(saved.sparkSession, saved._saved_at)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables saved within are deleted at its end, but those that are put into the list it gives."""
+    before, kept = len(_paths), []
+    yield kept
+    keep = {x._saved_at for x in kept}
+    for path in [p for p in _paths[before:] if p not in keep]:
+        _paths.remove(path)
+        _delete(spark, path)

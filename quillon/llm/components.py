@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import drop, save
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,5 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now[0] == 0 or (now[0], now[1]) == seen:
             break
         seen = (now[0], now[1])
-        edges = save(_small_star(_large_star(edges)), "edges")
+        after = save(_small_star(_large_star(edges)), "edges")
+        drop(edges)
+        edges = after
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())

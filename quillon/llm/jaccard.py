@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by size: subsets of small sets, inverted lists of large ones.
+"""N-gram Jaccard join by size: subsets of small sets, inverted lists for large ones.
 
 A document's set has its distinct word shingles.  Two sets link when ``den * |intersection| >=
 num * |union|``.  Sets with equal members are one set from the first step on.
@@ -7,14 +7,18 @@ Small sets list subsets: two sets of sizes s and t link exactly if they share a
 members as the threshold asks for at these sizes, so every set up to the boundary lists its subsets
 of these sizes, once for each size of partner.
 
-Large sets are found by inverted lists.  A list of single shingles would hold every document with a
-passage that many share, so the terms of the lists are parts of sets: the members are dealt into one
-part more than two linking sets of that size class can differ by, so at least one part is the same
-in both.  Members that are frequent in a sample of the texts are left out of the parts (two sets differ
-no more in what is left): a set that is mostly frequent members lists parts of all of its members.
+Large sets go by inverted lists of shingles, in two steps.  One list per shingle for the whole corpus
+would hold every document with a passage that many share, so the index is cut into blocks first: the
+members of a set are dealt into one part more than two linking sets of that size class can differ by,
+so at least one part is the same in both, and sets with a part in common are in one block.  Members
+that are frequent in the corpus are left out of the parts (two sets differ no more in what is left): a
+set that is mostly frequent members has parts of all of its members.  Within a block every shingle has
+its list of sets; the lists are scanned, the rare ones entry by entry and the common ones in bulk, and
+what two sets have in common is counted.
 
-Neither kind of list yields pairs: every set of a list is tied to the list's first set, the tied sets
-form blocks, and within blocks sets are compared exactly, in steps of bounded size.
+Blocks of copies may be large, so a few sets of a block represent it first: what links with one of them
+is joined, and only sets outside the largest class are scanned against the whole block.  Blocks with
+very many sets do this in rounds of Spark jobs, dealt into sides.
 
 The boundary is where the subsets of all small sets cost more than the lists would.
 """
@@ -29,27 +33,30 @@ from math import ceil, comb, log
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import drop, save, small_batches
 from .components import components
-from .shingles import mix, set_digest, shingle_set
+from .shingles import mix, set_digests, shingle_groups
 
 _U = np.uint64
 #: Sets up to this size may be listed by subsets; the boundary is at most this.
 SMALL_MOST = 40
 #: Subsets that one set may list at most.
 SUBSETS_MOST = 300
-#: Rows that a task combines before it hands on, and members that are compared at once.
-CHUNK, MEMBERS = 1 << 20, 1 << 20
-#: Texts in which frequent members are looked for, in how many of them a member is frequent, and how
-#: many members are taken as frequent at most (the most frequent; they go to every task).  Any choice
-#: gives the same classes; it decides how many sets are compared in vain.
-SAMPLE, FREQUENT, FREQUENT_MOST = 50_000, 8, 500_000
-#: Bits of the filter by which candidates' texts are read again, at most (8 MB).
-FILTER_BITS = 1 << 26
-#: Sets of a block that are compared with each other in one step: its 64th part, within these.
-SIDE = (64, 2048)
+#: Keys or members that a task combines before it hands on.
+CHUNK = 1 << 19
+#: Members that are frequent: in more texts than one in ``FREQUENT_PART`` of all members of all texts, so
+#: there are fewer of them than this, whatever the input (they go to every task, 8 bytes each), and in
+#: ``FREQUENT_LEAST`` texts at least.  Any choice gives the same classes.
+FREQUENT_PART, FREQUENT_LEAST = 1_000_000, 8
+#: Sets and members that a task holds of one block, or of one side of it.
+SIDE_SETS, SIDE_MEMBERS = 2048, 1 << 19
+#: Sets that represent a block, and sets from which on a task asks for representatives.
+REPRESENTATIVES, DENSE = 32, 96
+#: Counts of pairs that are added up at once.
+PAIRS = 1 << 20
 
 
 class Threshold:
@@ -95,8 +102,8 @@ class Threshold:
         for each part."""
         return min(1.0, 2.25 * 1.25 * 2 * (self.den - self.num) / (self.den + self.num))
 
-    def bases(self, size: int, rare: int) -> tuple[bool, bool]:
-        """Whether a set lists parts of its rare members, and of all members.
+    def bases(self, size: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether sets list parts of their rare members, and of all members.
 
         The rare parts of two linking sets differ by 1 - similarity at most (that is how far the uniform
         distributions over them are apart), so they have one basis in common.
@@ -131,68 +138,62 @@ def subset_keys(members: np.ndarray, t: Threshold) -> np.ndarray:
     return np.concatenate(out)
 
 
-def part_keys(members: np.ndarray, size: int, t: Threshold, basis: int = 0) -> np.ndarray:
-    """Keys of the parts of ``members`` of a set of ``size``, for each class of pairs it can be in.
+def part_keys(members: np.ndarray, per: np.ndarray, size: np.ndarray, t: Threshold, basis: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, set) of the parts of sets, for each class of pairs that a set can be in.
 
-    With ``spare`` parts more than needed, ``spare + 1`` parts are the same in two linking sets.  A set
-    leaves out its smallest parts, up to ``spare`` of them and whole sizes only, so one of the parts
-    they share is left: small parts are in many sets, and an empty one is the same in all.
+    ``members`` has the members to deal of one set after the other, ``per`` their numbers, ``size`` the
+    numbers of all members of the sets.  With ``spare`` parts more than needed, ``spare + 1`` parts are
+    the same in two linking sets.  A set leaves out its smallest parts, up to ``spare`` of them and whole
+    sizes only, so one of the parts they share is left: small parts are in many sets, and an empty one is
+    the same in all.
     """
-    out = []
-    for c, parts in t.classes(size):
-        spare = max(1, parts // 4)
-        total = parts + spare
-        name = _U(2 * c + basis) * _U(1 << 32)
-        part = (mix(members + _U(2 * c + basis)) % _U(total)).astype(np.int64)
-        count = np.bincount(part, minlength=total)
-        least = int(np.sort(count)[spare])  # fewer than spare + 1 parts are smaller than this
-        sums = np.zeros(total, _U)
-        np.add.at(sums, part, mix(members + _U(0x8CB92BA72F3D8DD7)))
-        keep = np.flatnonzero(count >= least)
-        out.append(mix(sums[keep] + mix(name + keep.astype(_U))))
-    return np.concatenate(out)
-
-
-def list_keys(members: np.ndarray, frequent: np.ndarray, t: Threshold) -> np.ndarray:
-    """Keys of a set in the inverted lists; ``frequent`` is ascending."""
+    sizes, which = np.unique(size, return_inverse=True)
+    classes = [t.classes(s) for s in sizes.tolist()]
+    spread, owner, keys, owners = mix(members + _U(0x8CB92BA72F3D8DD7)), np.repeat(np.arange(len(per)), per), [], []
+    for n in range(max(map(len, classes), default=0)):
+        own = np.array([x[min(n, len(x) - 1)] for x in classes], np.int64)[which]
+        has = np.array([len(x) > n for x in classes])[which]
+        parts = own[:, 1]
+        total = np.where(has, parts + np.maximum(1, parts // 4), 0)
+        first = np.cumsum(total) - total
+        name = (2 * own[:, 0] + basis).astype(_U)
+        use = has[owner]
+        part = first[owner[use]] + (mix(members[use] + name[owner[use]]) % total[owner[use]].astype(_U)).astype(np.int64)
+        count, sums = np.bincount(part, minlength=int(total.sum())), np.zeros(int(total.sum()), _U)
+        np.add.at(sums, part, spread[use])
+        of = np.repeat(np.arange(len(per)), total)
+        ordered = np.sort((of << 32) + count)
+        least = np.zeros(len(per), np.int64)
+        least[has] = ordered[(first + total - parts)[has]] & 0xFFFFFFFF  # fewer than spare + 1 parts are smaller
+        keep = np.flatnonzero(count >= least[of])
+        of = of[keep]
+        keys.append(mix(sums[keep] + mix(name[of] * _U(1 << 32) + (keep - first[of]).astype(_U))))
+        owners.append(of)
+    return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, _U), np.zeros(0, np.int64))
+
+
+def list_keys(members: np.ndarray, per: np.ndarray, frequent: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, set) of sets in the lists that make blocks; ``frequent`` is ascending."""
     if not len(frequent):
-        return part_keys(members, len(members), t)
-    at = np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)
-    rare = members[frequent[at] != members]
-    by_rare, by_all = t.bases(len(members), len(rare))
-    out = [part_keys(rare, len(members), t, 1)] if by_rare else []
-    return np.concatenate([*out, part_keys(members, len(members), t)] if by_all else out)
-
-
-def frequent_members(docs: DataFrame, id_col: str, text_col: str, k: int, n: int) -> np.ndarray:
-    """Hashes of shingles that many of a sample's texts have, ascending."""
-    share = min(1 << 20, SAMPLE * (1 << 20) // max(1, n))
-    rows = docs.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(77)), F.lit(1 << 20)) < share).select(F.col(text_col).alias("_text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, sets = set(), []
-        for b in batches:
-            for text in b.column("_text").to_pylist():
-                members = shingle_set(text, k)
-                if len(members) and (name := set_digest(members)) not in seen:  # copies count once
-                    seen.add(name)
-                    sets.append(members)
-        if sets:
-            member, count = np.unique(np.concatenate(sets), return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(member[count > 1]), _signed(count[count > 1])], ["member", "n"])
-
-    found = rows.mapInArrow(run, "member long, n long").groupBy("member").agg(F.sum("n").alias("n"))
-    found = found.filter(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "member").limit(FREQUENT_MOST).toPandas()
-    return np.sort(found["member"].to_numpy(np.int64).astype(_U))
+        return part_keys(members, per, per, t)
+    owner = np.repeat(np.arange(len(per)), per)
+    rare = frequent[np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)] != members
+    n = np.bincount(owner[rare], minlength=len(per))
+    by_rare, by_all = t.bases(per, n)
+    out = []
+    for use, chosen, basis in ((rare & by_rare[owner], by_rare, 1), (by_all[owner], by_all, 0)):
+        at = np.flatnonzero(chosen)
+        key, of = part_keys(members[use], np.bincount(owner[use], minlength=len(per))[at], per[at], t, basis)
+        out.append((key, at[of]))
+    return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.int64), pa.int64())
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), _signed(np.concatenate(arrays) if arrays else np.zeros(0, _U)))
+def _pairs(found: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_signed(found[:, 0]), _signed(found[:, 1])], ["a", "b"])
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -205,236 +206,416 @@ def unpack(raw: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str, k: int, t: Threshold, small: int, buckets: int, frequent: np.ndarray) -> DataFrame:
-    """(id, n_shingles, set_id) of every row, and (a, b) ties of sets that have a key in common.
+def describe(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(_id, _name, n_shingles, set_id) of every row, and (member, texts): members that several of a task's sets have.
+
+    ``_name`` is a hash of the text, by which a row is found again where ids are repeated or null.
+    """
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_name"), F.col(text_col).alias("_text"))
+    kind = rows.schema["_id"].dataType.simpleString()
+    fields = ["_id", "_name", "n_shingles", "set_id", "member", "texts"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, sets, held, null = set(), [], 0, None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            member, n = np.unique(np.concatenate(sets), return_counts=True)
+            member, n = member[n > 1], n[n > 1]
+            m = len(member)
+            for i in range(0, m, 65_536):
+                part = slice(i, i + 65_536)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(n[part]), null), *[pa.nulls(len(n[part]), pa.int64())] * 3, _signed(member[part]), _signed(n[part])], fields)
+
+        for b in batches:
+            null = b.schema.field("_id").type
+            for lo, hi, members, per in shingle_groups(b.column("_text"), k):
+                name, end = set_digests(members, per), np.cumsum(per)
+                yield pa.RecordBatch.from_arrays([b.column("_id").slice(lo, hi - lo), b.column("_name").slice(lo, hi - lo), _signed(per), pa.array(name, mask=per == 0), *[pa.nulls(hi - lo, pa.int64())] * 2], fields)
+                for x, i, j in zip(name.tolist(), (end - per).tolist(), end.tolist()):
+                    if i < j and x not in seen:  # copies count once
+                        seen.add(x)
+                        sets.append(members[i:j])
+                        held += j - i
+                if held >= CHUNK:
+                    yield from flush()
+                    seen, sets, held = set(), [], 0
+        if held:
+            yield from flush()
+
+    return rows.mapInArrow(run, f"_id {kind}, _name long, n_shingles long, set_id long, member long, texts long")
+
+
+def frequent_members(found: DataFrame, members: int) -> np.ndarray:
+    """Frequent shingles, ascending, from the counts that ``describe`` makes over all texts."""
+    least = max(FREQUENT_LEAST, members / FREQUENT_PART)
+    rows = found.filter("member is not null").groupBy("member").agg(F.sum("texts").alias("n")).filter(F.col("n") >= least).select("member").toPandas()
+    return np.sort(rows["member"].to_numpy(np.int64).astype(_U))
+
+
+def ties(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, buckets: int, frequent: np.ndarray) -> DataFrame:
+    """(a, b): sets that have a key in common.
 
     A task ties the sets that it has itself and hands on one set per key, so a key that very many sets
     have reaches the next task with one entry from each chunk before.  Entries of a chunk go by ranges
     of keys, packed into one row per range.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    kind = rows.schema["_id"].dataType.simpleString()
-    fields = ["bucket", "_id", "n_shingles", "set_id", "keys", "nodes", "names", "ties"]
-    binary = [pa.binary()] * 4
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT_MOST numbers at most
+    rows = docs.select(F.col(text_col).alias("_text"))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT_PART numbers at most
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, names, at, held, null = [], [], [], 0, None
-        seen, common = 0, shared.value
+        keys, nodes, held, seen = [], [], 0, set()
+        edge = (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(_U)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            key, node, name = np.concatenate(keys), np.repeat(np.arange(len(names)), at), np.array(names, np.int64)
+            key, node = np.concatenate(keys), np.concatenate(nodes)
             order = np.argsort(key, kind="stable")
             key, node = key[order], node[order]
             new = np.concatenate([[True], key[1:] != key[:-1]])
             first = node[new][np.cumsum(new) - 1]
-            tie = np.unique(np.stack([name[node], name[first]], 1)[name[node] != name[first]], axis=0)
+            tie = forest(np.stack([node, first], 1)[node != first])
             key, node = key[new], node[new]
-            edge = (np.arange(buckets + 1, dtype=np.float64) * (2.0**64 / buckets)).astype(np.float64)
-            cut = np.searchsorted(key, edge[1:-1].astype(_U)) if buckets > 1 else np.zeros(0, np.int64)
+            cut = np.searchsorted(key, edge).tolist()
             out = []
             for number, (i, j) in enumerate(zip([0, *cut], [*cut, len(key)])):
                 if i < j:
                     own, place = np.unique(node[i:j], return_inverse=True)
-                    out.append((number, pack(np.diff(key[i:j], prepend=_U(0))), pack(place.astype(np.uint32)), pack(name[own]), None))
+                    out.append((number, pack(np.diff(key[i:j], prepend=_U(0))), pack(place.astype(np.uint32)), pack(own), None))
             if len(tie):
                 out.append((int(tie[0, 0] % buckets), None, None, None, tie.tobytes()))
-            m = len(out)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int32()), pa.nulls(m, null), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), *[pa.array([x[c + 1] for x in out], binary[c]) for c in range(4)]], fields
-            )
-
-        for whole in batches:
-            null = whole.schema.field("_id").type
-            for lo in range(0, whole.num_rows, 1000):
-                b = whole.slice(lo, 1000)
-                n, name = [], []
-                for text in b.column("_text").to_pylist():
-                    members = shingle_set(text, k)
-                    n.append(len(members))
-                    name.append(set_digest(members) if len(members) else None)
-                    if len(members):
-                        own = []
-                        if len(members) <= small and t.subsets(len(members)) > 1:
-                            own.append(subset_keys(members, t))
-                        if t.largest(len(members)) > small:  # it can link with a set above the boundary
-                            own.append(list_keys(members, common, t))
-                        if own:
-                            keys.append(np.concatenate(own))
-                            names.append(name[-1])
-                            at.append(len(keys[-1]))
-                            held += at[-1]
-                m = len(n)
-                bucket = (np.arange(seen, seen + m) % buckets).astype(np.int32)
-                seen += m
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), b.column("_id"), pa.array(n, pa.int64()), pa.array(name, pa.int64()), *[pa.nulls(m, x) for x in binary]], fields)
+            for i in range(0, len(out), 1000):
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out[i : i + 1000]], pa.int32()), *[pa.array([x[c] for x in out[i : i + 1000]], pa.binary()) for c in range(1, 5)]], ["bucket", "keys", "nodes", "names", "ties"])
+
+        for b in batches:
+            for _, _, members, per in shingle_groups(b.column("_text"), k):
+                name, owner = set_digests(members, per), np.repeat(np.arange(len(per)), per)
+                fresh = per > 0
+                for i, x in enumerate(name.tolist()):
+                    if fresh[i]:
+                        fresh[i] = x not in seen
+                        seen.add(x)
+                near = np.flatnonzero(fresh & (per <= small))
+                for i, j in zip(near.tolist(), np.cumsum(per)[near].tolist()):
+                    if t.subsets(int(per[i])) > 1:
+                        keys.append(subset_keys(members[j - per[i] : j], t))
+                        nodes.append(np.full(len(keys[-1]), name[i]))
+                        held += len(keys[-1])
+                far = np.flatnonzero(fresh & (per * t.den // t.num > small))  # can link with a set above the boundary
+                if len(far):
+                    chosen = np.zeros(len(per), bool)
+                    chosen[far] = True
+                    key, of = list_keys(members[chosen[owner]], per[far], shared.value, t)
+                    keys.append(key)
+                    nodes.append(name[far[of]])
+                    held += len(key)
                 if held >= CHUNK:
                     yield from flush()
-                    keys, names, at, held = [], [], [], 0
+                    keys, nodes, held, seen = [], [], 0, set()
         if held:
             yield from flush()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, keys, nodes = None, [], []
 
-        def found(tie: np.ndarray) -> pa.RecordBatch:
-            m = len(tie)
-            return pa.RecordBatch.from_arrays([pa.nulls(m, null), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), _signed(tie[:, 0]), _signed(tie[:, 1])], ["_id", "n_shingles", "set_id", "a", "b"])
-
         def close() -> Iterator[pa.RecordBatch]:
             key, node = np.concatenate(keys), np.concatenate(nodes)
             order = np.argsort(key, kind="stable")
             key, node = key[order], node[order]
             new = np.concatenate([[True], key[1:] != key[:-1]])
             first = node[new][np.cumsum(new) - 1]
-            tie = np.stack([node, first], 1)[node != first]
-            if len(tie):
-                yield found(np.unique(tie, axis=0))
+            yield _pairs(forest(np.stack([node, first], 1)[node != first]))
 
         for b in batches:
-            null = b.schema.field("_id").type
-            packed = b.column("keys").is_valid().to_numpy(zero_copy_only=False)
-            tied = b.column("ties").is_valid().to_numpy(zero_copy_only=False)
-            plain = np.flatnonzero(~packed & ~tied)
-            if len(plain):
-                d = b.take(pa.array(plain))
-                yield pa.RecordBatch.from_arrays([*[d.column(c) for c in ("_id", "n_shingles", "set_id")], pa.nulls(len(plain), pa.int64()), pa.nulls(len(plain), pa.int64())], ["_id", "n_shingles", "set_id", "a", "b"])
-            for i in np.flatnonzero(tied).tolist():
-                yield found(np.frombuffer(b.column("ties")[i].as_py(), np.int64).reshape(-1, 2))
-            for i in np.flatnonzero(packed).tolist():
-                bucket = b.column("bucket")[i].as_py()
-                if bucket != now:
+            for bucket, key, node, name, tie in zip(*[b.column(c) for c in ("bucket", "keys", "nodes", "names", "ties")]):
+                if tie.is_valid:
+                    yield _pairs(np.frombuffer(tie.as_py(), np.int64).reshape(-1, 2))
+                    continue
+                if bucket.as_py() != now:
                     if keys:
                         yield from close()
-                    now, keys, nodes = bucket, [], []
-                keys.append(np.cumsum(unpack(b.column("keys")[i].as_py(), np.uint64), dtype=_U))
-                nodes.append(unpack(b.column("names")[i].as_py(), np.int64)[unpack(b.column("nodes")[i].as_py(), np.uint32)])
+                    now, keys, nodes = bucket.as_py(), [], []
+                keys.append(np.cumsum(unpack(key.as_py(), np.uint64), dtype=_U))
+                nodes.append(unpack(name.as_py(), np.int64)[unpack(node.as_py(), np.uint32)])
         if keys:
             yield from close()
 
-    dealt = rows.mapInArrow(local, f"bucket int, _id {kind}, n_shingles long, set_id long, keys binary, nodes binary, names binary, ties binary")
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, f"_id {kind}, n_shingles long, set_id long, a long, b long")
+    dealt = rows.mapInArrow(local, "bucket int, keys binary, nodes binary, names binary, ties binary")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, "a long, b long")
 
 
-def plan(docs: DataFrame, text_col: str, k: int, t: Threshold) -> tuple[int, int, int]:
-    """(boundary, key ranges, rows) from the texts' numbers of blanks, which bound their numbers of words.
+def boundary(sizes: dict[int, int], t: Threshold) -> int:
+    """The largest size that is listed by subsets, where these cost least together with the lists.
 
-    The boundary is the largest size that is listed by subsets, where these cost least together with
-    the lists.  Sets up to the boundary list their subsets; sets that can link with one above it are
-    in the lists, too.  The histogram has a row per size up to ``SMALL_MOST`` and one for all others.
+    Sets up to the boundary list their subsets; sets that can link with one above it are in the lists,
+    too.  ``sizes`` has the number of sets of each size up to ``SMALL_MOST``.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.length(text) - F.length(F.translate(text, " \t\n\x0b\x0c\r", "")) + 1
-    size = F.greatest(F.lit(1), words - (k - 1))
-    found = docs.groupBy(F.least(size, F.lit(SMALL_MOST + 1)).alias("n")).agg(F.count("*").alias("k"), F.sum(size).alias("m")).collect()
-    sizes = {r["n"]: r["k"] for r in found if r["n"] <= SMALL_MOST}
 
     def cost(b: int) -> int:
         lists = sum(k * sum(p for _, p in t.classes(s)) for s, k in sizes.items() if t.largest(s) > b)
         return sum(k * t.subsets(s) for s, k in sizes.items() if s <= b) + lists
 
     allowed = [b for b in range(SMALL_MOST + 1) if all(t.subsets(s) <= SUBSETS_MOST for s in range(1, b + 1))]
-    per = sum(p for _, p in t.classes(1000)) / 1000  # keys for each member of a large set
-    return min(allowed, key=lambda b: (cost(b), b)), max(1, ceil(sum(r["m"] for r in found) * per / CHUNK)), sum(r["k"] for r in found)
-
-
-def _compare(sets: list[np.ndarray], split: int, t: Threshold) -> np.ndarray:
-    """Links (i, j) among the sets; with ``split``, of the first ``split`` with the others only."""
-    size = np.array([len(s) for s in sets], np.int64)
-    token, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), size)
-    shared = np.bincount(inverse, minlength=len(token)) > 1
-    column = np.cumsum(shared) - 1
-    owner, column = owner[shared[inverse]], column[inverse[shared[inverse]]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    common = np.zeros((split or len(sets), len(sets) - split))  # sums of whole numbers, exact in doubles
-    width = max(1, (1 << 22) // len(sets))
-    for lo in range(0, int(shared.sum()), width):
-        i, j = np.searchsorted(column, [lo, lo + width])
-        m = np.zeros((len(sets), width), np.float32)
-        m[owner[i:j], column[i:j] - lo] = 1
-        common += m[: split or None] @ m[split:].T
-    left, right = size[: split or None, None], size[None, split:]
-    inter = common.astype(np.int64)
-    link = t.den * inter >= t.num * (left + right - inter)
-    if not split:
-        link = np.triu(link, 1)
-    i, j = np.nonzero(link)
-    return np.stack([i, j + split], 1)
-
-
-def _among(key: Column, chosen: DataFrame) -> Column:
-    """Whether ``key`` may be in ``chosen`` (one column): a bitmap of hashes, 16 bits a row until it
-    has ``FILTER_BITS``.  It lets through rows that are not in ``chosen``, and never drops one that is.
+    return min(allowed, key=lambda b: (cost(b), b))
+
+
+def count_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Members in common of each set of ``left`` with each of ``right``, by scanning inverted lists.
+
+    Shingles that few sets have are scanned entry by entry; lists so long that most pairs are in them
+    anyway are added up in bulk, as a product of 0/1 matrices (exact: whole numbers below 2**24).
     """
-    page = 1 << 15  # bits of what bitmap_construct_agg makes
-    n, pages = chosen.count(), 1
-    while pages * page < min(16 * n, FILTER_BITS):
-        pages *= 2
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(pages * page))
-    at = place(F.col(chosen.columns[0]))
-    found = chosen.groupBy(F.floor(at / page).alias("page")).agg(F.bitmap_construct_agg(at % page).alias("bits")).collect()
-    bits = bytearray(pages * page // 8)
-    for r in found:
-        bits[r["page"] * page // 8 : r["page"] * page // 8 + len(r["bits"])] = r["bits"]
-    byte = F.substring(F.lit(bytes(bits)), F.floor(place(key) / 8).cast("int") + 1, F.lit(1))
-    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place(key) % 8).cast("int")) == 1
-
-
-def _verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k: int, t: Threshold) -> DataFrame:
-    """(a, b): links among the sets of each block.
-
-    ``members`` has (set_id, block, doc), one document per set, whose text is read again: a bitmap of
-    the ids keeps most other texts out of the shuffle.  A block is
-    dealt into sides by a hash of the set; every pair of sides is one step of one task, so that a block of any
-    size is spread over tasks, and a task holds two sides at a time.
+    n, m = len(left), len(right)
+    common = np.zeros((n, m), np.float32)
+    size = [np.array([len(x) for x in s], np.int64) for s in (left, right)]
+    token, inverse = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    cut = int(size[0].sum())
+    a, b = inverse[:cut], inverse[cut:]
+    na, nb = np.bincount(a, minlength=len(token)), np.bincount(b, minlength=len(token))
+    both = (na > 0) & (nb > 0)
+    oa, ob = np.repeat(np.arange(n), size[0]), np.repeat(np.arange(m), size[1])
+    work = na * nb
+    bulk = both & (64 * work > n * m)
+    rare = both & ~bulk
+    # entry by entry: lists of both sides by shingle, and all places of each list's product
+    pa_, pb_ = np.flatnonzero(rare[a]), np.flatnonzero(rare[b])
+    pa_, pb_ = pa_[np.argsort(a[pa_], kind="stable")], pb_[np.argsort(b[pb_], kind="stable")]
+    which = np.flatnonzero(rare)
+    if len(which):
+        fa, fb = np.cumsum(na[which]) - na[which], np.cumsum(nb[which]) - nb[which]
+        upto = np.cumsum(work[which])
+        flat, lo = common.reshape(-1), 0
+        while lo < len(which):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, side="right")))
+            w = work[which[lo:hi]]
+            of = np.repeat(np.arange(lo, hi), w)
+            at = np.arange(len(of)) - np.repeat(np.cumsum(w) - w, w)
+            width = nb[which[of]]
+            np.add.at(flat, oa[pa_[fa[of] + at // width]] * m + ob[pb_[fb[of] + at % width]], np.float32(1))
+            lo = hi
+    column, n_bulk = np.cumsum(bulk) - 1, int(bulk.sum())
+    ia, ib = np.flatnonzero(bulk[a]), np.flatnonzero(bulk[b])
+    ia, ib = ia[np.argsort(a[ia], kind="stable")], ib[np.argsort(b[ib], kind="stable")]
+    ca, cb = column[a[ia]], column[b[ib]]
+    width = max(1, min(n_bulk, PAIRS // max(n, m)))
+    for lo in range(0, n_bulk, width):
+        x, y = np.zeros((n, width), np.float32), np.zeros((m, width), np.float32)
+        i, j = np.searchsorted(ca, [lo, lo + width])
+        x[oa[ia[i:j]], ca[i:j] - lo] = 1
+        i, j = np.searchsorted(cb, [lo, lo + width])
+        y[ob[ib[i:j]], cb[i:j] - lo] = 1
+        common += x @ y.T
+    return common
+
+
+def linked(left: list[np.ndarray], right: list[np.ndarray], t: Threshold) -> np.ndarray:
+    """(i, j) of linking sets of ``left`` and ``right``."""
+    common, out = count_common(left, right), []
+    size = [np.array([len(x) for x in s], np.int64) for s in (left, right)]
+    for lo in range(0, len(left), 256):
+        least = -(-t.num * (size[0][lo : lo + 256, None] + size[1][None, :]) // (t.num + t.den))
+        found = np.argwhere(common[lo : lo + 256] >= least)
+        found[:, 0] += lo
+        out.append(found)
+    return np.concatenate(out)
+
+
+def classes_of(sets: list[np.ndarray], t: Threshold) -> np.ndarray:
+    """(i, j) links that connect the linking sets of one block.
+
+    In a block of many sets, some represent it first; sets of the largest class then found are not
+    compared with each other again.
+    """
+    every, outside, trees, seen = np.arange(len(sets)), np.arange(len(sets)), [], np.zeros(len(sets), bool)
+    while len(outside) > DENSE:
+        some = outside[:: max(1, len(outside) // REPRESENTATIVES)][:REPRESENTATIVES]
+        found = linked([sets[i] for i in some], sets, t)
+        trees.append(np.stack([some[found[:, 0]], found[:, 1]], 1))
+        label = labels(np.concatenate(trees), len(sets))
+        seen[some] = True  # compared with all
+        rest = np.flatnonzero((label != np.bincount(label).argmax()) & ~seen)
+        if len(rest) > len(outside) // 2:
+            outside = rest
+            break
+        outside = rest
+    if len(outside):
+        for lo in range(0, len(outside), 512):
+            part = outside[lo : lo + 512]
+            others = every if len(outside) < len(sets) else every[lo:]
+            found = linked([sets[i] for i in part], [sets[i] for i in others], t)
+            trees.append(np.stack([part[found[:, 0]], others[found[:, 1]]], 1))
+    found = np.concatenate(trees) if trees else np.zeros((0, 2), np.int64)
+    return forest(found[found[:, 0] != found[:, 1]])
+
+
+def labels(links: np.ndarray, n: int) -> np.ndarray:
+    """Smallest node of its tree for each of ``n`` nodes."""
+    out = np.arange(n)
+    tree = forest(links[links[:, 0] != links[:, 1]])
+    out[tree[:, 0]] = tree[:, 1]
+    return out
+
+
+def candidates(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(set_id, block, sides, _text): the text of one document of each set of ``members``."""
+    texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_name"), F.col(text_col).alias("_text"))
+    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_name") == F.col("_doc_name"))
+    return texts.join(members.hint("shuffle_hash"), same).select("set_id", "block", "sides", "_text")
+
+
+def _block_links(texts: DataFrame, k: int, t: Threshold) -> DataFrame:
+    """(a, b): links among the sets of blocks that one task can hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets = None, {}
+
+        def step() -> pa.RecordBatch:
+            found = classes_of(list(sets.values()), t)
+            return _pairs(np.array(list(sets), np.int64)[found])
+
+        for b in batches:
+            block, name = b.column("block").to_numpy(), b.column("set_id").to_numpy()
+            for lo, _, members, per in shingle_groups(b.column("_text"), k):
+                digest, end = set_digests(members, per), np.cumsum(per)
+                for i in np.flatnonzero(digest == name[lo : lo + len(per)]).tolist():
+                    if block[lo + i] != now:
+                        if len(sets) > 1:
+                            yield step()
+                        now, sets = block[lo + i], {}
+                    sets[int(digest[i])] = members[end[i] - per[i] : end[i]].copy()
+        if len(sets) > 1:
+            yield step()
+
+    return texts.select("block", "set_id", "_text").repartition("block").sortWithinPartitions("block").mapInArrow(run, "a long, b long")
+
+
+def _packed(texts: DataFrame, k: int) -> DataFrame:
+    """(set_id, block, n, members): sets of large blocks, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            name = b.column("set_id").to_numpy()
+            for lo, hi, members, per in shingle_groups(b.column("_text"), k):
+                at, end = np.flatnonzero(set_digests(members, per) == name[lo:hi]), np.cumsum(per)
+                raw = pa.array([members[end[i] - per[i] : end[i]].tobytes() for i in at.tolist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("set_id").take(pa.array(at + lo)), b.column("block").take(pa.array(at + lo)), _signed(per[at]), raw], ["set_id", "block", "n", "members"])
+
+    return texts.select("set_id", "block", "_text").mapInArrow(run, "set_id long, block long, n long, members binary")
+
+
+def _steps(rows: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b) links from steps of (block, lo, hi): sets of side ``lo`` with those of side ``hi``.
+
+    ``rows`` has (block, lo, hi, side, label, set_id, members).  The first side is held, the second one
+    compared in parts; sets with one label are joined already.
     """
-    block = members.groupBy(F.col("block").alias("_block")).agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_m"))
-    side = F.greatest(F.lit(SIDE[0]), F.least(F.lit(SIDE[1]), (F.col("_n") / 64).cast("int")))
-    sides = F.greatest(F.ceil(F.col("_n") / side), F.ceil(F.col("_m") / F.lit(MEMBERS))).cast("int")
-    members = members.join(block.filter("_n > 1"), F.col("block") == F.col("_block")).withColumn("_sides", sides)
-    members = members.withColumn("side", F.pmod(F.xxhash64("set_id"), F.col("_sides")).cast("int"))
-    members = save(members.select("set_id", "block", F.col("doc").alias("_doc"), F.col("_sides").alias("sides"), "side"), "jaccard-members")
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    texts = texts.filter(_among(F.col("_id"), members.select("_doc"))).join(members, F.col("_id").eqNullSafe(F.col("_doc")))
-    other = F.explode(F.sequence(F.lit(0), F.col("sides") - 1))
-    dealt = texts.select("set_id", "block", "side", other.alias("other"), "_text")
-    dealt = dealt.select("set_id", "block", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "_text")
-    dealt = dealt.repartition("block", "lo", "hi").sortWithinPartitions("block", "lo", "hi", "side")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def step() -> Iterator[pa.RecordBatch]:
-            keep = list({x: i for i, x in enumerate(ids)}.values())  # the id may have been repeated
-            mine = [ids[i] for i in keep]
-            lo = [i for i, x in enumerate(keep) if sides[x] == now[1]]
-            order = lo + [i for i, x in enumerate(keep) if sides[x] != now[1]]
-            if now[1] != now[2] and (not lo or len(lo) == len(order)):
-                return
-            if len(order) > 1:
-                found = _compare([sets_[keep[i]] for i in order], 0 if now[1] == now[2] else len(lo), t)
-                name = np.array([mine[i] for i in order], np.int64)
-                found = forest(name[found])
-                if len(found):
-                    yield pa.RecordBatch.from_arrays([_signed(found[:, 0]), _signed(found[:, 1])], ["a", "b"])
-
-        now, ids, sides, sets_ = None, [], [], []
+    rows = rows.repartition("block", "lo", "hi").sortWithinPartitions("block", "lo", "hi", (F.col("side") == F.col("hi")).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, part, size = None, [], [], 0
+
+        def compare() -> Iterator[pa.RecordBatch]:
+            first = part if now and now[1] == now[2] else held
+            if first and part:
+                found = linked([x[2] for x in first], [x[2] for x in part], t)
+                names = np.array([x[0] for x in first], np.int64)[found[:, 0]], np.array([x[0] for x in part], np.int64)[found[:, 1]]
+                label = np.array([x[1] for x in first], np.int64)[found[:, 0]], np.array([x[1] for x in part], np.int64)[found[:, 1]]
+                yield _pairs(forest(np.stack(names, 1)[label[0] != label[1]]))
+
         for b in batches:
-            names, side, texts_ = b.column("set_id").to_pylist(), b.column("side").to_pylist(), b.column("_text")
-            for i, at in enumerate(zip(b.column("block").to_pylist(), b.column("lo").to_pylist(), b.column("hi").to_pylist())):
-                if at != now:
-                    if len(ids) > 1:
-                        yield from step()
-                    now, ids, sides, sets_ = at, [], [], []
-                members = shingle_set(texts_[i].as_py(), k)
-                if len(members) and set_digest(members) == names[i]:  # not another text with the chosen one's id
-                    ids.append(names[i])
-                    sides.append(side[i])
-                    sets_.append(members)
-        if len(ids) > 1:
-            yield from step()
-
-    return dealt.mapInArrow(compare, "a long, b long")
+            columns = [b.column(c).to_numpy() for c in ("block", "lo", "hi", "side", "set_id", "label")]
+            for i in range(b.num_rows):
+                block, lo, hi, side, name, label = (int(c[i]) for c in columns)
+                if (block, lo, hi) != now:
+                    yield from compare()
+                    now, held, part, size = (block, lo, hi), [], [], 0
+                x = (name, label, np.frombuffer(b.column("members")[i].as_py(), _U))
+                if side == hi:
+                    part.append(x)
+                    size += len(x[2])
+                    if lo != hi and (len(part) >= SIDE_SETS or size >= SIDE_MEMBERS):
+                        yield from compare()
+                        part, size = [], 0
+                else:
+                    held.append(x)
+        yield from compare()
+
+    return rows.select("block", "lo", "hi", "side", "label", "set_id", "members").mapInArrow(run, "a long, b long")
+
+
+def _large_links(sets: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b): links that connect the linking sets of blocks of any size.
+
+    Rounds of representatives come first, as long as they leave less than half of the sets outside their
+    block's largest class; each is linear in the sets.  Those left are then compared with all others.
+    """
+    found, before = None, None
+    side = lambda n, m: F.greatest(F.ceil(F.lit(2.0) * n / SIDE_SETS), F.ceil(F.lit(2.0) * m / SIDE_MEMBERS), F.lit(1)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("set_id"), n).cast("int")
+    outside = save(sets.select("set_id", "block", "n", F.col("set_id").alias("label")).withColumn("outside", F.lit(True)), "jaccard-labels")
+    for number in range(8):
+        order = W.partitionBy("block").orderBy(F.xxhash64("set_id", F.lit(number)), "set_id")
+        some = outside.filter("outside").withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= REPRESENTATIVES)
+        some = some.withColumn("_upto", F.sum("n").over(order)).filter((F.col("_upto") <= SIDE_MEMBERS) | (F.col("_rank") == 1)).select("set_id")
+        some = save(some, "jaccard-some")
+        per = outside.groupBy("block").agg(side(F.count("*"), F.sum("n")).alias("_sides"))
+        named = sets.join(per, "block").withColumn("label", F.col("set_id"))
+        rows = named.select("block", F.lit(-1).alias("lo"), deal(F.col("_sides")).alias("hi"), "label", "set_id", "members")
+        first = named.join(some, "set_id", "left_semi").withColumn("hi", F.explode(F.sequence(F.lit(0), F.col("_sides") - 1)))
+        first = first.select("block", F.lit(-1).alias("lo"), "hi", F.lit(-1).alias("side"), "label", "set_id", "members")
+        new = save(_steps(first.unionByName(rows.withColumn("side", F.col("hi"))), t), "jaccard-links")
+        found = save(new if found is None else found.unionByName(new), "jaccard-found")
+        tied = components(found)
+        label = sets.select("set_id", "block", "n").join(tied, F.col("set_id") == F.col("node"), "left").select("set_id", "block", "n", F.coalesce("component", "set_id").alias("label"))
+        count = label.groupBy("block", "label").agg(F.count("*").alias("_k"))
+        main = count.groupBy(F.col("block").alias("_block")).agg(F.max_by("label", F.struct("_k", "label")).alias("_main"))
+        seen = some.withColumn("_seen", F.lit(True)) if number == 0 else seen.unionByName(some.withColumn("_seen", F.lit(True)))
+        rest = label.join(main, F.col("block") == F.col("_block")).join(seen, "set_id", "left")
+        outside = save(rest.select("set_id", "block", "n", "label", ((F.col("label") != F.col("_main")) & F.col("_seen").isNull()).alias("outside")), "jaccard-labels")
+        left = outside.filter("outside").count()
+        if not left or (before is not None and left > before / 2):
+            break
+        before = left
+    if not left:
+        return found
+    # sets outside (sides 0 and on) meet each other and all others (sides -1 and down)
+    per = outside.groupBy(F.col("block").alias("_block")).agg(
+        F.count_if("outside").alias("_n"), side(F.count_if("outside"), F.sum(F.when(F.col("outside"), F.col("n")).otherwise(0))).alias("_out"), side(F.count_if(~F.col("outside")), F.sum(F.when(F.col("outside"), 0).otherwise(F.col("n")))).alias("_in")
+    )
+    rows = outside.join(per.filter("_n > 0"), F.col("block") == F.col("_block"))
+    rows = rows.withColumn("side", F.when(F.col("outside"), deal(F.col("_out"))).otherwise(-1 - deal(F.col("_in"))))
+    out = F.sequence(F.lit(0), F.col("_out") - 1)
+    pairs = F.when(
+        F.col("outside"),
+        F.concat(F.transform(out, lambda o: F.struct(F.least("side", o).alias("lo"), F.greatest("side", o).alias("hi"))), F.transform(F.sequence(F.lit(0), F.col("_in") - 1), lambda o: F.struct((-1 - o).alias("lo"), F.col("side").alias("hi")))),
+    ).otherwise(F.transform(out, lambda o: F.struct(F.col("side").alias("lo"), o.alias("hi"))))
+    rows = rows.withColumn("_step", F.explode(pairs)).select("set_id", "block", "label", "side", "_step.lo", "_step.hi")
+    new = _steps(rows.join(sets.select("set_id", "members"), "set_id"), t)
+    return found.unionByName(save(new, "jaccard-links"))
+
+
+def verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k: int, t: Threshold) -> DataFrame:
+    """(a, b): links that connect the linking sets of each block.
+
+    ``members`` has (set_id, block, doc, n_shingles), one document per set, whose text is read again.
+    Texts are shuffled once to find them and once by block.
+    """
+    block = members.groupBy(F.col("block").alias("_block")).agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_m")).filter("_n > 1")
+    sides = F.when((F.col("_n") <= SIDE_SETS) & (F.col("_m") <= SIDE_MEMBERS), 1).otherwise(2)
+    members = members.join(block, F.col("block") == F.col("_block")).select("set_id", "block", F.col("doc._id").alias("_doc"), F.col("doc._name").alias("_doc_name"), sides.alias("sides"))
+    members = save(members, "jaccard-members")
+    texts = save(candidates(docs, members, id_col, text_col), "jaccard-texts")
+    if texts.count() > members.count():  # rows of one id and text, or with none and one text
+        whole = texts
+        texts = save(whole.dropDuplicates(["set_id"]), "jaccard-texts")
+        drop(whole)
+    links = save(_block_links(texts.filter("sides = 1"), k, t), "jaccard-small")
+    if not members.filter("sides > 1").isEmpty():
+        sets = save(_packed(texts.filter("sides > 1"), k), "jaccard-large")
+        links = links.unionByName(_large_links(sets, t))
+        drop(sets)
+    drop(texts)
+    drop(members)
+    return links
 
 
 def forest(links: np.ndarray) -> np.ndarray:
@@ -465,17 +646,22 @@ def jaccard_classes(
     gives no rows and other columns aren't looked at.  Sets are told apart by 64-bit digests.
     """
     t = Threshold(*similarity)
-    small, buckets, n = plan(docs, text_col, words, t)
-    frequent = frequent_members(docs, id_col, text_col, words, n)
-    found = save(sketch(docs, id_col, text_col, words, t, small, buckets, frequent), "jaccard-rows")
-    rows = found.filter(F.col("a").isNull()).select("_id", "n_shingles", "set_id")
+    spark = docs.sparkSession
+    found = save(describe(docs, id_col, text_col, words), "jaccard-rows")
+    rows = found.filter(F.col("member").isNull() & F.col("n_shingles").isNotNull()).select("_id", "_name", "n_shingles", "set_id")
+    histogram = {r["n"]: r for r in rows.groupBy(F.least("n_shingles", F.lit(SMALL_MOST + 1)).alias("n")).agg(F.count("*").alias("k"), F.sum("n_shingles").alias("m")).collect()}
+    total = sum(r["m"] for r in histogram.values())
+    frequent = frequent_members(found, total)
+    per = sum(p for _, p in t.classes(1000)) / 1000  # keys for each member of a large set
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(total * per / CHUNK))
+    small = boundary({n: r["k"] for n, r in histogram.items() if 0 < n <= SMALL_MOST}, t)
+    blocks = save(components(ties(docs, text_col, words, t, small, buckets, frequent)), "jaccard-blocks")
     sets = rows.filter(F.col("set_id").isNotNull())
-    blocks = save(components(found.filter(F.col("a").isNotNull()).select("a", "b")), "jaccard-blocks")
-    of_set = save(sets.groupBy("set_id").agg(F.min("_id").alias("doc"), F.first("n_shingles").alias("n_shingles")), "jaccard-sets")
+    of_set = save(sets.groupBy("set_id").agg(F.min("_id").alias("least"), F.max(F.struct("_id", "_name")).alias("doc"), F.first("n_shingles").alias("n_shingles")), "jaccard-sets")
     members = of_set.join(blocks, F.col("set_id") == F.col("node")).select("set_id", F.col("component").alias("block"), "doc", "n_shingles")
-    found = save(components(_verify(docs, members, id_col, text_col, words, t)), "jaccard-components")
-    whole = of_set.join(found, F.col("set_id") == F.col("node"), "left").select("set_id", "doc", F.coalesce("component", "set_id").alias("component"))
-    least = whole.groupBy("component").agg(F.min("doc").alias("_least"))
+    found = save(components(verify(docs, members, id_col, text_col, words, t)), "jaccard-components")
+    whole = of_set.join(found, F.col("set_id") == F.col("node"), "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component"))
+    least = whole.groupBy("component").agg(F.min("least").alias("_least"))
     of_set = whole.join(least, "component").select(F.col("set_id").alias("_set"), "_least")
     return rows.join(of_set, F.col("set_id") == F.col("_set"), "left").select(
         F.col("_id").alias(id_col), "n_shingles", "set_id", F.coalesce("_least", "_id").alias("component_id")

@@ -7,9 +7,12 @@ few passes over its bytes and no Python step per word.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes that are hashed at once; a longer word makes its block longer.
 BLOCK = 1 << 18
@@ -53,7 +56,10 @@ def word_hashes(text: str) -> np.ndarray:
 
 def words_at(text: str, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first byte, end) of each word; ``plain``: all ASCII but letters and digits part words."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    return _words(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), plain)
+
+
+def _words(raw: np.ndarray, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blank, out, at = _tables()[1 + plain], [], 0
     if len(raw) <= BLOCK:
         return _block(raw, blank)
@@ -102,9 +108,67 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(text), k)) if text else np.zeros(0, _U)
 
 
+def shingle_groups(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, members, members per row) for runs of rows of a column of texts.
+
+    ``members`` has the rows' distinct shingle hashes one after the other, each row's ascending.  A run
+    has about ``BLOCK`` bytes of text, so memory is bounded and numpy's calls are shared by many rows;
+    a longer text is a run of its own.  Null texts have no members.
+    """
+    column = pc.fill_null(column, "").cast(pa.large_string())
+    offset = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(offset + np.arange(len(offset)), offset[lo] + lo + BLOCK, side="right")) - 1)
+        raw, size = data[offset[lo] : offset[hi]], np.diff(offset[lo : hi + 1])
+        if hi == lo + 1:
+            members = np.unique(shingle_hashes(_words(raw)[0], k))
+            yield lo, hi, members, np.array([len(members)])
+        else:
+            yield lo, hi, *_run(raw, size, k)
+        lo = hi
+
+
+def _run(raw: np.ndarray, size: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    n = len(size)
+    padded = np.full(len(raw) + n, 32, np.uint8)  # a blank after each text keeps its words apart
+    padded[np.arange(len(raw)) + np.repeat(np.arange(n), size)] = raw
+    h, start, _ = _block(padded, _tables()[1])
+    row = np.searchsorted(np.cumsum(size + 1), start, side="right")
+    words = np.bincount(row, minlength=n)
+    whole = np.flatnonzero((words > 0) & (words < k))
+    per = np.maximum(words - (k - 1), 0)
+    per[whole] = 1
+    end = np.cumsum(per)
+    members, short = np.empty(int(per.sum()), _U), np.zeros(int(per.sum()), bool)
+    first = np.cumsum(words) - words
+    for i in whole.tolist():
+        members[end[i] - 1] = shingle_hashes(h[first[i] : first[i] + words[i]], k)[0]
+    short[end[whole] - 1] = True
+    if len(h) >= k:
+        members[~short] = shingle_hashes(h, k)[row[: len(h) - k + 1] == row[k - 1 :]]
+    for i, j in zip((end - per).tolist(), end.tolist()):
+        members[i:j].sort()
+    new = np.ones(len(members), bool)
+    new[1:] = members[1:] != members[:-1]
+    new[(end - per)[per > 0]] = True
+    upto = np.concatenate([[0], np.cumsum(new)])
+    return members[new], upto[end] - upto[end - per]
+
+
+def set_digests(members: np.ndarray, per: np.ndarray) -> np.ndarray:
+    """64-bit names of sets of hashes that stand one after the other; 0 for empty ones."""
+    out = np.zeros(len(per), np.int64)
+    some = per > 0
+    if some.any():
+        at = (np.cumsum(per) - per)[some]
+        a = np.add.reduceat(mix(members + _U(0xA0761D6478BD642F)), at)
+        b = np.bitwise_xor.reduceat(mix(members ^ _U(0xE7037ED1A0B428DB)), at)
+        out[some] = mix(a ^ mix(b + per[some].astype(_U))).astype(np.int64)
+    return out
+
+
 def set_digest(members: np.ndarray) -> int:
-    """64-bit name of a set of hashes, as a signed number."""
-    with np.errstate(over="ignore"):
-        a = mix(members + _U(0xA0761D6478BD642F)).sum(dtype=_U)
-        b = np.bitwise_xor.reduce(mix(members ^ _U(0xE7037ED1A0B428DB)))
-        return int(mix(np.array([a ^ mix(np.array([b + _U(len(members))]))[0]]))[0].astype(np.int64))
+    """64-bit name of one set of hashes, as a signed number."""
+    return int(set_digests(members, np.array([len(members)]))[0])

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillon.llm import jaccard, shingles
@@ -86,7 +87,10 @@ def test_linking_sets_share_a_key(ratio):
         link = t.den * n >= t.num * (len(a) + len(b) - n)
         if link:
             for common in (a[:0], a[: size // 4], np.unique(np.concatenate([a[: size // 2], b[: size // 3]])), a):
-                assert len(np.intersect1d(jaccard.list_keys(a, common, t), jaccard.list_keys(b, common, t)))
+                key, of = jaccard.list_keys(np.concatenate([a, b]), np.array([len(a), len(b)]), common, t)
+                assert len(np.intersect1d(key[of == 0], key[of == 1]))
+                alone = [jaccard.list_keys(x, np.array([len(x)]), common, t)[0] for x in (a, b)]
+                assert sorted(key.tolist()) == sorted(np.concatenate(alone).tolist())
         small = jaccard.subset_keys(a, t), jaccard.subset_keys(b, t)
         if link and len(small[0]) and len(small[1]):
             assert len(np.intersect1d(*small))
@@ -120,8 +124,41 @@ def corpus(seed=1):
     return rows
 
 
-@pytest.mark.parametrize("k,ratio", [(3, (90, 100)), (5, (80, 100))])
-def test_classes_equal_brute_force(spark, k, ratio, monkeypatch):
+def test_runs_of_texts_are_as_single_texts():
+    odd = [None, "", " ", "a", "a b", "é x y z w q", "x" * 700000 + " y z", "a b c d", None, "a\tb c"] * 3
+    got = []
+    for _, _, members, per in shingles.shingle_groups(pa.array(odd).slice(1), 3):
+        assert shingles.set_digests(members, per).tolist() == [shingles.set_digest(x) for x in np.split(members, np.cumsum(per)[:-1])]
+        got += [x.tolist() for x in np.split(members, np.cumsum(per)[:-1])]
+    assert got == [shingles.shingle_set(x, 3).tolist() for x in odd[1:]]
+
+
+def test_scanned_lists_count_what_is_common():
+    rng = np.random.default_rng(1)
+    for n, m, vocabulary in [(1, 1, 5), (3, 40, 50), (60, 200, 400), (60, 200, 30000)]:
+        left, right = ([np.unique(rng.integers(0, vocabulary, rng.integers(1, 60))).astype(np.uint64) for _ in range(k)] for k in (n, m))
+        want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+        assert jaccard.count_common(left, right).tolist() == want
+
+
+def test_classes_of_a_block_equal_all_pairs():
+    t, rng = jaccard.Threshold(80, 100), np.random.default_rng(2)
+    for n in (2, 50, 400):
+        base = [rng.integers(0, 2**40, 60).astype(np.uint64) for _ in range(3)]
+        sets = []
+        for i in range(n):
+            x = base[rng.choice(3, p=[0.7, 0.2, 0.1])].copy()
+            x[rng.integers(0, 60, rng.integers(0, 14))] += np.uint64(1 + i)
+            sets.append(np.unique(x))
+        every = jaccard.linked(sets, sets, t)
+        assert jaccard.labels(jaccard.classes_of(sets, t), n).tolist() == jaccard.labels(every, n).tolist()
+
+
+@pytest.mark.parametrize("k,ratio,least", [(3, (90, 100), False), (5, (80, 100), False), (5, (80, 100), True)])
+def test_classes_equal_brute_force(spark, k, ratio, least, monkeypatch):
+    if least:  # all blocks go the way of large ones, with several sides
+        for name, value in (("SIDE_SETS", 8), ("REPRESENTATIVES", 2), ("DENSE", 4), ("FREQUENT_LEAST", 3)):
+            monkeypatch.setattr(jaccard, name, value)
     rows = corpus(k)
     df = spark.createDataFrame([(i, t, 7, "x") for i, t in rows], "doc_id long, text string, block long, a string").repartition(5)
     out = jaccard.jaccard_classes(df, words=k, similarity=ratio).collect()
