@@ -26,19 +26,20 @@ from .common import small_batches
 EXTRA = (-7, r"\### Assistant: </turn> ok")
 
 OPEN, CLOSE = "### ", "</turn>"
-CONTROL = re.compile(r"(\\*)(### |</turn>)")
-ESCAPED = re.compile(r"\\(\\*)(### |</turn>)")
+CONTROL = re.compile(r"### |</turn>")
+ESCAPED = re.compile(r"\\(### |</turn>)")
+BARE = re.compile(r"(?<!\\)(?:### |</turn>)")
 ROLE_ESCAPE = re.compile(r"[^A-Za-z0-9_-]")
 TURN = re.compile(r"### ([A-Za-z0-9_%-]*): (.*?) (?<!\\)</turn>\n", re.S)
 
 
 def escape(text: str) -> str:
     """One more backslash before every control string, whatever backslashes are there already."""
-    return CONTROL.sub(r"\\\1\2", text)
+    return CONTROL.sub(r"\\\g<0>", text)
 
 
 def unescape(text: str) -> str:
-    return ESCAPED.sub(r"\1\2", text)
+    return ESCAPED.sub(r"\1", text)
 
 
 def role_name(role: str) -> str:
@@ -62,7 +63,7 @@ def parse(rendered: str) -> list[tuple[str, str]] | None:
         if not m:
             return None
         body = m[2]
-        if any(len(x[1]) == 0 for x in CONTROL.finditer(body)):  # a bare control string within a turn
+        if BARE.search(body):  # within a turn
             return None
         turns.append((role_read(m[1]), unescape(body)))
         at = m.end()
@@ -83,7 +84,9 @@ def format_turns(rows: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
 
     ``formatted`` is the turn's rendering, checked by the round trip; the mask spans the text of
     ``trained`` turns within it (code points; both null for other roles).  Joined in order of turn
-    they are the conversation.  Null roles and texts are empty; other columns are left aside.
+    they are the conversation.  Null roles and texts are empty; other columns are left aside.  Rows
+    are formatted one by one: repeated rows and null ids or turns stay as they are, an empty table gives
+    no rows, and a text of any length takes time in proportion to its length.
     """
     small_batches(rows.sparkSession)
     kind = {c: rows.schema[c].dataType.simpleString() for c in (conv_col, turn_col)}
@@ -125,7 +128,9 @@ def digest_conversations(turns: DataFrame, *, conv_col: str = "conv_id", turn_co
     """One row per conversation, read back from ``format_turns``' output.
 
     Rows are sorted by conversation and turn within partitions and streamed: a conversation of any
-    length needs the memory of one batch.  Turns with one number go by role and rendering.
+    length needs the memory of one batch.  Turns with one number go by role and rendering, null ones
+    first; repeated rows count as often as they occur; rows with a null id are one conversation with
+    that id; an empty table gives no rows.
     """
     kind = turns.schema[conv_col].dataType.simpleString()
     turns = turns.select(F.col(conv_col).cast("string").alias("_conv"), F.col(turn_col).alias("_turn"), F.col(role_col).alias("_role"), "formatted", "mask_start", "mask_end")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,10 +34,12 @@ HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "login", "weak", "endpoint")
 # The weak patterns and the role of each kind.
-LOGIN = re.compile(r"(?ai)\b(?:user(?:name|_?id)?|login|account|client_?id|access_?key(?:_?id)?)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,}")
-WEAK = re.compile(r"(?ai)\b(?:pwd|pass|credential|signature|private_?key|auth)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}")
-OPAQUE = re.compile(r"(?a)\b(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{24,}")
-ENDPOINT = re.compile(r"(?a)\b(?:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+|\b(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]{4,}(?::[0-9]+)?")
+LOGIN = re.compile(r"(?ai)(?<![A-Za-z0-9])(?:user(?:name|_?id)?|login|account|client_?id|access_?key(?:_?id)?)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,}")
+WEAK = re.compile(r"(?ai)(?<![A-Za-z0-9])(?:pwd|pass|credential|signature|private_?key|auth)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}")
+# Runs of these characters with a digit, a capital and a small letter.
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{24,}")
+ENDPOINT = re.compile(r"(?a)\b(?:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+|(?<![A-Za-z0-9])(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]{4,}(?::[0-9]+)?")
+DIGIT, SMALL, CAPITAL = (re.compile(p) for p in ("[0-9]", "[a-z]", "[A-Z]"))
 ROLE = {"assign": "secret", "hex": "secret", "weak": "secret", "access": "id", "login": "id", "endpoint": "endpoint"}
 
 PART = "struct<kind:string,start:long,end:long,scope:long>"
@@ -62,19 +65,37 @@ def weak_spans(text: str) -> list[tuple[int, int, str, int]]:
         found += [(m.start(), 3, "login", m.end()) for m in LOGIN.finditer(text)]
         found += [(m.start(), 4, "weak", m.end()) for m in WEAK.finditer(text)]
         found += [(m.start(), 5, "endpoint", m.end()) for m in ENDPOINT.finditer(text)]
-    found += [(m.start(), 4, "weak", m.end()) for m in OPAQUE.finditer(text)]
+    found += [(m.start(), 4, "weak", m.end()) for m in OPAQUE.finditer(text) if mixed(m[0])]
     return sorted(found)
 
 
+def mixed(run: str) -> bool:
+    return all(p.search(run) for p in (DIGIT, SMALL, CAPITAL))
+
+
+def outside(spans: list[tuple[int, int, str, int]], taken: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str, int]]:
+    """``spans`` that don't overlap any of ``taken`` (sorted by start)."""
+    starts, ends = [], []
+    for start, _, _, end in taken:  # joined where they overlap
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return [x for x in spans if not (k := bisect_left(starts, x[3])) or ends[k - 1] <= x[0]]
+
+
 def scan_text(text: str) -> tuple:
     """One text's strong findings, and all of its parts with their paragraph's start."""
     strong = base_spans(text)
-    taken = {p for s, _, _, e in strong for p in (s, e - 1)}
-    weak = [x for x in weak_spans(text) if not any(s < x[3] and x[0] < e for s, _, _, e in strong)] if taken else weak_spans(text)
+    weak = outside(weak_spans(text), strong)
     parts = []
     if weak:  # strong parts alone have nothing to link
+        scope, after = 0, text.find("\n\n")
         for start, _, kind, end in sorted(strong + weak):
-            parts.append({"kind": kind, "start": start, "end": end, "scope": text.rfind("\n\n", 0, start) + 1})
+            while 0 <= after <= start - 2:
+                scope, after = after + 1, text.find("\n\n", after + 1)
+            parts.append({"kind": kind, "start": start, "end": end, "scope": scope})
     n = [sum(x[2] == k for x in strong) for k in KINDS[:3]]
     return (*n, ",".join(f"{k}:{s}:{e}" for s, _, k, e in strong), parts)
 
@@ -122,7 +143,9 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     ``base`` has the strong spans as kind:start:end, ``linked`` (an array, null for none) the weak
     ones that complementary parts support.  Null and empty texts have no spans; repeated rows each
-    get their row; other columns are not looked at.  A text that many rows share is linked once.
+    get their row, also where ids are null or repeated; other columns are not looked at; an empty table
+    gives no rows.  A text that many rows share is linked once, and a text of any length is scanned
+    whole, in time in proportion to its length.
     """
     rows = save(scan(docs, id_col, text_col), "secrets")
     parts = rows.filter(F.size("parts") > 0).groupBy("text_key").agg(F.first("parts").alias("parts"))
@@ -136,8 +159,8 @@ def redact(docs: DataFrame, found: DataFrame, *, text_col: str = "text") -> Data
     """``docs`` with every span of ``found`` (from ``find_secrets`` on the same texts) replaced by
     ``[SECRET]``.  All other rows and columns stay as they are.
 
-    Findings are joined by the text's digest, one row per text that has any, so repeated rows and
-    repeated ids are handled alike.
+    Findings are joined by the text's digest, one row per text that has any, so repeated rows,
+    repeated ids and null ids are handled alike; null texts stay null; an empty table stays empty.
     """
     has = found.filter((F.col("base") != "") | F.col("linked").isNotNull())
     has = has.groupBy(F.col("text_key").alias("_key")).agg(F.first("base").alias("_base"), F.first("linked").alias("_linked"))
@@ -186,4 +209,3 @@ def op3_secrets(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), F.when(F.col("linked").isNull(), F.col("base")).otherwise(text).alias("spans")
     )
-

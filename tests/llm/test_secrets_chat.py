@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from quillon.llm import chat, secrets
 
@@ -40,6 +42,46 @@ def test_weak_parts_need_complements(spark):
     assert got[7] is None and got[8] is None and got[2] is None
 
 
+def brute_parts(text):
+    """Parts by plain comparison of all spans, with the start of their paragraphs."""
+    strong, weak = [(s, n, k, e) for s, n, k, e in brute(text)], secrets.weak_spans(text)
+    weak = [x for x in weak if not any(s < x[3] and x[0] < e for s, _, _, e in strong)]
+    return [(k, s, e, text.rfind("\n\n", 0, s) + 1) for s, _, k, e in sorted(strong + weak)] if weak else []
+
+
+def brute_linked(text, reach=400):
+    parts, near = brute_parts(text), {"login": {"secret"}, "weak": {"id"}, "endpoint": {"id", "secret"}}
+    out = []
+    for k, s, e, scope in parts:
+        found = {secrets.ROLE[x[0]] for x in parts if x[3] == scope and abs(x[1] - s) <= reach}
+        if k in near and near[k] <= found:
+            out.append((s, e, k))
+    return sorted(out)
+
+
+def test_linked_parts_equal_brute_force(spark):
+    rng = random.Random(7)
+    bits = ["user=alice", "DB_USER=admin", "DB_PASS=hunter2x", "MY-HOST: db.example.com:5432", "pwd: 'abcd'", "https://x.example.com/p?q", "password=longenough1", "AKIA" + "A" * 14, "0123456789abcdef" * 2,
+            "QWxhZGRpbjpvcGVuIHNlc2FtZQ0KaaBB1", "\n\n", "\n\n\n", "word " * 30, "superuser=x1", "é", "account: bob"]
+    texts = [" ".join(rng.choices(bits, k=rng.randrange(1, 60))) for _ in range(60)] + ["\n".join(["DB_USER=admin", "DB_PASS=hunter2x", "DB_HOST=db.example.com"])]
+    got = {r["doc_id"]: r["linked"] for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        assert sorted((x["start"], x["end"], x["kind"]) for x in got[i] or []) == brute_linked(t)
+        assert secrets.scan_text(t)[4] == [{"kind": k, "start": s, "end": e, "scope": c} for k, s, e, c in brute_parts(t)]
+    assert {x["kind"] for x in got[len(texts) - 1]} == {"login", "weak", "endpoint"}
+
+
+def test_long_texts_take_linear_time():
+    for text in ("a+" * 500_000, "password=longenough user=alice " * 20_000, "x\n\nuser=alice pwd=hunter2 " * 20_000, "\\" * 1_000_000, "password   " * 90_000, "jdbc:" * 200_000, "a1B" * 400_000):
+        began = time.process_time()
+        secrets.scan_text(text)
+        assert time.process_time() - began < 2
+    for text in ("\\" * 1_000_000, "\\### " * 200_000, "### a: " * 150_000, " </turn>\n" * 100_000, "#" * 1_000_000, "%" * 1_000_000):
+        began = time.process_time()
+        assert chat.parse(chat.format_turn("user", text)) == [("user", text)]
+        assert time.process_time() - began < 2
+
+
 def test_redaction_and_empty(spark):
     docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(TEXTS)], "doc_id long, text string, base string")
     out = secrets.redact(docs, secrets.find_secrets(docs))
