@@ -34,6 +34,7 @@ def synthesis() -> Column:
     return clamp(F.lit(0.95) - excess)
 
 
+# The limits and weights in the scores below, and in the sub-scores and ceilings.
 def quality_parts() -> dict[str, Column]:
     """Sub-scores of L1, from properties at their reported digits."""
     mw, logp, tpsa = rounded(c("mw"), 2), rounded(c("logp"), 3), rounded(c("tpsa"), 2)
@@ -89,21 +90,28 @@ def alert_penalty(severe: Column, moderate: Column) -> Column:
 
 def inorganic_cyanide() -> Column:
     """A cyanide alert counts as severe on a light molecule or with an alkali metal."""
-    return c("cyanide") & ((c("mw") < 100) | c("alkali"))
+    return F.coalesce(c("cyanide") & ((c("mw") < 100) | c("alkali")), F.lit(False))
+
+
+def severe_alerts() -> Column:
+    """Severe alerts of the structure, and an inorganic cyanide as one more."""
+    return c("severe") + flag(inorganic_cyanide())
 
 
 def composite() -> Column:
     """L3 from severe, moderate, tox21, clintox, sider, bbb and heavy_metal columns.
 
-    Missing model outputs count as 0.5, and side effects as 0; alerts cap the score, the strictest first.
+    Missing model outputs count as 0.5, and side effects as 0; alerts cap the score, the strictest
+    first.  An inorganic cyanide (cyanide, alkali, mw) is a severe alert.
     """
+    severe = severe_alerts()
     tox21, clintox, sider, bbb = (F.coalesce(c(n), F.lit(d)) for n, d in (("tox21", 0.5), ("clintox", 0.5), ("sider", 0.0), ("bbb", 0.5)))
-    toxic = alert_penalty(c("severe"), c("moderate")) * 0.50 + tox21 * 0.20 + clintox * 0.15 + sider * 0.15
+    toxic = alert_penalty(severe, c("moderate")) * 0.50 + tox21 * 0.20 + clintox * 0.15 + sider * 0.15
     brain = F.when(bbb < 0.5, 1.0 - bbb).otherwise(0.3)
     organs = clamp(1.0 - (clintox * 0.4 + sider * 0.3 + herg() * 0.3))
     soluble = clamp((solubility() + 6) / 7)
     raw = clamp((1.0 - toxic) * 0.40 + organs * 0.25 + oral() * 0.15 + soluble * 0.10 + brain * 0.10)
-    ceiling = F.when(c("heavy_metal") | (c("severe") >= 2), 0.25).when(c("severe") >= 1, 0.35).when(c("moderate") >= 2, 0.50).otherwise(1.0)
+    ceiling = F.when(c("heavy_metal") | (severe >= 2), 0.25).when(severe >= 1, 0.35).when(c("moderate") >= 2, 0.50).otherwise(1.0)
     return rounded(F.least(raw, ceiling), 4)
 
 

@@ -14,15 +14,15 @@ def keyword_hits(docs: DataFrame, alerts: DataFrame, *, key: str, text: str) ->
     """(key, alert, n) for alerts (alert, pattern, severity) whose word is in a text.
 
     Texts are split into words once and joined on them, so the work follows the words and not the
-    number of alerts times the texts.
+    number of alerts times the texts.  Alerts may be any number; the planner broadcasts a small table.
     """
     words = docs.select(key, F.explode(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+")).alias("pattern")).filter("pattern <> ''")
-    return words.join(F.broadcast(alerts.limit(10_000)), "pattern").groupBy(key, "alert").agg(F.count("*").alias("n"))
+    return words.join(alerts, "pattern").groupBy(key, "alert").agg(F.count("*").alias("n"))
 
 
 def roll_up(rows: DataFrame, hits: DataFrame, alerts: DataFrame, *, key: str) -> DataFrame:
     """Per row: severe and moderate alerts, their names in order, the penalty and the flag text."""
-    named = hits.join(F.broadcast(alerts.select("alert", "severity").limit(10_000)), "alert")
+    named = hits.join(alerts.select("alert", "severity"), "alert")
     severe = F.col("severity") == "severe"
     agg = named.groupBy(key).agg(
         F.count_if(severe).alias("severe"), F.count_if(~severe).alias("moderate"),
@@ -35,12 +35,16 @@ def roll_up(rows: DataFrame, hits: DataFrame, alerts: DataFrame, *, key: str) ->
     return out.select(key, "severe", "moderate", alert_penalty(F.col("severe"), F.col("moderate")).alias("penalty"), F.when(text == "", "low").otherwise(text).alias("flags"))
 
 
-def mean_risk(tasks: Column, *, empty: float, above: float | None = None) -> Column:
-    """Mean of a task-to-risk map (of the risks over ``above`` only); ``empty`` if there is none."""
+def mean_risk(tasks: Column, *, empty: float, above: float | None = None, unit: int = 10**8) -> Column:
+    """Mean of a task-to-risk map (of the risks over ``above`` only); ``empty`` if there is none.
+
+    Risks are whole numbers of parts in ``unit``, so that their sum depends on no order.
+    """
     v = F.map_values(tasks)
     if above is not None:
-        v = F.filter(v, lambda x: x > above)
-    return F.when(F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda s, x: s + x) / F.size(v)).otherwise(F.lit(empty))
+        v = F.filter(v, lambda x: x > round(above * unit))
+    mean = F.aggregate(v, F.lit(0).cast("long"), lambda s, x: s + x) / F.size(v) / F.lit(float(unit))
+    return F.when(F.size(v) > 0, mean).otherwise(F.lit(empty))
 
 
 def flatten_details(df: DataFrame, column: str, fields: Mapping[str, str]) -> DataFrame:

@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scalar import rounded
-from ..llm.common import small_batches
-from ..llm.topk import usable
+from ..functions.scalar import finite, rounded
+from ..functions.session import small_batches
 
 #: Rows and references of a block in the search for the nearest references.
 ROW_BLOCK, REFERENCE_BLOCK = 1024, 2048
@@ -91,6 +90,11 @@ def diversity(rows: DataFrame, by: str) -> DataFrame:
     return out.select(by, "id", rounded(F.when(F.col("_n") > 1, 1.0 - F.coalesce("_s", F.lit(0.0)) / (F.col("_n") - 1)).otherwise(1.0), 6).alias("diversity"))
 
 
+def usable(v: Column) -> Column:
+    """Vectors that are not null and have no null or non-finite component."""
+    return v.isNotNull() & F.forall(v, lambda x: finite(x.cast("double")).isNotNull())
+
+
 def normalised(v: Column) -> Column:
     """Vector at length 1, with a little added to the length so that zero stays zero."""
     v = F.transform(v, lambda x: x.cast("double"))

@@ -25,18 +25,28 @@ def five_numbers(long: DataFrame, by: Sequence[str] = ("metric",)) -> DataFrame:
     return out.select(*by, "n", rounded(F.col("_mean"), 6).alias("mean"), *[rounded(F.col("_q")[i], 6).alias(name) for i, name in enumerate(("q1", "median", "q3"))])
 
 
-def bootstrap_median(long: DataFrame, *, reps: int = 200, seed: int = 42, key: str = "target_id") -> DataFrame:
+def draw(seed: int, rep: Column, place: Column, n: Column) -> Column:
+    """A place below ``n`` from whole-number arithmetic modulo 2**31 - 1, the same in any engine."""
+    p = F.lit(2**31 - 1).cast("long")
+    x = (F.lit(seed).cast("long") * 1_000_003 + rep.cast("long") * 65_599 + place.cast("long") * 48_271 + 1) % p
+    for add in (11, 1013, 104_729):
+        x = (x * x % p + x * 16_807 + add) % p
+    return x % n
+
+
+def bootstrap_median(long: DataFrame, *, reps: int = 2000, seed: int = 42, key: str = "target_id") -> DataFrame:
     """(metric, low, high): 95% interval of the median over resamples.
 
-    Draw i of a resample is the value whose place is the hash of (seed, resample, i) modulo n, so any
-    engine makes the same draws.
+    Draw i of a resample is the value at the place that ``draw`` gives for (seed, resample, i).  The
+    values of a metric, one per key, are one array; resamples are rows that tasks share out, so no draw
+    is shuffled.
     """
-    w = W.partitionBy("metric")
-    rows = long.withColumn("_place", F.row_number().over(w.orderBy(key)) - 1).withColumn("_n", F.count("*").over(w))
-    draws = rows.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
-    pick = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), "rep", "_place"), 256), 1, 13), 16, 10).cast("long") % F.col("_n")
-    draws = draws.select("metric", "rep", pick.alias("_place")).join(rows.select("metric", "_place", "value"), ["metric", "_place"])
-    medians = draws.groupBy("metric", "rep").agg(F.median("value").alias("m"))
+    values = long.groupBy("metric").agg(F.transform(F.array_sort(F.collect_list(F.struct(key, "value"))), lambda x: x["value"]).alias("_v"))
+    each = values.select("metric", F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep")).repartition("metric", "rep")
+    n = F.size("_v")
+    drawn = F.array_sort(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("_v", draw(seed, F.col("rep"), i, n).cast("int"))))
+    middle = lambda at: F.get("_s", F.floor(at).cast("int"))
+    medians = each.join(values, "metric").select("metric", drawn.alias("_s")).select("metric", ((middle((F.size("_s") - 1) / 2) + middle(F.size("_s") / 2)) / 2).alias("m"))
     q = F.percentile("m", F.array(F.lit(0.025), F.lit(0.975)))
     return medians.groupBy("metric").agg(q.alias("_q")).select("metric", rounded(F.col("_q")[0], 6).alias("low"), rounded(F.col("_q")[1], 6).alias("high"))
 

@@ -349,11 +349,11 @@ def cache_lineage(spark, sf):
     return audit.digest(table(spark, sf, "part"), ["p_partkey", "p_size"], ["p_brand"])
 
 
-@query("target_equality", "SELECT l_suppkey AS target_id, 'scores_only' AS side FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 30 <> 4) GROUP BY 1 UNION ALL SELECT s_suppkey, 'manifest_only' FROM supplier WHERE s_suppkey % 30 <> 4 AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_suppkey % 25 <> 7) AND false")
+@query("target_equality", "WITH a AS (SELECT DISTINCT l_suppkey AS target_id FROM lineitem WHERE l_suppkey % 5 <> 2), b AS (SELECT s_suppkey AS target_id FROM supplier WHERE s_suppkey % 5 <> 4) SELECT coalesce(a.target_id, b.target_id) AS target_id, CASE WHEN b.target_id IS NULL THEN 'scores_only' ELSE 'manifest_only' END AS side FROM a FULL JOIN b ON a.target_id = b.target_id WHERE a.target_id IS NULL OR b.target_id IS NULL")
 def target_equality(spark, sf):
-    """Targets on one side only."""
-    scores = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("target_id")).distinct()
-    manifest = table(spark, sf, "supplier").filter("s_suppkey % 30 <> 4").select(F.col("s_suppkey").alias("target_id"))
+    """Targets on one side only: some are left out of the scores, others out of the manifest."""
+    scores = table(spark, sf, "lineitem").filter("l_suppkey % 5 <> 2").select(F.col("l_suppkey").alias("target_id")).distinct()
+    manifest = table(spark, sf, "supplier").filter("s_suppkey % 5 <> 4").select(F.col("s_suppkey").alias("target_id"))
     return scores.exceptAll(manifest).withColumn("side", F.lit("scores_only")).unionByName(manifest.exceptAll(scores).withColumn("side", F.lit("manifest_only")))
 
 

@@ -43,14 +43,16 @@ def alert_rollup(spark, sf):
 
 @query(
     "model_risk",
-    f"""WITH x AS (SELECT user_id, event_type, {r('avg(value)', 6)} / 100 AS risk FROM events GROUP BY ALL)
-SELECT user_id, count(*) AS n_tasks, {r('avg(risk)', 6)} AS mean_risk, coalesce({r('avg(risk) FILTER (risk > 0.6::DOUBLE)', 6)}, 0) AS high_risk FROM x GROUP BY user_id""",
+    f"""WITH x AS (SELECT user_id, event_type, CAST(round_even(sum(CAST(round_even(value * 10000, 0) AS BIGINT)) / count(*) * 100.0::DOUBLE, 0) AS BIGINT) AS risk FROM events GROUP BY ALL)
+SELECT user_id, count(*) AS n_tasks, {r('sum(risk) / count(*) / 100000000.0::DOUBLE', 6)} AS mean_risk,
+       coalesce({r('sum(risk) FILTER (risk > 80000000) / count(*) FILTER (risk > 80000000) / 100000000.0::DOUBLE', 6)}, 0) AS high_risk FROM x GROUP BY user_id""",
 )
 def model_risk(spark, sf):
-    """Task-to-risk maps and their means; the second one over high risks only."""
-    per = table(spark, sf, "events").groupBy("user_id", "event_type").agg((rounded(F.avg("value"), 6) / 100).alias("risk"))
+    """Task-to-risk maps (in parts of 10**8) and their means; the second one over high risks only."""
+    units = F.rint(F.sum(F.rint(F.col("value") * 10000).cast("long")) / F.count("*") * 100.0).cast("long")
+    per = table(spark, sf, "events").groupBy("user_id", "event_type").agg(units.alias("risk"))
     maps = per.groupBy("user_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("event_type", "risk")))).alias("tasks"))
-    high = evidence.mean_risk(F.col("tasks"), empty=0.0, above=0.6)
+    high = evidence.mean_risk(F.col("tasks"), empty=0.0, above=0.8)
     return maps.select("user_id", F.size("tasks").cast("long").alias("n_tasks"), rounded(evidence.mean_risk(F.col("tasks"), empty=0.5), 6).alias("mean_risk"), rounded(high, 6).alias("high_risk"))
 
 

@@ -36,11 +36,6 @@ def long(spark, sf):
     return stats.long_metrics(metrics(spark, sf), METRICS)
 
 
-@query("metrics_per_target", METRICS_SQL)
-def metrics_per_target(spark, sf):
-    return metrics(spark, sf)
-
-
 @query(
     "metrics_by_tier",
     f"""WITH {LONG}, t AS (SELECT lg.*, n_labeled_positive >= 200 AND n_labeled_negative >= 200 AS strict FROM lg JOIN m USING (target_id))
@@ -71,7 +66,10 @@ def upper_medians(spark, sf):
 @query(
     "bootstrap_median_ci",
     f"""WITH {LONG}, x AS (SELECT metric, value, row_number() OVER (PARTITION BY metric ORDER BY target_id) - 1 AS place, count(*) OVER (PARTITION BY metric) AS n FROM lg),
-d AS (SELECT x.metric, rep, CAST('0x' || substr(sha256('42|' || rep || '|' || place), 1, 13) AS BIGINT) % n AS pick FROM x, range(1, 201) t(rep)),
+d0 AS (SELECT x.metric, rep, n, (42::BIGINT * 1000003 + rep::BIGINT * 65599 + place::BIGINT * 48271 + 1) % 2147483647 AS a FROM x, range(1, 2001) t(rep)),
+d1 AS (SELECT metric, rep, n, (a * a % 2147483647 + a * 16807 + 11) % 2147483647 AS a FROM d0),
+d2 AS (SELECT metric, rep, n, (a * a % 2147483647 + a * 16807 + 1013) % 2147483647 AS a FROM d1),
+d AS (SELECT metric, rep, (a * a % 2147483647 + a * 16807 + 104729) % 2147483647 % n AS pick FROM d2),
 md AS (SELECT d.metric, rep, median(x.value) AS m FROM d JOIN x ON d.metric = x.metric AND d.pick = x.place GROUP BY ALL)
 SELECT metric, {r("quantile_cont(m, 0.025)", 6)} AS low, {r("quantile_cont(m, 0.975)", 6)} AS high FROM md GROUP BY metric""",
 )
@@ -242,18 +240,32 @@ def fusion_eliminate(spark, sf):
     return ranking.auc(attached(spark, sf).withColumn("cut", fusion.eliminated("ligand_efficiency")), "cut")
 
 
+STATUS_OF = {"l1_status": ("candidate_index", 37), "l3_status": ("part_key", 41)}
+
+
+@query(
+    "metrics_per_target",
+    f"""WITH {DOCK}, m AS ({METRICS_SQL}), s AS (SELECT target_id, {', '.join(f"{r(f'1.0 - avg(CASE WHEN {c} % {n} = 0 THEN 0.0 ELSE 1.0 END)', 8)} AS {s}_failure_rate" for s, (c, n) in STATUS_OF.items())} FROM ps GROUP BY 1)
+SELECT m.*, s.* EXCLUDE (target_id), a.auc_fused_labeled, e.recall_at_1pct_fused, e.observed_enrichment_at_1pct_fused FROM m JOIN s USING (target_id)
+JOIN ({auc_sql('fused_score', LABELED, 6, 'auc_fused_labeled').replace('FROM ps ', 'FROM fz ')}) a USING (target_id) JOIN ({early_sql('fused_score', 'fused').replace('FROM ps)', 'FROM fz)')}) e USING (target_id)""",
+)
+def metrics_per_target(spark, sf):
+    """All metrics of a target: base and fused scores, failure rates of the layers, and the gate."""
+    rows = fused(spark, sf).withColumns({s: F.when(F.col(c) % n == 0, "failed:missing").otherwise("ok") for s, (c, n) in STATUS_OF.items()})
+    rows = rows.withColumn("gate_status", F.when((F.col("l2") < 0.2) & (F.col("l3") < 0.5), "FAIL").otherwise("PASS"))
+    return ranking.target_metrics(rows, scores={"l2": "l2", "final_score": "final4", "fused_score": "fused"}, statuses=list(STATUS_OF), gate="gate_status")
+
+
 def before_after(score):
     return f"SELECT a.target_id, a.auc, e.recall_at_1pct_x AS recall FROM ({auc_sql(score, LABELED, 6)}) a JOIN ({early_sql(score, 'x')}) e USING (target_id)".replace("FROM ps ", "FROM fz ").replace("FROM ps)", "FROM fz)")
 
 
 @query("fusion_before_after", f"WITH {DOCK} SELECT 'before' AS stage, * FROM ({before_after('final_score')}) UNION ALL SELECT 'after', * FROM ({before_after('fused_score')})")
 def fusion_before_after(spark, sf):
-    rows = fused(spark, sf)
-    parts = []
-    for stage, score in (("before", "final_score"), ("after", "fused_score")):
-        early = ranking.early_retrieval(rows, score).select("target_id", "recall")
-        parts.append(ranking.auc(rows, score).join(early, "target_id").withColumn("stage", F.lit(stage)))
-    return parts[0].unionByName(parts[1])
+    """Both scores in one pass over the rows."""
+    m = ranking.target_metrics(fused(spark, sf), scores={"final_score": "before", "fused_score": "after"})
+    stage = lambda s: F.struct(F.lit(s).alias("stage"), F.col(f"auc_{s}_labeled").alias("auc"), F.col(f"recall_at_1pct_{s}").alias("recall"))
+    return m.select("target_id", F.explode(F.array(stage("before"), stage("after"))).alias("_x")).select("target_id", "_x.*")
 
 
 VALID = "docking_status IN ('ok', 'not_selected')"

@@ -206,6 +206,7 @@ def benchmark_labels(spark, sf):
 
 SA = "greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.95::DOUBLE - (greatest(0, rings - 3) * 0.15::DOUBLE + greatest(0, aromatic - 2) * 0.10::DOUBLE + greatest(0, rotatable - 6) * 0.08::DOUBLE + greatest(0, hetero - 6) * 0.06::DOUBLE + halogen * 0.05::DOUBLE + greatest(0, heavy - 35) * 0.02::DOUBLE)))"
 VIO = "(CAST(mw > 500 AS INT) + CAST(logp > 5 AS INT) + CAST(hbd > 5 AS INT) + CAST(hba > 10 AS INT))"
+SEV = "(severe + CASE WHEN cyanide AND (mw < 100 OR alkali) THEN 1 ELSE 0 END)"
 CL = "greatest(0.0::DOUBLE, least(1.0::DOUBLE, {}))"
 HERG = CL.format("0.15::DOUBLE * CAST(mw > 350 AS INT) + 0.1::DOUBLE * CAST(mw > 500 AS INT) + 0.15::DOUBLE * CAST(logp > 3 AS INT) + 0.1::DOUBLE * CAST(logp > 5 AS INT) + 0.15::DOUBLE * CAST(aromatic >= 2 AS INT) + 0.1::DOUBLE * CAST(rotatable > 5 AS INT)")
 ORAL = CL.format(f"1.0::DOUBLE - {VIO} * 0.15::DOUBLE - 0.1::DOUBLE * CAST(rotatable > 10 AS INT) - 0.15::DOUBLE * CAST(tpsa > 140 AS INT)")
@@ -230,19 +231,19 @@ def l1_quality(spark, sf):
 @query(
     "l3_composite",
     f"""WITH {DE}, x AS (SELECT *, coalesce(tox21, 0.5) AS t, coalesce(clintox, 0.5) AS k, coalesce(sider, 0) AS s,
-  greatest(0.0::DOUBLE, least(0.85::DOUBLE, severe * 0.30::DOUBLE + moderate * 0.22::DOUBLE)) AS pen, {HERG} AS herg, {ORAL} AS oral,
+  greatest(0.0::DOUBLE, least(0.85::DOUBLE, {SEV} * 0.30::DOUBLE + moderate * 0.22::DOUBLE)) AS pen, {SEV} AS sev, {HERG} AS herg, {ORAL} AS oral,
   0.16::DOUBLE - 0.63::DOUBLE * logp - 0.0062::DOUBLE * mw + 0.066::DOUBLE * tpsa / 100 AS sol FROM de)
 SELECT part_key, {r("herg", 4)} AS herg, {r("oral", 4)} AS oral, {r("sol", 2)} AS solubility, cyanide AND (mw < 100 OR alkali) AS acute,
   {r(CL.format("0.2::DOUBLE * CAST(mw > 400 AS INT) + 0.2::DOUBLE * CAST(logp > 3 AS INT) + 0.2::DOUBLE * CAST(aromatic >= 3 AS INT) + 0.1::DOUBLE * CAST(hba > 5 AS INT)"), 4)} AS cyp3a4,
   {r(CL.format("0.2::DOUBLE * CAST(logp > 2.5 AS INT) + 0.2::DOUBLE * CAST(aromatic >= 2 AS INT) + 0.1::DOUBLE * CAST(aliphatic > 0 AS INT)"), 4)} AS cyp2d6,
-  coalesce(nullif(concat_ws(' | ', CASE WHEN heavy_metal THEN 'HEAVY_METAL' END, CASE WHEN severe > 0 THEN 'SEVERE' END, CASE WHEN moderate > 0 THEN 'MODERATE' END, CASE WHEN clintox > 0.5 THEN 'CLINTOX' END), ''), 'low') AS flags,
+  coalesce(nullif(concat_ws(' | ', CASE WHEN heavy_metal THEN 'HEAVY_METAL' END, CASE WHEN sev > 0 THEN 'SEVERE' END, CASE WHEN moderate > 0 THEN 'MODERATE' END, CASE WHEN clintox > 0.5 THEN 'CLINTOX' END), ''), 'low') AS flags,
   {r(f'''least({CL.format(f"(1.0::DOUBLE - (pen * 0.50::DOUBLE + t * 0.20::DOUBLE + k * 0.15::DOUBLE + s * 0.15::DOUBLE)) * 0.40::DOUBLE + {CL.format('1.0::DOUBLE - (k * 0.4::DOUBLE + s * 0.3::DOUBLE + herg * 0.3::DOUBLE)')} * 0.25::DOUBLE + oral * 0.15::DOUBLE + {CL.format('(sol + 6) / 7')} * 0.10::DOUBLE + (CASE WHEN bbb < 0.5 THEN 1.0::DOUBLE - bbb ELSE 0.3::DOUBLE END) * 0.10::DOUBLE")},
-    CASE WHEN heavy_metal OR severe >= 2 THEN 0.25::DOUBLE WHEN severe >= 1 THEN 0.35::DOUBLE WHEN moderate >= 2 THEN 0.50::DOUBLE ELSE 1.0::DOUBLE END)''', 4)} AS l3
+    CASE WHEN heavy_metal OR sev >= 2 THEN 0.25::DOUBLE WHEN sev >= 1 THEN 0.35::DOUBLE WHEN moderate >= 2 THEN 0.50::DOUBLE ELSE 1.0::DOUBLE END)''', 4)} AS l3
 FROM x""",
 )
 def l3_composite(spark, sf):
     d = descriptors(spark, sf)
-    flags = layers.flag_text([F.when(F.col("heavy_metal"), "HEAVY_METAL"), F.when(F.col("severe") > 0, "SEVERE"), F.when(F.col("moderate") > 0, "MODERATE"), F.when(F.col("clintox") > 0.5, "CLINTOX")])
+    flags = layers.flag_text([F.when(F.col("heavy_metal"), "HEAVY_METAL"), F.when(layers.severe_alerts() > 0, "SEVERE"), F.when(F.col("moderate") > 0, "MODERATE"), F.when(F.col("clintox") > 0.5, "CLINTOX")])
     four = lambda x: scalar.rounded(x, 4)
     return d.select(
         "part_key", four(layers.herg()).alias("herg"), four(layers.oral()).alias("oral"), scalar.rounded(layers.solubility(), 2).alias("solubility"), layers.inorganic_cyanide().alias("acute"),
@@ -253,15 +254,15 @@ def l3_composite(spark, sf):
 @query(
     "quality_gate_reasons",
     f"""WITH {PS}, {DE}, x AS (
-  SELECT target_id, candidate_index, list_filter([CASE WHEN l2 < 0.2::DOUBLE THEN 'weak_binding' END, CASE WHEN l3 < 0.5::DOUBLE THEN 'low_admet' END, CASE WHEN severe + moderate >= 2 THEN 'many_alerts' END,
-    CASE WHEN severe >= 1 THEN 'severe_alert' END, CASE WHEN {ORAL} < 0.4::DOUBLE THEN 'low_oral' END, CASE WHEN {HERG} > 0.6::DOUBLE THEN 'herg_risk' END], lambda z: z IS NOT NULL) AS reasons
+  SELECT target_id, candidate_index, list_filter([CASE WHEN l2 < 0.2::DOUBLE THEN 'weak_binding' END, CASE WHEN l3 < 0.5::DOUBLE THEN 'low_admet' END, CASE WHEN {SEV} + moderate >= 2 THEN 'many_alerts' END,
+    CASE WHEN {SEV} >= 1 THEN 'severe_alert' END, CASE WHEN {ORAL} < 0.4::DOUBLE THEN 'low_oral' END, CASE WHEN {HERG} > 0.6::DOUBLE THEN 'herg_risk' END], lambda z: z IS NOT NULL) AS reasons
   FROM ps JOIN de USING (part_key))
 SELECT target_id, candidate_index, len(reasons) AS n_reasons, CASE WHEN len(reasons) < 2 THEN 'PASS' ELSE 'FAIL' END AS gate_status,
        CASE WHEN len(reasons) < 2 THEN '' ELSE array_to_string(reasons, '; ') END AS gate_reason
 FROM x""",
 )
 def quality_gate_reasons(spark, sf):
-    evidence = descriptors(spark, sf).select("part_key", (F.col("severe") + F.col("moderate")).alias("alerts"), "severe", layers.oral().alias("oral"), layers.herg().alias("herg"))
+    evidence = descriptors(spark, sf).select("part_key", (layers.severe_alerts() + F.col("moderate")).alias("alerts"), layers.severe_alerts().alias("severe"), layers.oral().alias("oral"), layers.herg().alias("herg"))
     rows = pair_scores(spark, sf).withColumn("admet", F.col("l3")).join(evidence, "part_key").withColumn("_reasons", layers.gate_reasons())
     status, reason = layers.gate(F.col("_reasons"))
     return rows.select("target_id", "candidate_index", F.size("_reasons").alias("n_reasons"), status.alias("gate_status"), reason.alias("gate_reason"))

@@ -8,8 +8,6 @@ import pytest
 from quillon.plans import catalog
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-#: Models and approximate joins have their own tests.
-SLOW = {"bootstrap_median_ci", "target_pools", "audit_contamination"}
 
 
 def norm(v):
@@ -26,7 +24,7 @@ def duck(sf):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query(spark, sf, duck, name):
     df = catalog.QUERIES[name](spark, sf)
     cols = sorted(df.columns)
