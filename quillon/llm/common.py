@@ -2,37 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.session import new_path, small_batches
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir``.
-
-    A temporary folder is taken only where the session names none (tests on one machine).
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-#: Rows and bytes of text that a Python worker gets at once; the session's defaults suit narrow rows.
-BATCH_ROWS, BATCH_BYTES = 1000, "8m"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Set the session's Arrow batches for rows with long texts, unless they are smaller already."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+__all__ = ["drop", "free_name", "save", "scratch", "small_batches"]
 
 
 #: Paths of saved tables, as they were made.
@@ -48,7 +25,7 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     small_batches(spark)
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     _paths.append(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -76,3 +53,11 @@ def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
     for path in [p for p in _paths[before:] if p not in keep]:
         _paths.remove(path)
         _delete(spark, path)
+
+
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores before it until no column of ``taken`` has it (whatever its case)."""
+    lower = {x.lower() for x in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name

@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import drop, save, small_batches
-from .components import components
+from .components import components, forest
 from .shingles import mix, set_digests, shingle_groups
 
 _U = np.uint64
@@ -618,21 +618,6 @@ def verify(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, k: i
     return links
 
 
-def forest(links: np.ndarray) -> np.ndarray:
-    """As few of the links as connect the same nodes: each node with the smallest of its tree."""
-    node, link = np.unique(links, return_inverse=True)
-    link = link.reshape(-1, 2)
-    root = np.arange(len(node))
-    while len(link):
-        low, high = root[link].min(axis=1), root[link].max(axis=1)
-        np.minimum.at(root, high, low)
-        while (again := root[root] != root).any():
-            root = root[root]
-        link = link[root[link[:, 0]] != root[link[:, 1]]]
-    tied = root != np.arange(len(node))
-    return np.stack([node[tied], node[root[tied]]], 1) if len(node) else np.zeros((0, 2), np.int64)
-
-
 def jaccard_classes(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: tuple[int, int] = (80, 100)
 ) -> DataFrame:

@@ -22,8 +22,8 @@ from .common import small_batches
 
 #: Components of the vectors.
 DIM = 512
-#: Letters are told apart by 128 classes: 0 parts words, a-z have their own, others share the rest.
-CLASSES = 128
+#: Letters are told apart by classes: 0 parts words, a-z have their own, others share the rest.
+CLASSES = 1024
 SEED = 20_240_501
 #: Expected number of training texts for each language (a hash of the id picks them).
 TRAIN_PER_LANG = 3000
@@ -42,7 +42,7 @@ LONG, QUANTILE = 64, 0.999
 @lru_cache(maxsize=1)
 def letter_classes() -> np.ndarray:
     """Class of each code point; 0 for what is no letter."""
-    out = np.zeros(0x110000, np.uint8)
+    out = np.zeros(0x110000, np.uint16)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():

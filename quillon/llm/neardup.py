@@ -6,7 +6,9 @@ split into blocks of components.  Two linking vectors must be within a block's p
 distance, in proportion to its components, in one block at least.  So every block is range-joined by
 itself: a grid over its first components deals the rows, a row goes to each cell that its range
 reaches, and within a cell tiles of rows are compared in the block's components.  Pairs within the
-range are checked exactly on the whole vectors, in double precision.
+range are checked exactly on the whole vectors, in double precision.  How fine the grid is follows from
+the number of rows and from what a sample of them shows: finer grids compare fewer pairs and copy rows
+more often.
 
 A pair that several blocks find counts in the first of them only, which each task can tell by itself,
 so no list of pairs is made: tasks hand on counts and a spanning forest of links per row.
@@ -21,18 +23,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
-from .components import components
-from .jaccard import forest
+from .common import drop, save
+from .components import components, forest
 
 #: Blocks that the components are split into.
 BLOCKS = 4
-#: Most rows on one side of a task, and the least number of sides of the largest cell.
-SIDE, SIDES = 16_384, 4
-#: Rows of a cell, about, from which on the grid is made finer.
-CELL = 65_536
-#: The grid has two cells for each of at most so many components.
-BITS_MOST = 8
+#: Most rows on one side of a task.
+SIDE = 16_384
+#: Rows of the sample that the grid's cost is estimated from, and the least number of its components; it
+#: has two cells for each.
+SAMPLE, BITS_LEAST = 4096, 2
+#: Seconds, about, for a copy of a row and for a pair of rows compared; only their ratio matters.
+COPY, PAIR = 4e-6, 4e-9
 SEED = 7_919
 #: Distances are compared with this much room for rounding; what is let through is checked exactly.
 ROOM = 1e-4
@@ -84,14 +86,54 @@ def reach(x: np.ndarray, bits: int, budget: float) -> Iterator[tuple[np.ndarray,
             yield rows, cell[rows], False
 
 
+def grid_share(part: np.ndarray, bits: int, budget: float) -> tuple[float, float]:
+    """(copies of a row, share of all pairs that meet in a cell) of a grid over ``bits`` components."""
+    home, guests = np.zeros(1 << bits), np.zeros(1 << bits)
+    for _, cell, at_home in reach(part, bits, budget):
+        count = np.bincount(cell, minlength=1 << bits)
+        home, guests = (home + count, guests) if at_home else (home, guests + count)
+    n = len(part)
+    return (home.sum() + guests.sum()) / n, float((home * (home - 1) / 2 + home * guests).sum()) / max(1, n * (n - 1) / 2)
+
+
+def grid_bits(sample: np.ndarray, n: int, budget: float) -> int:
+    """Components of the grid for which copies and pairs of ``n`` rows cost least."""
+    part = np.split(rotate(unit_rows(sample)), BLOCKS, axis=1)[0] if len(sample) else np.zeros((0, 1))
+    best, bits = (np.inf, 0), 0
+    for bits in range(min(BITS_LEAST, part.shape[1]), part.shape[1] + 1):
+        copies, share = grid_share(part, bits, budget) if len(part) else (1, 1)
+        cost = COPY * n * copies + PAIR * n * (n - 1) / 2 * share
+        best = min(best, (cost, bits))
+        if cost > 2 * best[0] or not len(part):
+            break
+    return best[1]
+
+
 def matrix(column: pa.Array, width: int) -> np.ndarray:
+    n = column.value_lengths().to_numpy()
     out = np.zeros((len(column), width))
-    for i, x in enumerate(column):
-        v = x.values.to_numpy(zero_copy_only=False)
-        out[i, : len(v)] = v
+    out[np.arange(width) < n[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
+def deal_counts(rows: DataFrame, width: int, bits: int, budget: float) -> DataFrame:
+    """(block, cell, at_home, guests): rows of each cell, counted by task first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, BLOCKS, 1 << bits), np.int64)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                x = rotate(unit_rows(matrix(whole.column("vector").slice(at, 2048), width)))
+                for k, part in enumerate(np.split(x, BLOCKS, axis=1)):
+                    for _, cell, home in reach(part, bits, budget):
+                        total[int(not home), k] += np.bincount(cell, minlength=1 << bits)
+        block, cell = np.nonzero(total.sum(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array(cell.astype(np.int32)), *[pa.array(t[block, cell]) for t in total]], ["block", "cell", "at_home", "guests"])
+
+    found = rows.select("vector").mapInArrow(run, "block int, cell int, at_home long, guests long")
+    return found.groupBy(F.col("block").alias("_block"), F.col("cell").alias("_cell")).agg(F.sum("at_home").alias("_h"), F.sum("guests").alias("_g"))
+
+
 def deal(rows: DataFrame, width: int, bits: int, budget: float) -> DataFrame:
     """(block, cell, home, node, weight, vector) for every cell a row goes to."""
     kind = rows.schema["vector"].dataType.simpleString()
@@ -102,7 +144,7 @@ def deal(rows: DataFrame, width: int, bits: int, budget: float) -> DataFrame:
                 b = whole.slice(at, 2048)
                 x = rotate(unit_rows(matrix(b.column("vector"), width)))
                 for k, part in enumerate(np.split(x, BLOCKS, axis=1)):
-                    for who, cell, home in reach(part, min(bits, part.shape[1]), budget):
+                    for who, cell, home in reach(part, bits, budget):
                         take = b.take(pa.array(who))
                         n = len(who)
                         yield pa.RecordBatch.from_arrays(
@@ -138,13 +180,13 @@ def compare(x: np.ndarray, y: np.ndarray, block: int, cosine: float, budget: flo
             yield np.stack([p[link], q[link]], 1)
 
 
-def links(dealt: DataFrame, width: int, cosine: float, budget: float) -> DataFrame:
+def links(nodes: DataFrame, width: int, bits: int, cosine: float, budget: float) -> DataFrame:
     """(node, links, tied): what one task step adds to a row's links, and a node of its tree."""
-    count = dealt.groupBy(F.col("block").alias("_block"), F.col("cell").alias("_cell"), F.col("home").alias("_home")).agg(F.count("*").alias("n"))
-    sides = F.greatest(F.lit(1), F.least(F.lit(SIDES), F.col("n")), F.ceil(F.col("n") / SIDE)).cast("int")
-    per = count.groupBy("_block", "_cell").agg(F.coalesce(F.max(F.when(F.col("_home"), sides)), F.lit(0)).alias("_at_home"), F.coalesce(F.max(F.when(~F.col("_home"), sides)), F.lit(0)).alias("_guests"))
-    per = save(per, "neardup-sides")  # a row per cell: BLOCKS * 2 ** BITS_MOST at most
-    rows = dealt.join(F.broadcast(per), (F.col("block") == F.col("_block")) & (F.col("cell") == F.col("_cell")) & (F.col("_at_home") > 0))
+    dealt = deal(nodes, width, bits, budget * (1 + ROOM))
+    sides = lambda n: F.ceil(F.col(n) / SIDE).cast("int")
+    per = deal_counts(nodes, width, bits, budget * (1 + ROOM)).select("_block", "_cell", sides("_h").alias("_at_home"), sides("_g").alias("_guests"))
+    per = save(per, "neardup-sides")  # a row per cell
+    rows = dealt.join(per, (F.col("block") == F.col("_block")) & (F.col("cell") == F.col("_cell")) & (F.col("_at_home") > 0))
     spread = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     rows = rows.withColumn("side", F.when(F.col("home"), spread(F.col("_at_home"))).otherwise(spread(F.col("_guests"))))
     span = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -212,21 +254,31 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     """
     rows = vectors.select(F.col(id_col).alias("_id"), F.col(vector_col).alias("_vector"))
     ok = rows.filter(usable(F.col("_vector")))
-    nodes = ok.groupBy("_vector").agg(F.count("*").alias("weight"), F.min("_id").alias("least")).select(F.xxhash64("_vector").alias("node"), F.col("_vector").alias("vector"), "weight", "least")
-    nodes = save(nodes, "neardup-nodes")
+    seed = 0
+    while True:  # different vectors get different names; a clash, which hardly happens, asks for another seed
+        name = F.xxhash64("_vector", F.lit(seed))
+        nodes = ok.groupBy("_vector").agg(F.count("*").alias("weight"), F.min("_id").alias("least")).select(name.alias("node"), F.col("_vector").alias("vector"), "weight", "least")
+        nodes = save(nodes, "neardup-nodes")
+        if nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+            break
+        drop(nodes)
+        seed += 1
     n, longest = nodes.agg(F.count("*"), F.max(F.size("vector"))).first()
     width, budget = padded(longest or 1), (2 - 2 * cosine) / BLOCKS
     if bits is None:
-        bits = min(BITS_MOST, max(0, (n // CELL).bit_length()))
-    dealt = deal(nodes, width, bits, budget * (1 + ROOM))
-    found = save(links(dealt, width, cosine, budget), "neardup-links")
+        some = nodes.orderBy("node").limit(SAMPLE).select("vector").toPandas()["vector"]  # hashes: a random sample
+        sample = np.zeros((len(some), width))
+        for i, v in enumerate(some):
+            sample[i, : len(v)] = v
+        bits = grid_bits(sample, n, budget * (1 + ROOM))
+    found = save(links(nodes, width, min(bits, width // BLOCKS), cosine, budget), "neardup-links")
     tied = save(components(found.select(F.col("node").alias("a"), F.col("tied").alias("b"))), "neardup-components")
     total = found.groupBy(F.col("node").alias("_node")).agg(F.sum("links").alias("others"))
     whole = nodes.join(total, F.col("node") == F.col("_node"), "left").drop("_node").join(tied.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     whole = whole.select("node", "least", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component"))
     least = whole.groupBy(F.col("component").alias("_component")).agg(F.min("least").alias("component_id"))
     whole = save(whole.join(least, F.col("component") == F.col("_component")).select("node", "n_links", "component_id"), "neardup-classes")
-    done = rows.withColumn("_node", F.when(usable(F.col("_vector")), F.xxhash64("_vector"))).drop("_vector").join(whole, F.col("_node") == F.col("node"), "left")
+    done = rows.withColumn("_node", F.when(usable(F.col("_vector")), name)).drop("_vector").join(whole, F.col("_node") == F.col("node"), "left")
     component = F.coalesce("component_id", "_id")
     return done.select(F.col("_id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("_id") == component).alias("kept"))
 

@@ -2,9 +2,10 @@
 
 Every task cuts and packs its own documents by best fit and closes the bins that are nearly full.
 Bins with room left become items: a tree of ever fewer nodes packs them again, each node closing
-what it fills.  What the tree leaves is packed by the histogram of its sizes, which has at most
-``capacity`` rows whatever the input; every bin then finds its place by its rank within its size.
-No task ever holds more than ``CHUNK`` items.
+what it fills.  The tree ends above ``FAN_IN`` nodes, so that no single task sees all open bins; what
+it leaves is packed by the histogram of its sizes, which has at most ``capacity`` rows whatever the
+input; every bin then finds its place by its rank within its size.  No task ever holds more than
+``CHUNK`` items.
 """
 
 from __future__ import annotations
@@ -196,7 +197,7 @@ def pack_documents(
     place = open_bins.select("bin", F.col("bin").alias("top"), F.lit(0).cast("long").alias("base"))
     nodes = (pieces.agg(F.max("node")).first()[0] or 0) + 1
     before, level = open_bins.count(), 0
-    while nodes > 1 and before:
+    while nodes > FAN_IN and before:
         level, nodes = level + 1, -(-nodes // FAN_IN)
         made = save(pack_nodes(open_bins, nodes, level, capacity), f"pack-level{level}")
         place = save(
