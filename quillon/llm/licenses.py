@@ -2,14 +2,16 @@
 
 Of every ``WINDOW`` word n-grams in a row the one with the smallest hash is a fingerprint, so texts
 that share ``GRAM + WINDOW - 1`` words in a row share a fingerprint.  An inverted index of the
-templates' fingerprints names template and place; hits of one template on nearby diagonals are one
-candidate, which is aligned word by word within a band around them.
+templates' fingerprints names template and place.  Hits of one template on nearby diagonals are one
+candidate, if they are as many as the template's length asks for; it is aligned word by word within a
+band around them, in time in proportion to the template's length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,38 +22,92 @@ from .common import small_batches
 from .shingles import shingle_hashes, words_at
 
 GRAM, WINDOW = 3, 2
+#: Templates of fewer words may be left with runs of two words by the changes that ``COVERAGE`` allows:
+#: their pairs of words are looked for at every place.
+SHORT = 12
 #: Part of a template's words that a match covers at least.
 COVERAGE = 0.8
+#: Hits that a candidate has at least, for each word of its template.  Four in five words in their order
+#: leave about four times as many.
+HITS = 0.05
+#: Words that an alignment may be off its diagonal: a fifth of the template's, within these.
+BAND = (2, 64)
 #: Words that all templates may have together: the index goes to every task.
 TEMPLATE_WORDS = 1_000_000
+#: Full license texts, one file each; the file's name is the template's.
+FOLDER = Path(__file__).parent / "license_texts"
 
-# Public license notices.
-TEMPLATES = {
-    "MIT": "Released under the MIT License.",
-    "MIT-grant": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        'documentation files (the "Software"), to deal in the Software without restriction'
-    ),
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+# Public license notices and short licenses.
+BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution."
+)
+BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission."
+)
+BSD_TAIL = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+NOTICES = {
+    "MIT-notice": "Released under the MIT License.",
+    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
         "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
     ),
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."
     ),
-    "BSD": (
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+        "to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
+        "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+        'Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT "
+        "SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION "
+        "OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        'IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+        "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "BSD-2-Clause": BSD_HEAD + " " + BSD_TAIL,
+    "BSD-3-Clause": BSD_HEAD + " " + BSD_NAMES + " " + BSD_TAIL,
+    "BSD-notice": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met"
     ),
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "All-rights-reserved": "All rights reserved.",
 }
 
 
+def templates() -> dict[str, str]:
+    """The notices above and the full texts of ``FOLDER``."""
+    return NOTICES | {f.stem: f.read_text("utf-8") for f in sorted(FOLDER.glob("*.txt"))}
+
+
 def winnow(grams: np.ndarray) -> np.ndarray:
     """Places of the fingerprints: the smallest hash of each window, the last of equal ones."""
     n = len(grams)
@@ -62,88 +118,114 @@ def winnow(grams: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Index:
-    """Templates' words and an inverted index, sorted by fingerprint."""
+class Postings:
+    """Hashes, ascending, with the template and the place in it."""
 
-    names: list[str]
-    words: list[np.ndarray]
     prints: np.ndarray
     template: np.ndarray
     place: np.ndarray
-    #: Grams of templates that are too short to be sure of a fingerprint: looked for at every place.
-    short: np.ndarray
 
     @classmethod
-    def build(cls, templates: Mapping[str, str]) -> Index:
-        words = [words_at(t, plain=True)[0] for t in templates.values()]
+    def of(cls, grams: list[tuple[int, np.ndarray]]) -> Postings:
+        name = np.concatenate([np.full(len(g), t) for t, g in grams] or [np.zeros(0, np.int64)])
+        place = np.concatenate([np.arange(len(g)) for _, g in grams] or [np.zeros(0, np.int64)])
+        prints = np.concatenate([g for _, g in grams] or [np.zeros(0, np.uint64)])
+        order = np.argsort(prints, kind="stable")
+        return cls(prints[order], name[order], place[order])
+
+    def hits(self, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """(template, diagonal) of every posting of the grams at the places ``at``."""
+        lo, hi = (np.searchsorted(self.prints, grams[at], side) for side in ("left", "right"))
+        n = hi - lo
+        k = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.stack([self.template[k], np.repeat(at, n) - self.place[k]], 1)
+
+
+@dataclass
+class Index:
+    """Templates' words, postings of all their grams, and of the pairs of words of short ones."""
+
+    names: list[str]
+    words: list[np.ndarray]
+    grams: Postings
+    pairs: Postings
+
+    @classmethod
+    def build(cls, texts: Mapping[str, str]) -> Index:
+        words = [words_at(t, plain=True)[0] for t in texts.values()]
         if sum(map(len, words)) > TEMPLATE_WORDS:
             raise ValueError(f"templates may have {TEMPLATE_WORDS} words together")
-        rows = []
-        for i, w in enumerate(words):
-            grams = shingle_hashes(w, GRAM)
-            # every gram of a template is indexed: the text's winnowing needs no luck at its edges
-            rows += [(g, i, p) for p, g in enumerate(grams.tolist())]
-        rows.sort()
-        column = lambda k, kind: np.array([r[k] for r in rows], kind)
-        short = np.unique([g for g, i, _ in rows if len(words[i]) < GRAM + WINDOW - 1]).astype(np.uint64)
-        return cls(list(templates), words, column(0, np.uint64), column(1, np.int64), column(2, np.int64), short)
+        # every gram of a template is indexed: the text's winnowing needs no luck at its edges
+        grams = [(i, shingle_hashes(w, GRAM)) for i, w in enumerate(words) if len(w) >= GRAM]
+        pairs = [(i, shingle_hashes(w, 2)) for i, w in enumerate(words) if 2 <= len(w) < SHORT]
+        return cls(list(texts), words, Postings.of(grams), Postings.of(pairs))
 
 
 def band(n: int) -> int:
     """Words that an alignment may be off its diagonal."""
-    return max(2, n // 5)
+    return min(max(BAND[0], n // 5), BAND[1])
 
 
-def align(template: list[int], text: list[int], width: int) -> tuple[int, int, int]:
-    """(matched words, first, last) of the best alignment: most matches less gaps.
+def align(template: np.ndarray, text: np.ndarray, width: int) -> tuple[int, int, int]:
+    """(matched words, first, last) of the best alignment: 2 for a match, -1 for a change or a gap.
 
-    Word i of the template may stand at i .. i + ``width`` of ``text``.
+    Word i of the template may stand at i .. i + ``width`` of ``text``.  A row of scores is a few numpy
+    steps; what was chosen is kept as bits and followed back.
     """
-    n, none = len(text), (0, 0, -1, -1)  # score, matched, first, last
-    above = [none] * (width + 1)
-    for i, word in enumerate(template):
-        row = []
-        for o in range(width + 1):
-            j = i + o
-            score, matched, first, last = above[o]  # both words used
-            if j < n and text[j] == word:
-                best = (score + 2, matched + 1, first if first >= 0 else j, j)
-            else:
-                best = (score - 1, matched, first, last)
-            if o < width and (x := above[o + 1])[0] - 1 > best[0]:  # a template word without a text word
-                best = (x[0] - 1, *x[1:])
-            if o and row[o - 1][2] >= 0 and row[o - 1][0] - 1 > best[0]:  # a text word without a template word
-                best = (row[o - 1][0] - 1, *row[o - 1][1:])
-            row.append(best)
-        above = row
-    _, matched, first, last = max(above, key=lambda x: (x[0], x[1], -x[2]))
+    n, at = len(template), np.arange(width + 1)
+    padded = np.concatenate([text, np.zeros(max(0, n + width - len(text)), text.dtype)])
+    score = np.zeros(width + 1, np.int64)
+    same, up, left = (np.zeros((n, width + 1), bool) for _ in range(3))
+    for i in range(n):
+        same[i] = (padded[i : i + width + 1] == template[i]) & (i + at < len(text))
+        used = score + np.where(same[i], 2, -1)  # both words
+        skipped = np.append(score[1:] - 1, -(1 << 40))  # a template word without a text word
+        best = np.maximum(used, skipped)
+        up[i] = skipped > used
+        score = np.maximum.accumulate(best + at) - at  # text words without a template word
+        left[i] = score > best
+    o, i = int(score.argmax()), n - 1
+    matched, first, last = 0, -1, -1
+    while i >= 0:
+        if left[i, o]:
+            o -= 1
+        elif up[i, o]:
+            i, o = i - 1, o + 1
+        else:
+            if same[i, o]:
+                matched, first, last = matched + 1, i + o, max(last, i + o)
+            i -= 1
     return matched, first, last
 
 
 def find(text: str, index: Index, coverage: float) -> list[tuple[str, float, int, int, int]]:
     """(template, coverage, matched words, first code point, end) of each match in a text."""
     words, starts, ends = words_at(text, plain=True)
-    grams = shingle_hashes(words, GRAM)
-    if len(words) < GRAM:
+    if len(words) < 2:
         return []
-    at = np.union1d(winnow(grams), np.flatnonzero(np.isin(grams, index.short))).astype(np.int64)
-    lo, hi = np.searchsorted(index.prints, grams[at], "left"), np.searchsorted(index.prints, grams[at], "right")
-    hit = np.flatnonzero(hi > lo)
-    if not len(hit):
+    grams, pairs = shingle_hashes(words, GRAM) if len(words) >= GRAM else words[:0], shingle_hashes(words, 2)
+    hits = np.concatenate([index.grams.hits(grams, winnow(grams)), index.pairs.hits(pairs, np.flatnonzero(np.isin(pairs, index.pairs.prints)))])
+    if not len(hits):
         return []
-    pairs = sorted({(int(index.template[k]), int(at[h] - index.place[k])) for h in hit for k in range(lo[h], hi[h])})
-    done, found = (-1, 0), []
-    for t, diagonal in pairs:
-        n = len(index.words[t])
-        b = band(n)
-        if done[0] == t and diagonal - done[1] <= b:
-            continue  # within the band of the candidate before
-        done = (t, diagonal)
-        begin = diagonal - b  # before the text's first word there is none
-        window = [-1] * -begin + words[max(0, begin) : max(0, diagonal + n + 2 * b)].tolist()
-        matched, first, last = align(index.words[t].tolist(), window, 3 * b)
-        if matched >= coverage * n:
-            found.append((t, matched / n, matched, begin + first, begin + last))
+    hits, count = np.unique(hits, axis=0, return_counts=True)
+    found = []
+    for t in np.unique(hits[:, 0]).tolist():
+        mine = hits[:, 0] == t
+        diagonal, k, n = hits[mine, 1], np.cumsum(count[mine]), len(index.words[t])
+        b, i = band(n), 0
+        while i < len(diagonal):
+            j = int(np.searchsorted(diagonal, diagonal[i] + b, side="right"))
+            if k[j - 1] - (k[i - 1] if i else 0) < HITS * n:
+                i += 1
+                continue
+            begin = int(diagonal[i]) - b  # before the text's first word there is none
+            window = words[max(0, begin) : max(0, int(diagonal[i]) + n + 2 * b)]
+            if begin < 0:
+                window = np.concatenate([np.zeros(-begin, words.dtype), window])
+            matched, first, last = align(index.words[t], window, 3 * b)
+            if matched >= coverage * n:
+                found.append((t, matched / n, matched, begin + first, begin + last))
+            i = j  # diagonals within the band are one candidate
     # overlapping matches of one template are one: the fullest, then the first
     kept: list[tuple] = []
     for x in sorted(found, key=lambda x: (x[0], x[3], x[4])):
@@ -157,16 +239,17 @@ def find(text: str, index: Index, coverage: float) -> list[tuple[str, float, int
 
 
 def scan_licenses(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, str] = TEMPLATES, coverage: float = COVERAGE
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", texts: Mapping[str, str] | None = None, coverage: float = COVERAGE
 ) -> DataFrame:
     """(id, license, coverage, matched_words, start, end) for every match in the whole texts.
 
     Words are compared without case and punctuation; spans are code points.  Overlapping matches of
-    one template are one.  Null, empty and short texts have none; repeated rows each have theirs;
+    one template are one.  ``texts`` names the templates (see ``templates`` for the default); all of them
+    together go to every task.  Null, empty and short texts have none; repeated rows each have theirs;
     other columns aren't looked at; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    index = Index.build(templates)
+    index = Index.build(templates() if texts is None else texts)
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
     kind = rows.schema[id_col].dataType.simpleString()
     kinds = [pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]

@@ -38,7 +38,7 @@ LOGIN = re.compile(r"(?ai)(?<![A-Za-z0-9])(?:user(?:name|_?id)?|login|account|cl
 WEAK = re.compile(r"(?ai)(?<![A-Za-z0-9])(?:pwd|pass|credential|signature|private_?key|auth)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}")
 # Runs of these characters with a digit, a capital and a small letter.
 OPAQUE = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{24,}")
-ENDPOINT = re.compile(r"(?a)\b(?:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+|(?<![A-Za-z0-9])(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]{4,}(?::[0-9]+)?")
+ENDPOINT = re.compile(r"(?ai)\b(?:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+|(?<![A-Za-z0-9])(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]{4,}(?::[0-9]+)?")
 DIGIT, SMALL, CAPITAL = (re.compile(p) for p in ("[0-9]", "[a-z]", "[A-Z]"))
 ROLE = {"assign": "secret", "hex": "secret", "weak": "secret", "access": "id", "login": "id", "endpoint": "endpoint"}
 

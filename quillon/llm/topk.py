@@ -3,9 +3,12 @@
 The index holds blocks of rows.  In a block every dimension has posting segments: the rows whose
 component is in one quantisation level.  A query's segments are processed by descending impact (the
 most that a component of the level can add to the score), so accumulators are upper bounds of the
-part seen so far.  What is unseen adds at most the next impact for each dimension; once the rows
-whose bound reaches the k-th best exact score are few, or nothing positive is left, those rows are
-scored exactly and the rest is proven out.
+part seen so far.  What is unseen adds at most the next impact for each dimension, and no more than that
+dimension's largest; once the rows whose bound reaches the k-th best exact score are few, or nothing
+positive is left, those rows are scored exactly and the rest is proven out.
+
+Every query meets one block first, whose k-th best score is a threshold for all others: a block whose
+bound stays below it is skipped, and in the others proofs hold earlier.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,17 +49,17 @@ def _matrix(lists: list[list[int]], width: int) -> np.ndarray:
 
 
 def build_index(rows: DataFrame) -> DataFrame:
-    """(block, width, ids, values, posting, segments): one row per block of (id, v) rows.
+    """(key, n, width, ids, values, posting, segments): one row per block of (id, v) rows.
 
     ``posting`` has, dimension by dimension, the block's rows by level; ``segments`` has (dimension,
     first posting, end, least value, largest value) of each level.  Shorter vectors end in zeros.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors = [], []
+        ids, vectors, key = [], [], TaskContext.get().partitionId() << 32
 
         def flush() -> pa.RecordBatch:
-            nonlocal ids, vectors
+            nonlocal ids, vectors, key
             width = max(map(len, vectors))
             m = _matrix(vectors, width)
             order = np.argsort(m, axis=0, kind="stable").astype(np.int32)
@@ -67,9 +71,9 @@ def build_index(rows: DataFrame) -> DataFrame:
                 level = (values - low[d]) // step
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1, [len(values)]])
                 segments.append(np.stack([np.full(len(cut) - 1, d), cut[:-1], cut[1:], values[cut[:-1]], values[cut[1:] - 1]], 1))
-            found = [len(ids), width, np.array(ids, np.int64).tobytes(), m.tobytes(), order.T.tobytes(), np.concatenate(segments).tobytes() if segments else b""]
-            ids, vectors = [], []
-            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(found, [pa.int64(), pa.int64(), *[pa.binary()] * 4])], ["n", "width", "ids", "values", "posting", "segments"])
+            found = [key, len(ids), width, np.array(ids, np.int64).tobytes(), m.tobytes(), order.T.tobytes(), np.concatenate(segments).tobytes() if segments else b""]
+            ids, vectors, key = [], [], key + 1
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(found, [*[pa.int64()] * 3, *[pa.binary()] * 4])], ["key", "n", "width", "ids", "values", "posting", "segments"])
 
         for b in batches:
             ids += b.column("id").to_pylist()
@@ -82,11 +86,14 @@ def build_index(rows: DataFrame) -> DataFrame:
         if ids:
             yield flush()
 
-    return rows.select("id", "v").mapInArrow(run, "n long, width long, ids binary, values binary, posting binary, segments binary")
+    return rows.select("id", "v").mapInArrow(run, "key long, n long, width long, ids binary, values binary, posting binary, segments binary")
+
 
+def search(q: np.ndarray, ids: np.ndarray, m: np.ndarray, posting: np.ndarray, segments: np.ndarray, own: int | None, k: int, floor: int | None = None) -> list[tuple[int, int]]:
+    """(score, id) of the block's k best rows for one query, ties to the smaller id.
 
-def search(q: np.ndarray, ids: np.ndarray, m: np.ndarray, posting: np.ndarray, segments: np.ndarray, own: int | None, k: int) -> list[tuple[int, int]]:
-    """(score, id) of the block's k best rows for one query, ties to the smaller id."""
+    With ``floor``, rows that score less may be left out.
+    """
     n, width = m.shape
     q = q[:width]
     rows = np.arange(n) if own is None else np.flatnonzero(ids != own)
@@ -96,6 +103,10 @@ def search(q: np.ndarray, ids: np.ndarray, m: np.ndarray, posting: np.ndarray, s
     if len(rows) > 4 * k:
         weight = q[segments[:, 0]]
         impact = np.maximum(weight * segments[:, 3], weight * segments[:, 4])
+        most = np.full(width, -EXACT)  # of each dimension
+        np.maximum.at(most, segments[:, 0], impact)
+        if floor is not None and most.sum() < floor:
+            return []
         order = np.argsort(-impact, kind="stable")
         positive = int((impact > 0).sum())
         bound = np.zeros(n, np.int64)
@@ -108,11 +119,12 @@ def search(q: np.ndarray, ids: np.ndarray, m: np.ndarray, posting: np.ndarray, s
                 d, i, j = segments[s, :3]
                 bound[posting[d, i:j]] += impact[s]
             at = end
-            # unseen components add at most the next impact, or nothing if it isn't positive
-            rest = width * max(0, int(impact[order[at]])) if at < len(order) else 0
+            # an unseen component adds at most the next impact and its dimension's largest, or nothing
+            rest = int(np.clip(most, 0, max(0, int(impact[order[at]]))).sum()) if at < len(order) else 0
             best = np.argpartition(bound, n - 2 * k)[n - 2 * k :]
             best = best[bound[best] > -EXACT // 2]
             least = np.partition(m[best] @ q, len(best) - k)[len(best) - k]
+            least = least if floor is None else max(least, floor)
             rows = np.flatnonzero(bound + rest >= least)
             if own is not None:
                 rows = rows[ids[rows] != own]
@@ -129,15 +141,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
     Components are floor(scale * x).  Rows with the query's id are left out; ties go to the smaller
     id.  Null vectors and vectors with null or non-finite components take no part on either side,
     repeated queries count once, repeated rows are rows, and with fewer than ``k`` rows all come
-    back.  Blocks of queries meet blocks of rows, each pair in one task step; a step hands on ``k``
-    rows per query.
+    back; an empty table gives no rows.  Packs of queries go to blocks of rows, each pair in one task
+    step, which hands on ``k`` rows per query at most; the index is shuffled once, whatever the number
+    of queries.
     """
     pick = lambda df: df.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"))
     index = save(build_index(pick(vectors)), "topk-index")
+    number = F.row_number().over(W.partitionBy(F.lit(0)).orderBy("_key")) - 1  # a row per block
+    number = index.select(F.col("key").alias("_key")).withColumn("block", number)
+    index, blocks = index.join(number, F.col("key") == F.col("_key")).drop("key", "_key"), max(1, index.count())
     asked = save(pick(queries).distinct(), "topk-queries")
-    blocks = max(1, -(-asked.count() // QUERIES))
-    packs = asked.withColumn("pack", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))).groupBy("pack").agg(F.collect_list(F.struct("id", "v")).alias("queries"))
-    pairs = index.withColumn("_pack", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packs, F.col("_pack") == F.col("pack"))
+    packs = max(1, -(-asked.count() // QUERIES))
+    asked = asked.withColumn("pack", F.pmod(F.xxhash64("id", "v"), F.lit(packs)).cast("int")).withColumn("number", F.xxhash64("v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,18 +163,25 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
                 posting = np.frombuffer(cell("posting"), np.int32).reshape(width, n)
                 segments = np.frombuffer(cell("segments"), np.int64).reshape(-1, 5)
                 out = []
-                for number, x in enumerate(cell("queries")):
+                for x in cell("queries"):
                     q = np.zeros(max(width, len(x["v"])), np.int64)
                     q[: len(x["v"])] = x["v"]
-                    out += [(x["id"], number, i, s) for s, i in search(q, ids, m, posting, segments, x["id"], k)]
-                pack = cell("pack")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.int64()), pa.array([pack * QUERIES * 64 + x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.int64())],
-                    ["query_id", "_query", "_id", "score"],
-                )
-
-    found = pairs.select("n", "width", "ids", "values", "posting", "segments", "pack", "queries").mapInArrow(run, "query_id long, _query long, _id long, score long")
-    found = save(found, "topk-found")
+                    out += [(x["id"], x["number"], i, s) for s, i in search(q, ids, m, posting, segments, x["id"], k, x["floor"])]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(4)], ["query_id", "_query", "_id", "score"])
+
+    def meet(rows: DataFrame, where: Column) -> DataFrame:
+        """Best rows of the blocks ``where`` for each query; rows has (id, v, number, pack, floor)."""
+        held = rows.groupBy("pack").agg(F.collect_list(F.struct("id", "v", "number", "floor")).alias("queries"))  # about QUERIES
+        pairs = held.withColumn("block", F.explode(where)).join(index, "block")
+        return save(pairs.select("n", "width", "ids", "values", "posting", "segments", "queries").mapInArrow(run, "query_id long, _query long, _id long, score long"), "topk-found")
+
+    home = F.pmod(F.col("pack"), F.lit(blocks)).cast("int")
+    found = meet(asked.withColumn("floor", F.lit(None).cast("long")), F.array(home))
+    if blocks > 1:
+        least = found.groupBy("query_id", "_query").agg(F.count("*").alias("_n"), F.min("score").alias("_least")).filter(F.col("_n") == k)
+        least = asked.join(least, (F.col("id") == F.col("query_id")) & (F.col("number") == F.col("_query")), "left")
+        others = F.array_remove(F.sequence(F.lit(0), F.lit(blocks - 1)), home)
+        found = found.unionByName(meet(least.select("id", "v", "number", "pack", F.col("_least").alias("floor")), others))
     rank = F.row_number().over(W.partitionBy("query_id", "_query").orderBy(F.col("score").desc(), F.col("_id")))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", F.col("_id").alias(id_col), "score")
 

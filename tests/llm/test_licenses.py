@@ -1,8 +1,30 @@
 import random
+import time
 
+import numpy as np
 from quillon.llm import licenses
+from quillon.llm.shingles import words_at
 
-LONG = licenses.TEMPLATES["GPL-3.0-header"]
+LONG = licenses.NOTICES["GPL-3.0-header"]
+
+
+def brute(text, texts, coverage=0.8):
+    """Names of the templates whose best alignment anywhere in the text covers enough of their words."""
+    words, out = words_at(text, plain=True)[0].tolist(), set()
+    for name, template in texts.items():
+        t = words_at(template, plain=True)[0].tolist()
+        if not words:
+            continue
+        at, w = np.arange(len(words) + 1), np.array(words, np.uint64)
+        score = np.zeros(len(words) + 1, np.int64)  # by text words used; matched words as a second digit
+        for x in t:
+            best = score - 1_000_000
+            best[1:] = np.maximum(best[1:], score[:-1] + np.where(w == np.uint64(x), 2_000_001, -1_000_000))
+            score = np.maximum.accumulate(best + 1_000_000 * at) - 1_000_000 * at
+        top = int(score.max())
+        if top % 1_000_000 >= coverage * len(t):
+            out.add(name)
+    return out
 
 
 def names(found):
@@ -10,10 +32,10 @@ def names(found):
 
 
 def test_exact_and_edited_matches_with_spans():
-    index = licenses.Index.build(licenses.TEMPLATES)
+    index = licenses.Index.build(licenses.NOTICES)
     rng = random.Random(4)
     filler = [f"w{i}" for i in range(500)]
-    for name, text in licenses.TEMPLATES.items():
+    for name, text in licenses.NOTICES.items():
         for prefix in ["", "é ü " * 7, " ".join(rng.choices(filler, k=300)) + "\n"]:
             whole = prefix + text + " " + " ".join(rng.choices(filler, k=20))
             hit = [x for x in licenses.find(whole, index, 0.8) if x[0] == name]
@@ -31,7 +53,7 @@ def test_exact_and_edited_matches_with_spans():
 
 
 def test_clean_texts_and_repeats():
-    index = licenses.Index.build(licenses.TEMPLATES)
+    index = licenses.Index.build(licenses.NOTICES)
     assert licenses.find("this work is about the general public and its rights", index, 0.8) == []
     assert licenses.find("", index, 0.8) == [] and licenses.find("all rights", index, 0.8) == []
     assert len(licenses.find("All rights reserved. x y z q. " * 50, index, 0.8)) == 50
@@ -41,8 +63,8 @@ def test_query_finds_every_notice(spark, sf):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = {(r["doc_id"], r["license"], r["start"]): r for r in licenses.op7_licenses(spark, sf).collect()}
     for i, text in docs.items():
-        for name in ("MIT", "Apache-2.0", "GPL-3.0", "All-rights-reserved"):
-            at = text.find(licenses.TEMPLATES[name])
+        for name in ("MIT-notice", "Apache-2.0-notice", "GPL-3.0-notice", "All-rights-reserved"):
+            at = text.find(licenses.NOTICES[name])
             if at >= 0:
                 assert got[i, name, at]["coverage"] == 1.0
 
@@ -53,3 +75,36 @@ def test_odd_rows(spark):
     out = licenses.scan_licenses(df).collect()
     assert sorted((str(r["doc_id"]), r["license"]) for r in out) == [("3", "GPL-3.0-header")] * 2 + [("None", "GPL-3.0-header")]
     assert licenses.scan_licenses(df.limit(0)).count() == 0
+
+
+def test_table_and_edited_copies_equal_brute_force(spark, sf):
+    index, rng = licenses.Index.build(licenses.NOTICES), random.Random(9)
+    texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect() if r["text"] and len(r["text"]) < 6000][:150]
+    filler = [w for t in texts[:20] for w in t.split()]
+    for name, text in licenses.NOTICES.items():
+        for share in (0.05, 0.1, 0.3, 0.5):
+            w = text.split()
+            for _ in range(round(share * len(w))):
+                i = rng.randrange(len(w))
+                rng.choice([lambda: w.__setitem__(i, "zz"), lambda: w.__setitem__(i, rng.choice(filler)), lambda: w.insert(i, "zz")])()
+            texts.append(" ".join([*rng.choices(filler, k=40), *w, *rng.choices(filler, k=40)]))
+    for t in texts:
+        assert names(licenses.find(t, index, 0.8)) == brute(t, licenses.NOTICES), t[:200]
+
+
+def test_full_texts():
+    every = licenses.templates()
+    index = licenses.Index.build(every)
+    assert {"Apache-2.0", "GPL-3.0", "MPL-2.0", "MIT", "BSD-3-Clause"} <= set(every)
+    for name in ("Apache-2.0", "GPL-3.0", "MPL-2.0", "LGPL-2.1"):
+        words = every[name].split()
+        for k in range(0, len(words), 40):
+            words[k] = "changed"
+        began = time.process_time()
+        found = licenses.find("some text before it " * 50 + " ".join(words) + " and after it" * 50, index, 0.8)
+        assert time.process_time() - began < 3
+        assert [x[0] for x in found if x[0] == name and 0.95 < x[1] < 1] == [name]
+    clean = "the terms of the software and the rights of the people in the form of a work " * 4000
+    began = time.process_time()
+    assert not names(licenses.find(clean, index, 0.8)) & {"GPL-3.0", "Apache-2.0"}
+    assert time.process_time() - began < 3

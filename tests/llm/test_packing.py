@@ -46,7 +46,6 @@ def reference(text, tok):
 
 def verify(rows, docs, capacity=2048):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     want = Counter()
     for i, t in docs:
         ids = reference(t, tok)
