@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -7,9 +8,10 @@ import numpy as np
 from quillon.llm import mixing
 from quillon.llm.common import save
 from quillon.llm.langid import letter_classes
-from test_jaccard import brute
+from test_jaccard import WORD, brute
 from test_packing import verify
 from test_secrets_chat import brute as brute_secrets
+from test_secrets_chat import brute_linked
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -42,7 +44,7 @@ def test_stages_one_by_one(spark):
     taken = {r["doc_id"]: r["repeats"] for r in mixing.mix_sources(third).collect()}
     assert Counter(rows_of(fourth)) == Counter({r: taken[r[0]] for r in rows_of(third) if taken[r[0]]})
 
-    verify(cp.packing_stage(spark, fourth, sf).collect(), [(r[0], r[1]) for r in rows_of(fourth)])
+    verify(cp.packing_stage(spark, fourth, sf).collect(), [(r[0], r[1]) for r in rows_of(fourth)], special=True)
 
 
 def test_repeated_ids_and_empty_tables(spark):
@@ -54,9 +56,64 @@ def test_repeated_ids_and_empty_tables(spark):
         assert stage(spark, docs.limit(0), "").count() == 0
 
 
-def test_run(spark, sf):
-    rows = cp.run(spark, sf).collect()
-    assert rows and all(r["length"] + r["offset"] <= 2048 for r in rows)
+def plain_mix(rows):
+    """How often each row is taken, by sorting each source by hash; (repeats by doc_id)."""
+    words = {r[0]: len(WORD.findall(r[1] or "")) for r in rows}
+    by = {}
+    for r in rows:
+        by.setdefault(r[3], []).append(r[0])
+    order = sorted((s for s in by if s is not None)) + ([None] if None in by else [])
+    size = {s: sum(words[i] for i in by[s]) for s in order}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    target, free, budget = {}, list(order), 1.5 * sum(size.values())
+    while free:  # what is above a cap goes to the others
+        level = (budget - sum(target.values())) / sum(weight[s] for s in free)
+        over = [s for s in free if level * weight[s] > 2 * size[s]]
+        if not over:
+            target |= {s: level * weight[s] for s in free}
+            break
+        target |= {s: 2.0 * size[s] for s in over}
+        free = [s for s in free if s not in over]
+    taken = {}
+    for s in order:
+        rounds = int(target[s] // size[s]) if size[s] else 0
+        left, before = target[s] - rounds * size[s], 0
+        for i in sorted(by[s], key=lambda i: hashlib.md5(str(i).encode()).hexdigest()):
+            taken[i] = rounds + (left > 0 and before + words[i] / 2 <= left)
+            before += words[i]
+    return taken
+
+
+def test_run_equals_a_plain_pipeline(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    known = {r[0] for r in rows_of(cp.language_stage(spark, docs, sf))}  # see the test of this stage below
+    rows = {r[0]: r for r in rows_of(docs) if r[0] in known}
+    rows = {i: r for i, _, c in brute([(r[0], r[1]) for r in rows.values()], 5, 80, 100) if i == c for r in [rows[i]]}
+    clean = {}
+    for i, r in rows.items():
+        out, at, text = [], 0, r[1] or ""
+        for s, e in sorted([(s, e) for s, _, _, e in brute_secrets(text)] + [(s, e) for s, e, _ in brute_linked(text)]):
+            if s >= at:
+                out += [text[at:s], "[SECRET]"]
+            at = max(at, e)
+        clean[i] = (i, "".join([*out, text[at:]]), *r[2:])
+    taken = plain_mix(list(clean.values()))
+    verify(cp.run(spark, sf).collect(), [(i, r[1]) for i, r in clean.items() for _ in range(taken[i])], special=True)
+
+
+def test_odd_columns_and_texts(spark):
+    long = "word " * 150_000 + "user=alice pwd=hunter22 " * 3
+    rows = [(i, f"the words of the house and the garden number {i} " * 3, "en", "s", 5, 1, 2, 3, 4, 5, 6) for i in range(30)]
+    rows += [(100, long, None, None, 5, 1, 2, 3, 4, 5, 6), (101, None, "en", "s", None, 1, 2, 3, 4, 5, 6), (102, "", None, "s", 0, 1, 2, 3, 4, 5, 6), (5, *rows[5][1:])]
+    names = "doc_id long, text string, lang string, source string, n_chars long, _doc int, _ROW int, _kept int, _length int, _time int, component_id int"
+    docs = spark.createDataFrame(rows, names)
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert set(got) <= {r[0] for r in rows} and all(r["_doc"] == 1 and r["_time"] == 5 and r["component_id"] == 6 for r in got.values())
+    assert stage is cp.mixing_stage
+    assert {r["doc_id"] for r in cp.packing_stage(spark, docs, "").collect()} == {r[0] for r in rows}
 
 
 def trigrams_of(text):
