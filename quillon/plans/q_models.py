@@ -110,13 +110,6 @@ def minhash_join(spark, sf):
     return pairs.select(F.col("datasetA.id").alias("id_a"), F.col("datasetB.id").alias("id_b"), scalar.rounded(sim, 6).alias("similarity"))
 
 
-@query("file_manifest")
-def file_manifest(spark, sf):
-    """Digest of every file of the input, compared with a manifest made the same way."""
-    files = readers.file_digests(spark, sf, pattern="*.parquet").select(F.substring_index("path", "/", -1).alias("path"), "digest", "length")
-    return files.join(audit.compare_files(files, files), "path", "left_anti")
-
-
 def stage_events(spark, sf):
     kind = F.when(F.col("value") < 20, "failed").when(F.col("value") < 60, "started").otherwise("complete")
     return table(spark, sf, "events").select(F.col("user_id").alias("run"), F.col("event_type").alias("stage"), "ts", "event_id", kind.alias("status"))
@@ -161,7 +154,7 @@ def feature_cache(spark, sf):
     return models.feature_cache(part, there, lambda todo: todo.withColumn("reused", F.lit(False)))
 
 
-@query("candidate_summary", "SELECT count(*) AS n_rows, count(*) FILTER (trim(p_name) = '') AS blank_ids, count(*) FILTER (trim(p_type) = '') AS blank_structures, NULL::VARCHAR AS error FROM part")
+@query("candidate_summary", "SELECT count(*) AS n_rows, count(*) FILTER (trim(p_name) = '') AS blank_ids, count(*) FILTER (trim(p_type) = '') AS blank_structures, NULL::VARCHAR AS error, (SELECT string_agg(x, ';' ORDER BY x) FROM (SELECT p_name || '=' || p_type AS x FROM part ORDER BY p_name, p_type LIMIT 3)) AS sample FROM part")
 def candidate_summary(spark, sf):
     rows = table(spark, sf, "part").select(F.col("p_name").alias("id"), F.col("p_type").alias("smiles"))
     return readers.candidate_summary(rows)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,27 +34,44 @@ def candidates(spark: SparkSession, path: str, *, strict: bool = True, columns:
     return rows.join(problems.select("id").distinct(), "id", "left_anti"), problems
 
 
+def in_file_order(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a file source with their place from 0 on: by path, then by place in the file.
+
+    Rows are numbered within the splits that tasks read; splits begin where the ones before end.
+    """
+    path, start = F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start")
+    rows = df.select("*", path, start, F.monotonically_increasing_id().alias("_serial"))
+    per = rows.groupBy("_path", "_start").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy("_path", "_start").rowsBetween(W.unboundedPreceding, -1))  # a row per split
+    per = per.select("_path", "_start", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.row_number().over(W.partitionBy("_path", "_start").orderBy("_serial")) - 1
+    return rows.join(per, ["_path", "_start"]).withColumn(name, place).drop("_path", "_start", "_serial", "_before")
+
+
 def candidate_summary(df: DataFrame, *, most: int = 100_000, declared: int | None = None) -> DataFrame:
-    """One row: number of rows, blanks, and the first limit that is broken (NULL if none)."""
+    """One row: number of rows, blanks, the first limit that is broken (NULL if none; it begins with the
+    failing field), and three rows as ``id=smiles``."""
     agg = df.agg(F.count("*").alias("n_rows"), F.count_if(F.trim("id") == "").alias("blank_ids"), F.count_if(F.trim("smiles") == "").alias("blank_structures"))
     error = F.when(F.col("n_rows") == 0, "rows:empty").when(F.col("n_rows") > most, "rows:too_many")
     if declared is not None:
         error = error.when(F.col("n_rows") != declared, "expectedCandidateCount:mismatch")
-    return agg.withColumn("error", error.when(F.col("blank_ids") > 0, "id:blank").when(F.col("blank_structures") > 0, "smiles:blank"))
+    out = agg.withColumn("error", error.when(F.col("blank_ids") > 0, "id:blank").when(F.col("blank_structures") > 0, "smiles:blank"))
+    some = df.orderBy("id", "smiles").limit(3).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "id", "smiles"))), ";").alias("sample"))
+    return out.crossJoin(F.broadcast(some))  # one row each
 
 
 def labelled_pairs(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
-    """(source, source_smiles, target_text, label) of several CSV files; only valid rows."""
+    """(source, row, source_smiles, target_text, label) of several CSV files; only valid rows, with their place."""
     out = None
     for name, path in sources.items():
-        df = spark.read.option("header", True).csv(path).select(F.lit(name).alias("source"), F.trim("source_smiles").alias("source_smiles"), F.trim("target_text").alias("target_text"), label(F.col("label")).alias("label"))
+        df = in_file_order(spark.read.option("header", True).csv(path), "row").select(F.lit(name).alias("source"), "row", F.trim("source_smiles").alias("source_smiles"), F.trim("target_text").alias("target_text"), label(F.col("label")).alias("label"))
         out = df if out is None else out.unionByName(df)
     return out.filter("label is not null and source_smiles <> '' and target_text <> ''")
 
 
 def keyed_lines(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """TSV with # comments: the first line of each key (the first column) wins."""
-    text = spark.read.text(path).select(F.col("value"), F.monotonically_increasing_id().alias("_no"))
+    text = in_file_order(spark.read.text(path), "_no")
     text = text.filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
     parts = F.split("value", "\t")
     cells = text.select("_no", *[F.nullif(F.trim(F.coalesce(F.get(parts, F.lit(i)), F.lit(""))), F.lit("")).alias(c) for i, c in enumerate(columns)])
@@ -62,13 +80,9 @@ def keyed_lines(spark: SparkSession, path: str, columns: Sequence[str]) -> DataF
 
 
 def numbered_lines(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """(library_index, column): lines that aren't blank with their place.
-
-    The place is the file's order: rows before a partition are counted first.
-    """
-    rows = spark.read.text(path).rdd.zipWithIndex().map(lambda x: (x[1], x[0][0]))
-    df = spark.createDataFrame(rows, T.StructType([T.StructField("library_index", T.LongType()), T.StructField(column, T.StringType())]))
-    return df.select("library_index", F.trim(column).alias(column)).filter(F.col(column) != "")
+    """(library_index, column): lines that aren't blank with their place in the file."""
+    rows = in_file_order(spark.read.text(path), "library_index")
+    return rows.select("library_index", F.trim("value").alias(column)).filter(F.col(column) != "")
 
 
 def library(spark: SparkSession, path: str, column: str, *, least: int = 1) -> DataFrame:
