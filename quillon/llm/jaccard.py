@@ -7,14 +7,16 @@ Small sets list subsets: two sets of sizes s and t link exactly if they share a
 members as the threshold asks for at these sizes, so every set up to the boundary lists its subsets
 of these sizes, once for each size of partner.
 
-Large sets go by inverted lists of shingles, in two steps.  One list per shingle for the whole corpus
-would hold every document with a passage that many share, so the index is cut into blocks first: the
-members of a set are dealt into one part more than two linking sets of that size class can differ by,
-so at least one part is the same in both, and sets with a part in common are in one block.  Members
-that are frequent in the corpus are left out of the parts (two sets differ no more in what is left): a
-set that is mostly frequent members has parts of all of its members.  Within a block every shingle has
-its list of sets; the lists are scanned, the rare ones entry by entry and the common ones in bulk, and
-what two sets have in common is counted.
+Large sets go by inverted lists, in three steps.  One list per shingle for the whole corpus would hold
+every document with a passage that many share, so the lists that find candidates have parts of sets as
+their terms: the members of a set are dealt into one part more than two linking sets of that size class
+can differ by, so at least one part is the same in both.  Members that are frequent in the corpus are
+left out of the parts (two sets differ no more in what is left): a set that is mostly frequent members has
+parts of all of its members.  The lists are scanned for pairs, and a pair stays if the parities of its
+members, counted in buckets, leave room for the threshold (they differ in no more buckets than the sets
+differ in members).  What is tied by such pairs, or by a list too long to take pairs from, is a block.
+Within a block every shingle has its list of sets; the lists are scanned, the rare ones entry by entry and
+the common ones in bulk, and what two sets have in common is counted.
 
 Blocks of copies may be large, so a few sets of a block represent it first: what links with one of them
 is joined, and only sets outside the largest class are scanned against the whole block.  Blocks with
@@ -49,8 +51,11 @@ SUBSETS_MOST = 300
 CHUNK = 1 << 19
 #: Members that are frequent: in more texts than one in ``FREQUENT_PART`` of all members of all texts, so
 #: there are fewer of them than this, whatever the input (they go to every task, 8 bytes each), and in
-#: ``FREQUENT_LEAST`` texts at least.  Any choice gives the same classes.
-FREQUENT_PART, FREQUENT_LEAST = 1_000_000, 8
+#: ``FREQUENT_LEAST`` texts at least; members that a task sees twice in ``COUNTED`` are counted.  Any
+#: choice gives the same classes.
+FREQUENT_PART, FREQUENT_LEAST, COUNTED = 1 << 22, 8, 1 << 22
+#: Sets of a list from which on it makes a block instead of pairs.
+LIST_MOST = 64
 #: Sets and members that a task holds of one block, or of one side of it.
 SIDE_SETS, SIDE_MEMBERS = 2048, 1 << 19
 #: Sets that represent a block, and sets from which on a task asks for representatives.
@@ -206,15 +211,36 @@ def unpack(raw: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def parities(members: np.ndarray, per: np.ndarray) -> list[bytes]:
+    """Of each set, whether an odd number of members is in each of as many buckets as it has members, about."""
+    size = 1 << np.ceil(np.log2(np.maximum(per, 64))).astype(np.int64)
+    first = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(per)), per)
+    slot = first[owner] + (members & (size[owner] - 1).astype(_U)).astype(np.int64)
+    raw = np.packbits((np.bincount(slot, minlength=int(size.sum())) & 1).astype(np.uint8)).tobytes()
+    return [raw[i // 8 : (i + k) // 8] for i, k in zip(first.tolist(), size.tolist())]
+
+
+def may_link(a: bytes, b: bytes, s: int, t: int, least: Threshold) -> bool:
+    """Whether sets of sizes s and t with these parities can link: of buckets that are twice as many, two
+    are one."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum()) <= s + t - 2 * least.overlap(s, t)
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(_id, _name, n_shingles, set_id) of every row, and (member, texts): members that several of a task's sets have.
+    """(_id, _name, n_shingles, set_id, parity) of every row, and (member, texts): members that several of a task's sets have.
 
     ``_name`` is a hash of the text, by which a row is found again where ids are repeated or null.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_name"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    fields = ["_id", "_name", "n_shingles", "set_id", "member", "texts"]
+    fields = ["_id", "_name", "n_shingles", "set_id", "parity", "member", "texts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, sets, held, null = set(), [], 0, None
@@ -225,25 +251,25 @@ def describe(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
             m = len(member)
             for i in range(0, m, 65_536):
                 part = slice(i, i + 65_536)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(n[part]), null), *[pa.nulls(len(n[part]), pa.int64())] * 3, _signed(member[part]), _signed(n[part])], fields)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(n[part]), null), *[pa.nulls(len(n[part]), pa.int64())] * 3, pa.nulls(len(n[part]), pa.binary()), _signed(member[part]), _signed(n[part])], fields)
 
         for b in batches:
             null = b.schema.field("_id").type
             for lo, hi, members, per in shingle_groups(b.column("_text"), k):
                 name, end = set_digests(members, per), np.cumsum(per)
-                yield pa.RecordBatch.from_arrays([b.column("_id").slice(lo, hi - lo), b.column("_name").slice(lo, hi - lo), _signed(per), pa.array(name, mask=per == 0), *[pa.nulls(hi - lo, pa.int64())] * 2], fields)
+                yield pa.RecordBatch.from_arrays([b.column("_id").slice(lo, hi - lo), b.column("_name").slice(lo, hi - lo), _signed(per), pa.array(name, mask=per == 0), pa.array(parities(members, per), pa.binary()), *[pa.nulls(hi - lo, pa.int64())] * 2], fields)
                 for x, i, j in zip(name.tolist(), (end - per).tolist(), end.tolist()):
                     if i < j and x not in seen:  # copies count once
                         seen.add(x)
                         sets.append(members[i:j])
                         held += j - i
-                if held >= CHUNK:
+                if held >= COUNTED:
                     yield from flush()
                     seen, sets, held = set(), [], 0
         if held:
             yield from flush()
 
-    return rows.mapInArrow(run, f"_id {kind}, _name long, n_shingles long, set_id long, member long, texts long")
+    return rows.mapInArrow(run, f"_id {kind}, _name long, n_shingles long, set_id long, parity binary, member long, texts long")
 
 
 def frequent_members(found: DataFrame, members: int) -> np.ndarray:
@@ -253,12 +279,29 @@ def frequent_members(found: DataFrame, members: int) -> np.ndarray:
     return np.sort(rows["member"].to_numpy(np.int64).astype(_U))
 
 
-def ties(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, buckets: int, frequent: np.ndarray) -> DataFrame:
-    """(a, b): sets that have a key in common.
-
-    A task ties the sets that it has itself and hands on one set per key, so a key that very many sets
-    have reaches the next task with one entry from each chunk before.  Entries of a chunk go by ranges
-    of keys, packed into one row per range.
+def _shortened(key: np.ndarray, node: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, sets, start of each list, ties): entries by key, each once; lists of more than ``most`` sets
+    are tied and keep one more than that, so that they stay too long."""
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    once = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+    key, node = key[once], node[once]
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(start, len(key)))
+    place = np.arange(len(key)) - np.repeat(start, size)
+    long = np.repeat(size > most, size)
+    tie = forest(np.stack([node, np.repeat(node[start], size)], 1)[long & (place > 0)])
+    keep = ~long | (place <= most)
+    key, node = key[keep], node[keep]
+    return key, node, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), tie
+
+
+def lists(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, buckets: int, frequent: np.ndarray) -> DataFrame:
+    """(a, b, tied): pairs of sets that have a key in common, once per range of keys; or, ``tied``, links
+    that connect the sets of a list that is too long for pairs.
+
+    Entries go by ranges of keys, packed into one row per range and chunk.  Of a key that very many sets
+    have, a chunk hands on a few sets and the ties of the others.
     """
     rows = docs.select(F.col(text_col).alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT_PART numbers at most
@@ -268,13 +311,7 @@ def ties(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, bucke
         edge = (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(_U)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.argsort(key, kind="stable")
-            key, node = key[order], node[order]
-            new = np.concatenate([[True], key[1:] != key[:-1]])
-            first = node[new][np.cumsum(new) - 1]
-            tie = forest(np.stack([node, first], 1)[node != first])
-            key, node = key[new], node[new]
+            key, node, _, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), LIST_MOST)
             cut = np.searchsorted(key, edge).tolist()
             out = []
             for number, (i, j) in enumerate(zip([0, *cut], [*cut, len(key)])):
@@ -315,32 +352,62 @@ def ties(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, bucke
             yield from flush()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, nodes = None, [], []
+        now, keys, nodes, held = None, [], [], 0
+
+        def found(pairs: np.ndarray, tied: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([_signed(pairs[:, 0]), _signed(pairs[:, 1]), pa.array(np.full(len(pairs), tied))], ["a", "b", "tied"])
 
         def close() -> Iterator[pa.RecordBatch]:
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.argsort(key, kind="stable")
-            key, node = key[order], node[order]
-            new = np.concatenate([[True], key[1:] != key[:-1]])
-            first = node[new][np.cumsum(new) - 1]
-            yield _pairs(forest(np.stack([node, first], 1)[node != first]))
+            key, node, start, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), LIST_MOST)
+            yield found(tie, True)
+            size = np.diff(np.append(start, len(key)))
+            # all pairs of each list up to LIST_MOST: every entry with those after it
+            after = np.repeat(start + size, size) - np.arange(len(key)) - 1
+            after[np.repeat(size > LIST_MOST, size)] = 0
+            upto, lo = np.cumsum(after), 0
+            while lo < len(key):
+                hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, side="right")))
+                n = after[lo:hi]
+                a = np.repeat(np.arange(lo, hi), n)
+                b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+                yield found(np.unique(np.stack([node[a], node[b]], 1), axis=0), False)
+                lo = hi
 
         for b in batches:
             for bucket, key, node, name, tie in zip(*[b.column(c) for c in ("bucket", "keys", "nodes", "names", "ties")]):
                 if tie.is_valid:
-                    yield _pairs(np.frombuffer(tie.as_py(), np.int64).reshape(-1, 2))
+                    yield found(np.frombuffer(tie.as_py(), np.int64).reshape(-1, 2), True)
                     continue
                 if bucket.as_py() != now:
                     if keys:
                         yield from close()
-                    now, keys, nodes = bucket.as_py(), [], []
+                    now, keys, nodes, held = bucket.as_py(), [], [], 0
                 keys.append(np.cumsum(unpack(key.as_py(), np.uint64), dtype=_U))
                 nodes.append(unpack(name.as_py(), np.int64)[unpack(node.as_py(), np.uint32)])
+                held += len(keys[-1])
+                if held >= 4 * CHUNK:  # lists of copies get short again
+                    key, node, _, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), LIST_MOST)
+                    yield found(tie, True)
+                    keys, nodes, held = [key], [node], 0
         if keys:
             yield from close()
 
     dealt = rows.mapInArrow(local, "bucket int, keys binary, nodes binary, names binary, ties binary")
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, "a long, b long")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, "a long, b long, tied boolean")
+
+
+def likely(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b): pairs whose parities leave room for the threshold; ``sets`` has (set_id, n_shingles, parity)."""
+    side = lambda c: sets.select(F.col("set_id").alias(c), F.struct("n_shingles", "parity").alias(f"_{c}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = b.column("_a"), b.column("_b")
+            rows = zip(x.field("parity").to_pylist(), y.field("parity").to_pylist(), x.field("n_shingles").to_pylist(), y.field("n_shingles").to_pylist())
+            keep = pa.array([may_link(*row, t) for row in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
 
 
 def boundary(sizes: dict[int, int], t: Threshold) -> int:
@@ -633,16 +700,20 @@ def jaccard_classes(
     t = Threshold(*similarity)
     spark = docs.sparkSession
     found = save(describe(docs, id_col, text_col, words), "jaccard-rows")
-    rows = found.filter(F.col("member").isNull() & F.col("n_shingles").isNotNull()).select("_id", "_name", "n_shingles", "set_id")
+    rows = found.filter(F.col("member").isNull() & F.col("n_shingles").isNotNull()).select("_id", "_name", "n_shingles", "set_id", "parity")
     histogram = {r["n"]: r for r in rows.groupBy(F.least("n_shingles", F.lit(SMALL_MOST + 1)).alias("n")).agg(F.count("*").alias("k"), F.sum("n_shingles").alias("m")).collect()}
     total = sum(r["m"] for r in histogram.values())
     frequent = frequent_members(found, total)
     per = sum(p for _, p in t.classes(1000)) / 1000  # keys for each member of a large set
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(total * per / CHUNK))
     small = boundary({n: r["k"] for n, r in histogram.items() if 0 < n <= SMALL_MOST}, t)
-    blocks = save(components(ties(docs, text_col, words, t, small, buckets, frequent)), "jaccard-blocks")
     sets = rows.filter(F.col("set_id").isNotNull())
-    of_set = save(sets.groupBy("set_id").agg(F.min("_id").alias("least"), F.max(F.struct("_id", "_name")).alias("doc"), F.first("n_shingles").alias("n_shingles")), "jaccard-sets")
+    firsts = [F.first(c).alias(c) for c in ("n_shingles", "parity")]
+    of_set = save(sets.groupBy("set_id").agg(F.min("_id").alias("least"), F.max(F.struct("_id", "_name")).alias("doc"), *firsts), "jaccard-sets")
+    pairs = save(lists(docs, text_col, words, t, small, buckets, frequent), "jaccard-pairs")
+    near = likely(pairs.filter("not tied").select("a", "b").distinct(), of_set, t)
+    blocks = save(components(pairs.filter("tied").select("a", "b").unionByName(near)), "jaccard-blocks")
+    drop(pairs)
     members = of_set.join(blocks, F.col("set_id") == F.col("node")).select("set_id", F.col("component").alias("block"), "doc", "n_shingles")
     found = save(components(verify(docs, members, id_col, text_col, words, t)), "jaccard-components")
     whole = of_set.join(found, F.col("set_id") == F.col("node"), "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component"))

@@ -133,6 +133,23 @@ def test_runs_of_texts_are_as_single_texts():
     assert got == [shingles.shingle_set(x, 3).tolist() for x in odd[1:]]
 
 
+def test_parities_never_lose_a_link():
+    t, rng, seen = jaccard.Threshold(80, 100), np.random.default_rng(4), set()
+    for _ in range(600):
+        size = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        drop, add = rng.integers(0, size // 5 + 2, 2)
+        b = np.unique(np.concatenate([a[drop:], rng.integers(0, 2**63, int(add)).astype(np.uint64)]))
+        n = len(np.intersect1d(a, b))
+        x, y = jaccard.parities(np.concatenate([a, b]), np.array([len(a), len(b)]))
+        link = len(b) > 0 and t.den * n >= t.num * (len(a) + len(b) - n)
+        seen.add(link)
+        assert not link or jaccard.may_link(x, y, len(a), len(b), t)
+        c = rng.integers(0, 2**63, size).astype(np.uint64)
+        assert size < 40 or not jaccard.may_link(x, jaccard.parities(c, np.array([size]))[0], size, size, t)
+    assert seen == {True, False}
+
+
 def test_scanned_lists_count_what_is_common():
     rng = np.random.default_rng(1)
     for n, m, vocabulary in [(1, 1, 5), (3, 40, 50), (60, 200, 400), (60, 200, 30000)]:
@@ -157,7 +174,7 @@ def test_classes_of_a_block_equal_all_pairs():
 @pytest.mark.parametrize("k,ratio,least", [(3, (90, 100), False), (5, (80, 100), False), (5, (80, 100), True)])
 def test_classes_equal_brute_force(spark, k, ratio, least, monkeypatch):
     if least:  # all blocks go the way of large ones, with several sides
-        for name, value in (("SIDE_SETS", 8), ("REPRESENTATIVES", 2), ("DENSE", 4), ("FREQUENT_LEAST", 3)):
+        for name, value in (("SIDE_SETS", 8), ("REPRESENTATIVES", 2), ("DENSE", 4), ("FREQUENT_LEAST", 3), ("LIST_MOST", 3)):
             monkeypatch.setattr(jaccard, name, value)
     rows = corpus(k)
     df = spark.createDataFrame([(i, t, 7, "x") for i, t in rows], "doc_id long, text string, block long, a string").repartition(5)
