@@ -120,6 +120,13 @@ def learn(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang:
     return [r["lang"] for r in found], vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
+def known(codes: np.ndarray, familiar: np.ndarray) -> int:
+    """How many of the codes are in ``familiar``, which is ascending."""
+    if not len(familiar):
+        return 0
+    return int((familiar[np.minimum(np.searchsorted(familiar, codes), len(familiar) - 1)] == codes).sum())
+
+
 def unfamiliar_most(n: float, share: float) -> float:
     """How many of ``n`` distinct trigrams may be unfamiliar: the expected share, and what chance adds to it."""
     return share * n + DEVIATIONS * (share * (1 - share) * n) ** 0.5
@@ -153,7 +160,7 @@ def learn_familiar(docs: DataFrame, text_col: str, lang_col: str, id_col: str, p
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [x[0] for t in b.column("_text").to_pylist() if (x := trigrams(t)) and len(x[0]) >= LONG]
-            yield pa.RecordBatch.from_arrays([pa.array([1 - float(np.isin(c, familiar).mean()) for c in found], pa.float64())], ["share"])
+            yield pa.RecordBatch.from_arrays([pa.array([1 - known(c, familiar) / len(c) for c in found], pa.float64())], ["share"])
 
     kept, _ = pick(docs.filter(held), text_col, lang_col, id_col, per_lang)
     share = kept.mapInArrow(shares, "share double").agg(F.percentile("share", F.lit(QUANTILE))).first()[0]
@@ -193,7 +200,7 @@ def predict(
                 scores.append(min(1.0, max(0.0, float(cos[k]))))
                 if familiar:
                     n = len(found[0])
-                    inside.append(n - int(np.isin(found[0], familiar[0]).sum()) <= unfamiliar_most(n, familiar[1]))
+                    inside.append(n - known(found[0], familiar[0]) <= unfamiliar_most(n, familiar[1]))
             columns = [*[b.column(i) for i in carried], pa.array(best, pa.string()), pa.array(scores, pa.float64()), *([pa.array(inside, pa.bool_())] if familiar else [])]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
