@@ -77,6 +77,23 @@ def parity(a: DataFrame, b: DataFrame, keys: Sequence[str], numeric: Sequence[st
     return both.agg(F.array(*agg).alias("_x")).select(F.explode("_x").alias("_x")).select("_x.*")
 
 
+def total_join(rows: DataFrame, cache: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the cache's columns; a key that the cache lacks is an error that names some."""
+    missing = rows.select(key).distinct().join(cache.select(key), key, "left_anti")
+    some = [r[0] for r in missing.limit(5).collect()]
+    if some:
+        raise ValueError(f"the cache lacks keys such as {', '.join(map(str, some))}")
+    return rows.join(cache, key)
+
+
+def selection(expected: DataFrame, actual: DataFrame, keys: Sequence[str], rank: str, by: str = "target_id") -> DataFrame:
+    """(by, n_expected, wrong_rank, missing, unexpected): a stored selection against a new one."""
+    e = expected.select(by, *keys, F.col(rank).alias("_e"))
+    a = actual.select(by, *keys, F.col(rank).alias("_a"))
+    both = e.join(a, [by, *keys], "full_outer")
+    return both.groupBy(by).agg(F.count("_e").alias("n_expected"), F.count_if(F.col("_e") != F.col("_a")).alias("wrong_rank"), F.count_if(F.col("_a").isNull()).alias("missing"), F.count_if(F.col("_e").isNull()).alias("unexpected"))
+
+
 def compare_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """(path, problem) of a manifest (path, digest) against the files there are."""
     both = manifest.select("path", F.col("digest").alias("_m"), F.lit(True).alias("_in_m")).join(files.select("path", F.col("digest").alias("_f"), F.lit(True).alias("_in_f")), "path", "full_outer")

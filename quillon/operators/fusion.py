@@ -23,6 +23,14 @@ def screened(results: DataFrame, most_atoms: int) -> DataFrame:
     return results.withColumn("status", F.when(n.isNull(), "invalid").when(n > most_atoms, "skipped_size").otherwise(F.col("status")))
 
 
+def ranking_score(df: DataFrame, fused: str = "fused_score", base: str = "final_score") -> DataFrame:
+    """``df`` with ``ranking_score``: the fused column if it is there and has any value, else the base."""
+    if fused not in df.columns:
+        return df.withColumn("ranking_score", F.col(base))
+    some = df.agg(F.coalesce(F.bool_or(F.col(fused).isNotNull()), F.lit(False)).alias("_any"))  # one row
+    return df.crossJoin(F.broadcast(some)).withColumn("ranking_score", F.when(F.col("_any"), F.col(fused)).otherwise(F.col(base))).drop("_any")
+
+
 def attach(scores: DataFrame, results: DataFrame, keys: Sequence[str] = ("target_id", "candidate_index")) -> DataFrame:
     """Scores with status, affinity and efficiency; only successful rows have an efficiency."""
     ok = F.col("status") == "ok"

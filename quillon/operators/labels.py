@@ -85,15 +85,37 @@ def target_counts(pairs: DataFrame, *, target: str = "target_id", key: str = "ke
     return agg.filter("n_positive > 0").withColumn("tier", tier)
 
 
-def select_targets(counts: DataFrame, fallback: DataFrame, n: int, *, target: str = "target_id") -> DataFrame:
-    """The first ``n`` targets: by tier, positives, negatives and id, then fallback ids; with their place."""
+def select_targets(counts: DataFrame, fallback: DataFrame, n: int, *, target: str = "target_id", texts: DataFrame | None = None) -> DataFrame:
+    """Exactly ``n`` targets with their place: by tier, positives, negatives and id, then fallback ids.
+
+    ``fallback`` has (target, position) and is taken in the order of its positions; fewer than ``n``
+    targets are an error.  ``text`` is what ``texts`` (target, text) has for the target, else its id.
+    """
     order = {"strict_labeled": 0, "limited_positive": 1}
     tier = F.create_map(*[F.lit(x) for kv in order.items() for x in kv])[F.col("tier")]
-    rows = counts.select(target, "tier", "n_positive", "n_negative", tier.alias("_t"))
-    more = fallback.select(target).distinct().join(counts, target, "left_anti").select(target, F.lit("unlabeled_fallback").alias("tier"), F.lit(0).cast("long").alias("n_positive"), F.lit(0).cast("long").alias("n_negative"), F.lit(2).alias("_t"))
-    keys = ["_t", F.col("n_positive").desc(), F.col("n_negative").desc(), target]
+    rows = counts.select(target, "tier", "n_positive", "n_negative", tier.alias("_t"), F.lit(0).cast("long").alias("_p"))
+    zero = F.lit(0).cast("long")
+    more = ordered_distinct(fallback.select(target, F.col("position").cast("long").alias("_p")), target, "_p").join(counts, target, "left_anti")
+    more = more.select(target, F.lit("unlabeled_fallback").alias("tier"), zero.alias("n_positive"), zero.alias("n_negative"), F.lit(2).alias("_t"), "_p")
+    keys = ["_t", F.col("n_positive").desc(), F.col("n_negative").desc(), "_p", target]
     best = rows.unionByName(more).orderBy(*keys).limit(n)
-    return best.withColumn("target_index", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*keys)) - 1).drop("_t")  # n rows
+    out = best.withColumn("target_index", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*keys)) - 1).drop("_t", "_p")  # n rows
+    found = best.count()
+    if found < n:
+        raise ValueError(f"{found} targets, expected {n}")
+    if texts is not None:
+        out = out.join(texts.select(target, "text"), target, "left")
+    return out.withColumn("text", F.coalesce("text", F.col(target).cast("string")) if texts is not None else F.col(target).cast("string"))
+
+
+def fill_targets(counts: DataFrame, sequences: DataFrame, every: DataFrame, n: int, *, least: int = 5, target: str = "target_id", seed: int = 42) -> DataFrame:
+    """(target, labelled, place): targets with ``least`` positives and a sequence come first, by id; the
+    rest is filled up to ``n`` in hash order."""
+    good = counts.filter(F.col("n_positive") >= least).join(sequences.select(target).distinct(), target, "left_semi").select(target, F.lit(True).alias("labelled"), F.lit("").alias("_h"))
+    rest = every.select(target).distinct().join(good, target, "left_anti").select(target, F.lit(False).alias("labelled"), hash_order(seed, F.col(target)).alias("_h"))
+    keys = [F.col("labelled").desc(), "_h", target]
+    best = good.unionByName(rest).orderBy(*keys).limit(n)
+    return best.withColumn("place", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*keys)) - 1).drop("_h")  # n rows
 
 
 def sample(df: DataFrame, n: int, keys: Sequence[str], seed: int | str = 42) -> DataFrame:

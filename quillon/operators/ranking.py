@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import finite, rounded, top_count
 
+#: Ranges of scores in a ranking of a whole table.
+RANGES = 256
 POSITIVE, NEGATIVE, BACKGROUND = "heldout_positive", "heldout_negative", "unlabeled_background"
 
 
@@ -162,15 +164,21 @@ def target_metrics(df: DataFrame, *, fraction: float = 0.01, scores: dict[str, s
 
 
 def overall_rank(df: DataFrame, score: str, *, name: str = "rank") -> DataFrame:
-    """Rank over the whole table without one task sorting all rows.
+    """Rank over the whole table without one task sorting all rows or all scores.
 
-    Distinct scores are few compared with rows: they are counted first and the running count is taken
-    over them; rows then get the rank of their score (the first of its ties).
+    Rows are counted by distinct score, and scores by range (between quantiles of the scores); running
+    counts are taken over ranges, and within each range over its scores.  Rows then get the rank of
+    their score (the first of its ties); missing scores come last.
     """
     value = finite(F.col(score))
     per = df.groupBy(value.alias("_s")).agg(F.count("*").alias("_n"))
-    w = W.partitionBy(F.lit(0)).orderBy(F.col("_s").desc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    per = per.select("_s", (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).alias(name))
+    edges = per.agg(F.percentile_approx("_s", [i / RANGES for i in range(1, RANGES)], 10_000).alias("_edges"))  # one row
+    above = F.size(F.filter(F.coalesce("_edges", F.array().cast("array<double>")), lambda x: x > F.col("_s")))
+    per = per.crossJoin(F.broadcast(edges)).withColumn("_range", F.when(F.col("_s").isNull(), F.lit(RANGES)).otherwise(above)).drop("_edges")
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranges = per.groupBy("_range").agg(F.sum("_n").alias("_n")).select("_range", before(W.partitionBy(F.lit(0)).orderBy("_range")).alias("_first"))
+    within = before(W.partitionBy("_range").orderBy(F.col("_s").desc_nulls_last()))
+    per = per.withColumn("_within", within).join(ranges, "_range").select("_s", (F.col("_first") + F.col("_within") + 1).alias(name))
     return df.join(per, value.eqNullSafe(F.col("_s"))).drop("_s")
 
 

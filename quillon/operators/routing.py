@@ -49,19 +49,19 @@ def resolve(queries: DataFrame, texts: DataFrame, names: DataFrame) -> DataFrame
     """(query_id, text, method): exact id, then name within a text, then within a name, then a token.
 
     ``queries`` has (query_id, name, code); ``texts`` (text, n, first) and ``names`` (code, name, text,
-    first), one row per distinct text or name.  The containment join has no equality, so its sides are
-    the distinct names of each table, and the better method is kept per query.
+    first), one row per distinct text or name.  Containment is joined on grams (see ``containing``), and
+    the better method is kept per query.
     """
     q = queries.withColumn("_ln", F.lower(F.coalesce("name", F.lit(""))))
     exact = q.join(names.filter("code is not null").groupBy("code").agg(F.min_by("text", "first").alias("text")), "code").select("query_id", "text", F.lit(1).alias("_p"), F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_f"))
     some = q.filter("_ln <> ''").select("_ln").distinct()
-    inside = some.join(texts, F.contains(F.lower("text"), F.col("_ln")))
+    inside = containing(some, "_ln", texts, "text")
     inside = inside.groupBy("_ln").agg(F.min_by(F.struct("text", "n", "first"), F.struct(-F.col("n"), "first")).alias("_t"))
     by_text = q.join(inside, "_ln").select("query_id", "_t.text", F.lit(2).alias("_p"), (-F.col("_t.n")).alias("_n"), F.col("_t.first").alias("_f"))
-    inside = some.join(names.select("name", "text", "first"), F.contains(F.lower("name"), F.col("_ln"))).groupBy("_ln").agg(F.min_by(F.struct("text", "first"), "first").alias("_t"))
+    inside = containing(some, "_ln", names.select("name", "text", "first"), "name").groupBy("_ln").agg(F.min_by(F.struct("text", "first"), "first").alias("_t"))
     by_name = q.join(inside, "_ln").select("query_id", "_t.text", F.lit(3).alias("_p"), F.lit(0).cast("long").alias("_n"), F.col("_t.first").alias("_f"))
     tokens = q.select("query_id", F.posexplode(F.regexp_extract_all(F.coalesce("name", F.lit("")), F.lit(r"[A-Z][A-Z0-9]{2,}"), F.lit(0))).alias("_at", "_tok"))
-    inside = tokens.select("_tok").distinct().join(names.select("name", "text", "first"), F.contains(F.lower("name"), F.lower("_tok"))).groupBy("_tok").agg(F.min_by(F.struct("text", "first"), "first").alias("_t"))
+    inside = containing(tokens, "_tok", names.select("name", "text", "first"), "name").groupBy("_tok").agg(F.min_by(F.struct("text", "first"), "first").alias("_t"))
     by_token = tokens.join(inside, "_tok").select("query_id", "_t.text", F.lit(4).alias("_p"), F.col("_at").cast("long").alias("_n"), F.col("_t.first").alias("_f"))
     every = exact.unionByName(by_text).unionByName(by_name).unionByName(by_token)
     best = every.groupBy("query_id").agg(F.min(F.struct("_p", "_n", "_f", "text")).alias("_b"))
@@ -76,6 +76,33 @@ def first_mapped(rows: DataFrame, accessions: str, mapping: DataFrame, *, id_col
     return rows.select(id_col).join(hit, id_col, "left").select(id_col, "_m.accession", "_m.mapped")
 
 
+def with_sequence(targets: DataFrame, accessions: DataFrame, sequences: DataFrame, *, target: str = "target_id", longer_than: int = 10) -> DataFrame:
+    """(target, accession, sequence): targets whose accession has a sequence of more than so many letters."""
+    long = sequences.select("accession", "sequence").filter(F.length("sequence") > longer_than)
+    return targets.select(target).join(accessions.select(target, "accession"), target).join(long, "accession").select(target, "accession", "sequence")
+
+
+def grams_of(text, most: int = 3):
+    """Distinct substrings of 1 to ``most`` letters."""
+    one = lambda n: F.transform(F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>")), lambda i: F.substring(text, i, F.lit(n)))
+    return F.array_distinct(F.concat(*[one(n) for n in range(1, most + 1)]))
+
+
+def containing(names: DataFrame, name: str, texts: DataFrame, text: str) -> DataFrame:
+    """Rows of ``names`` and ``texts`` where the text has the name in it, whatever its case.
+
+    Both are joined on a gram: a text lists all of its grams of up to three letters, a name its one that
+    fewest texts have.  Empty names are in no text.
+    """
+    listed = texts.withColumn("_text", F.lower(text)).withColumn("_gram", F.explode(grams_of(F.lower(text))))
+    per = listed.groupBy("_gram").agg(F.count("*").alias("_texts"))
+    some = names.select(name).distinct().withColumn("_name", F.lower(name)).filter("_name <> ''")
+    size = F.least(F.lit(3), F.length("_name"))
+    own = some.select(name, "_name", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_name") - size + 1), lambda i: F.substring(F.col("_name"), i, size)))).alias("_gram"))
+    rarest = own.join(per, "_gram").groupBy(name, "_name").agg(F.min_by("_gram", F.struct("_texts", "_gram")).alias("_gram"), F.count("*").alias("_found"))
+    return rarest.join(listed, "_gram").filter(F.contains("_text", F.col("_name"))).drop("_gram", "_text", "_name", "_found")
+
+
 def evidence_triples(associations: DataFrame, left: DataFrame, right: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
     """Associations with both ends described, labelled by score; the middle of the scale is dropped."""
     from ..functions.scalar import threshold_label

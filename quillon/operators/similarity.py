@@ -19,6 +19,8 @@ from ..functions.session import small_batches
 
 #: Rows and references of a block in the search for the nearest references.
 ROW_BLOCK, REFERENCE_BLOCK = 1024, 2048
+#: Sets of a block in the comparison within groups.
+SET_BLOCK = 1024
 
 
 def tanimoto(a: Column, b: Column) -> Column:
@@ -64,32 +66,85 @@ def tanimoto_pairs(left: DataFrame, right: DataFrame, least: float, *, same: boo
     return out.filter(F.col("_s") >= least).select("id_a", "id_b", rounded(F.col("_s"), 6).alias("similarity"))
 
 
-def shared_bits(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by, id_a, id_b, similarity) of all pairs that share a bit, counted over posting lists."""
-    a = left.select(*by, F.col("id").alias("id_a"), F.size("bits").alias("_na"), F.explode("bits").alias("bit"))
-    b = right.select(*by, F.col("id").alias("id_b"), F.size("bits").alias("_nb"), F.explode("bits").alias("bit"))
-    common = a.join(b, [*by, "bit"]).groupBy(*by, "id_a", "id_b").agg(F.count("*").alias("_c"), F.max("_na").alias("_na"), F.max("_nb").alias("_nb"))
-    return common.select(*by, "id_a", "id_b", (F.col("_c") / (F.col("_na") + F.col("_nb") - F.col("_c"))).alias("similarity"))
+def group_similarity(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
+    """(by, id, total, most): sum and maximum of the similarities of each set of ``left`` to the other
+    sets (another id) of its group in ``right``; groups without such sets are left out.
+
+    Both tables have (by, id, bits).  Sets of a group are dealt into blocks, and every pair of blocks is
+    one step of a task, which counts shared bits as a product of 0/1 matrices and hands on one row per
+    set: no pair is made a row.
+    """
+    kind, key = left.schema["id"].dataType.simpleString(), left.schema[by].dataType.simpleString()
+
+    def dealt(df: DataFrame, name: str) -> DataFrame:
+        n = df.groupBy(F.col(by).alias("_by")).agg(F.ceil(F.count("*") / SET_BLOCK).cast("int").alias("_blocks"))
+        rows = df.join(n, F.col(by).eqNullSafe(F.col("_by"))).withColumn("_block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("_blocks")))
+        return rows.groupBy(F.col(by).alias(f"_{name}_by"), "_block").agg(F.collect_list(F.struct("id", "bits")).alias(name)).drop("_block")  # about SET_BLOCK sets
+
+    pairs = dealt(left, "x").join(dealt(right, "y"), F.col("_x_by").eqNullSafe(F.col("_y_by"))).select(F.col("_x_by").alias("by"), "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for n in range(b.num_rows):
+                x, y = b.column("x")[n].values, b.column("y")[n].values
+                mx, my = bit_matrices(x.field("bits"), y.field("bits"))
+                common = mx @ my.T
+                union = mx.sum(axis=1)[:, None] + my.sum(axis=1)[None] - common
+                sim = np.divide(common, union, out=np.zeros(common.shape, np.float64), where=union > 0)
+                other = x.field("id").to_numpy(zero_copy_only=False)[:, None] != y.field("id").to_numpy(zero_copy_only=False)[None]
+                sim[~other] = 0
+                some = pa.array(other.any(axis=1))
+                yield pa.RecordBatch.from_arrays([b.column("by").take(pa.array(np.full(len(x), n))).filter(some), x.field("id").filter(some), pa.array(sim.sum(axis=1)).filter(some), pa.array(sim.max(axis=1)).filter(some)], ["by", "id", "total", "most"])
+
+    found = pairs.mapInArrow(run, f"by {key}, id {kind}, total double, most double")
+    return found.groupBy(F.col("by").alias(by), "id").agg(F.sum("total").alias("total"), F.max("most").alias("most"))
+
+
+def bit_matrices(x: pa.ListArray, y: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """0/1 matrices of two lists of bit sets over the bits that occur."""
+    bits, column = np.unique(np.concatenate([x.flatten().to_numpy(), y.flatten().to_numpy()]), return_inverse=True)
+    out, at = [], 0
+    for lists in (x, y):
+        n = lists.value_lengths().to_numpy()
+        m = np.zeros((len(n), len(bits)), np.float32)
+        m[np.repeat(np.arange(len(n)), n), column[at : at + n.sum()]] = 1
+        at += n.sum()
+        out.append(m)
+    return out[0], out[1]
 
 
 def nearest_other(candidates: DataFrame, actives: DataFrame, by: str) -> DataFrame:
     """(by, id, nearest): best similarity to the group's other actives; 0 without any in common."""
-    pairs = shared_bits(candidates, actives, [by]).filter("id_a <> id_b")
-    best = pairs.groupBy(by, "id_a").agg(F.max("similarity").alias("_m"))
-    return candidates.select(by, "id").join(best.withColumnRenamed("id_a", "id"), [by, "id"], "left").select(by, "id", rounded(F.coalesce("_m", F.lit(0.0)), 6).alias("nearest"))
+    best = group_similarity(candidates, actives, by).select(by, "id", F.col("most").alias("_m"))
+    return candidates.select(by, "id").join(best, [by, "id"], "left").select(by, "id", rounded(F.coalesce("_m", F.lit(0.0)), 6).alias("nearest"))
 
 
 def diversity(rows: DataFrame, by: str) -> DataFrame:
-    """(by, id, diversity): 1 minus the mean similarity to the group's other sets, 1 if there is none.
-
-    The sum over pairs that share nothing is 0, so only sharing pairs are made.
-    """
+    """(by, id, diversity): 1 minus the mean similarity to the group's other sets, 1 if there is none."""
     n = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    total = shared_bits(rows, rows, [by]).filter("id_a <> id_b").groupBy(by, F.col("id_a").alias("id")).agg(F.sum("similarity").alias("_s"))
+    total = group_similarity(rows, rows, by).select(by, "id", F.col("total").alias("_s"))
     out = rows.select(by, "id").join(n, by).join(total, [by, "id"], "left")
     return out.select(by, "id", rounded(F.when(F.col("_n") > 1, 1.0 - F.coalesce("_s", F.lit(0.0)) / (F.col("_n") - 1)).otherwise(1.0), 6).alias("diversity"))
 
 
+def minhash_pairs(rows: DataFrame, least: float, *, tables: int = 8, seed: int = 3) -> DataFrame:
+    """(id_a, id_b, similarity): pairs whose least hash agrees in one of ``tables`` and whose exact
+    similarity is at least ``least``.  A pair of similarity t is missed with probability (1 - t) ** tables.
+
+    ``rows`` has (id, bits); a hash is a line modulo a prime.
+    """
+    prime = 2**31 - 1
+    rng = np.random.default_rng(seed)
+    lines = rng.integers(1, prime, (tables, 2)).tolist()
+    least_hash = lambda a, b: F.array_min(F.transform("bits", lambda x: (x.cast("long") * a + b) % prime))
+    hashed = rows.filter(F.size("bits") > 0).select("id", F.posexplode(F.array(*[least_hash(a, b) for a, b in lines])).alias("_table", "_hash"))
+    a, b = hashed.withColumnRenamed("id", "id_a"), hashed.withColumnRenamed("id", "id_b")
+    pairs = a.join(b, ["_table", "_hash"]).filter("id_a < id_b").select("id_a", "id_b").distinct()
+    side = lambda c: rows.select(F.col("id").alias(f"id_{c}"), F.col("bits").alias(f"_{c}"))
+    out = pairs.join(side("a"), "id_a").join(side("b"), "id_b").withColumn("_s", tanimoto(F.col("_a"), F.col("_b")))
+    return out.filter(F.col("_s") >= least).select("id_a", "id_b", rounded(F.col("_s"), 6).alias("similarity"))
+
+
 def usable(v: Column) -> Column:
     """Vectors that are not null and have no null or non-finite component."""
     return v.isNotNull() & F.forall(v, lambda x: finite(x.cast("double")).isNotNull())

@@ -282,6 +282,29 @@ def audit_docking(spark, sf):
     return rows.groupBy("target_id").agg(F.count_if(F.col("docking_status") != "not_selected").alias("selected"), F.count_if((F.col("docking_status") != "ok") & base).alias("changed_unselected"), F.count_if(off).alias("formula_off"))
 
 
+@query(
+    "audit_selection",
+    f"""WITH {DOCK}, x AS (SELECT target_id, count(*) AS n_expected, count(*) FILTER (target_id % 9 = 4 AND selection_rank <= 2) AS wrong_rank, count(*) FILTER (target_id % 11 = 5 AND selection_rank = 7) AS missing FROM dk0 WHERE selection_rank <= 60 GROUP BY 1),
+c AS (SELECT target_id, count(*) AS n FROM dk WHERE status = 'ok' GROUP BY 1)
+SELECT target_id, n_expected, wrong_rank, missing, 0 AS unexpected, target_id % 7 = 1 AS status_off FROM x JOIN c USING (target_id)""",
+)
+def audit_selection(spark, sf):
+    """Stored selections with swapped ranks and dropped rows, and stored status counts that are one off."""
+    top = ranking.top_n(pair_scores(spark, sf), "l2", 60, name="selection_rank").select("target_id", "candidate_index", "selection_rank")
+    k, t = F.col("selection_rank"), F.col("target_id")
+    stored = top.filter(~((t % 11 == 5) & (k == 7))).withColumn("selection_rank", F.when((t % 9 == 4) & (k <= 2), 3 - k).otherwise(k))
+    ok = docking(spark, sf).filter("status = 'ok'").groupBy("target_id").agg(F.count("*").alias("_now"))
+    counts = ok.withColumn("_stored", F.col("_now") + F.when(t % 7 == 1, 1).otherwise(0))  # what an earlier run wrote
+    return audit.selection(top, stored, ["candidate_index"], "selection_rank").join(counts, "target_id").withColumn("status_off", F.col("_now") != F.col("_stored")).drop("_now", "_stored")
+
+
+@query("layer_attach", f"WITH {PS} SELECT target_id, count(*) AS n, min(sha256(part_key || chr(0) || 'v1')) AS first_key FROM ps GROUP BY target_id")
+def layer_attach(spark, sf):
+    """Target-independent layers joined to pools; a missing key would be an error."""
+    cache = table(spark, sf, "part").select(F.col("p_partkey").alias("part_key"), scalar.cache_key(F.col("p_partkey").cast("string"), "v1").alias("cache_key"))
+    return audit.total_join(pair_scores(spark, sf), cache, "part_key").groupBy("target_id").agg(F.count("*").alias("n"), F.min("cache_key").alias("first_key"))
+
+
 @query("identity_diff", "WITH e AS (SELECT o_orderkey AS id, o_orderstatus AS s FROM orders WHERE o_orderkey % 50 <> 1), a AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 40 = 2 THEN 'X' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 60 <> 3) SELECT coalesce(e.id, a.id) AS id, CASE WHEN a.id IS NULL THEN 'missing' WHEN e.id IS NULL THEN 'unexpected' ELSE 'changed' END AS problem FROM e FULL JOIN a ON e.id = a.id WHERE a.id IS NULL OR e.id IS NULL OR e.s IS DISTINCT FROM a.s")
 def identity_diff(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("s"))

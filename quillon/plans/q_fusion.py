@@ -286,6 +286,22 @@ def result_summary(spark, sf):
     )
 
 
+@query(
+    "ranking_choice",
+    f"""WITH {DOCK}, s AS (SELECT 'fused' AS run, target_id, fused_score AS s FROM fz UNION ALL SELECT 'all_missing', target_id, final_score FROM fz UNION ALL SELECT 'no_column', target_id, final_score FROM fz)
+SELECT run, target_id, CAST(sum(CAST(round_even(s * 10000, 0) AS BIGINT)) AS BIGINT) AS total FROM s GROUP BY 1, 2""",
+)
+def ranking_choice(spark, sf):
+    """The column that decides the order: fused where it has values, else the base score."""
+    rows = fused(spark, sf)
+    runs_ = {"fused": rows, "all_missing": rows.withColumn("fused_score", F.lit(None).cast("double")), "no_column": rows.drop("fused_score")}
+    out = None
+    for name, df in runs_.items():
+        part = fusion.ranking_score(df).groupBy("target_id").agg(F.sum(F.rint(F.col("ranking_score") * 10000).cast("long")).alias("total")).withColumn("run", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("evidence_rows", f"WITH {DOCK} SELECT CAST(target_id AS VARCHAR) AS target, CAST(candidate_index AS INTEGER) AS candidate, label_role AS role, {r('coalesce(fused_score, final_score)', 4)} AS ranking_score, docking_status AS status FROM fz WHERE docking_status = 'ok'")
 def evidence_rows(spark, sf):
     """The output contract: names, order and types."""

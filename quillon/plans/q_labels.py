@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..operators import labels
+from ..operators import labels, routing
 from .views import table
 
 QUERIES, ORACLES = {}, {}
@@ -92,17 +92,18 @@ def eligible_pairs(spark, sf):
 TARGETS = """
 tc AS (SELECT target_id, count(DISTINCT key) FILTER (label = 1) AS n_positive, count(DISTINCT key) FILTER (label = 0) AS n_negative FROM st WHERE split = 'heldout' GROUP BY 1 HAVING count(*) FILTER (label = 1) > 0),
 ts AS (SELECT *, CASE WHEN n_positive >= 5 AND n_negative >= 5 THEN 'strict_labeled' ELSE 'limited_positive' END AS tier FROM tc),
-ft AS (SELECT * FROM ts UNION ALL SELECT c_custkey + 1000000, 0, 0, 'unlabeled_fallback' FROM customer),
-sel AS (SELECT *, row_number() OVER (ORDER BY CASE tier WHEN 'strict_labeled' THEN 0 WHEN 'limited_positive' THEN 1 ELSE 2 END, n_positive DESC, n_negative DESC, target_id) - 1 AS target_index FROM ft)"""
+ft AS (SELECT *, 0 AS p FROM ts UNION ALL SELECT c_custkey + 1000000, 0, 0, 'unlabeled_fallback', -c_custkey FROM customer),
+sel AS (SELECT *, row_number() OVER (ORDER BY CASE tier WHEN 'strict_labeled' THEN 0 WHEN 'limited_positive' THEN 1 ELSE 2 END, n_positive DESC, n_negative DESC, p, target_id) - 1 AS target_index FROM ft)"""
 
 
 def targets(spark, sf):
     counts = labels.target_counts(split(spark, sf).filter("split = 'heldout'"))
-    fallback = table(spark, sf, "customer").select((F.col("c_custkey") + 1000000).alias("target_id"))
-    return labels.select_targets(counts, fallback, 150)
+    fallback = table(spark, sf, "customer").select((F.col("c_custkey") + 1000000).alias("target_id"), (-F.col("c_custkey")).alias("position"))
+    texts = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("target_id"), F.col("s_name").alias("text"))
+    return labels.select_targets(counts, fallback, 150, texts=texts)
 
 
-@query("target_select", f"WITH {PAIRS}, {TARGETS} SELECT target_id, tier, n_positive, n_negative, target_index FROM sel WHERE target_index < 150")
+@query("target_select", f"WITH {PAIRS}, {TARGETS} SELECT target_id, tier, n_positive, n_negative, target_index, coalesce(s_name, CAST(target_id AS VARCHAR)) AS text FROM sel LEFT JOIN supplier ON s_suppkey = target_id WHERE target_index < 150")
 def target_select(spark, sf):
     return targets(spark, sf)
 
@@ -112,6 +113,37 @@ def tier_counts(spark, sf):
     return targets(spark, sf).groupBy("tier").agg(F.count("*").alias("n_targets"), F.sum("n_positive").alias("n_positive"))
 
 
+SEQ = """
+ac AS (SELECT s_suppkey AS target_id, 'A' || s_suppkey AS accession FROM supplier WHERE s_suppkey % 9 <> 2),
+sq AS (SELECT 'A' || p_partkey AS accession, upper(replace(CASE WHEN p_partkey % 4 = 1 THEN substr(p_name, 1, 8) ELSE p_name || p_type END, ' ', '')) AS sequence FROM part WHERE p_partkey % 7 <> 3)"""
+
+
+def sequences(spark, sf):
+    k = F.col("s_suppkey")
+    accessions = table(spark, sf, "supplier").filter("s_suppkey % 9 <> 2").select(k.alias("target_id"), F.concat(F.lit("A"), k).alias("accession"))
+    text = F.when(F.col("p_partkey") % 4 == 1, F.substring("p_name", 1, 8)).otherwise(F.concat("p_name", "p_type"))
+    rows = table(spark, sf, "part").filter("p_partkey % 7 <> 3").select(F.concat(F.lit("A"), "p_partkey").alias("accession"), F.upper(F.replace(text, F.lit(" "), F.lit(""))).alias("sequence"))
+    return routing.with_sequence(table(spark, sf, "supplier").select(k.alias("target_id")), accessions, rows)
+
+
+@query("target_sequences", f"WITH {SEQ} SELECT target_id, accession, sequence FROM ac JOIN sq USING (accession) WHERE length(sequence) > 10")
+def target_sequences(spark, sf):
+    """Targets whose accession has a sequence that is long enough."""
+    return sequences(spark, sf)
+
+
+@query(
+    "target_fill",
+    f"""WITH {PAIRS}, {SEQ}, c AS (SELECT target_id, count(DISTINCT key) FILTER (label = 1) AS n FROM cl GROUP BY 1), g AS (SELECT target_id FROM c WHERE n >= 5 AND target_id IN (SELECT target_id FROM ac JOIN sq USING (accession) WHERE length(sequence) > 10)),
+x AS (SELECT target_id, true AS labelled, '' AS h FROM g UNION ALL SELECT t, false, sha256('42|' || t) FROM (SELECT s_suppkey AS t FROM supplier UNION ALL SELECT c_custkey + 1000000 FROM customer) WHERE t NOT IN (SELECT target_id FROM g))
+SELECT target_id, labelled, place FROM (SELECT *, row_number() OVER (ORDER BY labelled DESC, h, target_id) - 1 AS place FROM x) WHERE place < 120""",
+)
+def target_fill(spark, sf):
+    """Labelled targets with a sequence first, the others in hash order."""
+    every = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("target_id")).unionByName(table(spark, sf, "customer").select((F.col("c_custkey") + 1000000).alias("target_id")))
+    return labels.fill_targets(labels.target_counts(clean(spark, sf)), sequences(spark, sf), every, 120)
+
+
 POOL = 400
 POOLS = f"""
 hl AS (SELECT target_id, key, label FROM st WHERE split = 'heldout'),

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import MinHashLSH
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
-from ..functions import scalar
-from ..operators import audit, models, ranking, similarity
+from ..functions import layers, scalar
+from ..functions.session import new_path
+from ..operators import models, ranking, similarity
 from ..sources import readers
 from ..streaming import jobs
+from . import q_rank
 from .q_audit import fingerprints
 from .views import descriptors, table
 
@@ -83,8 +83,8 @@ def text_pair_model(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     rows = docs.join(table(spark, sf, "labels"), "doc_id").select("doc_id", "source", F.col("toxic").alias("label")).filter("label is not null")
     rows = rows.withColumn("held", scalar.hash_order(5, F.col("doc_id")) < "4")
-    left = models.text_features(docs.select("doc_id", F.lower("text").alias("text")), "text", 512, "doc_vec").drop("text")
-    right = models.text_features(docs.select("source").distinct(), "source", 16, "source_vec")
+    left = models.signed_text_features(docs.select("doc_id", F.lower("text").alias("text")), "text", 520, "doc_vec").drop("text")
+    right = models.signed_text_features(docs.select("source").distinct(), "source", 256, "source_vec")
     pairs = models.assemble(rows, left, right, ["doc_id", "source"], ["doc_vec", "source_vec"])
     fit = LogisticRegression(weightCol="weight", regParam=0.05, maxIter=30).fit(models.balanced(pairs.filter("not held")))
     return evaluated(models.predict(fit, pairs).withColumn("part_key", F.col("doc_id")), "text_pair")
@@ -102,12 +102,7 @@ def pair_grid_topk(spark, sf):
 @query("minhash_join")
 def minhash_join(spark, sf):
     """Approximate Tanimoto join by MinHash, with the exact similarity of what it finds."""
-    to_sparse = F.udf(lambda bits: Vectors.sparse(2048, sorted(bits), [1.0] * len(bits)), VectorUDT())
-    f = fingerprints(spark, sf).select("id", "bits").filter(F.size("bits") > 0).withColumn("v", to_sparse("bits"))
-    model = MinHashLSH(inputCol="v", outputCol="h", numHashTables=8, seed=3).fit(f)
-    pairs = model.approxSimilarityJoin(f, f, 0.4 + 1e-9, distCol="d").filter("datasetA.id < datasetB.id")
-    sim = similarity.tanimoto(F.col("datasetA.bits"), F.col("datasetB.bits"))
-    return pairs.select(F.col("datasetA.id").alias("id_a"), F.col("datasetB.id").alias("id_b"), scalar.rounded(sim, 6).alias("similarity"))
+    return similarity.minhash_pairs(fingerprints(spark, sf).select("id", "bits"), 0.6)
 
 
 def stage_events(spark, sf):
@@ -126,16 +121,20 @@ def stage_state(spark, sf):
 
 @query("stream_scores", "SELECT target_id, count(*) AS n, count(*) FILTER (status = 'ok') AS ok FROM (SELECT l_suppkey AS target_id, CASE WHEN l_orderkey % 50 = 0 THEN 'failed:missing_layer' ELSE 'ok' END AS status FROM lineitem) GROUP BY 1")
 def stream_scores(spark, sf):
-    """The stream's row-wise scoring, run over the whole table as a batch."""
-    rows = pair_scores_raw(spark, sf)
-    return jobs.score_rows(rows).groupBy("target_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "ok").alias("ok"))
+    """Rows of a drop folder, some of them twice, scored as a stream that takes what is there and stops."""
+    folder, out = new_path(spark, "drop"), new_path(spark, "streamed")
+    rows = pair_scores_raw(spark, sf).withColumn("seen", F.timestamp_seconds(F.lit(10**9)))
+    rows.withColumn("copy", F.explode(F.when(F.col("id") % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("copy").write.parquet(folder)
+    scored = jobs.stream_scores(spark, folder, rows.schema, key="id", seen="seen")
+    jobs.run_to_table(scored, out, new_path(spark, "stream-state")).awaitTermination()
+    return spark.read.schema(scored.schema).parquet(out).groupBy("target_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "ok").alias("ok"))
 
 
 def pair_scores_raw(spark, sf):
     li = table(spark, sf, "lineitem")
     gone = F.col("l_orderkey") % 50 == 0
     return li.select(
-        F.col("l_suppkey").alias("target_id"), F.when(~gone, F.col("l_tax") / 0.08).alias("l1"), (F.col("l_discount") / 0.10).alias("l2"), (F.col("l_quantity") / 50).alias("l3"), (F.col("l_extendedprice") / 105000).alias("l4")
+        F.monotonically_increasing_id().alias("id"), F.col("l_suppkey").alias("target_id"), F.when(~gone, F.col("l_tax") / 0.08).alias("l1"), (F.col("l_discount") / 0.10).alias("l2"), (F.col("l_quantity") / 50).alias("l3"), (F.col("l_extendedprice") / 105000).alias("l4")
     )
 
 
@@ -146,12 +145,18 @@ def imputed_layers(spark, sf):
     return rows.groupBy("target_id").agg(F.sum("n_imputed").cast("long").alias("imputed"), F.sum(F.rint(F.col("l1") * 1000)).alias("l1_sum"))
 
 
-@query("feature_cache", "SELECT p_partkey AS part_key, p_partkey % 3 = 0 AS reused FROM part")
+@query(
+    "feature_cache",
+    f"SELECT part_key, part_key % 3 = 0 AS reused, CASE WHEN part_key % 97 <> 0 THEN 'ok' ELSE 'failed:descriptor' END AS status, CASE WHEN part_key % 97 <> 0 THEN l1 END AS l1 FROM ({q_rank.ORACLES['l1_quality']})",
+)
 def feature_cache(spark, sf):
-    """Features of keys that aren't cached yet are added to those that are."""
-    part = table(spark, sf, "part").select(F.col("p_partkey").alias("part_key"))
-    there = part.filter("part_key % 3 = 0").withColumn("reused", F.lit(True))
-    return models.feature_cache(part, there, lambda todo: todo.withColumn("reused", F.lit(False)))
+    """Features of keys that aren't cached yet are computed once and added to those that are; a key
+    without a descriptor keeps its failure."""
+    d = descriptors(spark, sf)
+    compute = lambda todo: todo.join(d, "part_key").select("part_key", F.when(F.col("qed") > 0, layers.quality()).alias("l1"), F.when(F.col("qed") > 0, "ok").otherwise("failed:descriptor").alias("status"))
+    path = new_path(spark, "features")
+    compute(d.filter("part_key % 3 = 0").select("part_key")).withColumn("reused", F.lit(True)).write.parquet(path)
+    return models.feature_cache(d.select("part_key"), spark.read.parquet(path), lambda todo: compute(todo).withColumn("reused", F.lit(False)))
 
 
 @query("candidate_summary", "SELECT count(*) AS n_rows, count(*) FILTER (trim(p_name) = '') AS blank_ids, count(*) FILTER (trim(p_type) = '') AS blank_structures, NULL::VARCHAR AS error, (SELECT string_agg(x, ';' ORDER BY x) FROM (SELECT p_name || '=' || p_type AS x FROM part ORDER BY p_name, p_type LIMIT 3)) AS sample FROM part")

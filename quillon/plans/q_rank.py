@@ -184,24 +184,26 @@ def bedroc_legacy(spark, sf):
 @query(
     "benchmark_labels",
     f"""WITH {PS}, {GROUPS.format(score='l2', where=LABELED)}
-SELECT t.target_id, CASE WHEN a.auc IS NULL THEN 'not_evaluated' ELSE 'evaluated' END AS status, a.auc AS roc_auc, e1.enrichment AS ef_1pct, e2.enrichment AS ef_10pct, b.bedroc
-FROM (SELECT DISTINCT target_id FROM ps) t
+SELECT t.target_id, CASE WHEN a.auc IS NULL THEN 'not_evaluated' ELSE 'evaluated' END AS status, CASE WHEN a.auc IS NULL THEN 'positive and negative scores are both required' END AS reason,
+       t.total, t.positive, t.negative, a.auc AS roc_auc, e1.enrichment AS ef_1pct, e5.enrichment AS ef_5pct, e2.enrichment AS ef_10pct, b.bedroc
+FROM (SELECT target_id, count(*) AS total, count(*) FILTER (label_role = 'heldout_positive') AS positive, count(*) FILTER (label_role = 'heldout_negative') AS negative FROM ps GROUP BY 1) t
 LEFT JOIN ({auc_sql("l2", LABELED, 4)}) a USING (target_id)
 LEFT JOIN ({EF}) e1 ON e1.target_id = t.target_id AND e1.fraction = 0.01::DOUBLE AND a.auc IS NOT NULL
+LEFT JOIN ({EF}) e5 ON e5.target_id = t.target_id AND e5.fraction = 0.05::DOUBLE AND a.auc IS NOT NULL
 LEFT JOIN ({EF}) e2 ON e2.target_id = t.target_id AND e2.fraction = 0.1::DOUBLE AND a.auc IS NOT NULL
 LEFT JOIN ({BEDROC}) b ON b.target_id = t.target_id AND a.auc IS NOT NULL""",
 )
 def benchmark_labels(spark, sf):
-    """Metrics against explicit labels; not evaluated unless both classes have scores."""
+    """Metrics against explicit labels; not evaluated, with the reason, unless both classes have scores."""
     rows = pair_scores(spark, sf)
     labeled = rows.filter(F.col("label_role") != ranking.BACKGROUND)
-    ef = ranking.enrichment_tied(labeled, "l2", (0.01, 0.1))
-    wide = ef.groupBy("target_id").agg(
-        F.max(F.when(F.col("fraction") == 0.01, F.col("enrichment"))).alias("ef_1pct"), F.max(F.when(F.col("fraction") == 0.1, F.col("enrichment"))).alias("ef_10pct")
-    )
+    share = {"ef_1pct": 0.01, "ef_5pct": 0.05, "ef_10pct": 0.1}
+    ef = ranking.enrichment_tied(labeled, "l2", list(share.values()))
+    wide = ef.groupBy("target_id").agg(*[F.max(F.when(F.col("fraction") == f, F.col("enrichment"))).alias(c) for c, f in share.items()])
+    wide = wide.join(rows.groupBy("target_id").agg(F.count("*").alias("total"), F.count_if(ranking.is_positive()).alias("positive"), F.count_if(F.col("label_role") == ranking.NEGATIVE).alias("negative")), "target_id", "right")
     out = ranking.auc(rows, "l2", digits=4, name="roc_auc").join(wide, "target_id", "left").join(ranking.bedroc_tied(labeled, "l2"), "target_id", "left")
     done = F.col("roc_auc").isNotNull()
-    return out.select("target_id", F.when(done, "evaluated").otherwise("not_evaluated").alias("status"), "roc_auc", *[F.when(done, F.col(c)).alias(c) for c in ("ef_1pct", "ef_10pct", "bedroc")])
+    return out.select("target_id", F.when(done, "evaluated").otherwise("not_evaluated").alias("status"), F.when(~done, "positive and negative scores are both required").alias("reason"), "total", "positive", "negative", "roc_auc", *[F.when(done, F.col(c)).alias(c) for c in (*share, "bedroc")])
 
 
 SA = "greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.95::DOUBLE - (greatest(0, rings - 3) * 0.15::DOUBLE + greatest(0, aromatic - 2) * 0.10::DOUBLE + greatest(0, rotatable - 6) * 0.08::DOUBLE + greatest(0, hetero - 6) * 0.06::DOUBLE + halogen * 0.05::DOUBLE + greatest(0, heavy - 35) * 0.02::DOUBLE)))"

@@ -4,9 +4,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from quillon.operators import models
+from quillon.functions import layers
+from quillon.operators import audit, labels, models
 from quillon.plans import q_models
 from quillon.sources import readers, writers
 from quillon.streaming import jobs
@@ -122,8 +124,19 @@ def test_pair_grid_equals_plain_forward(spark):
 
 def test_models_beat_chance(spark):
     sf = "/root/testdata/sf0.01"
-    for name in ("train_logistic", "train_pairwise"):
-        assert all(r["auc"] > 0.75 for r in q_models.QUERIES[name](spark, sf).collect())
+    for name in ("train_logistic", "train_pairwise", "train_mlp", "train_forest"):
+        assert all(r["auc"] > 0.75 for r in q_models.QUERIES[name](spark, sf).collect()), name
+
+
+def test_text_pair_model_finds_a_planted_word(spark):
+    docs = spark.createDataFrame([(i, ["s1", "s2"][i % 2], "some words here " + ("poison" if i % 3 == 0 else "flower")) for i in range(300)], "doc_id long, source string, text string")
+    left = models.signed_text_features(docs.select("doc_id", "text"), "text", 520, "doc_vec").drop("text")
+    right = models.signed_text_features(docs.select("source").distinct(), "source", 256, "source_vec")
+    rows = docs.select("doc_id", "source", (F.col("doc_id") % 3 == 0).cast("int").alias("label"))
+    pairs = models.assemble(rows, left, right, ["doc_id", "source"], ["doc_vec", "source_vec"])
+    assert pairs.count() == 300 and len(pairs.first()["features"]) == 776
+    fit = LogisticRegression(weightCol="weight", regParam=0.01, maxIter=30).fit(models.balanced(pairs.filter("doc_id % 5 > 0")))
+    assert models.predict(fit, pairs.filter("doc_id % 5 = 0")).filter("(p > 0.5) <> (label = 1)").count() == 0
 
 
 def test_pairwise_training_uses_every_row(spark, monkeypatch):
@@ -154,6 +167,39 @@ def test_minhash_recall(spark):
 
 
 def test_signed_hash(spark):
-    df = spark.createDataFrame([("a b a",), ("",)], "t string")
-    v = [r["text_arr"] for r in models.signed_text_features(df, "t", 32).collect()]
-    assert sum(abs(x) for x in v[0]) in (1.0, 3.0) and sum(abs(x) for x in v[1]) == 1.0
+    df = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None), (4, "a b a")], "id long, t string")
+    v = {r["id"]: r["text_vec"].toArray() for r in models.signed_text_features(df, "t", 32).collect()}
+    assert sum(abs(v[1])) in (1.0, 3.0) and sum(abs(v[2])) == 1.0
+    assert (v[2] == v[3]).all() and (v[1] == v[4]).all()
+
+
+def test_rules_that_raise(spark):
+    rows = spark.createDataFrame([(1, 5), (2, 6)], "target_id long, part_key long")
+    cache = spark.createDataFrame([(5, "x")], "part_key long, v string")
+    with pytest.raises(ValueError, match="lacks keys such as 6"):
+        audit.total_join(rows, cache, "part_key")
+    assert audit.total_join(rows.filter("part_key = 5"), cache, "part_key").count() == 1
+    counts = spark.createDataFrame([(1, 7, 6, "strict_labeled")], "target_id long, n_positive long, n_negative long, tier string")
+    fallback = spark.createDataFrame([(9, 0), (8, 1), (9, 2)], "target_id long, position long")
+    got = labels.select_targets(counts, fallback, 3).orderBy("target_index").collect()
+    assert [r["target_id"] for r in got] == [1, 9, 8]
+    with pytest.raises(ValueError, match="3 targets, expected 4"):
+        labels.select_targets(counts, fallback, 4)
+
+
+def test_evidence_and_report(spark, tmp_path):
+    for name, cols in (("association", "drugId long, target_id long"), ("drug", "id long"), ("target", "targetId long")):
+        spark.createDataFrame([(1, 2)[: cols.count(",") + 1]], cols).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = readers.evidence(spark, str(tmp_path), alternatives={"drug": ("drug_id", "drugId", "id"), "target": ("target_id", "targetId")})
+    assert {n: d.columns for n, d in found.items()} == {"association": ["drug", "target"], "drug": ["drug"], "target": ["target"]}
+    rows = writers.report(spark.createDataFrame([("auc", 3, 0.5)], "metric string, n long, median double"), spark.createDataFrame([("ok", 4)], "docking_status string, n long"))
+    assert {tuple(r) for r in rows.collect()} == {("metric:auc", "n", 3.0), ("metric:auc", "median", 0.5), ("status", "ok", 4.0)}
+
+
+def test_light_cyanide_is_a_severe_alert(spark):
+    names = "mw logp tpsa hbd hba rotatable aromatic aliphatic severe moderate tox21 clintox sider bbb heavy_metal cyanide alkali".split()
+    base = dict.fromkeys(names, 0.0) | {"mw": 27.0, "tox21": 0.0, "clintox": 0.0, "sider": 0.0, "bbb": 0.9, "heavy_metal": False, "cyanide": True, "alkali": False, "severe": 0, "moderate": 0}
+    rows = [base, base | {"mw": 300.0}, base | {"mw": 300.0, "alkali": True}, base | {"severe": 1}]
+    df = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], ", ".join(f"{n} {'boolean' if n in ('heavy_metal', 'cyanide', 'alkali') else 'int' if n in ('severe', 'moderate') else 'double'}" for n in names))
+    l3 = [r["l3"] for r in df.coalesce(1).select(layers.composite().alias("l3")).collect()]
+    assert (l3[0], l3[2], l3[3]) == (0.35, 0.35, 0.25) and l3[1] > 0.5
