@@ -7,16 +7,14 @@ Small sets list subsets: two sets of sizes s and t link exactly if they share a
 members as the threshold asks for at these sizes, so every set up to the boundary lists its subsets
 of these sizes, once for each size of partner.
 
-Large sets go by inverted lists, in three steps.  One list per shingle for the whole corpus would hold
-every document with a passage that many share, so the lists that find candidates have parts of sets as
-their terms: the members of a set are dealt into one part more than two linking sets of that size class
-can differ by, so at least one part is the same in both.  Members that are frequent in the corpus are
-left out of the parts (two sets differ no more in what is left): a set that is mostly frequent members has
-parts of all of its members.  The lists are scanned for pairs, and a pair stays if the parities of its
-members, counted in buckets, leave room for the threshold (they differ in no more buckets than the sets
-differ in members).  What is tied by such pairs, or by a list too long to take pairs from, is a block.
-Within a block every shingle has its list of sets; the lists are scanned, the rare ones entry by entry and
-the common ones in bulk, and what two sets have in common is counted.
+Large sets go by inverted lists of shingles, rarest first.  All sets have one order of members: those
+that are frequent in the corpus come last, the others by a hash.  Two linking sets share a member among
+the first that a set can't do without, so a set is in the lists of these only, and a passage that many
+documents share is in the lists of those that have little else.  The lists are scanned for pairs, and a
+pair stays if the parities of its members, counted in buckets, leave room for the threshold (they differ in
+no more buckets than the sets differ in members).  What is tied by such pairs, or by a list too long to
+take pairs from, is a block.  Within a block every shingle has its list of sets; the lists are scanned, the
+rare ones entry by entry and the common ones in bulk, and what two sets have in common is counted.
 
 Blocks of copies may be large, so a few sets of a block represent it first: what links with one of them
 is joined, and only sets outside the largest class are scanned against the whole block.  Blocks with
@@ -30,7 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
-from math import ceil, comb, log
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -92,41 +90,9 @@ class Threshold:
     def subsets(self, s: int) -> int:
         return sum(comb(s, c) for c, _ in self.subset_sizes(s))
 
-    @lru_cache(maxsize=4096)  # noqa: B019
-    def classes(self, s: int) -> tuple[tuple[int, int], ...]:
-        """(class, parts) of all pairs that a set of size s can be in, by the size of the larger set."""
-        out = []
-        for c in range(self._class(s), self._class(self.largest(s)) + 1):
-            top = self._top(c)
-            out.append((c, (self.den - self.num) * 2 * top // (self.den + self.num) + 1))
-        return tuple(out)
-
-    @property
-    def rare_least(self) -> float:
-        """Part of a set that must be rare for its rare members alone to be listed: two members, about,
-        for each part."""
-        return min(1.0, 2.25 * 1.25 * 2 * (self.den - self.num) / (self.den + self.num))
-
-    def bases(self, size: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether sets list parts of their rare members, and of all members.
-
-        The rare parts of two linking sets differ by 1 - similarity at most (that is how far the uniform
-        distributions over them are apart), so they have one basis in common.
-        """
-        share = rare / size
-        return share >= self.rare_least, share < self.rare_least + 1 - self.ratio + 1e-9
-
-    def _class(self, s: int) -> int:
-        c = int(log(s) / -log(self.ratio)) if self.ratio < 1 else s
-        while self._top(c) < s:
-            c += 1
-        while c and self._top(c - 1) >= s:
-            c -= 1
-        return c
-
-    def _top(self, c: int) -> int:
-        """Largest size of a class."""
-        return ceil(self.ratio ** -(c + 1)) - 1 if self.ratio < 1 else c
+    def needed(self, s: np.ndarray | int) -> np.ndarray | int:
+        """Members of a set of size s of which one at least is shared with any linking set, in any order."""
+        return s + (-s * self.num // self.den) + 1
 
 
 def subset_keys(members: np.ndarray, t: Threshold) -> np.ndarray:
@@ -143,54 +109,21 @@ def subset_keys(members: np.ndarray, t: Threshold) -> np.ndarray:
     return np.concatenate(out)
 
 
-def part_keys(members: np.ndarray, per: np.ndarray, size: np.ndarray, t: Threshold, basis: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, set) of the parts of sets, for each class of pairs that a set can be in.
+def list_keys(members: np.ndarray, per: np.ndarray, frequent: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, set): the lists that sets are in, one for each of the first members they need.
 
-    ``members`` has the members to deal of one set after the other, ``per`` their numbers, ``size`` the
-    numbers of all members of the sets.  With ``spare`` parts more than needed, ``spare + 1`` parts are
-    the same in two linking sets.  A set leaves out its smallest parts, up to ``spare`` of them and whole
-    sizes only, so one of the parts they share is left: small parts are in many sets, and an empty one is
-    the same in all.
+    ``members`` has the members of one set after the other, ``per`` their numbers; ``frequent`` is
+    ascending and its members come last.
     """
-    sizes, which = np.unique(size, return_inverse=True)
-    classes = [t.classes(s) for s in sizes.tolist()]
-    spread, owner, keys, owners = mix(members + _U(0x8CB92BA72F3D8DD7)), np.repeat(np.arange(len(per)), per), [], []
-    for n in range(max(map(len, classes), default=0)):
-        own = np.array([x[min(n, len(x) - 1)] for x in classes], np.int64)[which]
-        has = np.array([len(x) > n for x in classes])[which]
-        parts = own[:, 1]
-        total = np.where(has, parts + np.maximum(1, parts // 4), 0)
-        first = np.cumsum(total) - total
-        name = (2 * own[:, 0] + basis).astype(_U)
-        use = has[owner]
-        part = first[owner[use]] + (mix(members[use] + name[owner[use]]) % total[owner[use]].astype(_U)).astype(np.int64)
-        count, sums = np.bincount(part, minlength=int(total.sum())), np.zeros(int(total.sum()), _U)
-        np.add.at(sums, part, spread[use])
-        of = np.repeat(np.arange(len(per)), total)
-        ordered = np.sort((of << 32) + count)
-        least = np.zeros(len(per), np.int64)
-        least[has] = ordered[(first + total - parts)[has]] & 0xFFFFFFFF  # fewer than spare + 1 parts are smaller
-        keep = np.flatnonzero(count >= least[of])
-        of = of[keep]
-        keys.append(mix(sums[keep] + mix(name[of] * _U(1 << 32) + (keep - first[of]).astype(_U))))
-        owners.append(of)
-    return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, _U), np.zeros(0, np.int64))
-
-
-def list_keys(members: np.ndarray, per: np.ndarray, frequent: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, set) of sets in the lists that make blocks; ``frequent`` is ascending."""
-    if not len(frequent):
-        return part_keys(members, per, per, t)
     owner = np.repeat(np.arange(len(per)), per)
-    rare = frequent[np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)] != members
-    n = np.bincount(owner[rare], minlength=len(per))
-    by_rare, by_all = t.bases(per, n)
-    out = []
-    for use, chosen, basis in ((rare & by_rare[owner], by_rare, 1), (by_all[owner], by_all, 0)):
-        at = np.flatnonzero(chosen)
-        key, of = part_keys(members[use], np.bincount(owner[use], minlength=len(per))[at], per[at], t, basis)
-        out.append((key, at[of]))
-    return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
+    order = mix(members + _U(0x8CB92BA72F3D8DD7)) >> _U(1)
+    if len(frequent):
+        last = frequent[np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)] == members
+        order |= last.astype(_U) << _U(63)
+    by = np.lexsort((order, owner))
+    place = np.arange(len(members)) - np.repeat(np.cumsum(per) - per, per)
+    chosen = by[place < np.repeat(t.needed(per), per)]
+    return mix(members[chosen] + _U(0xD6E8FEB86659FD93)), owner[chosen]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -229,7 +162,8 @@ def may_link(a: bytes, b: bytes, s: int, t: int, least: Threshold) -> bool:
         x = x[: len(x) // 2] ^ x[len(x) // 2 :]
     while len(y) > len(x):
         y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum()) <= s + t - 2 * least.overlap(s, t)
+    common = least.overlap(s, t)
+    return common <= min(s, t) and int(np.bitwise_count(x ^ y).sum()) <= s + t - 2 * common
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -418,7 +352,7 @@ def boundary(sizes: dict[int, int], t: Threshold) -> int:
     """
 
     def cost(b: int) -> int:
-        lists = sum(k * sum(p for _, p in t.classes(s)) for s, k in sizes.items() if t.largest(s) > b)
+        lists = sum(k * t.needed(s) for s, k in sizes.items() if t.largest(s) > b)
         return sum(k * t.subsets(s) for s, k in sizes.items() if s <= b) + lists
 
     allowed = [b for b in range(SMALL_MOST + 1) if all(t.subsets(s) <= SUBSETS_MOST for s in range(1, b + 1))]
@@ -704,8 +638,7 @@ def jaccard_classes(
     histogram = {r["n"]: r for r in rows.groupBy(F.least("n_shingles", F.lit(SMALL_MOST + 1)).alias("n")).agg(F.count("*").alias("k"), F.sum("n_shingles").alias("m")).collect()}
     total = sum(r["m"] for r in histogram.values())
     frequent = frequent_members(found, total)
-    per = sum(p for _, p in t.classes(1000)) / 1000  # keys for each member of a large set
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(total * per / CHUNK))
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(t.needed(total) / CHUNK))
     small = boundary({n: r["k"] for n, r in histogram.items() if 0 < n <= SMALL_MOST}, t)
     sets = rows.filter(F.col("set_id").isNotNull())
     firsts = [F.first(c).alias(c) for c in ("n_shingles", "parity")]
