@@ -546,8 +546,9 @@ def _steps(rows: DataFrame, t: Threshold) -> DataFrame:
 def _large_links(sets: DataFrame, t: Threshold) -> DataFrame:
     """(a, b): links that connect the linking sets of blocks of any size.
 
-    Rounds of representatives come first, as long as they leave less than half of the sets outside their
-    block's largest class; each is linear in the sets.  Those left are then compared with all others.
+    Rounds of representatives come first, as long as many sets are left outside their block's largest
+    class and each round leaves less than half of them; a round is linear in the sets.  Those left are then
+    compared with all others.
     """
     found, before = None, None
     side = lambda n, m: F.greatest(F.ceil(F.lit(2.0) * n / SIDE_SETS), F.ceil(F.lit(2.0) * m / SIDE_MEMBERS), F.lit(1)).cast("int")
@@ -564,7 +565,7 @@ def _large_links(sets: DataFrame, t: Threshold) -> DataFrame:
         first = named.join(some, "set_id", "left_semi").withColumn("hi", F.explode(F.sequence(F.lit(0), F.col("_sides") - 1)))
         first = first.select("block", F.lit(-1).alias("lo"), "hi", F.lit(-1).alias("side"), "label", "set_id", "members")
         new = save(_steps(first.unionByName(rows.withColumn("side", F.col("hi"))), t), "jaccard-links")
-        found = save(new if found is None else found.unionByName(new), "jaccard-found")
+        found = new if found is None else found.unionByName(new)
         tied = components(found)
         label = sets.select("set_id", "block", "n").join(tied, F.col("set_id") == F.col("node"), "left").select("set_id", "block", "n", F.coalesce("component", "set_id").alias("label"))
         count = label.groupBy("block", "label").agg(F.count("*").alias("_k"))
@@ -573,7 +574,7 @@ def _large_links(sets: DataFrame, t: Threshold) -> DataFrame:
         rest = label.join(main, F.col("block") == F.col("_block")).join(seen, "set_id", "left")
         outside = save(rest.select("set_id", "block", "n", "label", ((F.col("label") != F.col("_main")) & F.col("_seen").isNull()).alias("outside")), "jaccard-labels")
         left = outside.filter("outside").count()
-        if not left or (before is not None and left > before / 2):
+        if left <= SIDE_SETS or (before is not None and left > before / 2):
             break
         before = left
     if not left:
