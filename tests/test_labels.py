@@ -46,8 +46,8 @@ def test_target_order_and_fallback(spark):
     rows = [("a", 5, 5), ("b", 2, 5), ("c", 1, 0), ("d", 0, 3)]
     data = [(t, f"p{i}", 1, 0) for t, p, _ in rows for i in range(p)] + [(t, f"n{i}", 0, 0) for t, _, n in rows for i in range(n)]
     counts = labels.target_counts(pairs(spark, data))
-    got = labels.select_targets(counts, spark.createDataFrame([("z",), ("y",), ("a",)], "target_id string"), 5).orderBy("target_index").collect()
-    assert [(r["target_id"], r["tier"]) for r in got] == [("a", "strict_labeled"), ("b", "limited_positive"), ("c", "limited_positive"), ("y", "unlabeled_fallback"), ("z", "unlabeled_fallback")]
+    got = labels.select_targets(counts, spark.createDataFrame([("z", 0), ("y", 1), ("a", 2)], "target_id string, position int"), 5).orderBy("target_index").collect()
+    assert [(r["target_id"], r["tier"]) for r in got] == [("a", "strict_labeled"), ("b", "limited_positive"), ("c", "limited_positive"), ("z", "unlabeled_fallback"), ("y", "unlabeled_fallback")]
 
 
 def test_similarity(spark):
