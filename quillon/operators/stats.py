@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import finite, rounded
 
+#: Resamples that a task draws at once.
+REPS = 100
+
 
 def long_metrics(df: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ("target_id",)) -> DataFrame:
     """(keys, metric, value) rows of finite values."""
@@ -25,10 +30,11 @@ def five_numbers(long: DataFrame, by: Sequence[str] = ("metric",)) -> DataFrame:
     return out.select(*by, "n", rounded(F.col("_mean"), 6).alias("mean"), *[rounded(F.col("_q")[i], 6).alias(name) for i, name in enumerate(("q1", "median", "q3"))])
 
 
-def draw(seed: int, rep: Column, place: Column, n: Column) -> Column:
-    """A place below ``n`` from whole-number arithmetic modulo 2**31 - 1, the same in any engine."""
-    p = F.lit(2**31 - 1).cast("long")
-    x = (F.lit(seed).cast("long") * 1_000_003 + rep.cast("long") * 65_599 + place.cast("long") * 48_271 + 1) % p
+def draws(seed: int, reps: np.ndarray, n: int) -> np.ndarray:
+    """Places below ``n``, ``n`` for each resample, from whole-number arithmetic modulo 2**31 - 1: the same
+    in any engine."""
+    p = 2**31 - 1
+    x = (seed * 1_000_003 + reps.astype(np.int64)[:, None] * 65_599 + np.arange(n, dtype=np.int64)[None] * 48_271 + 1) % p
     for add in (11, 1013, 104_729):
         x = (x * x % p + x * 16_807 + add) % p
     return x % n
@@ -37,16 +43,21 @@ def draw(seed: int, rep: Column, place: Column, n: Column) -> Column:
 def bootstrap_median(long: DataFrame, *, reps: int = 2000, seed: int = 42, key: str = "target_id") -> DataFrame:
     """(metric, low, high): 95% interval of the median over resamples.
 
-    Draw i of a resample is the value at the place that ``draw`` gives for (seed, resample, i).  The
-    values of a metric, one per key, are one array; resamples are rows that tasks share out, so no draw
-    is shuffled.
+    Draw i of a resample is the value at the place that ``draws`` gives for (seed, resample, i).  The
+    values of a metric, one per key, are one array; tasks share out the resamples, so no draw is
+    shuffled.
     """
     values = long.groupBy("metric").agg(F.transform(F.array_sort(F.collect_list(F.struct(key, "value"))), lambda x: x["value"]).alias("_v"))
-    each = values.select("metric", F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep")).repartition("metric", "rep")
-    n = F.size("_v")
-    drawn = F.array_sort(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("_v", draw(seed, F.col("rep"), i, n).cast("int"))))
-    middle = lambda at: F.get("_s", F.floor(at).cast("int"))
-    medians = each.join(values, "metric").select("metric", drawn.alias("_s")).select("metric", ((middle((F.size("_s") - 1) / 2) + middle(F.size("_s") / 2)) / 2).alias("m"))
+    each = values.select("metric", "_v", F.explode(F.sequence(F.lit(1), F.lit(reps), F.lit(REPS))).alias("_first")).repartition("metric", "_first")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for metric, first, v in zip(b.column("metric").to_pylist(), b.column("_first").to_pylist(), b.column("_v")):
+                v = v.values.to_numpy()
+                m = np.median(v[draws(seed, np.arange(first, min(first + REPS, reps + 1)), len(v))], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array([metric] * len(m)), pa.array(m)], ["metric", "m"])
+
+    medians = each.mapInArrow(run, "metric string, m double")
     q = F.percentile("m", F.array(F.lit(0.025), F.lit(0.975)))
     return medians.groupBy("metric").agg(q.alias("_q")).select("metric", rounded(F.col("_q")[0], 6).alias("low"), rounded(F.col("_q")[1], 6).alias("high"))
 
