@@ -7,14 +7,17 @@ Small sets list subsets: two sets of sizes s and t link exactly if they share a
 members as the threshold asks for at these sizes, so every set up to the boundary lists its subsets
 of these sizes, once for each size of partner.
 
-Large sets go by inverted lists of shingles, rarest first.  All sets have one order of members: those
-that are frequent in the corpus come last, the others by a hash.  Two linking sets share a member among
-the first that a set can't do without, so a set is in the lists of these only, and a passage that many
-documents share is in the lists of those that have little else.  The lists are scanned for pairs, and a
-pair stays if the parities of its members, counted in buckets, leave room for the threshold (they differ in
-no more buckets than the sets differ in members).  What is tied by such pairs, or by a list too long to
-take pairs from, is a block.  Within a block every shingle has its list of sets; the lists are scanned, the
-rare ones entry by entry and the common ones in bulk, and what two sets have in common is counted.
+Large sets go by inverted lists, in three steps.  One list per shingle for the whole corpus would hold
+every document with a passage that many share, so the lists that find candidates have parts of sets as
+their terms: the members of a set are dealt into one part more than two linking sets of that size class
+can differ by, so at least one part is the same in both.  Members that are frequent in the corpus are
+left out of the parts (two sets differ no more in what is left): a set that is mostly frequent members has
+parts of all of its members.  The lists are scanned for pairs of sets whose sizes allow a link, and a pair
+stays if the parities of its members, counted in buckets, leave room for the threshold (they differ in no
+more buckets than the sets differ in members).  What is tied by such pairs, or by a list too long to take
+pairs from, is a block.
+Within a block every shingle has its list of sets; the lists are scanned, the rare ones entry by entry and
+the common ones in bulk, and what two sets have in common is counted.
 
 Blocks of copies may be large, so a few sets of a block represent it first: what links with one of them
 is joined, and only sets outside the largest class are scanned against the whole block.  Blocks with
@@ -28,7 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
-from math import ceil, comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +54,7 @@ CHUNK = 1 << 19
 #: there are fewer of them than this, whatever the input (they go to every task, 8 bytes each), and in
 #: ``FREQUENT_LEAST`` texts at least; members that a task sees twice in ``COUNTED`` are counted.  Any
 #: choice gives the same classes.
-FREQUENT_PART, FREQUENT_LEAST, COUNTED = 1 << 22, 8, 1 << 22
+FREQUENT_PART, FREQUENT_LEAST, COUNTED = 1 << 23, 8, 1 << 22
 #: Sets of a list from which on it makes a block instead of pairs.
 LIST_MOST = 64
 #: Sets and members that a task holds of one block, or of one side of it.
@@ -90,9 +93,41 @@ class Threshold:
     def subsets(self, s: int) -> int:
         return sum(comb(s, c) for c, _ in self.subset_sizes(s))
 
-    def needed(self, s: np.ndarray | int) -> np.ndarray | int:
-        """Members of a set of size s of which one at least is shared with any linking set, in any order."""
-        return s + (-s * self.num // self.den) + 1
+    @lru_cache(maxsize=4096)  # noqa: B019
+    def classes(self, s: int) -> tuple[tuple[int, int], ...]:
+        """(class, parts) of all pairs that a set of size s can be in, by the size of the larger set."""
+        out = []
+        for c in range(self._class(s), self._class(self.largest(s)) + 1):
+            top = self._top(c)
+            out.append((c, (self.den - self.num) * 2 * top // (self.den + self.num) + 1))
+        return tuple(out)
+
+    @property
+    def rare_least(self) -> float:
+        """Part of a set that must be rare for its rare members alone to be listed: two members, about,
+        for each part."""
+        return min(1.0, 2.25 * 1.25 * 2 * (self.den - self.num) / (self.den + self.num))
+
+    def bases(self, size: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether sets list parts of their rare members, and of all members.
+
+        The rare parts of two linking sets differ by 1 - similarity at most (that is how far the uniform
+        distributions over them are apart), so they have one basis in common.
+        """
+        share = rare / size
+        return share >= self.rare_least, share < self.rare_least + 1 - self.ratio + 1e-9
+
+    def _class(self, s: int) -> int:
+        c = int(log(s) / -log(self.ratio)) if self.ratio < 1 else s
+        while self._top(c) < s:
+            c += 1
+        while c and self._top(c - 1) >= s:
+            c -= 1
+        return c
+
+    def _top(self, c: int) -> int:
+        """Largest size of a class."""
+        return ceil(self.ratio ** -(c + 1)) - 1 if self.ratio < 1 else c
 
 
 def subset_keys(members: np.ndarray, t: Threshold) -> np.ndarray:
@@ -109,21 +144,54 @@ def subset_keys(members: np.ndarray, t: Threshold) -> np.ndarray:
     return np.concatenate(out)
 
 
-def list_keys(members: np.ndarray, per: np.ndarray, frequent: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, set): the lists that sets are in, one for each of the first members they need.
+def part_keys(members: np.ndarray, per: np.ndarray, size: np.ndarray, t: Threshold, basis: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, set) of the parts of sets, for each class of pairs that a set can be in.
 
-    ``members`` has the members of one set after the other, ``per`` their numbers; ``frequent`` is
-    ascending and its members come last.
+    ``members`` has the members to deal of one set after the other, ``per`` their numbers, ``size`` the
+    numbers of all members of the sets.  With ``spare`` parts more than needed, ``spare + 1`` parts are
+    the same in two linking sets.  A set leaves out its smallest parts, up to ``spare`` of them and whole
+    sizes only, so one of the parts they share is left: small parts are in many sets, and an empty one is
+    the same in all.
     """
+    sizes, which = np.unique(size, return_inverse=True)
+    classes = [t.classes(s) for s in sizes.tolist()]
+    spread, owner, keys, owners = mix(members + _U(0x8CB92BA72F3D8DD7)), np.repeat(np.arange(len(per)), per), [], []
+    for n in range(max(map(len, classes), default=0)):
+        own = np.array([x[min(n, len(x) - 1)] for x in classes], np.int64)[which]
+        has = np.array([len(x) > n for x in classes])[which]
+        parts = own[:, 1]
+        total = np.where(has, parts + np.maximum(1, parts // 4), 0)
+        first = np.cumsum(total) - total
+        name = (2 * own[:, 0] + basis).astype(_U)
+        use = has[owner]
+        part = first[owner[use]] + (mix(members[use] + name[owner[use]]) % total[owner[use]].astype(_U)).astype(np.int64)
+        count, sums = np.bincount(part, minlength=int(total.sum())), np.zeros(int(total.sum()), _U)
+        np.add.at(sums, part, spread[use])
+        of = np.repeat(np.arange(len(per)), total)
+        ordered = np.sort((of << 32) + count)
+        least = np.zeros(len(per), np.int64)
+        least[has] = ordered[(first + total - parts)[has]] & 0xFFFFFFFF  # fewer than spare + 1 parts are smaller
+        keep = np.flatnonzero(count >= least[of])
+        of = of[keep]
+        keys.append(mix(sums[keep] + mix(name[of] * _U(1 << 32) + (keep - first[of]).astype(_U))))
+        owners.append(of)
+    return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, _U), np.zeros(0, np.int64))
+
+
+def list_keys(members: np.ndarray, per: np.ndarray, frequent: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, set) of sets in the lists that make blocks; ``frequent`` is ascending."""
+    if not len(frequent):
+        return part_keys(members, per, per, t)
     owner = np.repeat(np.arange(len(per)), per)
-    order = mix(members + _U(0x8CB92BA72F3D8DD7)) >> _U(1)
-    if len(frequent):
-        last = frequent[np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)] == members
-        order |= last.astype(_U) << _U(63)
-    by = np.lexsort((order, owner))
-    place = np.arange(len(members)) - np.repeat(np.cumsum(per) - per, per)
-    chosen = by[place < np.repeat(t.needed(per), per)]
-    return mix(members[chosen] + _U(0xD6E8FEB86659FD93)), owner[chosen]
+    rare = frequent[np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)] != members
+    n = np.bincount(owner[rare], minlength=len(per))
+    by_rare, by_all = t.bases(per, n)
+    out = []
+    for use, chosen, basis in ((rare & by_rare[owner], by_rare, 1), (by_all[owner], by_all, 0)):
+        at = np.flatnonzero(chosen)
+        key, of = part_keys(members[use], np.bincount(owner[use], minlength=len(per))[at], per[at], t, basis)
+        out.append((key, at[of]))
+    return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -213,26 +281,26 @@ def frequent_members(found: DataFrame, members: int) -> np.ndarray:
     return np.sort(rows["member"].to_numpy(np.int64).astype(_U))
 
 
-def _shortened(key: np.ndarray, node: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, sets, start of each list, ties): entries by key, each once; lists of more than ``most`` sets
-    are tied and keep one more than that, so that they stay too long."""
+def _shortened(key: np.ndarray, node: np.ndarray, size: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, sets, their sizes, start of each list, ties): entries by key, each once; lists of more than
+    ``most`` sets are tied and keep one more than that, so that they stay too long."""
     order = np.lexsort((node, key))
-    key, node = key[order], node[order]
+    key, node, size = key[order], node[order], size[order]
     once = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
-    key, node = key[once], node[once]
+    key, node, size = key[once], node[once], size[once]
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    size = np.diff(np.append(start, len(key)))
-    place = np.arange(len(key)) - np.repeat(start, size)
-    long = np.repeat(size > most, size)
-    tie = forest(np.stack([node, np.repeat(node[start], size)], 1)[long & (place > 0)])
+    n = np.diff(np.append(start, len(key)))
+    place = np.arange(len(key)) - np.repeat(start, n)
+    long = np.repeat(n > most, n)
+    tie = forest(np.stack([node, np.repeat(node[start], n)], 1)[long & (place > 0)])
     keep = ~long | (place <= most)
-    key, node = key[keep], node[keep]
-    return key, node, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), tie
+    key, node, size = key[keep], node[keep], size[keep]
+    return key, node, size, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), tie
 
 
 def lists(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, buckets: int, frequent: np.ndarray) -> DataFrame:
-    """(a, b, tied): pairs of sets that have a key in common, once per range of keys; or, ``tied``, links
-    that connect the sets of a list that is too long for pairs.
+    """(a, b, tied): pairs of sets that have a key in common and sizes that can link, once per range of
+    keys; or, ``tied``, links that connect the sets of a list that is too long for pairs.
 
     Entries go by ranges of keys, packed into one row per range and chunk.  Of a key that very many sets
     have, a chunk hands on a few sets and the ties of the others.
@@ -241,21 +309,21 @@ def lists(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, buck
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT_PART numbers at most
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, held, seen = [], [], 0, set()
+        keys, nodes, sizes, held, seen = [], [], [], 0, set()
         edge = (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(_U)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            key, node, _, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), LIST_MOST)
+            key, node, size, _, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), np.concatenate(sizes), LIST_MOST)
             cut = np.searchsorted(key, edge).tolist()
             out = []
             for number, (i, j) in enumerate(zip([0, *cut], [*cut, len(key)])):
                 if i < j:
-                    own, place = np.unique(node[i:j], return_inverse=True)
-                    out.append((number, pack(np.diff(key[i:j], prepend=_U(0))), pack(place.astype(np.uint32)), pack(own), None))
+                    own, at, place = np.unique(node[i:j], return_index=True, return_inverse=True)
+                    out.append((number, pack(np.diff(key[i:j], prepend=_U(0))), pack(place.astype(np.uint32)), pack(own), pack(size[i:j][at].astype(np.uint32)), None))
             if len(tie):
-                out.append((int(tie[0, 0] % buckets), None, None, None, tie.tobytes()))
+                out.append((int(tie[0, 0] % buckets), None, None, None, None, tie.tobytes()))
             for i in range(0, len(out), 1000):
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out[i : i + 1000]], pa.int32()), *[pa.array([x[c] for x in out[i : i + 1000]], pa.binary()) for c in range(1, 5)]], ["bucket", "keys", "nodes", "names", "ties"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out[i : i + 1000]], pa.int32()), *[pa.array([x[c] for x in out[i : i + 1000]], pa.binary()) for c in range(1, 6)]], ["bucket", "keys", "nodes", "names", "sizes", "ties"])
 
         for b in batches:
             for _, _, members, per in shingle_groups(b.column("_text"), k):
@@ -270,6 +338,7 @@ def lists(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, buck
                     if t.subsets(int(per[i])) > 1:
                         keys.append(subset_keys(members[j - per[i] : j], t))
                         nodes.append(np.full(len(keys[-1]), name[i]))
+                        sizes.append(np.full(len(keys[-1]), per[i]))
                         held += len(keys[-1])
                 far = np.flatnonzero(fresh & (per * t.den // t.num > small))  # can link with a set above the boundary
                 if len(far):
@@ -278,55 +347,59 @@ def lists(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, buck
                     key, of = list_keys(members[chosen[owner]], per[far], shared.value, t)
                     keys.append(key)
                     nodes.append(name[far[of]])
+                    sizes.append(per[far[of]])
                     held += len(key)
                 if held >= CHUNK:
                     yield from flush()
-                    keys, nodes, held, seen = [], [], 0, set()
+                    keys, nodes, sizes, held, seen = [], [], [], 0, set()
         if held:
             yield from flush()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, nodes, held = None, [], [], 0
+        now, keys, nodes, sizes, held = None, [], [], [], 0
 
         def found(pairs: np.ndarray, tied: bool) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([_signed(pairs[:, 0]), _signed(pairs[:, 1]), pa.array(np.full(len(pairs), tied))], ["a", "b", "tied"])
 
         def close() -> Iterator[pa.RecordBatch]:
-            key, node, start, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), LIST_MOST)
+            key, node, size, start, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), np.concatenate(sizes), LIST_MOST)
             yield found(tie, True)
-            size = np.diff(np.append(start, len(key)))
+            n = np.diff(np.append(start, len(key)))
             # all pairs of each list up to LIST_MOST: every entry with those after it
-            after = np.repeat(start + size, size) - np.arange(len(key)) - 1
-            after[np.repeat(size > LIST_MOST, size)] = 0
+            after = np.repeat(start + n, n) - np.arange(len(key)) - 1
+            after[np.repeat(n > LIST_MOST, n)] = 0
             upto, lo = np.cumsum(after), 0
             while lo < len(key):
                 hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, side="right")))
                 n = after[lo:hi]
                 a = np.repeat(np.arange(lo, hi), n)
                 b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
-                yield found(np.unique(np.stack([node[a], node[b]], 1), axis=0), False)
+                fits = t.den * np.minimum(size[a], size[b]) >= t.num * np.maximum(size[a], size[b])
+                yield found(np.unique(np.stack([node[a[fits]], node[b[fits]]], 1), axis=0), False)
                 lo = hi
 
         for b in batches:
-            for bucket, key, node, name, tie in zip(*[b.column(c) for c in ("bucket", "keys", "nodes", "names", "ties")]):
+            for bucket, key, node, name, size, tie in zip(*[b.column(c) for c in ("bucket", "keys", "nodes", "names", "sizes", "ties")]):
                 if tie.is_valid:
                     yield found(np.frombuffer(tie.as_py(), np.int64).reshape(-1, 2), True)
                     continue
                 if bucket.as_py() != now:
                     if keys:
                         yield from close()
-                    now, keys, nodes, held = bucket.as_py(), [], [], 0
+                    now, keys, nodes, sizes, held = bucket.as_py(), [], [], [], 0
+                place = unpack(node.as_py(), np.uint32)
                 keys.append(np.cumsum(unpack(key.as_py(), np.uint64), dtype=_U))
-                nodes.append(unpack(name.as_py(), np.int64)[unpack(node.as_py(), np.uint32)])
+                nodes.append(unpack(name.as_py(), np.int64)[place])
+                sizes.append(unpack(size.as_py(), np.uint32)[place].astype(np.int64))
                 held += len(keys[-1])
                 if held >= 4 * CHUNK:  # lists of copies get short again
-                    key, node, _, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), LIST_MOST)
+                    key, node, size, _, tie = _shortened(np.concatenate(keys), np.concatenate(nodes), np.concatenate(sizes), LIST_MOST)
                     yield found(tie, True)
-                    keys, nodes, held = [key], [node], 0
+                    keys, nodes, sizes, held = [key], [node], [size], 0
         if keys:
             yield from close()
 
-    dealt = rows.mapInArrow(local, "bucket int, keys binary, nodes binary, names binary, ties binary")
+    dealt = rows.mapInArrow(local, "bucket int, keys binary, nodes binary, names binary, sizes binary, ties binary")
     return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, "a long, b long, tied boolean")
 
 
@@ -352,7 +425,7 @@ def boundary(sizes: dict[int, int], t: Threshold) -> int:
     """
 
     def cost(b: int) -> int:
-        lists = sum(k * t.needed(s) for s, k in sizes.items() if t.largest(s) > b)
+        lists = sum(k * sum(p for _, p in t.classes(s)) for s, k in sizes.items() if t.largest(s) > b)
         return sum(k * t.subsets(s) for s, k in sizes.items() if s <= b) + lists
 
     allowed = [b for b in range(SMALL_MOST + 1) if all(t.subsets(s) <= SUBSETS_MOST for s in range(1, b + 1))]
@@ -639,7 +712,8 @@ def jaccard_classes(
     histogram = {r["n"]: r for r in rows.groupBy(F.least("n_shingles", F.lit(SMALL_MOST + 1)).alias("n")).agg(F.count("*").alias("k"), F.sum("n_shingles").alias("m")).collect()}
     total = sum(r["m"] for r in histogram.values())
     frequent = frequent_members(found, total)
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(t.needed(total) / CHUNK))
+    per = sum(p for _, p in t.classes(1000)) / 1000  # keys for each member of a large set
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(total * per / CHUNK))
     small = boundary({n: r["k"] for n, r in histogram.items() if 0 < n <= SMALL_MOST}, t)
     sets = rows.filter(F.col("set_id").isNotNull())
     firsts = [F.first(c).alias(c) for c in ("n_shingles", "parity")]
