@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..operators import audit, fusion, labels, ranking, routing, similarity
+from ..operators import audit, fusion, ranking, routing, similarity
 from .q_fusion import DOCK, attached, docking, fused
-from .q_labels import PAIRS, POOLS, clean, pools, split
+from .q_labels import PAIRS, POOLS, pools, split
 from .q_rank import METRICS_SQL, metrics
 from .views import PS, pair_scores, r, table
 

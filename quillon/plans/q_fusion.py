@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import rounded
 from ..operators import fusion, ranking, stats
-from .q_labels import PAIRS, clean
-from .q_rank import LABELED, METRICS_SQL, auc_sql, early_sql, gated_scores, metrics
+from .q_rank import LABELED, METRICS_SQL, auc_sql, early_sql, metrics
 from .views import PS, pair_scores, r, table
 
 QUERIES, ORACLES = {}, {}
