@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.session import new_path, small_batches
 
-__all__ = ["drop", "free_name", "save", "scratch", "small_batches"]
+__all__ = ["drop", "free_name", "save", "scratch", "small_batches", "tidy"]
 
 
 #: Paths of saved tables, as they were made.
@@ -61,3 +63,17 @@ def free_name(name: str, taken: Iterable[str]) -> str:
     while name.lower() in lower:
         name = f"_{name}"
     return name
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, which at its end gives freed memory back to the system: Python workers stay alive between
+    tasks, and what they keep counts against the executor."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+        if trim:
+            trim(0)
+
+    return tidied

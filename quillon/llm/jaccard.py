@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import drop, save, small_batches
+from .common import drop, save, small_batches, tidy
 from .components import components, forest
 from .shingles import mix, set_digests, shingle_groups
 
@@ -54,7 +54,7 @@ CHUNK = 1 << 19
 #: there are fewer of them than this, whatever the input (they go to every task, 8 bytes each), and in
 #: ``FREQUENT_LEAST`` texts at least; members that a task sees twice in ``COUNTED`` are counted.  Any
 #: choice gives the same classes.
-FREQUENT_PART, FREQUENT_LEAST, COUNTED = 1 << 23, 8, 1 << 22
+FREQUENT_PART, FREQUENT_LEAST, COUNTED = 1 << 23, 8, 1 << 20
 #: Sets of a list from which on it makes a block instead of pairs.
 LIST_MOST = 64
 #: Sets and members that a task holds of one block, or of one side of it.
@@ -271,7 +271,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
         if held:
             yield from flush()
 
-    return rows.mapInArrow(run, f"_id {kind}, _name long, n_shingles long, set_id long, parity binary, member long, texts long")
+    return rows.mapInArrow(tidy(run), f"_id {kind}, _name long, n_shingles long, set_id long, parity binary, member long, texts long")
 
 
 def frequent_members(found: DataFrame, members: int) -> np.ndarray:
@@ -399,8 +399,8 @@ def lists(docs: DataFrame, text_col: str, k: int, t: Threshold, small: int, buck
         if keys:
             yield from close()
 
-    dealt = rows.mapInArrow(local, "bucket int, keys binary, nodes binary, names binary, sizes binary, ties binary")
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, "a long, b long, tied boolean")
+    dealt = rows.mapInArrow(tidy(local), "bucket int, keys binary, nodes binary, names binary, sizes binary, ties binary")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(join), "a long, b long, tied boolean")
 
 
 def likely(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
@@ -414,7 +414,7 @@ def likely(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
             keep = pa.array([may_link(*row, t) for row in rows], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "_a", "_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def boundary(sizes: dict[int, int], t: Threshold) -> int:
@@ -559,7 +559,7 @@ def _block_links(texts: DataFrame, k: int, t: Threshold) -> DataFrame:
         if len(sets) > 1:
             yield step()
 
-    return texts.select("block", "set_id", "_text").repartition("block").sortWithinPartitions("block").mapInArrow(run, "a long, b long")
+    return texts.select("block", "set_id", "_text").repartition("block").sortWithinPartitions("block").mapInArrow(tidy(run), "a long, b long")
 
 
 def _packed(texts: DataFrame, k: int) -> DataFrame:
@@ -573,7 +573,7 @@ def _packed(texts: DataFrame, k: int) -> DataFrame:
                 raw = pa.array([members[end[i] - per[i] : end[i]].tobytes() for i in at.tolist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column("set_id").take(pa.array(at + lo)), b.column("block").take(pa.array(at + lo)), _signed(per[at]), raw], ["set_id", "block", "n", "members"])
 
-    return texts.select("set_id", "block", "_text").mapInArrow(run, "set_id long, block long, n long, members binary")
+    return texts.select("set_id", "block", "_text").mapInArrow(tidy(run), "set_id long, block long, n long, members binary")
 
 
 def _steps(rows: DataFrame, t: Threshold) -> DataFrame:
@@ -613,7 +613,7 @@ def _steps(rows: DataFrame, t: Threshold) -> DataFrame:
                     held.append(x)
         yield from compare()
 
-    return rows.select("block", "lo", "hi", "side", "label", "set_id", "members").mapInArrow(run, "a long, b long")
+    return rows.select("block", "lo", "hi", "side", "label", "set_id", "members").mapInArrow(tidy(run), "a long, b long")
 
 
 def _large_links(sets: DataFrame, t: Threshold) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import small_batches, tidy
 
 #: Components of the vectors.
 DIM = 512
@@ -113,7 +113,7 @@ def learn(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang:
                     sums[lang] = sums.get(lang, 0) + np.rint(v * (PARTS / size)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], ["lang", "sums"])
 
-    parts = picked.mapInArrow(run, "lang string, sums array<long>")
+    parts = picked.mapInArrow(tidy(run), "lang string, sums array<long>")
     per = parts.select("lang", F.posexplode("sums")).groupBy("lang", "pos").agg(F.sum("col").alias("n"))
     found = per.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("v")).orderBy("lang").collect()
     vectors = np.array([[x["n"] for x in r["v"]] for r in found], float).reshape(-1, DIM)
@@ -152,7 +152,7 @@ def learn_familiar(docs: DataFrame, text_col: str, lang_col: str, id_col: str, p
         for lang, n in texts.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())], ["lang", "code", "texts"])
 
-    texts = picked.mapInArrow(count, "lang string, code long, texts long").groupBy("lang", "code").agg(F.sum("texts").alias("texts"))
+    texts = picked.mapInArrow(tidy(count), "lang string, code long, texts long").groupBy("lang", "code").agg(F.sum("texts").alias("texts"))
     least = F.create_map(*[F.lit(x) for lang, k in n.items() for x in (lang, FAMILIAR * min(k, per_lang))]) if n else None
     rows = texts.filter(F.col("texts") >= least[F.col("lang")]).select("code").distinct().collect() if n else []
     familiar = np.array(sorted(r["code"] for r in rows), np.int64)
@@ -163,7 +163,7 @@ def learn_familiar(docs: DataFrame, text_col: str, lang_col: str, id_col: str, p
             yield pa.RecordBatch.from_arrays([pa.array([1 - known(c, familiar) / len(c) for c in found], pa.float64())], ["share"])
 
     kept, _ = pick(docs.filter(held), text_col, lang_col, id_col, per_lang)
-    share = kept.mapInArrow(shares, "share double").agg(F.percentile("share", F.lit(QUANTILE))).first()[0]
+    share = kept.mapInArrow(tidy(shares), "share double").agg(F.percentile("share", F.lit(QUANTILE))).first()[0]
     return familiar, MOST_SHARE if share is None else min(MOST_SHARE, max(LEAST_SHARE, share))
 
 
@@ -205,7 +205,7 @@ def predict(
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     schema = T.StructType([*[keep.schema.fields[i] for i in carried], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *([T.StructField("in_language", T.BooleanType())] if familiar else [])])
-    return keep.mapInArrow(run, schema)
+    return keep.mapInArrow(tidy(run), schema)
 
 
 def held_out(key: Column) -> Column:

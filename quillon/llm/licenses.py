@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, tidy
 from .shingles import shingle_hashes, words_at
 
 GRAM, WINDOW = 3, 2
@@ -266,7 +266,7 @@ def scan_licenses(
                 ["_id", "license", "coverage", "matched_words", "start", "end"],
             )
 
-    out = rows.mapInArrow(run, f"_id {kind}, license string, coverage double, matched_words long, start long, end long")
+    out = rows.mapInArrow(tidy(run), f"_id {kind}, license string, coverage double, matched_words long, start long, end long")
     return out.withColumnRenamed("_id", id_col)
 
 

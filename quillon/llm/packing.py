@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, tidy
 from .tokens import RANKS, encoder
 
 #: Items that one best-fit run holds.
@@ -146,7 +146,7 @@ def cut_and_pack(docs: DataFrame, id_col: str, text_col: str, capacity: int, end
         if held:
             yield pack()
 
-    return rows.mapInArrow(run, f"_id {kind}, {PIECES}").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), f"_id {kind}, {PIECES}").withColumnRenamed("_id", id_col)
 
 
 def pack_nodes(bins: DataFrame, nodes: int, level: int, capacity: int) -> DataFrame:
@@ -175,7 +175,7 @@ def pack_nodes(bins: DataFrame, nodes: int, level: int, capacity: int) -> DataFr
         if n:
             yield pack()
 
-    return dealt.select("bin", "node", "used").mapInArrow(run, "bin long, node long, up long, off long, used long")
+    return dealt.select("bin", "node", "used").mapInArrow(tidy(run), "bin long, node long, up long, off long, used long")
 
 
 def pack_documents(
@@ -252,7 +252,7 @@ def packed_ids(docs: DataFrame, packed: DataFrame, *, id_col: str = "doc_id", te
                 [pa.array([x[i] for x in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32())))], ["sequence_id", "offset", "ids"]
             )
 
-    parts = rows.join(per_doc, id_col).select("_text", "_cuts").mapInArrow(run, "sequence_id long, offset long, ids array<int>")
+    parts = rows.join(per_doc, id_col).select("_text", "_cuts").mapInArrow(tidy(run), "sequence_id long, offset long, ids array<int>")
     return parts.groupBy("sequence_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))
 
 

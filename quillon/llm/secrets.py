@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, tidy
 
 #: Code points between parts that belong together.
 REACH = 400
@@ -115,7 +115,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             columns = [pa.array(x, k) for x, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["_id", *names])
 
-    return rows.mapInArrow(run, f"_id {kind}, {SCANNED}").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), f"_id {kind}, {SCANNED}").withColumnRenamed("_id", id_col)
 
 
 def link(parts: DataFrame, reach: int = REACH) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, tidy
 from .tokens import RANKS, encoder, token_bytes
 
 RULES = ("start", "most", "share")
@@ -96,7 +96,7 @@ def count_tokens(
                 section, start, end, n = (np.concatenate(c) for c in columns)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(section, pa.int32()), pa.array(start), pa.array(end), pa.array(n)], ["_id", "section", "start", "end", "n_tokens"])
 
-    out = rows.mapInArrow(run, f"_id {kind}, section int, start long, end long, n_tokens double")
+    out = rows.mapInArrow(tidy(run), f"_id {kind}, section int, start long, end long, n_tokens double")
     return out.withColumn("n_tokens", F.col("n_tokens").cast("long") if rule != "share" else F.col("n_tokens")).withColumnRenamed("_id", id_col)
 
 
