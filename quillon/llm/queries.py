@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, jaccard, langid, licenses, mixing, neardup, oracles, packing, secrets, token_counts, topk
+from . import chat, jaccard, langid, licenses, mixing, neardup, negatives, oracles, packing, runs, secrets, token_counts, topk
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -13,6 +13,8 @@ QUERIES = {
     "op8_topk": topk.op8_topk,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": langid.op10_language_id,
+    "op11_negatives": negatives.op11_negatives,
+    "op13_runs": runs.op13_runs,
 }
 ORACLES = {
     "op2_neardup": oracles.OP2_SQL,
@@ -20,4 +22,5 @@ ORACLES = {
     "op5_jaccard": oracles.OP5_SQL,
     "op6_chat": oracles.OP6_SQL,
     "op8_topk": topk.OP8_SQL,
+    "op11_negatives": negatives.OP11_SQL,
 }
