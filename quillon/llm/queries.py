@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, jaccard, langid, licenses, mixing, neardup, negatives, oracles, packing, runs, secrets, token_counts, topk
+from . import chat, jaccard, langid, licenses, mixing, neardup, negatives, oracles, packing, pages, runs, secrets, token_counts, topk
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": langid.op10_language_id,
     "op11_negatives": negatives.op11_negatives,
+    "op12_pages": pages.op12_pages,
     "op13_runs": runs.op13_runs,
 }
 ORACLES = {
