@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes that a Python worker gets at once; the session's defaults suit narrow rows.
 BATCH_ROWS, BATCH_BYTES = 1000, "8m"
@@ -30,6 +30,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and kept when executors are lost."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Set the session's Arrow batches for rows with long texts, unless they are smaller already."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:

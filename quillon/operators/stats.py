@@ -11,6 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import finite, rounded
+from ..functions.session import saved
+from . import ranges
 
 #: Resamples that a task draws at once.
 REPS = 100
@@ -24,10 +26,11 @@ def long_metrics(df: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ("
 
 
 def five_numbers(long: DataFrame, by: Sequence[str] = ("metric",)) -> DataFrame:
-    """n, mean, median and quartiles of ``value`` per group; quartiles interpolate."""
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = long.groupBy(*by).agg(F.count("*").alias("n"), F.avg("value").alias("_mean"), q.alias("_q"))
-    return out.select(*by, "n", rounded(F.col("_mean"), 6).alias("mean"), *[rounded(F.col("_q")[i], 6).alias(name) for i, name in enumerate(("q1", "median", "q3"))])
+    """n, mean, median and quartiles of ``value`` per group, of any size; quartiles interpolate."""
+    long = saved(long.select(*by, "value"), "long-values")
+    found = ranges.quantiles(long, "value", by, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    means = long.groupBy(*by).agg(F.avg("value").alias("_mean"))
+    return ranges._join(found, means, by).select(*by, "n", rounded(F.col("_mean"), 6).alias("mean"), *[rounded(F.col(c), 6).alias(c) for c in ("q1", "median", "q3")])
 
 
 def draws(seed: int, reps: np.ndarray, n: int) -> np.ndarray:
@@ -64,10 +67,15 @@ def bootstrap_median(long: DataFrame, *, reps: int = 2000, seed: int = 42, key:
 
 def upper_median(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """The value at place n div 2 from 0, with least and largest."""
-    w = W.partitionBy(*by)
-    rows = df.filter(F.col(value).isNotNull()).withColumn("_rn", F.row_number().over(w.orderBy(value)) - 1).withColumn("_n", F.count("*").over(w))
-    mid = F.max(F.when(F.col("_rn") == F.floor(F.col("_n") / 2), F.col(value)))
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), mid.alias("upper_median"), F.min(value).alias("least"), F.max(value).alias("largest"))
+    return ranges.at_places(df, value, by, lambda n: [F.floor(n / 2), F.lit(0), n - 1], ["upper_median", "least", "largest"])
+
+
+def medians(df: DataFrame, values: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by, n, values): the number of rows of each group and the exact median of each column."""
+    df = saved(df.select(*by, *values), "columns")
+    found = ranges.quantiles(long_metrics(df, values, by), "value", [*by, "metric"], {"m": 0.5})
+    found = found.groupBy(*by).agg(*[F.max(F.when(F.col("metric") == v, F.col("m"))).alias(v) for v in values])
+    return ranges._join(df.groupBy(*by).agg(F.count("*").alias("n")), found, by)
 
 
 def threshold_shares(df: DataFrame, value: str, limits: Sequence[float], below: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
@@ -97,12 +105,10 @@ def pearson(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"), rounded(F.when(F.count("*") >= 3, F.corr(x, y)), 6).alias("correlation"))
 
 
-def average_rank(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
-    return df.withColumn(name, F.rank().over(W.partitionBy(*by).orderBy(value)) + (F.count("*").over(W.partitionBy(*by, value)) - 1) / 2.0)
-
-
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
-    ranked = average_rank(average_rank(df, x, by, "_rx"), y, by, "_ry")
+    """Correlation of ranks within groups of any size; ties share the mean of their places."""
+    df = saved(df.select(*by, x, y), "pairs")
+    ranked = ranges.average_ranks(ranges.average_ranks(df, x, by, "_rx"), y, by, "_ry")
     return pearson(ranked, "_rx", "_ry", by)
 
 

@@ -84,7 +84,8 @@ def score_histogram(spark, sf):
 @query("bucket_medians", f"WITH m AS ({METRICS_SQL}) SELECT CAST(n_labeled_positive >= 195 AS INT) + CAST(n_labeled_positive >= 200 AS INT) + CAST(n_labeled_positive >= 210 AS INT) AS bucket, count(*) AS n, median(auc_l2_labeled) AS auc, median(recall_at_1pct_l2) AS recall, median(observed_enrichment_at_1pct_l2) AS enrichment FROM m GROUP BY 1")
 def bucket_medians(spark, sf):
     b = stats.bucket(F.col("n_labeled_positive"), (195, 200, 210))
-    return metrics(spark, sf).groupBy(b.alias("bucket")).agg(F.count("*").alias("n"), F.median("auc_l2_labeled").alias("auc"), F.median("recall_at_1pct_l2").alias("recall"), F.median("observed_enrichment_at_1pct_l2").alias("enrichment"))
+    rows = metrics(spark, sf).select(b.alias("bucket"), F.col("auc_l2_labeled").alias("auc"), F.col("recall_at_1pct_l2").alias("recall"), F.col("observed_enrichment_at_1pct_l2").alias("enrichment"))
+    return stats.medians(rows, ["auc", "recall", "enrichment"], ["bucket"])
 
 
 @query("pearson", f"WITH {PS} SELECT target_id, count(*) AS n, {r('corr(l2, final_score)', 6)} AS correlation FROM ps GROUP BY 1")

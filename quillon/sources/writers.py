@@ -1,4 +1,4 @@
-"""Sinks.  Spark's commit protocol makes each write appear as a whole or not at all."""
+"""Sinks.  Tables that others read while they are replaced are in ``published``: these appear as a whole or not at all."""
 
 from __future__ import annotations
 

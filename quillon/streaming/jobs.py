@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.scalar import FOUR_LAYER, combine, finite
+from ..sources import published
 
 
 def score_rows(rows: DataFrame) -> DataFrame:
@@ -46,17 +49,25 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
     return df.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def upsert_state(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep a table of the latest state per (run, stage): each batch writes a version of its own, and
-    ``latest_state`` reads the newest row of each key."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("version", F.lit(number)).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
-
-    return df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def attach_layers(rows: DataFrame, layers: str, out: str, parked: str, checkpoint: str, *, key: str, score: Callable[[DataFrame], DataFrame] = score_rows) -> StreamingQuery:
+    """Join a stream with the published table ``layers``, which changes meanwhile, and process what is there.
 
+    Each micro-batch reads the newest version of ``layers``.  Rows that find their key are scored and written to
+    ``out``, a folder for each batch; the others are parked in a published table and tried again with every
+    later batch.  A batch that is run again replaces its own folder, and parked rows carry the number of the batch
+    they were left by, so nothing is scored twice.
+    """
 
-def latest_state(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path)
-    value = F.struct(*[c for c in rows.columns if c not in ("run", "stage", "version", "batch")])
-    return rows.groupBy("run", "stage").agg(F.max_by(value, "version").alias("_v")).select("run", "stage", "_v.*")
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        waiting = published.current(spark, parked)
+        if waiting and int(waiting["note"]) >= number:
+            return
+        both = batch.unionByName(published.read(spark, parked)) if waiting else batch
+        known = published.read(spark, layers).withColumn("_known", F.lit(True))
+        found = both.join(known, key, "left")
+        score(found.filter("_known")).drop("_known").write.mode("overwrite").parquet(f"{out}/batch={number:09d}")
+        published.publish(found.filter("_known is null").select(*batch.columns), parked, note=str(number))
+        published.vacuum(spark, parked, keep=1)
+
+    return rows.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -11,7 +11,7 @@ from quillon.functions import layers
 from quillon.operators import audit, labels, models
 from quillon.plans import q_models
 from quillon.sources import readers, writers
-from quillon.streaming import jobs
+from quillon.streaming import jobs, state
 
 
 def put(path, text):
@@ -93,9 +93,9 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     folder = str(tmp_path / "in")
     events.repartition(4).write.parquet(folder)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    jobs.upsert_state(jobs.stage_state(stream), str(tmp_path / "state"), str(tmp_path / "cp")).awaitTermination()
+    state.keep_state(state.track(stream, delay="60 days"), str(tmp_path / "state"), str(tmp_path / "cp")).awaitTermination()
     key = lambda df: sorted(map(tuple, df.select("run", "stage", "status", "attempts", "n_events").collect()))
-    assert key(jobs.latest_state(spark, str(tmp_path / "state"))) == key(jobs.stage_state(events))
+    assert key(state.state_now(spark, str(tmp_path / "state"))) == key(jobs.stage_state(events))
 
 
 def test_streamed_scores(spark, tmp_path):
