@@ -176,7 +176,7 @@ def predict(
     distinct trigrams are unfamiliar to be a text of the learned languages, be it of several.
 
     The score is the cosine with the prototype, 0 where it is negative.  Null texts and texts
-    without a letter get ``und`` and 0, as does every text if no language was learned.
+    without a letter get ``und`` and 0, as does every text if no language was learned; texts of any length are read whole.
     """
     small_batches(docs.sparkSession)
     keep = docs.drop("lang_pred", "score", *(["in_language"] if familiar else []))

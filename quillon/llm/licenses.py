@@ -4,11 +4,14 @@ Of every ``WINDOW`` word n-grams in a row the one with the smallest hash is a fi
 that share ``GRAM + WINDOW - 1`` words in a row share a fingerprint.  An inverted index of the
 templates' fingerprints names template and place.  Hits of one template on nearby diagonals are one
 candidate, if they are as many as the template's length asks for; it is aligned word by word within a
-band around them, in time in proportion to the template's length.
+band around them, in time in proportion to the template's length.  Candidates that cover too little of their template
+alone are pieces of a text that was put into or taken out of in places: their matched words are chained in the
+order of text and template, so the band bounds a shift within a piece and not what stands between pieces.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from pathlib import Path
@@ -30,6 +33,15 @@ COVERAGE = 0.8
 #: Hits that a candidate has at least, for each word of its template.  Four in five words in their order
 #: leave about four times as many.
 HITS = 0.05
+#: Words around a hit that an alignment may match; four in five words in order leave a hit in about eight words.
+NEAR = 8
+#: Hits for each word with which a candidate goes first, and diagonals looked at for words that begin or end it.
+MANY, ENDS = 0.3, 4
+#: Pieces are chained for templates of so many words, and have so many words at least: a few words of a short notice
+#: stand far from each other in any long text.
+CHAIN, PIECE = 64, 8
+#: Part of a template's words that the hits of a chain cover; its pieces are then aligned.
+JOINED = 0.5
 #: Words that an alignment may be off its diagonal: a fifth of the template's, within these.
 BAND = (2, 64)
 #: Words that all templates may have together: the index goes to every task.
@@ -134,11 +146,12 @@ class Postings:
         return cls(prints[order], name[order], place[order])
 
     def hits(self, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """(template, diagonal) of every posting of the grams at the places ``at``."""
+        """(template, diagonal, place) of every posting of the grams at the places ``at``."""
         lo, hi = (np.searchsorted(self.prints, grams[at], side) for side in ("left", "right"))
         n = hi - lo
         k = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.stack([self.template[k], np.repeat(at, n) - self.place[k]], 1)
+        at = np.repeat(at, n)
+        return np.stack([self.template[k], at - self.place[k], at], 1)
 
 
 @dataclass
@@ -166,8 +179,8 @@ def band(n: int) -> int:
     return min(max(BAND[0], n // 5), BAND[1])
 
 
-def align(template: np.ndarray, text: np.ndarray, width: int) -> tuple[int, int, int]:
-    """(matched words, first, last) of the best alignment: 2 for a match, -1 for a change or a gap.
+def align(template: np.ndarray, text: np.ndarray, width: int) -> np.ndarray:
+    """Matched (template word, text word) pairs of the best alignment: 2 for a match, -1 for a change or a gap.
 
     Word i of the template may stand at i .. i + ``width`` of ``text``.  A row of scores is a few numpy
     steps; what was chosen is kept as bits and followed back.
@@ -184,8 +197,8 @@ def align(template: np.ndarray, text: np.ndarray, width: int) -> tuple[int, int,
         up[i] = skipped > used
         score = np.maximum.accumulate(best + at) - at  # text words without a template word
         left[i] = score > best
-    o, i = int(score.argmax()), n - 1
-    matched, first, last = 0, -1, -1
+    o, i = width - int(score[::-1].argmax()), n - 1  # of equal ends the one that skips least
+    pairs = []
     while i >= 0:
         if left[i, o]:
             o -= 1
@@ -193,9 +206,92 @@ def align(template: np.ndarray, text: np.ndarray, width: int) -> tuple[int, int,
             i, o = i - 1, o + 1
         else:
             if same[i, o]:
-                matched, first, last = matched + 1, i + o, max(last, i + o)
+                pairs.append((i, i + o))
             i -= 1
-    return matched, first, last
+    return np.array(pairs[::-1], np.int64).reshape(-1, 2)
+
+
+def chained(pairs: np.ndarray) -> np.ndarray:
+    """The most (template word, text word) pairs that ascend in both."""
+    if (np.diff(pairs, axis=0) > 0).all():
+        return pairs
+    pairs = pairs[np.lexsort((-pairs[:, 1], pairs[:, 0]))]  # of one template word one text word at most
+    ends: list[int] = []
+    last: list[int] = []
+    before: list[int] = []
+    for i, x in enumerate(pairs[:, 1].tolist()):
+        k = bisect_left(ends, x)
+        before.append(last[k - 1] if k else -1)
+        if k == len(ends):
+            ends.append(x)
+            last.append(i)
+        else:
+            ends[k], last[k] = x, i
+    chain, i = [], last[-1] if last else -1
+    while i >= 0:
+        chain.append(i)
+        i = before[i]
+    return pairs[chain[::-1]]
+
+
+def aligned(template: np.ndarray, words: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+    """Matched pairs within the band around the diagonals of the hits; text words from the beginning of ``words``.
+
+    What begins or ends word for word on one of the diagonals with most hits needs no alignment.
+    """
+    n, b, low = len(template), band(len(template)), int(diagonal[0])
+    found, count = np.unique(diagonal, return_counts=True)
+    head, tail, parts = 0, n, [np.zeros((0, 2), np.int64)] * 2
+    for d in found[np.argsort(-count, kind="stable")][:ENDS].tolist():
+        a, z = max(0, -d), min(n, len(words) - d)
+        differ = np.flatnonzero(template[a:z] != words[a + d : z + d]) + a if a < z else np.array([0])
+        first, last = (int(differ[0]), int(differ[-1]) + 1) if len(differ) else (z, a)
+        if a == 0 and first > head:
+            head, parts[0] = first, np.stack([np.arange(first), np.arange(first) + d], 1)
+        if z == n and last < tail:
+            tail, parts[1] = last, np.stack([np.arange(last, n), np.arange(last, n) + d], 1)
+    if head < tail:
+        begin = head + low - b
+        window = words[max(0, begin) : max(0, tail + low + 2 * b)]
+        if begin < 0:  # before the text's first word there is none
+            window = np.concatenate([np.zeros(-begin, words.dtype), window])
+        parts.append(align(template[head:tail], window, 3 * b) + [head, begin])
+    return chained(np.concatenate(parts))
+
+
+def near_hits(places: np.ndarray, n: int) -> int:
+    """Words of a template with a hit within NEAR words; what an alignment matches has hits around it."""
+    step = np.zeros(n + 1, np.int64)
+    np.add.at(step, np.maximum(places - NEAR, 0), 1)
+    np.add.at(step, np.minimum(places + GRAM + NEAR, n), -1)
+    return int((np.cumsum(step[:-1]) > 0).sum())
+
+
+def in_rows(hits: np.ndarray) -> np.ndarray:
+    """Pairs of the words of the hits, in their order."""
+    at = (hits[:, 2, None] + np.arange(GRAM)).ravel()
+    return chained(np.stack([at - np.repeat(hits[:, 1], GRAM), at], 1))
+
+
+def joined(pieces: list[np.ndarray], n: int) -> list[list[int]]:
+    """Numbers of the pieces, which are in the order of the text, that make chains of JOINED of a template's words.
+
+    A chain takes pieces as long as they add to it; where it is long enough, the next one begins behind it.
+    """
+    out, first = [], 0
+    while first < len(pieces) - 1:
+        chain, used = pieces[first], [first]
+        for k in range(first + 1, len(pieces)):
+            more = chained(np.concatenate([chain, pieces[k]]))
+            if len(more) > len(chain):
+                chain, used = more, [*used, k]
+            elif len(chain) >= JOINED * n:
+                break
+        if len(chain) < JOINED * n:
+            break  # all that follow are fewer
+        out.append(used)
+        first = next((k for k in range(first + 1, len(pieces)) if pieces[k][0, 1] > chain[-1, 1]), len(pieces))
+    return out
 
 
 def find(text: str, index: Index, coverage: float) -> list[tuple[str, float, int, int, int]]:
@@ -207,25 +303,39 @@ def find(text: str, index: Index, coverage: float) -> list[tuple[str, float, int
     hits = np.concatenate([index.grams.hits(grams, winnow(grams)), index.pairs.hits(pairs, np.flatnonzero(np.isin(pairs, index.pairs.prints)))])
     if not len(hits):
         return []
-    hits, count = np.unique(hits, axis=0, return_counts=True)
+    hits = hits[np.lexsort(hits.T[::-1])]
     found = []
-    for t in np.unique(hits[:, 0]).tolist():
-        mine = hits[:, 0] == t
-        diagonal, k, n = hits[mine, 1], np.cumsum(count[mine]), len(index.words[t])
-        b, i = band(n), 0
-        while i < len(diagonal):
-            j = int(np.searchsorted(diagonal, diagonal[i] + b, side="right"))
-            if k[j - 1] - (k[i - 1] if i else 0) < HITS * n:
-                i += 1
-                continue
-            begin = int(diagonal[i]) - b  # before the text's first word there is none
-            window = words[max(0, begin) : max(0, int(diagonal[i]) + n + 2 * b)]
-            if begin < 0:
-                window = np.concatenate([np.zeros(-begin, words.dtype), window])
-            matched, first, last = align(index.words[t], window, 3 * b)
-            if matched >= coverage * n:
-                found.append((t, matched / n, matched, begin + first, begin + last))
-            i = j  # diagonals within the band are one candidate
+    for mine in np.split(hits, np.flatnonzero(np.diff(hits[:, 0])) + 1):
+        t, n, taken, pieces = int(mine[0, 0]), len(index.words[mine[0, 0]]), np.zeros(len(words), bool), []
+        if n >= CHAIN and near_hits(np.unique(mine[:, 2] - mine[:, 1]), n) < coverage * n:
+            continue
+        # candidates with many hits first: what their matches span is theirs, and hits by chance there are none
+        for share in (MANY, HITS):
+            left = mine[~taken[mine[:, 2]]]
+            diagonal, i = left[:, 1], 0
+            while i < len(diagonal):
+                j = int(np.searchsorted(diagonal, diagonal[i] + band(n), side="right"))
+                if j - i < share * n:
+                    i = int(np.searchsorted(diagonal, diagonal[i], side="right"))
+                    continue
+                part = left[i:j]
+                i = j  # diagonals within the band are one candidate
+                if n < CHAIN or near_hits(np.unique(part[:, 2] - part[:, 1]), n) >= coverage * n:
+                    pairs = aligned(index.words[t], words, part[:, 1])
+                    if len(pairs) >= coverage * n:
+                        taken[pairs[0, 1] : pairs[-1, 1] + 1] = True
+                        found.append((t, len(pairs) / n, len(pairs), int(pairs[0, 1]), int(pairs[-1, 1])))
+                        continue
+                if n >= CHAIN:
+                    rows = in_rows(part)
+                    if len(rows) >= PIECE:
+                        taken[rows[:, 1]] = True
+                        pieces.append((rows, part[:, 1]))
+        pieces.sort(key=lambda p: int(p[0][0, 1]))
+        for some in joined([rows for rows, _ in pieces], n):
+            pairs = chained(np.concatenate([aligned(index.words[t], words, pieces[k][1]) for k in some]))
+            if len(pairs) >= coverage * n:
+                found.append((t, len(pairs) / n, len(pairs), int(pairs[0, 1]), int(pairs[-1, 1])))
     # overlapping matches of one template are one: the fullest, then the first
     kept: list[tuple] = []
     for x in sorted(found, key=lambda x: (x[0], x[3], x[4])):
@@ -246,7 +356,8 @@ def scan_licenses(
     Words are compared without case and punctuation; spans are code points.  Overlapping matches of
     one template are one.  ``texts`` names the templates (see ``templates`` for the default); all of them
     together go to every task.  Null, empty and short texts have none; repeated rows each have theirs;
-    other columns aren't looked at; an empty table gives no rows.
+    other columns aren't looked at; an empty table gives no rows; texts of any length are read whole, in time in
+    proportion to their length and to their matches' templates.
     """
     small_batches(docs.sparkSession)
     index = Index.build(templates() if texts is None else texts)

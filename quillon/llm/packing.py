@@ -187,7 +187,7 @@ def pack_documents(
     is followed by ``end_id``; null and empty texts have that id alone.  ``special`` says whether
     ``<|endoftext|>`` in a text is the token of that name.  Repeated rows and repeated or
     null ids each keep their pieces, since no step joins on the id; an empty table gives no rows and
-    other columns aren't looked at.  Sequence ids are unique, not dense.
+    other columns aren't looked at; texts of any length are encoded whole and cut.  Sequence ids are unique, not dense.
     """
     spark = docs.sparkSession
     pieces = save(cut_and_pack(docs, id_col, text_col, capacity, end_id, ranks, special), "pack-pieces")
@@ -197,8 +197,8 @@ def pack_documents(
     place = open_bins.select("bin", F.col("bin").alias("top"), F.lit(0).cast("long").alias("base"))
     nodes = (pieces.agg(F.max("node")).first()[0] or 0) + 1
     before, level = open_bins.count(), 0
-    while nodes > FAN_IN and before:
-        level, nodes = level + 1, -(-nodes // FAN_IN)
+    while before and (nodes > FAN_IN or not level):  # few nodes merge in pairs, once; one node's bins meet again
+        level, nodes = level + 1, -(-nodes // (FAN_IN if nodes > FAN_IN else 2))
         made = save(pack_nodes(open_bins, nodes, level, capacity), f"pack-level{level}")
         place = save(
             place.join(made.select(F.col("bin").alias("top"), "up", "off"), "top", "left").select(

@@ -65,8 +65,9 @@ def count_tokens(
 
     Sections begin at the offsets in ``sections_col`` (an array of longs; what is before the first
     one is section 0 as well) or, without it, at each line.  Counts of a row's sections add up to the
-    tokens of its whole text, in which ``<|endoftext|>`` is one token if ``special``.  Null and empty texts have one empty section with no tokens; repeated
-    rows each have their sections; other columns aren't looked at.
+    tokens of its whole text, in which ``<|endoftext|>`` is one token if ``special``.  Null and empty texts have one
+    empty section with no tokens; repeated rows each have their sections; other columns aren't looked at; an empty
+    table gives no rows; texts of any length are encoded whole.
     """
     small_batches(docs.sparkSession)
     if rule not in RULES:

@@ -108,3 +108,60 @@ def test_full_texts():
     began = time.process_time()
     assert not names(licenses.find(clean, index, 0.8)) & {"GPL-3.0", "Apache-2.0"}
     assert time.process_time() - began < 3
+
+
+def matches(found, name):
+    return [x for x in found if x[0] == name]
+
+
+def test_full_texts_with_long_insertions_and_deletions():
+    every = licenses.templates()
+    index, rng = licenses.Index.build(every), random.Random(11)
+    other = [f"other{i}" for i in range(3000)]
+    for name in ("GPL-3.0", "Apache-2.0", "MPL-2.0", "MIT", "BSD-3-Clause"):
+        text = every[name]
+        words, n = text.split(), len(words_at(text, plain=True)[0])
+        for length in (100, 200, 1000, 5000):
+            at = rng.randrange(len(words) // 5, 4 * len(words) // 5)
+            found = matches(licenses.find(" ".join(["before"] * 30 + words[:at] + rng.choices(other, k=length) + words[at:]), index, 0.8), name)
+            assert len(found) == 1 and found[0][2] >= n - 12, (name, length)  # at the cut another of equal alignments may win
+        several = sorted(rng.sample(range(len(words)), 2))
+        mixed = words[: several[0]] + rng.choices(other, k=700) + words[several[0] : several[1]] + rng.choices(other, k=90) + words[several[1] :]
+        found = matches(licenses.find(" ".join(mixed), index, 0.8), name)  # a piece of few words may be left aside
+        assert len(found) == 1 and found[0][1] >= 0.9
+        cut = rng.randrange(len(words) // 2)
+        gone = len(words) // 10
+        left = matches(licenses.find(" ".join(words[:cut] + words[cut + gone :]), index, 0.8), name)
+        assert len(left) == 1 and 0.88 <= left[0][1] <= 0.92
+        assert not matches(licenses.find(" ".join(words[:cut] + words[cut + 3 * gone :]), index, 0.8), name)
+    lines = every["GPL-3.0"].splitlines()
+    for k in range(0, len(lines), 50):
+        lines[k] = "Some Project - License - page header line\n" + lines[k]
+    assert [x[1] for x in matches(licenses.find("\n".join(lines), index, 0.8), "GPL-3.0")] == [1.0]
+
+
+def test_many_copies_are_many_matches_in_little_time():
+    every = licenses.templates()
+    index, words = licenses.Index.build(every), every["GPL-3.0"].split()
+    began = time.process_time()
+    plain = licenses.find("\n\n".join([every["GPL-3.0"]] * 20), index, 0.8)
+    assert time.process_time() - began < 3
+    assert len(matches(plain, "GPL-3.0")) == 20 and all(x[1] == 1.0 for x in matches(plain, "GPL-3.0"))
+    half = len(words) // 2
+    broken = " ".join([*words[:half], *["x"] * 300, *words[half:], *["y"] * 400] * 3)
+    found = matches(licenses.find(broken, index, 0.8), "GPL-3.0")
+    assert len(found) == 3 and all(x[1] == 1.0 for x in found)
+
+
+def test_chains_ascend_in_both():
+    rng = random.Random(2)
+    for _ in range(200):
+        pairs = np.array([(rng.randrange(8), rng.randrange(8)) for _ in range(rng.randrange(1, 12))])
+        best = 0
+        for mask in range(1 << len(pairs)):
+            some = sorted(map(tuple, pairs[[i for i in range(len(pairs)) if mask >> i & 1]].tolist()))
+            if all(a[0] < b[0] and a[1] < b[1] for a, b in zip(some, some[1:])):
+                best = max(best, len(some))
+        got = licenses.chained(pairs).tolist()
+        assert len(got) == best and all(a[0] < b[0] and a[1] < b[1] for a, b in zip(got, got[1:]))
+    assert len(licenses.chained(np.zeros((0, 2), np.int64))) == 0
