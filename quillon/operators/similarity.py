@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import finite, rounded
-from ..functions.session import small_batches
+from ..functions.session import saved, small_batches
 
 #: Rows and references of a block in the search for the nearest references.
 ROW_BLOCK, REFERENCE_BLOCK = 1024, 2048
@@ -66,27 +66,44 @@ def tanimoto_pairs(left: DataFrame, right: DataFrame, least: float, *, same: boo
     return out.filter(F.col("_s") >= least).select("id_a", "id_b", rounded(F.col("_s"), 6).alias("similarity"))
 
 
-def group_similarity(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
-    """(by, id, total, most): sum and maximum of the similarities of each set of ``left`` to the other
-    sets (another id) of its group in ``right``; groups without such sets are left out.
+def _in_size_blocks(df: DataFrame, by: str, name: str) -> DataFrame:
+    """(by, block, low, high, sets): sets of a group in blocks of about SET_BLOCK sets of like size.
 
-    Both tables have (by, id, bits).  Sets of a group are dealt into blocks, and every pair of blocks is
-    one step of a task, which counts shared bits as a product of 0/1 matrices and hands on one row per
-    set: no pair is made a row.
+    Blocks are counted first, so a group of any size is dealt out without sorting it.
     """
-    kind, key = left.schema["id"].dataType.simpleString(), left.schema[by].dataType.simpleString()
+    size = F.size("bits")
+    band = F.when(size > 0, F.floor(F.log(size.cast("double")) / F.lit(float(np.log(1.25))))).otherwise(-1).cast("int")
+    rows = df.select(F.col(by).alias("_by"), "id", "bits", band.alias("_band"), size.alias("_size"))
+    n = rows.groupBy(F.col("_by").alias("_g"), F.col("_band").alias("_b")).agg(F.ceil(F.count("*") / SET_BLOCK).cast("int").alias("_parts"))
+    rows = rows.join(n, F.col("_by").eqNullSafe(F.col("_g")) & (F.col("_band") == F.col("_b")))
+    block = F.concat_ws(":", "_band", F.pmod(F.xxhash64("id", F.lit(5)), F.col("_parts")))
+    return rows.groupBy(F.col("_by").alias(f"{name}_by"), block.alias(f"{name}_block")).agg(F.min("_size").alias(f"{name}_low"), F.max("_size").alias(f"{name}_high"), F.collect_list(F.struct("id", "bits")).alias(name))
+
 
-    def dealt(df: DataFrame, name: str) -> DataFrame:
-        n = df.groupBy(F.col(by).alias("_by")).agg(F.ceil(F.count("*") / SET_BLOCK).cast("int").alias("_blocks"))
-        rows = df.join(n, F.col(by).eqNullSafe(F.col("_by"))).withColumn("_block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("_blocks")))
-        return rows.groupBy(F.col(by).alias(f"_{name}_by"), "_block").agg(F.collect_list(F.struct("id", "bits")).alias(name)).drop("_block")  # about SET_BLOCK sets
+def _compare(pairs: DataFrame, blocks_x: DataFrame, blocks_y: DataFrame, kinds: str) -> DataFrame:
+    """(by, id, total, most) for each pair (x_by, x_block, y_block) of blocks and set of the first.
 
-    pairs = dealt(left, "x").join(dealt(right, "y"), F.col("_x_by").eqNullSafe(F.col("_y_by"))).select(F.col("_x_by").alias("by"), "x", "y")
+    Each pair is a step of its own, dealt by all three.  ``x_floor``, where there is one, has what a set has reached
+    already: sets that can't pass it in this block are left out.
+    """
+    null_safe = lambda c, d: F.col(c).eqNullSafe(F.col(d))
+    floor = [c for c in ("x_floor",) if c in blocks_x.columns]
+    both = pairs.join(blocks_x.select(F.col("x_by").alias("_xb"), F.col("x_block").alias("_xn"), "x", *floor), null_safe("x_by", "_xb") & (F.col("x_block") == F.col("_xn")))
+    both = both.join(blocks_y.select(F.col("y_by").alias("_yb"), F.col("y_block").alias("_yn"), "y"), null_safe("x_by", "_yb") & (F.col("y_block") == F.col("_yn")))
+    steps = both.repartition("x_by", "x_block", "y_block").select(F.col("x_by").alias("by"), "x", "y", *floor)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for n in range(b.num_rows):
                 x, y = b.column("x")[n].values, b.column("y")[n].values
+                if floor:
+                    reached = dict(zip(*(b.column("x_floor")[n].values.field(c).to_pylist() for c in ("id", "most"))))
+                    sizes, other = x.field("bits").value_lengths().to_numpy(), y.field("bits").value_lengths().to_numpy()
+                    low, high = other.min(), other.max()
+                    bound = np.where(sizes < low, sizes / max(1, low), np.where(sizes > high, high / np.maximum(1, sizes), 1.0))
+                    x = x.filter(pa.array(bound > np.array([reached.get(i, -1.0) for i in x.field("id").to_pylist()])))
+                    if not len(x):
+                        continue
                 mx, my = bit_matrices(x.field("bits"), y.field("bits"))
                 common = mx @ my.T
                 union = mx.sum(axis=1)[:, None] + my.sum(axis=1)[None] - common
@@ -96,8 +113,52 @@ def group_similarity(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
                 some = pa.array(other.any(axis=1))
                 yield pa.RecordBatch.from_arrays([b.column("by").take(pa.array(np.full(len(x), n))).filter(some), x.field("id").filter(some), pa.array(sim.sum(axis=1)).filter(some), pa.array(sim.max(axis=1)).filter(some)], ["by", "id", "total", "most"])
 
-    found = pairs.mapInArrow(run, f"by {key}, id {kind}, total double, most double")
-    return found.groupBy(F.col("by").alias(by), "id").agg(F.sum("total").alias("total"), F.max("most").alias("most"))
+    return steps.mapInArrow(run, kinds)
+
+
+def _block_pairs(x: DataFrame, y: DataFrame) -> DataFrame:
+    """(x_by, x_block, y_block, bound): pairs of blocks of a group; no two of their sets are more alike than ``bound``."""
+    a, b = x.select("x_by", "x_block", "x_low", "x_high"), y.select("y_by", "y_block", "y_low", "y_high")
+    ratio = lambda low, high: F.when(F.col(high) < F.col(low), F.col(high) / F.col(low))
+    return a.join(b, F.col("x_by").eqNullSafe(F.col("y_by"))).select("x_by", "x_block", "y_block", F.coalesce(ratio("y_low", "x_high"), ratio("x_low", "y_high"), F.lit(1.0)).alias("bound"))
+
+
+def _kinds(df: DataFrame, by: str) -> str:
+    return f"by {df.schema[by].dataType.simpleString()}, id {df.schema['id'].dataType.simpleString()}, total double, most double"
+
+
+def group_similarity(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
+    """(by, id, total): sum of the similarities of each set of ``left`` to the other sets (another id) of its group in
+    ``right``; groups without such sets are left out.
+
+    Both tables have (by, id, bits).  Every pair of blocks of a group is one step, which counts shared bits as a
+    product of 0/1 matrices and hands on one row per set: no pair is made a row.
+    """
+    x, y = saved(_in_size_blocks(left, by, "x"), "sets"), saved(_in_size_blocks(right, by, "y"), "sets")
+    found = _compare(_block_pairs(x, y), x, y, _kinds(left, by))
+    return found.groupBy(F.col("by").alias(by), "id").agg(F.sum("total").alias("total"))
+
+
+def best_in_group(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
+    """(by, id, most): the best similarity of each set of ``left`` to another set of its group in ``right``.
+
+    Blocks hold sets of like size.  A block first meets the block of its group that the sizes allow most for;
+    of all others it meets those only whose bound by size passes what its least alike set has reached, and
+    there only the sets that can still gain.
+    """
+    x, y = saved(_in_size_blocks(left, by, "x"), "sets"), saved(_in_size_blocks(right, by, "y"), "sets")
+    kinds = _kinds(left, by)
+    place = F.row_number().over(W.partitionBy("x_by", "x_block").orderBy(F.col("bound").desc(), "y_block"))  # a row per block
+    pairs = saved(_block_pairs(x, y).withColumn("_place", place), "block-pairs")
+    home = saved(_compare(pairs.filter("_place = 1"), x, y, kinds).select("by", "id", "most"), "best")
+    sets = x.select("x_by", "x_block", F.explode("x.id").alias("_id"))
+    held = sets.join(home, F.col("x_by").eqNullSafe(F.col("by")) & (F.col("_id") == F.col("id")), "left")
+    floors = held.groupBy("x_by", "x_block").agg(F.min(F.coalesce("most", F.lit(-1.0))).alias("_least"), F.collect_list(F.when(F.col("most").isNotNull(), F.struct("id", "most"))).alias("x_floor"))
+    floors = floors.select(F.col("x_by").alias("_fb"), F.col("x_block").alias("_fn"), "_least", "x_floor")
+    at = F.col("x_by").eqNullSafe(F.col("_fb")) & (F.col("x_block") == F.col("_fn"))
+    others = pairs.filter("_place > 1").join(floors, at).filter(F.col("bound") > F.col("_least")).select("x_by", "x_block", "y_block")
+    more = _compare(others, x.join(floors, at), y, kinds).select("by", "id", "most")
+    return home.unionByName(more).groupBy(F.col("by").alias(by), "id").agg(F.max("most").alias("most"))
 
 
 def bit_matrices(x: pa.ListArray, y: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +176,7 @@ def bit_matrices(x: pa.ListArray, y: pa.ListArray) -> tuple[np.ndarray, np.ndarr
 
 def nearest_other(candidates: DataFrame, actives: DataFrame, by: str) -> DataFrame:
     """(by, id, nearest): best similarity to the group's other actives; 0 without any in common."""
-    best = group_similarity(candidates, actives, by).select(by, "id", F.col("most").alias("_m"))
+    best = best_in_group(candidates, actives, by).select(by, "id", F.col("most").alias("_m"))
     return candidates.select(by, "id").join(best, [by, "id"], "left").select(by, "id", rounded(F.coalesce("_m", F.lit(0.0)), 6).alias("nearest"))
 
 
@@ -161,10 +222,10 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def in_blocks(df: DataFrame, size: int, name: str) -> DataFrame:
-    """Column ``name``: lists of about ``size`` rows."""
-    blocks = max(1, -(-df.count() // size))
-    return df.repartition(blocks).groupBy(F.spark_partition_id().alias("_block")).agg(F.collect_list(F.struct(*df.columns)).alias(name)).select(name)
+def in_blocks(df: DataFrame, blocks: int, name: str) -> DataFrame:
+    """(_block, name): ``blocks`` lists of rows, numbered from 0."""
+    number = F.pmod(F.xxhash64(F.struct(*df.columns)), F.lit(blocks)).cast("int")
+    return df.groupBy(number.alias("_block")).agg(F.collect_list(F.struct(*df.columns)).alias(name))
 
 
 def matrix(lists: pa.ListArray) -> np.ndarray:
@@ -205,7 +266,9 @@ def nearest_references(rows: DataFrame, references: DataFrame, *, k: int = 10, s
     keyed = keyed.withColumn("_key", F.xxhash64("id", "_v"))
     asked = keyed.filter("_v is not null").dropDuplicates(["id", "_key"])  # repeated rows are scored once
     refs = references.filter(usable(F.col("vector"))).select(F.col("id").alias("ref"), normalised(F.col("vector")).alias("_r"))
-    pairs = in_blocks(asked, ROW_BLOCK, "_rows").crossJoin(in_blocks(refs, REFERENCE_BLOCK, "_refs"))
+    n_rows, n_refs = (max(1, -(-df.count() // size)) for df, size in ((rows, ROW_BLOCK), (references, REFERENCE_BLOCK)))
+    met = in_blocks(asked, n_rows, "_rows").select("_rows", F.explode(F.sequence(F.lit(0), F.lit(n_refs - 1))).alias("_block"))
+    pairs = met.join(in_blocks(refs, n_refs, "_refs"), "_block").select("_rows", "_refs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

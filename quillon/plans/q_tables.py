@@ -122,7 +122,7 @@ def cache_buckets(spark, sf):
     f"WITH {PS} SELECT target_id, count(*) AS n, max(final_score) AS best, CAST((SELECT count(*) FROM ps) AS BIGINT) AS written, (SELECT count(*) FROM ps WHERE final_score >= 0.5) AS high FROM ps GROUP BY target_id",
 )
 def checked_scores(spark, sf):
-    """Scores written, counted and checked in one scan: the counts come with the write."""
+    """Scores made once, counted and checked in what was written before it is announced."""
     from .views import pair_scores
 
     path = new_path(spark, "checked")

@@ -16,7 +16,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -102,18 +102,19 @@ def publish(
 ) -> int:
     """Make ``df`` the whole table; returns the version's number.
 
-    ``rules`` has conditions that hold for each row; rows for which one is not true are counted while they are
-    written, and where there are any, the version isn't announced and the counts are an error.  ``counts`` has further
-    conditions whose rows are counted.  The version keeps the number of rows and all counts as ``seen``.  If the write
-    fails, readers keep the version before.  ``df`` may read the table itself.
+    ``rules`` has conditions that hold for each row; rows for which one is not true are counted in what was
+    written (its columns that the rules name, not the plan that made it), and where there are any, the version
+    isn't announced and the counts are an error.  ``counts`` has further conditions whose rows are counted.  The
+    version keeps the number of rows and all counts as ``seen``.  If the write fails, readers keep the version
+    before.  ``df`` may read the table itself.
     """
     spark = df.sparkSession
     before = current(spark, path)
-    watch = Observation()
+    parts = _write(df, path, keys, buckets)
     broken = [F.count_if(~F.coalesce(c, F.lit(False))).alias(name) for name, c in (rules or {}).items()]
     others = [F.count_if(c).alias(name) for name, c in (counts or {}).items()]
-    parts = _write(df.observe(watch, F.count(F.lit(1)).alias("n_rows"), *broken, *others), path, keys, buckets)
-    seen = watch.get
+    staged = _read(spark, path, {"schema": df.schema.json(), "parts": parts})
+    seen = staged.agg(F.count(F.lit(1)).alias("n_rows"), *broken, *others).first().asDict() if broken or others else {}
     bad = {name: seen[name] for name in rules or {} if seen[name]}
     if bad:
         _Folder(spark, path).delete("/".join(next(iter(parts.values())).split("/")[:2]))
