@@ -5,17 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import HashingTF, StandardScaler, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Targets whose hidden parts go to every task at once.
-TARGET_BLOCK = 2_000
+from ..functions.session import saved
+from .similarity import matrix
+
+#: Molecules and targets of a block of the grid, and neighbours that share a bound.
+MOLECULES, TARGETS, NEAR = 4096, 256, 64
 
 
 def text_features(df: DataFrame, text: str, bins: int = 256, out: str = "text_vec") -> DataFrame:
@@ -170,52 +174,133 @@ def plain_forward(x: np.ndarray, y: np.ndarray, net: dict[str, np.ndarray]) -> n
     return 1 / (1 + np.exp(-(h @ net["w3"] + net["b3"])))
 
 
+def rule_towers(left: int, right: int, hidden: tuple[int, int] = (256, 64)) -> dict[str, np.ndarray]:
+    """Weights by a rule that any engine can repeat: weight n of a layer, from 0, is sin(1 + 0.7 * n + 0.001 * n * n),
+    over the root of the number of inputs; biases are cos(n) / 10."""
+    def layer(rows: int, columns: int, first: int) -> np.ndarray:
+        n = np.arange(rows * columns, dtype=np.float64).reshape(rows, columns) % 9973 + first
+        return np.sin(1 + 0.7 * n + 0.001 * n * n) / np.sqrt(rows)
+
+    bias = lambda n: np.cos(np.arange(n, dtype=np.float64)) / 10
+    return {"left": layer(left, hidden[0], 0), "right": layer(right, hidden[0], 1), "b1": bias(hidden[0]), "w2": layer(*hidden, 2), "b2": bias(hidden[1]), "w3": layer(hidden[1], 1, 3), "b3": bias(1)}
+
+
+def _sided(df: DataFrame, key: str, weights: np.ndarray, bias: np.ndarray | None, size: int, name: str) -> tuple[DataFrame, int]:
+    """(block, n, ids, values), and the number of blocks: rows of ``key`` with their part of the first layer.
+
+    Within a block rows are in order of their sum of parts, so that neighbours are alike.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held, rows = TaskContext.get().partitionId() << 32, [], 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal place, held, rows
+            t = pa.Table.from_batches(held).combine_chunks()
+            x = matrix(t.column("features").combine_chunks())
+            part = np.pad(x, ((0, 0), (0, len(weights) - x.shape[1]))) @ weights + (0 if bias is None else bias)
+            order = np.argsort(part.sum(axis=1), kind="stable")
+            cells = [place, len(part), t.column(key).to_numpy()[order].tobytes(), part[order].tobytes()]
+            place, held, rows = place + 1, [], 0
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(cells, [pa.int64(), pa.int64(), pa.binary(), pa.binary()])], ["_place", "n", "ids", "values"])
+
+        for b in batches:
+            while b.num_rows:
+                part = b.slice(0, size - rows)
+                held.append(part)
+                rows += part.num_rows
+                b = b.slice(part.num_rows)
+                if rows == size:
+                    yield flush()
+        if rows:
+            yield flush()
+
+    plain = df.filter(F.col(key).isNotNull() & F.col("features").isNotNull()).select(F.col(key).cast("long").alias(key), F.transform("features", lambda x: F.coalesce(x.cast("double"), F.lit(0.0))).alias("features"))
+    made = saved(plain.mapInArrow(run, "_place long, n long, ids binary, values binary"), name)
+    number = made.select(F.col("_place").alias("_p"), (F.row_number().over(W.partitionBy(F.lit(0)).orderBy("_place")) - 1).alias("block"))  # a row per block
+    return made.join(number, F.col("_place") == F.col("_p")).drop("_place", "_p"), made.count()
+
+
+def _upper(low: np.ndarray, high: np.ndarray, net: dict[str, np.ndarray]) -> np.ndarray:
+    """The most that the network can give for first layers between ``low`` and ``high`` before their relu."""
+    low, high = np.maximum(low, 0), np.maximum(high, 0)
+    plus, minus = np.maximum(net["w2"], 0), np.minimum(net["w2"], 0)
+    top, bottom = np.maximum(high @ plus + low @ minus + net["b2"], 0), np.maximum(low @ plus + high @ minus + net["b2"], 0)
+    return (top @ np.maximum(net["w3"], 0) + bottom @ np.minimum(net["w3"], 0) + net["b3"])[..., 0]
+
+
+def best_of_block(left: np.ndarray, ids: np.ndarray, part: np.ndarray, net: dict[str, np.ndarray], k: int, floor: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """(ids, scores, rows scored): molecules of a block that can be among a target's ``k`` best.
+
+    Scores are those before the logistic function, which keeps their order.  Groups of NEAR neighbours have a bound by
+    intervals; the most promising group is scored first, and then those whose bound reaches the k-th score.
+    """
+    cuts = np.arange(0, len(left), NEAR)
+    bound = _upper(np.minimum.reduceat(left, cuts) + part, np.maximum.reduceat(left, cuts) + part, net) + 1e-9
+    group = np.arange(len(left)) // NEAR
+    score = lambda rows: (np.maximum(np.maximum(left[rows] + part, 0) @ net["w2"] + net["b2"], 0) @ net["w3"] + net["b3"])[:, 0]
+    first = np.flatnonzero(group == int(bound.argmax()))
+    scores = score(first)
+    floor = max(floor, np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else floor
+    rest = np.flatnonzero((bound >= floor)[group] & (group != int(bound.argmax())))
+    rows, scores = np.concatenate([first, rest]), np.concatenate([scores, score(rest)])
+    best = np.lexsort((ids[rows], -scores))[:k]
+    return ids[rows[best]], scores[best], len(rows)
+
+
 def pair_grid_top(molecules: DataFrame, targets: DataFrame, net: dict[str, np.ndarray], *, k: int = 100) -> DataFrame:
     """(target_id, rank, mol_id, score): each target's ``k`` best molecules of the whole grid.
 
-    The first layer is a sum of a molecule and a target part, so either is computed once; a pair
-    costs an addition and the small layers after it.  Targets go to the tasks in blocks of
-    ``TARGET_BLOCK``; molecules stay where they are, and every task keeps its own best ``k``, so the
-    grid is never written.
+    The first layer is a sum of a molecule and a target part, so either is computed once, in blocks of rows.
+    Blocks of targets meet one block of molecules first, whose k-th scores are floors for all others: groups
+    of molecules whose bound stays below the floor are not scored.  Every step hands on ``k`` rows per target at most,
+    so the grid is never written.  Null ids and features are left out; shorter vectors end in zeros.
     """
-    spark = molecules.sparkSession
-    blocks = max(1, -(-targets.count() // TARGET_BLOCK))
-    dealt = targets.select("target_id", "features").withColumn("_block", F.pmod(F.xxhash64("target_id"), F.lit(blocks)))
-    found = None
-    for b in range(blocks):
-        rows = dealt.filter(F.col("_block") == b).toPandas()  # at most about TARGET_BLOCK rows
-        if not len(rows):
-            continue
-        part = np.stack(rows["features"].map(np.asarray)) @ net["right"] + net["b1"]
-        shared = spark.sparkContext.broadcast((rows["target_id"].to_numpy(), part, net))
-
-        def score(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, part, net = shared.value
-            best_id, best = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
-            for pdf in batches:
-                for at in range(0, len(pdf), 512):
-                    piece = pdf.iloc[at : at + 512]
-                    left = np.stack(piece["features"].map(np.asarray)) @ net["left"]
-                    mol = piece["mol_id"].to_numpy()
-                    for lo in range(0, len(ids), 64):
-                        h = np.maximum(left[None] + part[lo : lo + 64, None], 0)
-                        h = np.maximum(h @ net["w2"] + net["b2"], 0)
-                        s = 1 / (1 + np.exp(-(h @ net["w3"] + net["b3"])[..., 0]))
-                        if lo == 0:
-                            scores = np.zeros((len(ids), len(mol)))
-                        scores[lo : lo + 64] = s
-                    all_s = np.concatenate([best, scores], 1)
-                    all_i = np.concatenate([best_id, np.broadcast_to(mol, (len(ids), len(mol)))], 1)
-                    order = np.lexsort((all_i, -all_s), axis=1)[:, :k]
-                    best, best_id = np.take_along_axis(all_s, order, 1), np.take_along_axis(all_i, order, 1)
-            yield pd.DataFrame({"target_id": np.repeat(ids, best.shape[1]), "mol_id": best_id.ravel(), "score": best.ravel()})
-
-        part_df = molecules.select("mol_id", "features").mapInPandas(score, "target_id long, mol_id long, score double")
-        found = part_df if found is None else found.unionByName(part_df)
-    if found is None:
-        return spark.createDataFrame([], "target_id long, rank int, mol_id long, score double")
-    w = W.partitionBy("target_id").orderBy(F.col("score").desc(), "mol_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("target_id", "rank", "mol_id", "score")
+    mols, n_mols = _sided(molecules, "mol_id", net["left"], None, MOLECULES, "grid-molecules")
+    goals, n_goals = _sided(targets, "target_id", net["right"], net["b1"], TARGETS, "grid-targets")
+    width = net["left"].shape[1]
+    if not n_mols or not n_goals:
+        return molecules.sparkSession.createDataFrame([], "target_id long, rank int, mol_id long, score double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                cell = lambda c: b.column(c)[r].as_py()  # noqa: B023, E731
+                ids, left = np.frombuffer(cell("ids"), np.int64), np.frombuffer(cell("values"), np.float64).reshape(-1, width)
+                own, parts = np.frombuffer(cell("goal_ids"), np.int64), np.frombuffer(cell("goal_values"), np.float64).reshape(-1, width)
+                floors = dict(cell("floors") or [])
+                found = [best_of_block(left, ids, p, net, k, floors.get(t, -np.inf)) for t, p in zip(own.tolist(), parts)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, [len(f[0]) for f in found])), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], ["target_id", "mol_id", "_s"])
+
+    goals = goals.select(F.col("block").alias("goal"), F.col("ids").alias("goal_ids"), F.col("values").alias("goal_values"))
+    home = F.pmod(F.col("goal"), F.lit(n_mols)).cast("int")
+
+    def meet(rows: DataFrame, where: Column) -> DataFrame:
+        pairs = rows.withColumn("block", F.explode(where)).join(mols, "block").repartition("goal", "block")
+        return saved(pairs.select("ids", "values", "goal_ids", "goal_values", "floors").mapInArrow(run, "target_id long, mol_id long, _s double"), "grid-found")
+
+    none = F.lit(None).cast("map<bigint,double>")
+    found = meet(goals.withColumn("floors", none), F.array(home))
+    if n_mols > 1:
+        least = found.groupBy("target_id").agg(F.count("*").alias("_n"), F.min("_s").alias("_least")).filter(F.col("_n") == k)
+        member = _members(goals)
+        floors = member.join(least, "target_id").groupBy("goal").agg(F.map_from_entries(F.collect_list(F.struct("target_id", "_least"))).alias("floors"))  # about TARGETS
+        others = F.array_remove(F.sequence(F.lit(0), F.lit(n_mols - 1)), home)
+        found = found.unionByName(meet(goals.join(floors, "goal", "left"), others))
+    w = W.partitionBy("target_id").orderBy(F.col("_s").desc(), "mol_id")
+    ranked = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return ranked.select("target_id", "rank", "mol_id", (1 / (1 + F.exp(-F.col("_s")))).alias("score"))
+
+
+def _members(goals: DataFrame) -> DataFrame:
+    """(goal, target_id) of the blocks of targets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [np.frombuffer(x, np.int64) for x in b.column("goal_ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("goal").to_numpy(), [len(x) for x in ids]), pa.int32()), pa.array(np.concatenate(ids))], ["goal", "target_id"])
+
+    return goals.select("goal", "goal_ids").mapInArrow(run, "goal int, target_id long")
 
 
 def feature_cache(keys: DataFrame, existing: DataFrame, compute) -> DataFrame:

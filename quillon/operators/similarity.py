@@ -188,22 +188,48 @@ def diversity(rows: DataFrame, by: str) -> DataFrame:
     return out.select(by, "id", rounded(F.when(F.col("_n") > 1, 1.0 - F.coalesce("_s", F.lit(0.0)) / (F.col("_n") - 1)).otherwise(1.0), 6).alias("diversity"))
 
 
-def minhash_pairs(rows: DataFrame, least: float, *, tables: int = 8, seed: int = 3) -> DataFrame:
-    """(id_a, id_b, similarity): pairs whose least hash agrees in one of ``tables`` and whose exact
-    similarity is at least ``least``.  A pair of similarity t is missed with probability (1 - t) ** tables.
+def minhash_lines(bands: int, rows: int, seed: int = 3) -> list[tuple[int, int]]:
+    """Lines modulo a prime, ``rows`` for each band, from whole-number arithmetic."""
+    prime, out, x = 2**31 - 1, [], seed
+    for _ in range(bands * rows):
+        pair = []
+        for add in (11, 1013):
+            x = (x * 48_271 + add) % prime
+            pair.append(1 + x % (prime - 1))
+        out.append((pair[0], pair[1]))
+    return out
+
 
-    ``rows`` has (id, bits); a hash is a line modulo a prime.
+def minhash_pairs(rows: DataFrame, least: float, *, bands: int = 12, per_band: int = 2, most: int = 256) -> DataFrame:
+    """(id_a, id_b, similarity): pairs whose least hashes agree in a band and whose exact similarity is at least ``least``.
+
+    A band has ``per_band`` hashes, each a line modulo a prime, so a pair of similarity t is missed with probability
+    (1 - t ** per_band) ** bands, and a common bit alone brings nothing together.  Equal sets are compared once, by
+    their first id.  A band's sets beyond ``most`` are dealt into parts, and each pair of parts is a step of its own.
+    Sets without bits are left out.  ``rows`` has (id, bits), ids are unique and bits ascend.
     """
     prime = 2**31 - 1
-    rng = np.random.default_rng(seed)
-    lines = rng.integers(1, prime, (tables, 2)).tolist()
     least_hash = lambda a, b: F.array_min(F.transform("bits", lambda x: (x.cast("long") * a + b) % prime))
-    hashed = rows.filter(F.size("bits") > 0).select("id", F.posexplode(F.array(*[least_hash(a, b) for a, b in lines])).alias("_table", "_hash"))
-    a, b = hashed.withColumnRenamed("id", "id_a"), hashed.withColumnRenamed("id", "id_b")
-    pairs = a.join(b, ["_table", "_hash"]).filter("id_a < id_b").select("id_a", "id_b").distinct()
-    side = lambda c: rows.select(F.col("id").alias(f"id_{c}"), F.col("bits").alias(f"_{c}"))
-    out = pairs.join(side("a"), "id_a").join(side("b"), "id_b").withColumn("_s", tanimoto(F.col("_a"), F.col("_b")))
-    return out.filter(F.col("_s") >= least).select("id_a", "id_b", rounded(F.col("_s"), 6).alias("similarity"))
+    lines = minhash_lines(bands, per_band)
+    keys = [F.concat_ws(":", F.lit(str(i)), *[least_hash(a, b).cast("string") for a, b in lines[i * per_band : (i + 1) * per_band]]) for i in range(bands)]
+    some = rows.filter(F.size("bits") > 0)
+    classes = saved(some.groupBy("bits").agg(F.min("id").alias("_first"), F.count("*").alias("_n")), "equal-sets")
+    banded = classes.select(F.col("_first").alias("id"), F.explode(F.array(*keys)).alias("_band"))
+    parts = banded.groupBy("_band").agg(F.ceil(F.count("*") / most).cast("int").alias("_parts")).filter("_parts > 1")
+    banded = banded.join(parts, "_band", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1))).withColumn("_part", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
+    # part i meets parts i and above: a row goes to each pair of parts that has its own
+    steps = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda j: F.struct(F.least(F.col("_part"), j).alias("i"), F.greatest(F.col("_part"), j).alias("j")))
+    dealt = banded.select("id", "_band", "_part", F.explode(steps).alias("_step"))
+    side = lambda c: dealt.select("_band", "_step", F.col("id").alias(f"id_{c}"), F.col("_part").alias(f"_part_{c}"))
+    met = side("a").join(side("b"), ["_band", "_step"]).filter("_part_a = _step.i and _part_b = _step.j and (id_a < id_b or _step.i <> _step.j)")
+    pairs = met.select(F.least("id_a", "id_b").alias("_fa"), F.greatest("id_a", "id_b").alias("_fb")).distinct()
+    sets = lambda c: classes.select(F.col("_first").alias(f"_f{c}"), F.col("bits").alias(f"_{c}"))
+    close = pairs.join(sets("a"), "_fa").join(sets("b"), "_fb").withColumn("_s", tanimoto(F.col("_a"), F.col("_b"))).filter(F.col("_s") >= least).select("_fa", "_fb", "_s")
+    same = classes.filter("_n > 1").select(F.col("_first").alias("_fa"), F.col("_first").alias("_fb"), F.lit(1.0).alias("_s"))
+    member = some.join(classes.select("bits", "_first"), "bits").select("id", "_first")
+    of = lambda c: member.select(F.col("id").alias(f"_id{c}"), F.col("_first").alias(f"_f{c}"))
+    every = close.unionByName(same).join(of("a"), "_fa").join(of("b"), "_fb").filter("_fa <> _fb or _ida < _idb")
+    return every.select(F.least("_ida", "_idb").alias("id_a"), F.greatest("_ida", "_idb").alias("id_b"), rounded(F.col("_s"), 6).alias("similarity"))
 
 
 def usable(v: Column) -> Column:

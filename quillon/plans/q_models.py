@@ -11,8 +11,8 @@ from ..operators import models, ranking, similarity
 from ..sources import readers
 from ..streaming import jobs
 from . import q_rank
-from .q_audit import fingerprints
-from .views import descriptors, table
+from .q_audit import BITS_SQL, PARTS, SIM, fingerprints
+from .views import descriptors, r, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -90,18 +90,45 @@ def text_pair_model(spark, sf):
     return evaluated(models.predict(fit, pairs).withColumn("part_key", F.col("doc_id")), "text_pair")
 
 
-@query("pair_grid_topk")
+def rule_layer(rows: int, columns: int, first: int, bias: bool = True) -> str:
+    """SQL for the columns of a layer of ``models.rule_towers``, each ending in its bias, as one list."""
+    end = "|| [cos(j::DOUBLE) / 10]" if bias else ""
+    n = f"((i * {columns} + j) % 9973 + {first})::DOUBLE"
+    return f"(SELECT list(c ORDER BY j) FROM (SELECT j, list(sin(1 + 0.7::DOUBLE * {n} + 0.001::DOUBLE * {n} * {n}) / sqrt({rows}::DOUBLE) ORDER BY i) {end} AS c FROM range({rows}) x(i), range({columns}) y(j) GROUP BY j))"
+
+
+GRID_SQL = f"""
+WITH m AS (SELECT vec_id AS mol_id, list_transform({rule_layer(64, 256, 0, False)}, lambda c: list_inner_product(f, c)) AS a FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS f FROM embeddings)),
+t AS (SELECT s_suppkey AS target_id, list_transform({rule_layer(16, 256, 1)}, lambda c: list_inner_product(f, c)) AS p FROM (SELECT s_suppkey, list_transform(range(1, 17), lambda i: sin((s_suppkey * i)::DOUBLE) + s_acctbal / 10000) || [1.0::DOUBLE] AS f FROM supplier)),
+h1 AS (SELECT mol_id, target_id, list_transform(list_zip(a, p), lambda z: greatest(z[1] + z[2], 0::DOUBLE)) || [1.0::DOUBLE] AS h FROM m, t),
+h2 AS (SELECT mol_id, target_id, list_transform({rule_layer(256, 64, 2)}, lambda c: greatest(list_inner_product(h, c), 0::DOUBLE)) || [1.0::DOUBLE] AS h FROM h1),
+s AS (SELECT mol_id, target_id, list_inner_product(h, {rule_layer(64, 1, 3)}[1]) AS s FROM h2),
+k AS (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY s DESC, mol_id) AS rank FROM s)
+SELECT target_id, CAST(rank AS INTEGER) AS rank, mol_id, {r('1 / (1 + exp(-s))', 6)} AS score FROM k WHERE rank <= 20"""
+
+
+@query("pair_grid_topk", GRID_SQL)
 def pair_grid_topk(spark, sf):
-    """All embeddings against all suppliers by the factorised network; the 20 best of each."""
+    """All embeddings against all suppliers by the factorised network of (256, 64) units; the 20 best of each."""
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("mol_id"), F.transform("embedding", lambda x: x.cast("double")).alias("features"))
     k = F.col("s_suppkey")
     t = table(spark, sf, "supplier").select(k.alias("target_id"), F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: F.sin(k * i) + F.col("s_acctbal") / 10000).alias("features"))
-    return models.pair_grid_top(e, t, models.towers(64, 16), k=20)
+    return models.pair_grid_top(e, t, models.rule_towers(64, 16), k=20).withColumn("score", scalar.rounded(F.col("score"), 6))
 
 
-@query("minhash_join")
+MINHASH = [(a, b) for a, b in similarity.minhash_lines(12, 2)]
+KEY_SQL = ", ".join("list_min(list_transform(bits, lambda x: (x * %d + %d) %% 2147483647)) AS h%d" % (a, b, i) for i, (a, b) in enumerate(MINHASH))
+
+
+@query(
+    "minhash_join",
+    f"""WITH {PARTS}, {BITS_SQL}, h AS (SELECT id, bits, {KEY_SQL} FROM bt WHERE len(bits) > 0),
+b AS (SELECT id, bits, unnest([{', '.join(f"'{i}:' || h{2 * i} || ':' || h{2 * i + 1}" for i in range(12))}]) AS band FROM h),
+c AS (SELECT DISTINCT a.id AS ia, b.id AS ib FROM b a JOIN b b ON a.band = b.band AND a.id < b.id)
+SELECT a.id AS id_a, b.id AS id_b, {r(SIM, 6)} AS similarity FROM c JOIN bt a ON a.id = ia JOIN bt b ON b.id = ib WHERE {SIM} >= 0.6""",
+)
 def minhash_join(spark, sf):
-    """Approximate Tanimoto join by MinHash, with the exact similarity of what it finds."""
+    """Approximate Tanimoto join by bands of MinHash values, with the exact similarity of what it finds."""
     return similarity.minhash_pairs(fingerprints(spark, sf).select("id", "bits"), 0.6)
 
 

@@ -109,17 +109,36 @@ def test_streamed_scores(spark, tmp_path):
     assert got.filter("l4 is null").filter("status = 'ok' or final_score is not null").count() == 0
 
 
-def test_pair_grid_equals_plain_forward(spark):
+def test_pair_grid_equals_plain_forward(spark, monkeypatch):
     rng = np.random.default_rng(3)
-    mols, targets, net = rng.normal(size=(300, 6)), rng.normal(size=(5, 4)), models.towers(6, 4)
-    m = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(mols)], "mol_id long, features array<double>").repartition(3)
+    monkeypatch.setattr(models, "MOLECULES", 128)
+    monkeypatch.setattr(models, "TARGETS", 2)
+    monkeypatch.setattr(models, "NEAR", 16)
+    mols, targets = rng.normal(size=(300, 6)), rng.normal(size=(5, 4))
+    mols[200:] = mols[:100]  # ties
+    m = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(mols)] + [(None, [1.0]), (900, None)], "mol_id long, features array<double>").repartition(3)
     t = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(targets)], "target_id long, features array<double>")
-    got = models.pair_grid_top(m, t, net, k=7).collect()
-    for j in range(5):
-        plain = sorted(((-float(models.plain_forward(x, targets[j], net)[0]), i) for i, x in enumerate(mols)))[:7]
-        mine = sorted((-r["score"], r["mol_id"]) for r in got if r["target_id"] == j)
-        assert [i for _, i in mine] == [i for _, i in plain]
-        assert max(abs(a - b) for (a, _), (b, _) in zip(mine, plain)) < 1e-9
+    for net in (models.towers(6, 4), models.rule_towers(6, 4, (12, 5))):
+        got = models.pair_grid_top(m, t, net, k=7).collect()
+        for j in range(5):
+            plain = sorted(((-float(models.plain_forward(x, targets[j], net)[0]), i) for i, x in enumerate(mols)))[:7]
+            mine = sorted((-r["score"], r["mol_id"], r["rank"]) for r in got if r["target_id"] == j)
+            assert [i for _, i, _ in mine] == [i for _, i in plain] and [r for *_, r in mine] == list(range(1, 8))
+            assert max(abs(a - b) for (a, *_), (b, _) in zip(mine, plain)) < 1e-9
+    assert models.pair_grid_top(m.limit(0), t, net).count() == 0
+
+
+def test_bounds_of_the_grid_hold_and_skip():
+    rng = np.random.default_rng(4)
+    net = models.towers(6, 4, (8, 4))
+    centre = rng.normal(size=(20, 8)) * 3
+    left = np.concatenate([c + rng.normal(size=(64, 8)) * 0.01 for c in centre])
+    ids, part = rng.permutation(len(left)), rng.normal(size=8)
+    plain = (np.maximum(np.maximum(left + part, 0) @ net["w2"] + net["b2"], 0) @ net["w3"] + net["b3"])[:, 0]
+    assert (models._upper(left.min(axis=0) + part, left.max(axis=0) + part, net) >= plain.max() - 1e-9).all()
+    got, scores, scored = models.best_of_block(left, ids, part, net, 10, -np.inf)
+    want = np.lexsort((ids, -plain))[:10]
+    assert got.tolist() == ids[want].tolist() and np.allclose(scores, plain[want]) and scored < len(left) / 2
 
 
 def test_models_beat_chance(spark):
@@ -158,12 +177,21 @@ def test_pairwise_training_uses_every_row(spark, monkeypatch):
 
 
 def test_minhash_recall(spark):
-    sf = "/root/testdata/sf0.001"
+    from quillon.operators import similarity
     from quillon.plans import q_audit
 
+    sf = "/root/testdata/sf0.001"
     exact = {(r["id_a"], r["id_b"]) for r in q_audit.tanimoto_pairs(spark, sf).collect()}
-    found = {(r["id_a"], r["id_b"]) for r in q_models.minhash_join(spark, sf).filter("similarity >= 0.6").collect()}
-    assert found <= exact and len(found) >= 0.9 * len(exact)
+    rows = q_audit.fingerprints(spark, sf).select("id", "bits")
+    found = [(r["id_a"], r["id_b"]) for r in similarity.minhash_pairs(rows, 0.6).collect()]
+    assert set(found) <= exact and len(found) == len(set(found)) and len(found) >= 0.9 * len(exact)
+    # bands of more sets than a part has, equal sets, and sets without bits
+    many = spark.createDataFrame([(i, [1, 2, 3, 4, 5, 6, 7, 8, 9, 10 + i % 20]) for i in range(120)] + [(500, []), (501, None)], "id long, bits array<int>")
+    want = {(a, b) for a in range(120) for b in range(a + 1, 120)}
+    for most in (7, 1000):
+        got = [(r["id_a"], r["id_b"], r["similarity"]) for r in similarity.minhash_pairs(many, 0.6, most=most).collect()]
+        assert len(got) == len({x[:2] for x in got}) and {x[:2] for x in got} <= want and len(got) >= 0.9 * len(want)
+        assert all(s == (1.0 if (a - b) % 20 == 0 else round(9 / 11, 6)) for a, b, s in got)
 
 
 def test_signed_hash(spark):
