@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_order
+from ..functions.session import saved
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -98,7 +99,7 @@ def select_targets(counts: DataFrame, fallback: DataFrame, n: int, *, target: st
     more = ordered_distinct(fallback.select(target, F.col("position").cast("long").alias("_p")), target, "_p").join(counts, target, "left_anti")
     more = more.select(target, F.lit("unlabeled_fallback").alias("tier"), zero.alias("n_positive"), zero.alias("n_negative"), F.lit(2).alias("_t"), "_p")
     keys = ["_t", F.col("n_positive").desc(), F.col("n_negative").desc(), "_p", target]
-    best = rows.unionByName(more).orderBy(*keys).limit(n)
+    best = saved(rows.unionByName(more).orderBy(*keys).limit(n), "targets")
     out = best.withColumn("target_index", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*keys)) - 1).drop("_t", "_p")  # n rows
     found = best.count()
     if found < n:

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import finite, rounded, top_count
+from . import ranges
 
 #: Ranges of scores in a ranking of a whole table.
 RANGES = 256
@@ -188,6 +189,42 @@ def re_rank(df: DataFrame, key: str, *, by: Sequence[str] = ("target_id",), tie:
     return df.withColumn(name, F.when(F.col(key).isNotNull(), F.row_number().over(w)))
 
 
+def page_start(df: DataFrame, score: str, position: str, offset: int) -> tuple[float, int] | None:
+    """(score, position) of the row at place ``offset``, from 0, in descending order of score, then by position.
+
+    Rows are counted by ranges of scores, and those of one score by ranges of positions, so nothing is sorted as
+    a whole.  None beyond the last row.  Rows have a score and a position of their own.
+    """
+    falling = df.select((-F.col(score)).alias("_s"), F.col(position).cast("double").alias("_p"))
+
+    def place(rows: DataFrame, value: str, at: int) -> tuple[float, int] | None:
+        per, found = ranges.ranged(rows, value, [])
+        here = found.filter((F.col("_first") <= at) & (F.col("_first") + F.col("_n") > at)).select("_range", "_first").first()
+        if here is None:
+            return None
+        within = F.sum("_n").over(W.partitionBy("_range").orderBy("_v"))
+        inside = per.filter(F.col("_range") == here["_range"]).withColumn("_to", F.lit(here["_first"]) + within).filter(F.col("_to") > at)
+        row = inside.orderBy("_v").select("_v", (F.col("_to") - F.col("_n")).alias("_before")).first()
+        return row["_v"], row["_before"]
+
+    found = place(falling, "_s", offset)
+    if found is None:
+        return None
+    tie = place(falling.filter(F.col("_s") == found[0]), "_p", offset - found[1])
+    return -found[0], int(tie[0])
+
+
+def page_from(df: DataFrame, score: str, position: str, start: tuple[float, int] | None, limit: int, *, after: bool = False) -> DataFrame:
+    """The ``limit`` rows from ``start`` (score, position) on, or behind it: each task keeps that many."""
+    if not 1 <= limit <= 200:
+        raise ValueError("limit must be between 1 and 200")
+    s, p = F.col(score), F.col(position)
+    if start is not None:
+        at = F.lit(start[0])
+        df = df.filter((s < at) | (s == at) & ((p > start[1]) if after else (p >= start[1])))
+    return df.filter(s.isNotNull()).orderBy(s.desc(), p).limit(limit)
+
+
 def page(df: DataFrame, *, valid: Column, score: str, position: str, view: str, offset: int, limit: int) -> DataFrame:
     """A page of the ranked, failed or all rows, with the number of rows in the view."""
     if offset < 0 or not 1 <= limit <= 200:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar
 from ..operators import audit, fusion, ranking, routing, similarity
 from .q_fusion import DOCK, attached, docking, fused
-from .q_labels import PAIRS, POOLS, pools, split
+from .q_labels import PAIRS, POOLS, pools, split, split_once
 from .q_rank import METRICS_SQL, metrics
 from .views import PS, pair_scores, r, table
 
@@ -259,9 +259,10 @@ def audit_cardinality(spark, sf):
 @query("audit_contamination", f"WITH {PAIRS}, {POOLS}, p2 AS (SELECT target_id, CASE WHEN key % 200 = 0 THEN (SELECT min(key) FROM st s WHERE s.split = 'fit' AND s.target_id = po.target_id) ELSE key END AS key, CASE label WHEN 1 THEN 'heldout_positive' WHEN 0 THEN 'heldout_negative' ELSE 'unlabeled_background' END AS label_role FROM po) SELECT label_role, count(*) AS n FROM p2 WHERE (target_id, key) IN (SELECT (target_id, key) FROM st WHERE split = 'fit') GROUP BY 1")
 def audit_contamination(spark, sf):
     """Pools with planted fit pairs: they are counted by role."""
-    fit = split(spark, sf).filter("split = 'fit'").select("target_id", "key")
+    whole = split_once(spark, sf)
+    fit = whole.filter("split = 'fit'").select("target_id", "key")
     planted = fit.groupBy("target_id").agg(F.min("key").alias("_fit"))
-    rows = pools(spark, sf).join(planted, "target_id", "left").withColumn("key", F.when(F.col("key") % 200 == 0, F.col("_fit")).otherwise(F.col("key")))
+    rows = pools(spark, sf, whole).join(planted, "target_id", "left").withColumn("key", F.when(F.col("key") % 200 == 0, F.col("_fit")).otherwise(F.col("key")))
     return audit.contamination(rows, fit, ["target_id", "key"])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import rounded
+from ..functions.session import saved
 from ..operators import fusion, ranking, stats
 from .q_rank import LABELED, METRICS_SQL, auc_sql, early_sql, metrics
 from .views import PS, pair_scores, r, table
@@ -277,6 +278,27 @@ def page_view(spark, sf):
     return ranking.page(rows, valid=F.expr(VALID), score="fused_score", position="pos", view="ranked", offset=100, limit=50).select("target_id", "candidate_index", "fused_score", "total")
 
 
+@query("page_keyset", f"WITH {DOCK}, v AS (SELECT *, target_id * 100000 + candidate_index AS pos, row_number() OVER (ORDER BY fused_score DESC, target_id * 100000 + candidate_index) - 1 AS place FROM fz WHERE {VALID}) SELECT CAST((place - 1000) // 50 AS INTEGER) AS page, target_id, candidate_index, fused_score FROM v WHERE place BETWEEN 1000 AND 1149")
+def page_keyset(spark, sf):
+    """Three pages of the ranked view from place 1,000 on: the first by counts of ranges, the next ones by the last row before."""
+    rows = saved(fused(spark, sf).filter(VALID).select("target_id", "candidate_index", "fused_score", (F.col("target_id") * 100000 + F.col("candidate_index")).alias("pos")), "ranked")
+    start = ranking.page_start(rows, "fused_score", "pos", 1000)
+    if start is None:
+        return rows.limit(0).select(F.lit(0).alias("page"), "target_id", "candidate_index", "fused_score")
+    pages = []
+    for n in range(3):
+        page = ranking.page_from(rows, "fused_score", "pos", start, 50, after=n > 0)
+        pages.append(page.withColumn("page", F.lit(n)))
+        last = page.orderBy(F.col("fused_score"), F.col("pos").desc()).first()  # of 50 rows
+        if last is None:
+            break
+        start = last["fused_score"], last["pos"]
+    out = pages[0]
+    for p in pages[1:]:
+        out = out.unionByName(p)
+    return out.select("page", "target_id", "candidate_index", "fused_score")
+
+
 @query("result_summary", f"WITH {DOCK} SELECT count(*) AS n_rows, count(*) FILTER ({VALID}) AS n_ranked, count(*) FILTER (NOT {VALID}) AS n_failed, count(*) FILTER (docking_status = 'ok') AS n_docked, count(ligand_efficiency) > 0 AS has_fused FROM fz")
 def result_summary(spark, sf):
     """One pass: rows, ranked, failed, successful; and whether the fused column decides the order."""

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import rounded
-from ..functions.session import new_path
-from ..operators import audit, ranking
+from ..functions.session import new_path, saved
+from ..operators import audit, ranking, stats
 from ..sources import readers, writers
-from .q_fusion import DOCK, attached
+from .q_fusion import DOCK, FIVE, FIVE_AGG, LONG, METRICS, attached
+from .q_fusion import ORACLES as FUSION
 from .q_rank import METRICS_SQL, metrics
 from .views import PS, pair_scores, r, table
 
 QUERIES, ORACLES = {}, {}
+BOOTSTRAP_SQL = FUSION["bootstrap_median_ci"]
+FIVE_SQL = f"WITH {LONG} SELECT metric, {FIVE} FROM (SELECT metric, {FIVE_AGG} FROM lg GROUP BY metric)"
 
 
 def query(name: str, sql: str | None = None):
@@ -211,6 +214,40 @@ def snk_top_hits(spark, sf):
     return spark.read.schema(schema).json(path).select("target_id", F.array_join(text, ";").alias("hits"))
 
 
+@query("snk_top_hits_first", f"WITH {PS} SELECT target_id, string_agg(rk || ':' || part_key, ';' ORDER BY rk) AS hits FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY final_score DESC, candidate_index) AS rk FROM ps) WHERE rk <= 5 AND target_id IN (SELECT DISTINCT target_id FROM ps ORDER BY target_id LIMIT 40) GROUP BY 1")
+def snk_top_hits_first(spark, sf):
+    """Hits of the first targets by id, where an export has a bound of its own."""
+    path = new_path(spark, "hits")
+    writers.top_hits(pair_scores(spark, sf), path, key="part_key", n=5, targets=40)
+    found = spark.read.schema("target_id long, hits array<struct<rank:int,key:long,score:double>>").json(path)
+    return found.select("target_id", F.array_join(F.transform("hits", lambda x: F.concat_ws(":", x["rank"].cast("string"), x["key"].cast("string"))), ";").alias("hits"))
+
+
+@query("snk_reranked_order", f"WITH {DOCK} SELECT count(*) AS n, CAST(0 AS BIGINT) AS descents FROM at0 WHERE ligand_efficiency IS NOT NULL")
+def snk_reranked_order(spark, sf):
+    """Rows of the second stage as they stand in their files: how often a rank is below the one before it."""
+    path = new_path(spark, "reranked")
+    writers.reranked(ranking.re_rank(attached(spark, sf), "ligand_efficiency").select("target_id", "candidate_index", "dock_rank"), path)
+    rows = readers.in_file_order(spark.read.option("header", True).schema("target_id long, candidate_index long, dock_rank int").csv(path), "place")
+    before = rows.select((F.col("place") + 1).alias("place"), F.col("dock_rank").alias("_before"))
+    return rows.join(before, "place", "left").agg(F.count("*").alias("n"), F.count_if(F.col("dock_rank") < F.col("_before")).alias("descents"))
+
+
+@query(
+    "snk_report_full",
+    f"""WITH f AS ({FIVE_SQL}), b AS ({BOOTSTRAP_SQL}), w AS (SELECT * FROM f JOIN b USING (metric)), s AS (WITH {DOCK} SELECT docking_status, count(*) AS n FROM at0 GROUP BY 1)
+SELECT 'metric:' || metric AS section, x.key AS metric, x.value AS value FROM w, unnest([{', '.join(f"{{'key': '{c}', 'value': {c}::DOUBLE}}" for c in ('n', 'mean', 'q1', 'median', 'q3', 'low', 'high'))}]) t(x)
+UNION ALL SELECT 'status', docking_status, CAST(n AS DOUBLE) FROM s""",
+)
+def snk_report_full(spark, sf):
+    """All metrics with number, mean, quartiles and the interval of the median, and status counts, as one CSV table."""
+    rows = saved(stats.long_metrics(metrics(spark, sf), METRICS), "metrics")
+    whole = stats.five_numbers(rows).join(stats.bootstrap_median(rows), "metric")
+    path = new_path(spark, "report")
+    writers.csv(writers.report(whole, attached(spark, sf).groupBy("docking_status").agg(F.count("*").alias("n"))), path)
+    return spark.read.option("header", True).schema("section string, metric string, value double").csv(path)
+
+
 @query(
     "snk_report",
     f"""WITH m AS ({METRICS_SQL}), s AS (WITH {DOCK} SELECT docking_status, count(*) AS n FROM at0 GROUP BY 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from ..functions.session import saved
 from ..operators import labels, routing
 from .views import table
 
@@ -156,8 +157,13 @@ fr AS (SELECT sp.target_id, lb.key, have, row_number() OVER (PARTITION BY sp.tar
 po AS (SELECT target_id, key, label FROM hl UNION ALL SELECT target_id, key, NULL FROM fr WHERE rn <= {POOL} - have)"""
 
 
-def pools(spark, sf):
-    rows = split(spark, sf)
+def split_once(spark, sf):
+    """The split as a saved table, for queries that use it several times."""
+    return saved(split(spark, sf).select("target_id", "key", "label", "split"), "split")
+
+
+def pools(spark, sf, rows=None):
+    rows = split_once(spark, sf) if rows is None else rows
     library = table(spark, sf, "part").select(F.col("p_partkey").alias("key"))
     return labels.candidate_pools(rows.filter("split = 'heldout'"), library, rows.filter("split = 'fit'"), POOL)
 

@@ -41,8 +41,10 @@ def append_events(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def top_hits(df: DataFrame, path: str, score: str = "final_score", key: str = "candidate_index", n: int = 20) -> None:
-    """The best rows of each target as one JSON row per target."""
+def top_hits(df: DataFrame, path: str, score: str = "final_score", key: str = "candidate_index", n: int = 20, targets: int | None = None) -> None:
+    """The best rows of each target as one JSON row per target; of the first ``targets`` targets by id, if that is given."""
+    if targets is not None:
+        df = df.join(F.broadcast(df.select("target_id").distinct().orderBy("target_id").limit(targets)), "target_id", "left_semi")
     best = top_n(df, score, n).groupBy("target_id").agg(F.sort_array(F.collect_list(F.struct("rank", F.col(key).alias("key"), rounded(F.col(score), 4).alias("score")))).alias("hits"))
     best.write.mode("overwrite").json(path)
 
