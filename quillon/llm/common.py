@@ -50,11 +50,16 @@ def drop(saved: DataFrame) -> None:
 def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
     """Tables saved within are deleted at its end, but those that are put into the list it gives."""
     before, kept = len(_paths), []
-    yield kept
-    keep = {x._saved_at for x in kept}
-    for path in [p for p in _paths[before:] if p not in keep]:
-        _paths.remove(path)
-        _delete(spark, path)
+    try:
+        yield kept
+    except BaseException:
+        kept = []  # a stage that failed leaves nothing
+        raise
+    finally:
+        keep = {x._saved_at for x in kept}
+        for path in [p for p in _paths[before:] if p not in keep]:
+            _paths.remove(path)
+            _delete(spark, path)
 
 
 def free_name(name: str, taken: Iterable[str]) -> str:

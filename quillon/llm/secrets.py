@@ -145,7 +145,8 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     ones that complementary parts support.  Null and empty texts have no spans; repeated rows each
     get their row, also where ids are null or repeated; other columns are not looked at; an empty table
     gives no rows.  A text that many rows share is linked once, and a text of any length is scanned
-    whole, in time in proportion to its length.
+    whole, in time in proportion to its length.  Paragraphs end at two line feeds in a row; where lines end in
+    carriage return and line feed the text is one paragraph, and ``reach`` alone bounds what is linked.
     """
     rows = save(scan(docs, id_col, text_col), "secrets")
     parts = rows.filter(F.size("parts") > 0).groupBy("text_key").agg(F.first("parts").alias("parts"))

@@ -5,7 +5,7 @@ from collections import Counter
 
 import corpus_pipeline as cp
 import numpy as np
-from quillon.llm import mixing
+from quillon.llm import common, mixing
 from quillon.llm.common import save
 from quillon.llm.langid import letter_classes
 from test_jaccard import WORD, brute
@@ -151,3 +151,20 @@ def test_language_stage_drops_what_is_in_no_language(spark):
     got = {r[0] for r in rows_of(cp.language_stage(spark, every, ""))}
     assert got == {r[0] for r in [*rows, *extra] if fits(trigrams_of(r[1]))}
     assert {i - 10**6 for i in got if i >= 10**6} == {*range(len(odd), len(extra))}
+
+
+def test_a_failed_stage_leaves_no_tables(spark):
+    df = spark.range(5)
+    try:
+        with common.scratch(spark) as kept:
+            kept.append(common.save(df, "kept"))
+            left = common.save(df, "left")
+            raise RuntimeError("stage")
+    except RuntimeError:
+        pass
+    assert left._saved_at not in common._paths and kept[0]._saved_at not in common._paths
+    with common.scratch(spark) as kept:
+        kept.append(common.save(df, "kept"))
+        left = common.save(df, "left")
+    assert left._saved_at not in common._paths and kept[0].count() == 5
+    common.drop(kept[0])
