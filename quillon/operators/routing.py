@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import box_valid, normal_name
+from ..functions.session import saved
 
 
 def lookup_receptors(targets: DataFrame, registry: DataFrame, *, key: str = "target_id", name: str = "target_name") -> DataFrame:
@@ -50,8 +51,9 @@ def resolve(queries: DataFrame, texts: DataFrame, names: DataFrame) -> DataFrame
 
     ``queries`` has (query_id, name, code); ``texts`` (text, n, first) and ``names`` (code, name, text,
     first), one row per distinct text or name.  Containment is joined on grams (see ``containing``), and
-    the better method is kept per query.
+    the better method is kept per query.  All three tables are used several times and saved first.
     """
+    queries, texts, names = saved(queries, "queries"), saved(texts, "texts"), saved(names, "names")
     q = queries.withColumn("_ln", F.lower(F.coalesce("name", F.lit(""))))
     exact = q.join(names.filter("code is not null").groupBy("code").agg(F.min_by("text", "first").alias("text")), "code").select("query_id", "text", F.lit(1).alias("_p"), F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_f"))
     some = q.filter("_ln <> ''").select("_ln").distinct()

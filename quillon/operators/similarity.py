@@ -57,7 +57,11 @@ def tanimoto_pairs(left: DataFrame, right: DataFrame, least: float, *, same: boo
         keep = F.col(f"n_{name}") - F.ceil(F.lit(least) * F.col(f"n_{name}") - F.lit(1e-9)) + 1
         return long.withColumn("_p", place).filter(F.col("_p") <= keep).select(name, f"n_{name}", "bit")
 
-    a, b = prefixes(left, "id_a"), prefixes(left if same else right, "id_b")
+    if same:  # one table of prefixes serves both sides
+        a = saved(prefixes(left, "id_a"), "prefixes")
+        b = a.select(F.col("id_a").alias("id_b"), F.col("n_id_a").alias("n_id_b"), "bit")
+    else:
+        a, b = prefixes(left, "id_a"), prefixes(right, "id_b")
     sized = (F.col("n_id_a") >= F.col("n_id_b") * least - 1e-9) & (F.col("n_id_b") >= F.col("n_id_a") * least - 1e-9)
     on = sized & (F.col("id_a") < F.col("id_b")) if same else sized
     pairs = a.join(b, "bit").filter(on).select("id_a", "id_b").distinct()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import scalar
 from ..functions.session import new_path
-from ..sources import published
+from ..operators import audit
+from ..sources import published, readers
 from ..streaming import jobs, state
 from . import q_models
 from .views import PS, table
@@ -117,6 +119,18 @@ def cache_buckets(spark, sf):
     return published.read(spark, path)
 
 
+@query("layer_attach_buckets", f"WITH {PS} SELECT target_id, count(*) AS n, min(sha256(part_key || chr(0) || 'v1')) AS first_key FROM ps GROUP BY target_id")
+def layer_attach_buckets(spark, sf):
+    """Layers that lie in buckets of their key, joined to pools of even and of odd targets: the layers are never shuffled."""
+    from .views import pair_scores
+
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("part_key"), scalar.cache_key(F.col("p_partkey").cast("string"), "v1").alias("cache_key"))
+    layers = readers.bucketed(part, "part_key", 16)
+    scores = pair_scores(spark, sf).select("target_id", "part_key")
+    joined = [audit.total_join(scores.filter(F.col("target_id") % 2 == k), layers, "part_key") for k in (0, 1)]
+    return joined[0].unionByName(joined[1]).groupBy("target_id").agg(F.count("*").alias("n"), F.min("cache_key").alias("first_key"))
+
+
 @query(
     "checked_scores",
     f"WITH {PS} SELECT target_id, count(*) AS n, max(final_score) AS best, CAST((SELECT count(*) FROM ps) AS BIGINT) AS written, (SELECT count(*) FROM ps WHERE final_score >= 0.5) AS high FROM ps GROUP BY target_id",

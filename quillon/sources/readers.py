@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import label
+from ..functions.session import new_path, saved
 
 
 def candidates(spark: SparkSession, path: str, *, strict: bool = True, columns: Sequence[str] = ("id", "smiles")) -> tuple[DataFrame, DataFrame]:
@@ -22,7 +23,7 @@ def candidates(spark: SparkSession, path: str, *, strict: bool = True, columns:
     missing = [c for c in columns if c not in raw.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    rows = raw.select(*[F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in columns])
+    rows = saved(raw.select(*[F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in columns]), "candidates")  # the text is read once
     blank = rows.filter(" or ".join(f"{c} = ''" for c in columns)).select("id", F.lit("blank").alias("problem"))
     twice = rows.filter("id <> ''").groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id", F.lit("duplicate").alias("problem"))
     problems = blank.unionByName(twice)
@@ -34,6 +35,18 @@ def candidates(spark: SparkSession, path: str, *, strict: bool = True, columns:
     return rows.join(problems.select("id").distinct(), "id", "left_anti"), problems
 
 
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` as a table in the shared folder, dealt into buckets of ``key`` and sorted within them.
+
+    Joins and groups on ``key`` read it as it lies: it is not shuffled again, however often it is used.  The
+    session's catalog knows it by a name of its own.
+    """
+    path = new_path(df.sparkSession, "bucketed")
+    name = f"bucketed_{path.rpartition('-')[2]}"
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", "zstd").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def in_file_order(df: DataFrame, name: str) -> DataFrame:
     """Rows of a file source with their place from 0 on: by path, then by place in the file.
 
@@ -170,6 +183,7 @@ def base_scores(spark: SparkSession, path: str, expected: DataFrame, *, required
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
+    df = saved(df, "base-scores")  # the text is read once
     if df.groupBy("id").count().filter("count > 1").limit(1).count():
         raise ValueError("duplicate ids")
     bad = identity(expected, df, "id", "smiles").limit(10).collect()

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
-from quillon.sources import published
+from quillon.sources import published, readers
 from quillon.streaming import jobs, state
 
 
@@ -121,3 +121,18 @@ def test_rows_wait_for_layers_that_come_later(spark, tmp_path):
     scored, waiting = go(rows[:0] or [(12, 9, 0.1, 0.1, 0.1)], [2, 3])
     assert scored == set(range(12)) and waiting == {12}
     assert spark.read.parquet(out).filter("status = 'ok'").count() == 12
+
+
+def test_a_bucketed_side_is_not_shuffled(spark):
+    cache = readers.bucketed(spark.range(2000).withColumn("v", F.col("id") * 3), "id", 8)
+    rows = spark.range(5000).withColumn("id", F.col("id") % 2000)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = rows.join(cache, "id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.filter("v = 3 * id").count() == 5000
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        assert "Exchange" not in cache.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
