@@ -23,10 +23,12 @@ def above(x: Column, limit: float) -> Column:
     return F.greatest(F.lit(0), x - F.lit(limit))
 
 
+# Limits of the four rules.
 def violations() -> Column:
     return flag(c("mw") > 500) + flag(c("logp") > 5) + flag(c("hbd") > 5) + flag(c("hba") > 10)
 
 
+# Limits and weights of the excess counts.
 def synthesis() -> Column:
     excess = (
         above(c("rings"), 3) * 0.15 + above(c("aromatic"), 2) * 0.10 + above(c("rotatable"), 6) * 0.08 + above(c("hetero"), 6) * 0.06 + c("halogen") * 0.05 + above(c("heavy"), 35) * 0.02
@@ -62,32 +64,39 @@ def quality() -> Column:
     return rounded(clamp(total), 4)
 
 
+# Coefficients of the solubility.
 def solubility() -> Column:
     return F.lit(0.16) - 0.63 * c("logp") - 0.0062 * c("mw") + 0.066 * c("tpsa") / 100
 
 
+# Limits and weights of the channel risk.
 def herg() -> Column:
     return clamp(
         0.15 * flag(c("mw") > 350) + 0.1 * flag(c("mw") > 500) + 0.15 * flag(c("logp") > 3) + 0.1 * flag(c("logp") > 5) + 0.15 * flag(c("aromatic") >= 2) + 0.1 * flag(c("rotatable") > 5)
     )
 
 
+# Limits and weights of the enzyme risk.
 def cyp3a4() -> Column:
     return clamp(0.2 * flag(c("mw") > 400) + 0.2 * flag(c("logp") > 3) + 0.2 * flag(c("aromatic") >= 3) + 0.1 * flag(c("hba") > 5))
 
 
+# Limits and weights of the enzyme risk.
 def cyp2d6() -> Column:
     return clamp(0.2 * flag(c("logp") > 2.5) + 0.2 * flag(c("aromatic") >= 2) + 0.1 * flag(c("aliphatic") > 0))
 
 
+# Limits and weights of the oral score.
 def oral() -> Column:
     return clamp(1.0 - violations() * 0.15 - 0.1 * flag(c("rotatable") > 10) - 0.15 * flag(c("tpsa") > 140))
 
 
+# Weights of alerts and the most they cost.
 def alert_penalty(severe: Column, moderate: Column) -> Column:
     return clamp(severe * 0.30 + moderate * 0.22, 0.0, 0.85)
 
 
+# The weight of a light molecule.
 def inorganic_cyanide() -> Column:
     """A cyanide alert counts as severe on a light molecule or with an alkali metal."""
     return F.coalesce(c("cyanide") & ((c("mw") < 100) | c("alkali")), F.lit(False))
@@ -98,6 +107,7 @@ def severe_alerts() -> Column:
     return c("severe") + flag(inorganic_cyanide())
 
 
+# Weights of the parts, defaults and ceilings.
 def composite() -> Column:
     """L3 from severe, moderate, tox21, clintox, sider, bbb and heavy_metal columns.
 
