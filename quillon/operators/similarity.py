@@ -21,6 +21,8 @@ from ..functions.session import saved, small_batches
 ROW_BLOCK, REFERENCE_BLOCK = 1024, 2048
 #: Sets of a block in the comparison within groups.
 SET_BLOCK = 1024
+#: Ranges of the bound of a pair of blocks, in the order in which they are compared.
+BOUNDS = ((1.0, 2.0), (0.6, 1.0), (0.3, 0.6), (0.0, 0.3))
 
 
 def tanimoto(a: Column, b: Column) -> Column:
@@ -109,7 +111,7 @@ def _compare(pairs: DataFrame, blocks_x: DataFrame, blocks_y: DataFrame, kinds:
                     if not len(x):
                         continue
                 mx, my = bit_matrices(x.field("bits"), y.field("bits"))
-                common = mx @ my.T
+                common = (mx @ my.T).astype(np.float64)
                 union = mx.sum(axis=1)[:, None] + my.sum(axis=1)[None] - common
                 sim = np.divide(common, union, out=np.zeros(common.shape, np.float64), where=union > 0)
                 other = x.field("id").to_numpy(zero_copy_only=False)[:, None] != y.field("id").to_numpy(zero_copy_only=False)[None]
@@ -146,23 +148,29 @@ def group_similarity(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
 def best_in_group(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
     """(by, id, most): the best similarity of each set of ``left`` to another set of its group in ``right``.
 
-    Blocks hold sets of like size.  A block first meets the block of its group that the sizes allow most for;
-    of all others it meets those only whose bound by size passes what its least alike set has reached, and
-    there only the sets that can still gain.
+    Blocks hold sets of like size, which bounds what a pair of blocks can give.  Blocks meet in order of that bound:
+    before each round a block leaves out those whose bound doesn't pass what its least alike set has reached, and
+    within a step only the sets take part that can still gain.
     """
     x, y = saved(_in_size_blocks(left, by, "x"), "sets"), saved(_in_size_blocks(right, by, "y"), "sets")
-    kinds = _kinds(left, by)
-    place = F.row_number().over(W.partitionBy("x_by", "x_block").orderBy(F.col("bound").desc(), "y_block"))  # a row per block
-    pairs = saved(_block_pairs(x, y).withColumn("_place", place), "block-pairs")
-    home = saved(_compare(pairs.filter("_place = 1"), x, y, kinds).select("by", "id", "most"), "best")
+    kinds, pairs, best = _kinds(left, by), saved(_block_pairs(x, y), "block-pairs"), None
     sets = x.select("x_by", "x_block", F.explode("x.id").alias("_id"))
-    held = sets.join(home, F.col("x_by").eqNullSafe(F.col("by")) & (F.col("_id") == F.col("id")), "left")
-    floors = held.groupBy("x_by", "x_block").agg(F.min(F.coalesce("most", F.lit(-1.0))).alias("_least"), F.collect_list(F.when(F.col("most").isNotNull(), F.struct("id", "most"))).alias("x_floor"))
-    floors = floors.select(F.col("x_by").alias("_fb"), F.col("x_block").alias("_fn"), "_least", "x_floor")
-    at = F.col("x_by").eqNullSafe(F.col("_fb")) & (F.col("x_block") == F.col("_fn"))
-    others = pairs.filter("_place > 1").join(floors, at).filter(F.col("bound") > F.col("_least")).select("x_by", "x_block", "y_block")
-    more = _compare(others, x.join(floors, at), y, kinds).select("by", "id", "most")
-    return home.unionByName(more).groupBy(F.col("by").alias(by), "id").agg(F.max("most").alias("most"))
+    for low, high in BOUNDS:
+        todo, blocks = pairs.filter((F.col("bound") >= low) & (F.col("bound") < high)), x
+        if best is not None:
+            held = sets.join(best, F.col("x_by").eqNullSafe(F.col("by")) & (F.col("_id") == F.col("id")), "left")
+            floors = held.groupBy("x_by", "x_block").agg(F.min(F.coalesce("most", F.lit(-1.0))).alias("_least"), F.collect_list(F.when(F.col("most").isNotNull(), F.struct("id", "most"))).alias("x_floor"))
+            floors = floors.select(F.col("x_by").alias("_fb"), F.col("x_block").alias("_fn"), "_least", "x_floor")
+            at = F.col("x_by").eqNullSafe(F.col("_fb")) & (F.col("x_block") == F.col("_fn"))
+            todo, blocks = todo.join(floors, at).filter(F.col("bound") > F.col("_least")), x.join(floors, at)
+        todo = todo.select("x_by", "x_block", "y_block")
+        if todo.isEmpty():
+            continue
+        found = _compare(todo, blocks, y, kinds).select("by", "id", "most")
+        best = saved((found if best is None else best.unionByName(found)).groupBy("by", "id").agg(F.max("most").alias("most")), "best")
+    if best is None:
+        return left.select(by, "id", F.lit(0.0).alias("most")).limit(0)
+    return best.select(F.col("by").alias(by), "id", "most")
 
 
 def bit_matrices(x: pa.ListArray, y: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
