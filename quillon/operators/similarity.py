@@ -22,7 +22,7 @@ ROW_BLOCK, REFERENCE_BLOCK = 1024, 2048
 #: Sets of a block in the comparison within groups.
 SET_BLOCK = 1024
 #: Ranges of the bound of a pair of blocks, in the order in which they are compared.
-BOUNDS = ((1.0, 2.0), (0.6, 1.0), (0.3, 0.6), (0.0, 0.3))
+BOUNDS = ((1.0, 2.0), (0.0, 1.0))
 
 
 def tanimoto(a: Column, b: Column) -> Column:
