@@ -24,4 +24,5 @@ ORACLES = {
     "op6_chat": oracles.OP6_SQL,
     "op8_topk": topk.OP8_SQL,
     "op11_negatives": negatives.OP11_SQL,
+    "op13_runs": runs.OP13_SQL,
 }

