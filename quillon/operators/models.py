@@ -19,7 +19,7 @@ from ..functions.session import saved
 from .similarity import matrix
 
 #: Molecules and targets of a block of the grid, and neighbours that share a bound.
-MOLECULES, TARGETS, NEAR = 4096, 256, 64
+MOLECULES, TARGETS, NEAR = 4096, 64, 64
 
 
 def text_features(df: DataFrame, text: str, bins: int = 256, out: str = "text_vec") -> DataFrame:
