@@ -60,9 +60,14 @@ def balanced(df: DataFrame, label: str = "label") -> DataFrame:
     return df.join(F.broadcast(w), F.col(label) == F.col("_l")).drop("_l")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in a part for each core at least: a small file is one split, and would be trained on by one task."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
+
+
 def train_logistic(df: DataFrame, columns: Sequence[str], label: str = "label") -> PipelineModel:
     stages = [VectorAssembler(inputCols=list(columns), outputCol="features"), LogisticRegression(labelCol=label, weightCol="weight", regParam=1e-3, maxIter=50)]
-    return Pipeline(stages=stages).fit(balanced(df, label))
+    return Pipeline(stages=stages).fit(dealt(balanced(df, label)))
 
 
 def train_mlp(df: DataFrame, columns: Sequence[str], hidden: Sequence[int] = (256, 128), label: str = "label", seed: int = 42, *, step: int = 20, rounds: int = 10, patience: int = 2) -> PipelineModel:
@@ -70,7 +75,7 @@ def train_mlp(df: DataFrame, columns: Sequence[str], hidden: Sequence[int] = (25
     the loss on a tenth of the rows (by hash) falls, and the best weights are kept."""
     assembler, scaler = VectorAssembler(inputCols=list(columns), outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True)
     prepare = Pipeline(stages=[assembler, scaler]).fit(df)
-    rows = prepare.transform(df).select("features", F.col(label).cast("double").alias(label), (F.pmod(F.xxhash64(*columns), F.lit(10)) == 0).alias("_held")).persist()
+    rows = dealt(prepare.transform(df)).select("features", F.col(label).cast("double").alias(label), (F.pmod(F.xxhash64(*columns), F.lit(10)) == 0).alias("_held")).persist()
     fit, held = rows.filter("not _held"), rows.filter("_held")
     held = held if held.take(1) else rows
     best, weights, worse = (np.inf, None), None, 0
@@ -94,7 +99,7 @@ def train_forests(df: DataFrame, columns: Sequence[str], tasks: Sequence[str], t
     """One forest per task column; rows without that task's label are left out."""
     out = {}
     for t in tasks:
-        rows = balanced(df.filter(F.col(t).isNotNull()), t)
+        rows = dealt(balanced(df.filter(F.col(t).isNotNull()), t))
         stages = [VectorAssembler(inputCols=list(columns), outputCol="features"), RandomForestClassifier(labelCol=t, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed)]
         out[t] = Pipeline(stages=stages).fit(rows)
     return out
@@ -157,7 +162,7 @@ def train_pairwise(better: DataFrame, worse: DataFrame, by: Sequence[str], colum
     d = partners(better, worse, by, columns).select(*[(F.col(c) - F.col(f"_w_{c}")).alias(c) for c in columns])
     both = d.withColumn("label", F.lit(1.0)).unionByName(d.select(*[(-F.col(c)).alias(c) for c in columns]).withColumn("label", F.lit(0.0)))
     rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(both)
-    return LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=50).fit(rows)
+    return LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=50).fit(dealt(rows))
 
 
 def towers(left: int, right: int, hidden: tuple[int, int] = (32, 16), seed: int = 7) -> dict[str, np.ndarray]:

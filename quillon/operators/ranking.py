@@ -59,17 +59,14 @@ def auc(df: DataFrame, score: str, *, by: Sequence[str] = ("target_id",), negati
     g = score_groups(rows, score, by=by)
     # a positive wins over all rows after its group and halves with the rest of its group
     q = F.max("total") - F.max("positives")
-    g = g.withColumn("_win", F.col("p") * (F.col("total") - F.col("before") - F.col("n") - _later_positives(by) + (F.col("n") - F.col("p")) / 2.0))
+    running = F.sum("p").over(W.partitionBy(*by).orderBy(F.col("score").desc()).rowsBetween(W.unboundedPreceding, 0))
+    later = F.col("positives") - running  # a frame that ends at the last row would be summed anew for each row
+    g = g.withColumn("_win", F.col("p") * (F.col("total") - F.col("before") - F.col("n") - later + (F.col("n") - F.col("p")) / 2.0))
     value = F.when((F.max("positives") > 0) & (q > 0), rounded(F.sum("_win") / (F.max("positives") * q), digits)).otherwise(F.lit(empty).cast("double"))
     found = g.groupBy(*by).agg(value.alias(name))
     return df.select(*by).distinct().join(found, list(by), "left").withColumn(name, F.coalesce(F.col(name), F.lit(empty).cast("double")))
 
 
-def _later_positives(by: Sequence[str]) -> Column:
-    w = W.partitionBy(*by).orderBy(F.col("score").desc()).rowsBetween(1, W.unboundedFollowing)
-    return F.coalesce(F.sum("p").over(w), F.lit(0))
-
-
 def early_retrieval(df: DataFrame, score: str, *, fraction: float = 0.01, by: Sequence[str] = ("target_id",)) -> DataFrame:
     """Recall and observed enrichment in the top fraction of the full pool."""
     ranked = stable_rank(df, score, by=by).withColumn("_n", F.count("*").over(W.partitionBy(*by)))
