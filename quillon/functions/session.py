@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes that a Python worker gets at once; the session's defaults suit narrow rows.
 BATCH_ROWS, BATCH_BYTES = 1000, "8m"
+#: Rows and shuffled bytes of a task.
+TASK_ROWS, TASK_BYTES = 250_000, 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,3 +44,18 @@ def small_batches(spark: SparkSession) -> None:
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def enough_partitions(df: DataFrame) -> DataFrame:
+    """``df``, with the session's shuffles wide enough for its rows: a task's share, and with it the memory of its
+    sorts, stays the same however large the input.  ``df`` is a table as it lies in files, so rows are counted in footers.
+
+    More partitions are set where there are fewer, and adaptive execution joins small ones up to TASK_BYTES only.
+    """
+    conf, rows = df.sparkSession.conf, df.count()
+    parts = -(-rows // TASK_ROWS)
+    if parts > int(conf.get("spark.sql.shuffle.partitions")):
+        conf.set("spark.sql.shuffle.partitions", str(parts))
+    if rows > TASK_ROWS:
+        conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TASK_BYTES))
+    return df

@@ -7,11 +7,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import FOUR_LAYER, combine
+from ..functions.session import enough_partitions
 from ..operators.ranking import BACKGROUND, NEGATIVE, POSITIVE
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return enough_partitions(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")

@@ -21,3 +21,19 @@ def test_auc_has_no_frame_that_is_summed_anew_for_each_row(spark):
 def test_training_rows_are_dealt_to_all_cores(spark):
     one_split = spark.range(100).coalesce(1)
     assert models.dealt(one_split).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_shuffles_widen_with_the_rows_of_a_table(spark, sf, monkeypatch):
+    from quillon.functions import session
+    from quillon.plans import views
+
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    try:
+        rows = views.table(spark, sf, "lineitem").count()
+        assert int(spark.conf.get(names[0])) >= rows / 500 > int(before[names[0]])
+        assert spark.conf.get(names[1]) == str(session.TASK_BYTES)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
