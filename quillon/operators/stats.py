@@ -26,11 +26,16 @@ def long_metrics(df: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ("
 
 
 def five_numbers(long: DataFrame, by: Sequence[str] = ("metric",)) -> DataFrame:
-    """n, mean, median and quartiles of ``value`` per group, of any size; quartiles interpolate."""
+    """n, mean, median and quartiles of ``value`` per group, of any size; quartiles interpolate.
+
+    They are taken as whole multiples of 1e-11 before they are rounded to 6 digits, so that what lies half way
+    between two results goes to the even one, however the last bits of the interpolation came out.
+    """
+    even = lambda c: F.rint(F.rint(F.col(c) * F.lit(10.0**11)) / F.lit(10.0**5)) / F.lit(10.0**6)
     long = saved(long.select(*by, "value"), "long-values")
     found = ranges.quantiles(long, "value", by, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     means = long.groupBy(*by).agg(F.avg("value").alias("_mean"))
-    return ranges._join(found, means, by).select(*by, "n", rounded(F.col("_mean"), 6).alias("mean"), *[rounded(F.col(c), 6).alias(c) for c in ("q1", "median", "q3")])
+    return ranges._join(found, means, by).select(*by, "n", even("_mean").alias("mean"), *[even(c).alias(c) for c in ("q1", "median", "q3")])
 
 
 def draws(seed: int, reps: np.ndarray, n: int) -> np.ndarray:

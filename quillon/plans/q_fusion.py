@@ -29,6 +29,8 @@ LONG = f"""
 m AS ({METRICS_SQL}),
 lg AS (SELECT target_id, metric, value FROM (UNPIVOT (SELECT target_id, {', '.join(f'CAST({x} AS DOUBLE) AS {x}' for x in METRICS)} FROM m) ON {', '.join(METRICS)} INTO NAME metric VALUE value))"""
 FIVE = f"""n, {r("mean", 6)} AS mean, {r("q1", 6)} AS q1, {r("median", 6)} AS median, {r("q3", 6)} AS q3"""
+#: The same with ties half to even, whatever the last bits: as whole multiples of 1e-11 first.
+FIVE_EXACT = ", ".join(["n", *[f"round_even(round_even({c} * 100000000000.0::DOUBLE, 0) / 100000.0::DOUBLE, 0) / 1000000.0::DOUBLE AS {c}" for c in ("mean", "q1", "median", "q3")]])
 FIVE_AGG = "count(*) AS n, avg(value) AS mean, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3"
 
 
@@ -49,13 +51,13 @@ def metrics_by_tier(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-@query("metric_groups", f"WITH {LONG} SELECT target_id % 4 AS grp, metric, {FIVE} FROM (SELECT target_id % 4 AS target_id, metric, {FIVE_AGG} FROM lg GROUP BY ALL)")
+@query("metric_groups", f"WITH {LONG} SELECT target_id % 4 AS grp, metric, {FIVE_EXACT} FROM (SELECT target_id % 4 AS target_id, metric, {FIVE_AGG} FROM lg GROUP BY ALL)")
 def metric_groups(spark, sf):
     rows = long(spark, sf).withColumn("grp", F.col("target_id") % 4)
     return stats.five_numbers(rows, ["grp", "metric"])
 
 
-ORACLES["metric_groups"] = f"WITH {LONG}, x AS (SELECT target_id % 4 AS grp, metric, value FROM lg) SELECT grp, metric, {FIVE} FROM (SELECT grp, metric, {FIVE_AGG} FROM x GROUP BY ALL)"
+ORACLES["metric_groups"] = f"WITH {LONG}, x AS (SELECT target_id % 4 AS grp, metric, value FROM lg) SELECT grp, metric, {FIVE_EXACT} FROM (SELECT grp, metric, {FIVE_AGG} FROM x GROUP BY ALL)"
 
 
 @query("upper_medians", f"WITH {LONG}, x AS (SELECT metric, value, row_number() OVER (PARTITION BY metric ORDER BY value) - 1 AS rn, count(*) OVER (PARTITION BY metric) AS n FROM lg) SELECT metric, max(n) AS n, max(value) FILTER (rn = n // 2) AS upper_median, min(value) AS least, max(value) AS largest FROM x GROUP BY metric")
