@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.session import saved
+from ..functions.session import saved, small_batches
 from .similarity import matrix
 
 #: Molecules and targets of a block of the grid, and neighbours that share a bound.
 MOLECULES, TARGETS, NEAR = 4096, 64, 64
+#: Blocks of targets that are wanted, and the most targets of a block where there are more.
+TARGET_BLOCKS, MOST_TARGETS = 64, 4096
 
 
 def text_features(df: DataFrame, text: str, bins: int = 256, out: str = "text_vec") -> DataFrame:
@@ -32,17 +34,20 @@ def text_features(df: DataFrame, text: str, bins: int = 256, out: str = "text_ve
 def signed_text_features(df: DataFrame, text: str, bins: int = 256, out: str = "text_vec") -> DataFrame:
     """Signed counts: one hash gives the bin and another bit the sign, so collisions cancel out.
 
-    Each distinct text is featurised once: its tokens are summed by bin, and the bins are a vector.
+    Each distinct text is featurised once: its tokens are summed by bin, and the bins are a vector.  Texts go by their
+    digest, so that no text is shuffled with each of its tokens.
     """
     value = F.coalesce(F.col(text), F.lit(""))
-    tokens = F.filter(F.split("_text", r"\s+"), lambda x: x != "")
-    long = df.select(value.alias("_text")).distinct().select("_text", F.explode(F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit("<unknown>")))).alias("_t"))
+    digest = lambda c: F.unhex(F.sha2(c, 256))
+    tokens = F.filter(F.split("_whole", r"\s+"), lambda x: x != "")
+    texts = df.select(digest(value).alias("_text"), value.alias("_whole")).dropDuplicates(["_text"])
+    long = texts.select("_text", F.explode(F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit("<unknown>")))).alias("_t"))
     h = F.xxhash64("_t")
     sign = F.when(F.shiftright(h, 40) % 2 == 0, 1.0).otherwise(-1.0)
     per = long.groupBy("_text", F.pmod(h, F.lit(bins)).cast("int").alias("_bin")).agg(F.sum(sign).alias("_n"))
     found = per.groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("_bin", "_n"))).alias("_m"))  # bins at most
     dense = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.coalesce(F.try_element_at("_m", b), F.lit(0.0)))
-    done = df.join(found.select("_text", array_to_vector(dense).alias(out)), value == F.col("_text")).drop("_text")
+    done = df.join(found.select("_text", array_to_vector(dense).alias(out)), digest(value) == F.col("_text")).drop("_text")
     return VectorSizeHint(inputCol=out, size=bins, handleInvalid="optimistic").transform(done)
 
 
@@ -259,10 +264,13 @@ def pair_grid_top(molecules: DataFrame, targets: DataFrame, net: dict[str, np.nd
     The first layer is a sum of a molecule and a target part, so either is computed once, in blocks of rows.
     Blocks of targets meet one block of molecules first, whose k-th scores are floors for all others: groups
     of molecules whose bound stays below the floor are not scored.  Every step hands on ``k`` rows per target at most,
-    so the grid is never written.  Null ids and features are left out; shorter vectors end in zeros.
+    so the grid is never written.  A pair of blocks is a step that is sent both, so blocks of targets grow with their
+    number: what is shuffled is the grid over the size of a block.  Null ids and features are left out; shorter vectors end in zeros.
     """
+    small_batches(molecules.sparkSession)
+    size = max(TARGETS, min(MOST_TARGETS, -(-targets.count() // TARGET_BLOCKS)))
     mols, n_mols = _sided(molecules, "mol_id", net["left"], None, MOLECULES, "grid-molecules")
-    goals, n_goals = _sided(targets, "target_id", net["right"], net["b1"], TARGETS, "grid-targets")
+    goals, n_goals = _sided(targets, "target_id", net["right"], net["b1"], size, "grid-targets")
     width = net["left"].shape[1]
     if not n_mols or not n_goals:
         return molecules.sparkSession.createDataFrame([], "target_id long, rank int, mol_id long, score double")
@@ -289,7 +297,7 @@ def pair_grid_top(molecules: DataFrame, targets: DataFrame, net: dict[str, np.nd
     if n_mols > 1:
         least = found.groupBy("target_id").agg(F.count("*").alias("_n"), F.min("_s").alias("_least")).filter(F.col("_n") == k)
         member = _members(goals)
-        floors = member.join(least, "target_id").groupBy("goal").agg(F.map_from_entries(F.collect_list(F.struct("target_id", "_least"))).alias("floors"))  # about TARGETS
+        floors = member.join(least, "target_id").groupBy("goal").agg(F.map_from_entries(F.collect_list(F.struct("target_id", "_least"))).alias("floors"))  # a block of targets
         others = F.array_remove(F.sequence(F.lit(0), F.lit(n_mols - 1)), home)
         found = found.unionByName(meet(goals.join(floors, "goal", "left"), others))
     w = W.partitionBy("target_id").orderBy(F.col("_s").desc(), "mol_id")

@@ -37,3 +37,19 @@ def test_shuffles_widen_with_the_rows_of_a_table(spark, sf, monkeypatch):
     finally:
         for n, v in before.items():
             spark.conf.set(n, v)
+
+
+def test_blocks_of_targets_grow_with_their_number(spark, monkeypatch):
+    sizes, sided = [], models._sided
+    monkeypatch.setattr(models, "TARGETS", 2)
+    monkeypatch.setattr(models, "TARGET_BLOCKS", 4)
+    monkeypatch.setattr(models, "_sided", lambda df, key, w, b, size, name: sizes.append((key, size)) or sided(df, key, w, b, size, name))
+    rows = lambda name, n: spark.createDataFrame([(i, [float(i % 5), 1.0]) for i in range(n)], f"{name} long, features array<double>")
+    out = models.pair_grid_top(rows("mol_id", 30), rows("target_id", 40), models.rule_towers(2, 2, (8, 4)), k=3)
+    assert out.count() == 120 and ("target_id", 10) in sizes
+
+
+def test_texts_are_not_shuffled_with_their_tokens(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, ""), (3, "a b a"), (4, None)], "id int, text string")
+    out = models.signed_text_features(df, "text", 8)
+    assert "hashpartitioning(_text" in plan(out) and "unhex(sha2(" in plan(out) and out.count() == 4
