@@ -45,9 +45,18 @@ def signed_text_features(df: DataFrame, text: str, bins: int = 256, out: str = "
     h = F.xxhash64("_t")
     sign = F.when(F.shiftright(h, 40) % 2 == 0, 1.0).otherwise(-1.0)
     per = long.groupBy("_text", F.pmod(h, F.lit(bins)).cast("int").alias("_bin")).agg(F.sum(sign).alias("_n"))
-    found = per.groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("_bin", "_n"))).alias("_m"))  # bins at most
-    dense = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.coalesce(F.try_element_at("_m", b), F.lit(0.0)))
-    done = df.join(found.select("_text", array_to_vector(dense).alias(out)), digest(value) == F.col("_text")).drop("_text")
+    found = per.groupBy("_text").agg(F.collect_list(F.struct("_bin", "_n")).alias("_m"))  # bins at most
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            m = b.column("_m")
+            at, cells, whole = np.repeat(np.arange(len(m)), m.value_lengths().to_numpy()), m.flatten(), np.zeros((len(m), bins))
+            whole[at, cells.field("_bin").to_numpy()] = cells.field("_n").to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column("_text"), pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * bins, pa.int32()), pa.array(whole.ravel()))], ["_text", "_dense"])
+
+    small_batches(df.sparkSession)
+    found = saved(found.mapInArrow(fill, "_text binary, _dense array<double>"), "text-features")
+    done = df.join(found.select("_text", array_to_vector("_dense").alias(out)), digest(value) == F.col("_text")).drop("_text")
     return VectorSizeHint(inputCol=out, size=bins, handleInvalid="optimistic").transform(done)
 
 
