@@ -50,25 +50,28 @@ def resolve(queries: DataFrame, texts: DataFrame, names: DataFrame) -> DataFrame
     """(query_id, text, method): exact id, then name within a text, then within a name, then a token.
 
     ``queries`` has (query_id, name, code); ``texts`` (text, n, first) and ``names`` (code, name, text,
-    first), one row per distinct text or name.  Containment is joined on grams (see ``containing``), and
-    the better method is kept per query.  All three tables are used several times and saved first.
+    first), one row per distinct text or name.  Containment is joined on grams (see ``containing``) of distinct
+    names, however many queries ask for one or entries have one, and queries take the answer of their code or
+    name.  The better method is kept per query.  All three tables are used several times and saved first.
     """
     queries, texts, names = saved(queries, "queries"), saved(texts, "texts"), saved(names, "names")
-    q = queries.withColumn("_ln", F.lower(F.coalesce("name", F.lit(""))))
-    exact = q.join(names.filter("code is not null").groupBy("code").agg(F.min_by("text", "first").alias("text")), "code").select("query_id", "text", F.lit(1).alias("_p"), F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_f"))
-    some = q.filter("_ln <> ''").select("_ln").distinct()
-    inside = containing(some, "_ln", texts, "text")
-    inside = inside.groupBy("_ln").agg(F.min_by(F.struct("text", "n", "first"), F.struct(-F.col("n"), "first")).alias("_t"))
-    by_text = q.join(inside, "_ln").select("query_id", "_t.text", F.lit(2).alias("_p"), (-F.col("_t.n")).alias("_n"), F.col("_t.first").alias("_f"))
-    inside = containing(some, "_ln", names.select("name", "text", "first"), "name").groupBy("_ln").agg(F.min_by(F.struct("text", "first"), "first").alias("_t"))
-    by_name = q.join(inside, "_ln").select("query_id", "_t.text", F.lit(3).alias("_p"), F.lit(0).cast("long").alias("_n"), F.col("_t.first").alias("_f"))
-    tokens = q.select("query_id", F.posexplode(F.regexp_extract_all(F.coalesce("name", F.lit("")), F.lit(r"[A-Z][A-Z0-9]{2,}"), F.lit(0))).alias("_at", "_tok"))
-    inside = containing(tokens, "_tok", names.select("name", "text", "first"), "name").groupBy("_tok").agg(F.min_by(F.struct("text", "first"), "first").alias("_t"))
-    by_token = tokens.join(inside, "_tok").select("query_id", "_t.text", F.lit(4).alias("_p"), F.col("_at").cast("long").alias("_n"), F.col("_t.first").alias("_f"))
-    every = exact.unionByName(by_text).unionByName(by_name).unionByName(by_token)
-    best = every.groupBy("query_id").agg(F.min(F.struct("_p", "_n", "_f", "text")).alias("_b"))
+    answer = lambda p, n, f: F.struct(F.lit(p).alias("_p"), n.cast("long").alias("_n"), f.cast("long").alias("_f"), F.col("text"))
+    exact = names.filter("code is not null").groupBy("code").agg(F.min_by("text", "first").alias("text")).select("code", answer(1, F.lit(0), F.lit(0)).alias("_exact"))
+    entries = names.groupBy("name").agg(F.min(F.struct("first", "text")).alias("_e")).select("name", "_e.text", "_e.first")
+    asked = queries.select("name").filter("name <> ''").distinct().withColumn("_ln", F.lower("name"))
+    some = asked.select("_ln").distinct()
+    inside = containing(some, "_ln", texts, "text").groupBy("_ln").agg(F.min_by(F.struct("text", "n", "first"), F.struct(-F.col("n"), "first")).alias("_t")).select("_ln", "_t.*")
+    by_text = asked.join(inside, "_ln").select("name", answer(2, -F.col("n"), F.col("first")).alias("_b"))
+    inside = containing(some, "_ln", entries, "name").groupBy("_ln").agg(F.min(F.struct("first", "text")).alias("_t")).select("_ln", "_t.*")
+    by_name = asked.join(inside, "_ln").select("name", answer(3, F.lit(0), F.col("first")).alias("_b"))
+    tokens = asked.select("name", F.posexplode(F.regexp_extract_all("name", F.lit(r"[A-Z][A-Z0-9]{2,}"), F.lit(0))).alias("_at", "_tok"))
+    inside = containing(tokens, "_tok", entries, "name").groupBy("_tok").agg(F.min(F.struct("first", "text")).alias("_t")).select("_tok", "_t.*")
+    by_token = tokens.join(inside, "_tok").select("name", answer(4, F.col("_at"), F.col("first")).alias("_b"))
+    named = by_text.unionByName(by_name).unionByName(by_token).groupBy("name").agg(F.min("_b").alias("_named"))
+    found = queries.join(exact, "code", "left").join(named, "name", "left")
+    best = F.when(F.col("query_id").isNotNull(), F.min(F.coalesce("_exact", "_named")).over(W.partitionBy("query_id")))
     method = F.coalesce(*[F.when(F.col("_b._p") == i + 1, F.lit(m)) for i, m in enumerate(("exact_id", "text_contains", "name_contains", "token"))])
-    return queries.select("query_id").join(best, "query_id", "left").select("query_id", F.col("_b.text").alias("text"), F.coalesce(method, F.lit("none")).alias("method"))
+    return found.select("query_id", best.alias("_b")).select("query_id", F.col("_b.text").alias("text"), F.coalesce(method, F.lit("none")).alias("method"))
 
 
 def first_mapped(rows: DataFrame, accessions: str, mapping: DataFrame, *, id_col: str) -> DataFrame:
@@ -94,15 +97,16 @@ def containing(names: DataFrame, name: str, texts: DataFrame, text: str) -> Data
     """Rows of ``names`` and ``texts`` where the text has the name in it, whatever its case.
 
     Both are joined on a gram: a text lists all of its grams of up to three letters, a name its one that
-    fewest texts have.  Empty names are in no text.
+    fewest texts have.  Empty names are in no text.  The lists of grams are many times larger than their files, from
+    which Spark guesses their size, so they are joined by merging, never sent to the driver.
     """
     listed = texts.withColumn("_text", F.lower(text)).withColumn("_gram", F.explode(grams_of(F.lower(text))))
     per = listed.groupBy("_gram").agg(F.count("*").alias("_texts"))
     some = names.select(name).distinct().withColumn("_name", F.lower(name)).filter("_name <> ''")
     size = F.least(F.lit(3), F.length("_name"))
     own = some.select(name, "_name", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_name") - size + 1), lambda i: F.substring(F.col("_name"), i, size)))).alias("_gram"))
-    rarest = own.join(per, "_gram").groupBy(name, "_name").agg(F.min_by("_gram", F.struct("_texts", "_gram")).alias("_gram"), F.count("*").alias("_found"))
-    return rarest.join(listed, "_gram").filter(F.contains("_text", F.col("_name"))).drop("_gram", "_text", "_name", "_found")
+    rarest = own.hint("merge").join(per, "_gram").groupBy(name, "_name").agg(F.min_by("_gram", F.struct("_texts", "_gram")).alias("_gram"), F.count("*").alias("_found"))
+    return rarest.hint("merge").join(listed, "_gram").filter(F.contains("_text", F.col("_name"))).drop("_gram", "_text", "_name", "_found")
 
 
 def evidence_triples(associations: DataFrame, left: DataFrame, right: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
