@@ -4,6 +4,10 @@ State is one row per key in Spark's state store, whatever the number of events.
 dropped by their id, and events older than the watermark are left out; both hold for as long as ``delay``.
 A restart goes on from the checkpoint: a micro-batch that was cut off is run again with the same events and
 state, and the table it writes takes each batch once.
+
+``track`` calls Python for each key that a micro-batch has events of, and gives a row for each change, timers
+included.  ``totals`` keeps the same state by Spark's own aggregation, without Python; what is stuck then follows from
+the state as it stands (``stuck_now``).
 """
 
 from __future__ import annotations
@@ -38,6 +42,13 @@ def fold(state: tuple, events: pd.DataFrame) -> tuple:
     return status, status_us, status_id, attempts + int((events["status"] == "started").sum()), min(first, int(us.min())), max(last, int(at)), n + len(events), change
 
 
+def _whole(events: DataFrame, delay: str) -> DataFrame:
+    """Events with a key, time and id, each once; those behind the watermark are left out."""
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    whole = timed.dropna(subset=[*KEYS, "ts", "event_id"]).withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return whole.select("run", "stage", "ts", "event_id", F.coalesce("status", F.lit("")).alias("status"), F.unix_micros("ts").alias("us"))
+
+
 def track(events: DataFrame, *, delay: str = "1 day", stuck_after: str = "1 day") -> DataFrame:
     """A row for each change of a key's state: status, attempts, first and last event, number of events.
 
@@ -45,9 +56,7 @@ def track(events: DataFrame, *, delay: str = "1 day", stuck_after: str = "1 day"
     highest is its state now.  ``stuck`` is set by a timer when a started stage had no event for ``stuck_after``
     by the watermark, and unset by its next event.  Rows without a key, time or id are left out.
     """
-    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
-    whole = timed.dropna(subset=[*KEYS, "ts", "event_id"]).withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
-    rows = whole.select("run", "stage", "ts", "event_id", F.coalesce("status", F.lit("")).alias("status"), F.unix_micros("ts").alias("us"))
+    rows = _whole(events, delay)
     wait = int(pd.Timedelta(stuck_after).total_seconds() * 1000)
 
     def follow(key: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
@@ -67,10 +76,32 @@ def track(events: DataFrame, *, delay: str = "1 day", stuck_after: str = "1 day"
     return out.select(*KEYS, "status", "attempts", *times, "n_events", "stuck", "change_no")
 
 
-def keep_state(changes: DataFrame, path: str, checkpoint: str, *, buckets: int = 32) -> StreamingQuery:
+def totals(events: DataFrame, *, delay: str = "1 day") -> DataFrame:
+    """The state of each key that a micro-batch has events of, as ``track`` has it but for ``stuck``.
+
+    ``change_no`` is the number of the key's events, which grows with each change.
+    """
+    latest = F.max(F.struct("us", "event_id", "status"))
+    out = _whole(events, delay).groupBy(*KEYS).agg(latest["status"].alias("status"), F.count_if(F.col("status") == "started").alias("attempts"), F.min("us").alias("_first"), F.max("us").alias("_last"), F.count("*").alias("n_events"))
+    times = [F.timestamp_micros(f"_{x}").alias(f"{x}_ts") for x in ("first", "last")]
+    return out.select(*KEYS, "status", "attempts", *times, "n_events", F.col("n_events").alias("change_no"))
+
+
+def stuck_now(kept: DataFrame, *, delay: str = "1 day", stuck_after: str = "1 day") -> DataFrame:
+    """The states that ``totals`` has led to, with ``stuck``: started last, and without an event for ``stuck_after`` by
+    the watermark, which is ``delay`` behind the last event of all."""
+    both = int((pd.Timedelta(delay) + pd.Timedelta(stuck_after)).total_seconds() * 1000)
+    end = kept.agg(F.unix_millis(F.max("last_ts")).alias("_end"))  # one row
+    late = F.unix_millis("last_ts") + both < F.col("_end")
+    return kept.crossJoin(F.broadcast(end)).withColumn("stuck", (F.col("status") == "started") & late).drop("_end")
+
+
+def keep_state(changes: DataFrame, path: str, checkpoint: str, *, buckets: int = 32, mode: str = "append", tasks: int | None = None) -> StreamingQuery:
     """Process what is there, keep the newest change of each key in a published table, and stop.
 
     A batch that was published before it was marked as done is not taken twice: versions carry its number.
+    ``mode`` is ``append`` for ``track`` and ``update`` for ``totals``.  ``tasks`` is the number of parts that the state is
+    dealt into, which stays what it was when the checkpoint was made: each part costs files in each batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -83,7 +114,13 @@ def keep_state(changes: DataFrame, path: str, checkpoint: str, *, buckets: int =
         published.upsert(newest, path, keys=KEYS, buckets=buckets, note=str(number))
         published.vacuum(spark, path)
 
-    return changes.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    conf, wide = changes.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(wide)
+    try:
+        conf.set(wide, str(tasks or before))  # a stream has its own copy of the session from its start on
+        return changes.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(wide, before)
 
 
 def state_now(spark: SparkSession, path: str) -> DataFrame:
