@@ -14,8 +14,8 @@ from ..functions.scalar import finite, rounded
 from ..functions.session import saved
 from . import ranges
 
-#: Resamples that a task draws at once.
-REPS = 100
+#: Resamples that a task is given, and places that it draws at once (one resample at least).
+REPS, DRAWN = 100, 1 << 20
 
 
 def long_metrics(df: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ("target_id",)) -> DataFrame:
@@ -62,7 +62,9 @@ def bootstrap_median(long: DataFrame, *, reps: int = 2000, seed: int = 42, key:
         for b in batches:
             for metric, first, v in zip(b.column("metric").to_pylist(), b.column("_first").to_pylist(), b.column("_v")):
                 v = v.values.to_numpy()
-                m = np.median(v[draws(seed, np.arange(first, min(first + REPS, reps + 1)), len(v))], axis=1)
+                mine = np.arange(first, min(first + REPS, reps + 1))
+                some = max(1, DRAWN // len(v))
+                m = np.concatenate([np.median(v[draws(seed, mine[i : i + some], len(v))], axis=1) for i in range(0, len(mine), some)])
                 yield pa.RecordBatch.from_arrays([pa.array([metric] * len(m)), pa.array(m)], ["metric", "m"])
 
     medians = each.mapInArrow(run, "metric string, m double")
