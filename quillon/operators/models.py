@@ -11,6 +11,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import HashingTF, StandardScaler, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ from .similarity import matrix
 MOLECULES, TARGETS, NEAR = 4096, 64, 64
 #: Blocks of targets that are wanted, and the most targets of a block where there are more.
 TARGET_BLOCKS, MOST_TARGETS = 64, 4096
+#: Rows of a step of a network's training, steps of a round at least, rows of a part at least, and its values at most.
+STEP_ROWS, ROUND_STEPS, PART_ROWS, PART_CELLS = 128, 400, 16_384, 1 << 21
 
 
 def text_features(df: DataFrame, text: str, bins: int = 256, out: str = "text_vec") -> DataFrame:
@@ -84,29 +88,101 @@ def train_logistic(df: DataFrame, columns: Sequence[str], label: str = "label")
     return Pipeline(stages=stages).fit(dealt(balanced(df, label)))
 
 
-def train_mlp(df: DataFrame, columns: Sequence[str], hidden: Sequence[int] = (256, 128), label: str = "label", seed: int = 42, *, step: int = 20, rounds: int = 10, patience: int = 2) -> PipelineModel:
-    """A network that stops early: it goes on in steps of iterations from the weights it has, as long as
-    the loss on a tenth of the rows (by hash) falls, and the best weights are kept."""
+def _layers(flat: np.ndarray, sizes: Sequence[int]) -> list[np.ndarray]:
+    """Weights of each layer, inputs by outputs with the bias as last row, in the order that Spark ML keeps them."""
+    ends = np.cumsum([0, *[(i + 1) * o for i, o in zip(sizes, sizes[1:])]])
+    return [flat[a:b].reshape(-1, o) for a, b, o in zip(ends, ends[1:], sizes[1:])]
+
+
+def _outputs(layers: Sequence[np.ndarray], x: np.ndarray) -> list[np.ndarray]:
+    """``x`` and what each layer makes of it: sigmoid units, at the end a softmax."""
+    out = [x]
+    for w in layers:
+        v = out[-1] @ w[:-1] + w[-1]
+        if w is layers[-1]:
+            e = np.exp(v - v.max(axis=1, keepdims=True))
+            out.append(e / e.sum(axis=1, keepdims=True))
+        else:
+            out.append(1 / (1 + np.exp(-np.clip(v, -60, 60))))
+    return out
+
+
+def _loss(layers: Sequence[np.ndarray], x: np.ndarray, y: np.ndarray) -> float:
+    """Sum of the log losses, a few thousand rows at a time."""
+    parts = [_outputs(layers, x[i : i + 4096])[-1][np.arange(len(y[i : i + 4096])), y[i : i + 4096]] for i in range(0, len(y), 4096)]
+    return float(sum(-np.log(np.maximum(p, 1e-12), dtype=float).sum() for p in parts))
+
+
+def _descend(layers: Sequence[np.ndarray], x: np.ndarray, y: np.ndarray, rng: np.random.Generator, rate: float) -> None:
+    """Steps of Adam over all rows in random order, changing ``layers``: as many passes as make a round."""
+    first, second, t = [np.zeros_like(w) for w in layers], [np.zeros_like(w) for w in layers], 0
+    for _ in range(-(-ROUND_STEPS * STEP_ROWS // len(y))):
+        order = rng.permutation(len(y))
+        for i in range(0, len(y), STEP_ROWS):
+            some = order[i : i + STEP_ROWS]
+            out, t = _outputs(layers, x[some]), t + 1
+            back = out[-1].copy()
+            back[np.arange(len(some)), y[some]] -= 1
+            back /= len(some)
+            for k in reversed(range(len(layers))):
+                g = np.vstack([out[k].T @ back, back.sum(axis=0)])
+                back = (back @ layers[k][:-1].T) * out[k] * (1 - out[k]) if k else None
+                first[k] += 0.1 * (g - first[k])
+                second[k] += 0.001 * (g * g - second[k])
+                layers[k] -= rate / (1 - 0.9**t) * first[k] / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
+
+
+def train_mlp(df: DataFrame, columns: Sequence[str], hidden: Sequence[int] = (256, 128), label: str = "label", seed: int = 42, *, rounds: int = 40, patience: int = 3, rate: float = 0.01) -> PipelineModel:
+    """A network that stops early: it is trained as long as the loss on a tenth of the rows (by hash) falls, and the
+    best weights are kept.
+
+    Rows are dealt into parts, whose number grows with the rows.  In a round each part takes steps of Adam over all
+    its rows from the same weights, and the parts' weights are averaged, so a round is one job that passes over the
+    rows once (parts of few rows: a few times), where L-BFGS has a job for each single step.
+    """
+    sizes, held = [len(columns), *hidden, 2], F.pmod(F.xxhash64(*columns), F.lit(10)) == 0
     assembler, scaler = VectorAssembler(inputCols=list(columns), outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True)
     prepare = Pipeline(stages=[assembler, scaler]).fit(df)
-    rows = dealt(prepare.transform(df)).select("features", F.col(label).cast("double").alias(label), (F.pmod(F.xxhash64(*columns), F.lit(10)) == 0).alias("_held")).persist()
-    fit, held = rows.filter("not _held"), rows.filter("_held")
-    held = held if held.take(1) else rows
-    best, weights, worse = (np.inf, None), None, 0
-    for _ in range(rounds):
-        net = MultilayerPerceptronClassifier(layers=[len(columns), *hidden, 2], labelCol=label, blockSize=1024, maxIter=step, seed=seed)
-        model = (net.setInitialWeights(weights) if weights is not None else net).fit(fit)
-        weights = model.weights
-        p = vector_to_array("probability")
-        loss = model.transform(held).agg(F.avg(-F.log(F.greatest(F.get(p, F.col(label).cast("int")), F.lit(1e-12))))).first()[0]
-        if loss < best[0] - 1e-4:
-            best, worse = (loss, model), 0
+    n, n_held = df.agg(F.count("*"), F.count_if(held)).first()
+    held = held if 0 < n_held < n else F.lit(None)  # all rows are for both
+    parts = max(-(-n // max(PART_ROWS, PART_CELLS // len(columns))), min(df.sparkSession.sparkContext.defaultParallelism, n // PART_ROWS), 1)
+    rows = prepare.transform(df).select(*columns, "features", F.col(label).cast("double").alias(label), held.alias("_held")).repartition(parts).sortWithinPartitions(*columns, label)
+    rows = rows.select(vector_to_array("features", "float32").alias("x"), F.col(label).cast("int").alias("y"), "_held", "features", label).persist()
+
+    def a_round(flat: np.ndarray, turn: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            got = [(b.column("x").flatten().to_numpy().reshape(-1, sizes[0]), b.column("y").to_numpy(), b.column("_held").to_pandas().to_numpy()) for b in batches if len(b)]
+            if not got:
+                return
+            x, y, h = (np.concatenate(c) for c in zip(*got))
+            judged, used = (h != False, h != True)  # noqa: E712 (null: both)
+            layers = _layers(flat.copy(), sizes)
+            loss = _loss(layers, x[judged], y[judged])
+            if used.any():
+                _descend(layers, x[used], y[used], np.random.default_rng([seed, turn, TaskContext.get().partitionId()]), rate)
+            values = [[np.concatenate([w.ravel() for w in layers]).astype(float)], [float(used.sum())], [loss], [int(judged.sum())]]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["w", "n", "loss", "judged"])
+
+        each = rows.select("x", "y", "_held").mapInArrow(run, "w array<double>, n double, loss double, judged long")
+        return each.agg(Summarizer.mean(array_to_vector("w"), F.col("n")).alias("w"), (F.sum("loss") / F.sum("judged")).alias("loss")).first()
+
+    rng = np.random.default_rng(seed)
+    start = [np.vstack([rng.uniform(-1, 1, (i, o)) * (1 if o == 2 else 4) * np.sqrt(6 / (i + o)), np.zeros((1, o))]) for i, o in zip(sizes, sizes[1:])]
+    flat = np.concatenate([w.ravel() for w in start]).astype(np.float32)
+    best, worse = (np.inf, flat), 0
+    for turn in range(rounds + 1):  # a round tells the loss of the weights that it starts from
+        found = a_round(flat, turn)
+        if found["loss"] < best[0] - 1e-4:
+            best, worse = (found["loss"], flat), 0
         else:
             worse += 1
             if worse >= patience:
                 break
+        flat = found["w"].toArray().astype(np.float32)
+    net = MultilayerPerceptronClassifier(layers=sizes, labelCol=label, maxIter=0, initialWeights=Vectors.dense(best[1].astype(float)))  # takes the weights as they are
+    model = net.fit(rows.select("features", label).limit(1))
     rows.unpersist()
-    return PipelineModel([*prepare.stages, best[1]])
+    return PipelineModel([*prepare.stages, model])
 
 
 def train_forests(df: DataFrame, columns: Sequence[str], tasks: Sequence[str], trees: int = 100, depth: int = 15, seed: int = 42) -> dict[str, PipelineModel]:
