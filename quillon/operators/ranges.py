@@ -1,7 +1,8 @@
 """Ranks and order statistics of large groups by ranges of their values.
 
-Rows are counted by group and distinct value first.  A sketch of each group's values gives the edges of ranges;
-running counts are taken over ranges, and within a range over its values, so no task sorts a group, however large.
+Rows are counted by group and distinct value first.  A sketch of the values of each large group gives the edges of
+ranges; running counts are taken over ranges, and within a range over its values, so no task sorts a large group.
+A group of few values is one range.
 Order statistics look into the ranges that hold a wanted place only.
 """
 
@@ -17,6 +18,8 @@ from ..functions.session import saved
 
 #: Ranges of a group, and the accuracy of the sketch that gives their edges.
 RANGES, ACCURACY = 200, 2000
+#: Distinct values that a range has in any case, and edges that are looked through at once.
+RANGE_VALUES, STRIDE = 10_000, 14
 
 
 def _before(w) -> Column:
@@ -28,20 +31,28 @@ def ranged(df: DataFrame, value: str, by: Sequence[str], keep: Sequence[Column]
     rows before each range.  Null and NaN values are left out."""
     kept = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     per = saved(kept.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n")), "distinct-values")
-    edges = per.groupBy(*by).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], ACCURACY).alias("_edges"))
-    below = F.size(F.filter("_edges", lambda x: x < F.col("_v")))
-    per = _join(per, edges, by).withColumn("_range", below).drop("_edges")
+    large = per.groupBy(*by).agg(F.count("*").alias("_values")).filter(F.col("_values") > RANGE_VALUES)
+    large = saved(large, "large-groups")  # one row in RANGE_VALUES at most
+    if large.isEmpty():
+        per = per.withColumn("_range", F.lit(0))
+    else:
+        found = _join(per, large.drop("_values"), by) if by else per
+        edges = found.groupBy(*by).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], ACCURACY).alias("_edges"))
+        below = lambda c: F.size(F.filter(c, lambda x: x < F.col("_v")))
+        per = _join(per, edges, by, "left").withColumn("_first", STRIDE * below(F.array(*[F.col("_edges")[i] for i in range(STRIDE - 1, RANGES - 1, STRIDE)])))
+        within = F.slice("_edges", F.col("_first") + 1, F.lit(STRIDE))
+        per = per.withColumn("_range", F.when(F.col("_edges").isNull(), 0).otherwise(F.col("_first") + below(within))).drop("_edges", "_first")
     counts = per.groupBy(*by, "_range").agg(F.sum("_n").alias("_n"))
     return per, counts.withColumn("_first", _before(W.partitionBy(*by or [F.lit(0)]).orderBy("_range")))  # a row per range
 
 
-def _join(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+def _join(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
     """Null groups are groups too."""
     if not by:
         return a.crossJoin(F.broadcast(b))  # one row
     right = b.select(*[F.col(c).alias(f"_by_{c}") if c in by else F.col(c) for c in b.columns])
     on = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
-    return a.join(right, on).drop(*[f"_by_{c}" for c in by])
+    return a.join(right, on, how).drop(*[f"_by_{c}" for c in by])
 
 
 def average_ranks(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:

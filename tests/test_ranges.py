@@ -46,3 +46,14 @@ def test_no_range_holds_much_of_a_group(spark):
     df = spark.range(50_000).select(F.lit("g").alias("g"), (F.xxhash64("id") / 2.0**63).alias("x"))
     _, found = ranges.ranged(df, "x", ["g"])
     assert found.count() == ranges.RANGES and found.agg(F.max("_n")).first()[0] < 3 * 50_000 / ranges.RANGES
+
+
+def test_a_group_of_few_values_is_one_range(spark, monkeypatch):
+    """Each group had a sketch, and each value was held against all edges."""
+    _, df = made(spark)
+    assert {r["g"]: r["n"] for r in ranges.ranged(df, "x", ["g"])[1].groupBy("g").agg(F.count("*").alias("n")).collect()} == {"all": 1, "few": 1, None: 1, "one": 1}
+    monkeypatch.setattr(ranges, "RANGE_VALUES", 300)
+    mixed = {r["g"]: r["n"] for r in ranges.ranged(df, "x", ["g"])[1].groupBy("g").agg(F.count("*").alias("n")).collect()}
+    assert mixed.pop("all") > 150 and mixed == {"few": 1, None: 1, "one": 1}
+    test_quantiles_and_places_of_large_groups(spark)
+    test_ranks_share_ties(spark)
