@@ -43,7 +43,7 @@ def cardinality(df: DataFrame, manifest: DataFrame, key: str, size: str) -> Data
 
 def contamination(rows: DataFrame, fit: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows in common with the fit pairs, by role; should have none."""
-    return rows.join(fit.select(*keys).distinct(), list(keys), "left_semi").groupBy("label_role").agg(F.count("*").alias("n"))
+    return rows.join(fit.select(*keys), list(keys), "left_semi").groupBy("label_role").agg(F.count("*").alias("n"))
 
 
 def identity(expected: DataFrame, actual: DataFrame, key: str, value: str) -> DataFrame:

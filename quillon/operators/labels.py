@@ -47,24 +47,34 @@ def without_conflicts(pairs: DataFrame, keys: Sequence[str], label: str = "label
 
 
 def clean_pairs(pairs: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Valid labels, no conflicting keys, first row of each key."""
-    return first_wins(without_conflicts(pairs.filter(F.col("label").isNotNull()), keys), keys, order)
+    """Valid labels, no conflicting keys, first row of each key; rows are shuffled and sorted once for both."""
+    w = W.partitionBy(*keys).orderBy(*order)
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    rows = pairs.filter(F.col("label").isNotNull())
+    rows = rows.select("*", F.row_number().over(w).alias("_rn"), F.min("label").over(whole).alias("_lo"), F.max("label").over(whole).alias("_hi"))
+    return rows.filter("_rn = 1 and _lo = _hi").drop("_rn", "_lo", "_hi")
 
 
 def stratified_split(pairs: DataFrame, keys: Sequence[str], *, held: float = 0.2, seed: int = 42, label: str = "label") -> DataFrame:
     """``pairs`` with ``split``: of each label, the first ``held`` part in hash order is held out.
 
-    The place within a label is counted in two steps, by the first digits of the hash and then within
-    them, so that no task sorts all rows of a label.
+    ``keys`` tell rows apart.  Rows of a label are counted by the first digits of the hash; only those whose digits
+    hold the end of the held part are ranked, and the last one held tells the rest, so rows are not shuffled.
     """
     h = hash_order(seed, *[F.col(k) for k in keys])
-    rows = pairs.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 3))
+    rows = saved(pairs, "pairs").withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 3))
     per = rows.groupBy(label, "_b").agg(F.count("*").alias("_n"))
     w = W.partitionBy(label)
-    per = per.select(label, "_b", F.coalesce(F.sum("_n").over(w.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(w).alias("_total"))
-    rank = F.row_number().over(W.partitionBy(label, "_b").orderBy("_h", *keys)) + F.col("_before")
-    out = rows.join(per, [label, "_b"]).withColumn("split", F.when(rank <= F.rint(F.col("_total") * F.lit(float(held))), "heldout").otherwise("fit"))
-    return out.drop("_h", "_b", "_before", "_total")
+    cut = F.rint(F.sum("_n").over(w) * F.lit(float(held))).alias("_cut")
+    per = saved(per.select(label, "_b", "_n", F.coalesce(F.sum("_n").over(w.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), cut), "counts")
+    at, after = F.struct("_h", *keys), F.col("_before") + F.col("_n")
+    ends = rows.join(per.filter((F.col("_before") < F.col("_cut")) & (after > F.col("_cut"))), [label, "_b"])
+    rank = F.row_number().over(W.partitionBy(label).orderBy("_h", *keys)) + F.col("_before")
+    last = ends.withColumn("_rank", rank).filter("_rank = _cut").select(F.col(label), at.alias("_last"))
+    per = saved(per.join(last, label, "left"), "places")
+    is_held = F.when(after <= F.col("_cut"), True).when(F.col("_before") >= F.col("_cut"), False).otherwise(at <= F.col("_last"))
+    out = rows.join(per, [label, "_b"]).withColumn("split", F.when(is_held, "heldout").otherwise("fit"))
+    return out.drop("_h", "_b", "_n", "_before", "_cut", "_last")
 
 
 def key_split(pairs: DataFrame, key: str, *, held: float = 0.2, seed: int = 42) -> DataFrame:
@@ -136,7 +146,8 @@ def candidate_pools(labels: DataFrame, library: DataFrame, excluded: DataFrame,
     A pool has the target's labelled keys and, from the library, unlabelled keys that aren't excluded
     for that target, in hash order.  Only the first ``size`` plus excluded keys of a target's order can
     be needed, so the library isn't paired with targets as a whole: each target walks a stretch of a
-    ring of the library's keys in hash order, which starts at the target's own hash.
+    ring of the library's keys in hash order, which starts at the target's own hash.  Steps at which it would come to
+    excluded keys are told from those keys' places, so only the rows of the pools are made.
     """
     ring = 16**6
     place = lambda *c: F.conv(F.substring(hash_order(seed, *c), 1, 6), 16, 10).cast("long")
@@ -146,19 +157,23 @@ def candidate_pools(labels: DataFrame, library: DataFrame, excluded: DataFrame,
     taken = labelled.select(target, key).union(excluded.select(target, key)).distinct()
     need = labelled.groupBy(target).agg(F.count("*").alias("_have"))
     blocked = taken.groupBy(target).agg(F.count("*").alias("_taken"))
-    need = need.join(blocked, target).withColumn("_want", F.least(F.lit(n_lib), F.lit(size) - F.col("_have") + F.col("_taken")))
+    start = F.pmod(place(F.col(target)), F.lit(max(1, n_lib)))
+    need = need.join(blocked, target).filter(F.col("_have") < size).withColumn("_want", F.least(F.lit(n_lib), F.lit(size) - F.col("_have") + F.col("_taken")))
+    need = saved(need.filter("_want > 0").select(target, (F.lit(size) - F.col("_have")).cast("int").alias("_free"), F.col("_want").cast("int").alias("_want"), start.alias("_start")), "targets")
     # Keys get their order on the ring; the order is counted by slices of the ring, then within a slice.
     slices = max(1, min(4096, n_lib // 256))
     at = lib.withColumn("_at", place(F.col(key))).withColumn("_slice", F.floor(F.col("_at") * slices / ring))
     per = at.groupBy("_slice").agg(F.count("*").alias("_n"))
     per = per.withColumn("_first", F.coalesce(F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     at = at.join(per, "_slice").withColumn("_no", F.col("_first") + F.row_number().over(W.partitionBy("_slice").orderBy("_at", key)) - 1)
-    start = F.pmod(place(F.col(target)), F.lit(max(1, n_lib)))
-    walk = need.filter("_want > 0").select(target, "_have", F.explode(F.sequence(F.lit(0), F.col("_want").cast("int") - 1)).alias("_step"), start.alias("_start"))
+    at = saved(at.select("_no", key), "ring")
+    shut = taken.join(at, key).join(need, target).select(target, "_want", F.pmod(F.col("_no") - F.col("_start"), F.lit(max(1, n_lib))).cast("int").alias("_step"))
+    shut = shut.filter("_step < _want").groupBy(target).agg(F.collect_list("_step").alias("_shut"))  # fewer than are wanted
+    steps = F.array_except(F.sequence(F.lit(0), F.col("_want") - 1), F.coalesce("_shut", F.array().cast("array<int>")))
+    tasks = int(library.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a target is a short row, and many rows then
+    walk = need.join(shut, target, "left").repartition(tasks, target).select(target, "_start", F.explode(F.slice(steps, F.lit(1), F.col("_free"))).alias("_step"))
     walk = walk.withColumn("_no", F.pmod(F.col("_start") + F.col("_step"), F.lit(max(1, n_lib))))
-    free = walk.join(at.select("_no", key), "_no").join(taken, [target, key], "left_anti")
-    w = W.partitionBy(target).orderBy("_step")
-    background = free.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= F.lit(size) - F.col("_have")).select(target, key, F.lit(None).cast("int").alias("label"))
+    background = walk.join(at, "_no").select(target, key, F.lit(None).cast("int").alias("label"))
     role = F.when(F.col("label") == 1, "heldout_positive").when(F.col("label") == 0, "heldout_negative").otherwise("unlabeled_background")
     pool = labelled.select(target, key, F.col("label").cast("int").alias("label")).unionByName(background).withColumn("label_role", role)
     order = W.partitionBy(target).orderBy(hash_order(f"{seed}-pool", F.col(target), F.col(key)), key)
