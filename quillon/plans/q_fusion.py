@@ -45,7 +45,7 @@ SELECT tier, metric, {FIVE} FROM (
   SELECT 'all' AS tier, metric, {FIVE_AGG} FROM t GROUP BY metric UNION ALL SELECT 'strict', metric, {FIVE_AGG} FROM t WHERE strict GROUP BY metric)""",
 )
 def metrics_by_tier(spark, sf):
-    m = metrics(spark, sf)
+    m = saved(metrics(spark, sf), "metrics")
     strict = m.filter("n_labeled_positive >= 200 and n_labeled_negative >= 200")
     parts = [stats.five_numbers(stats.long_metrics(x, METRICS)).withColumn("tier", F.lit(name)) for name, x in (("all", m), ("strict", strict))]
     return parts[0].unionByName(parts[1])
