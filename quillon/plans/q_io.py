@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import rounded
 from ..functions.session import new_path, saved
-from ..operators import audit, ranking, stats
+from ..operators import audit, ranges, ranking, stats
 from ..sources import readers, writers
 from .q_fusion import DOCK, FIVE, FIVE_AGG, LONG, METRICS, attached
 from .q_fusion import ORACLES as FUSION
@@ -256,7 +256,9 @@ UNION ALL SELECT 'status', docking_status, CAST(n AS DOUBLE) FROM s""",
 )
 def snk_report(spark, sf):
     """Summary rows and status counts as one long table, written as CSV."""
-    m = metrics(spark, sf).agg(F.count("auc_l2_labeled").alias("n"), rounded(F.median("auc_l2_labeled"), 6).alias("median")).withColumn("metric", F.lit("auc"))
+    auc = saved(metrics(spark, sf).select("auc_l2_labeled"), "auc")
+    middle = ranges.quantiles(auc, "auc_l2_labeled", [], {"median": 0.5}).select(rounded(F.col("median"), 6).alias("median"))
+    m = auc.agg(F.count("auc_l2_labeled").alias("n")).join(F.broadcast(middle), F.lit(True), "left").withColumn("metric", F.lit("auc"))
     path = new_path(spark, "report")
     writers.csv(writers.report(m, attached(spark, sf).groupBy("docking_status").agg(F.count("*").alias("n"))), path)
     return spark.read.option("header", True).schema("section string, metric string, value double").csv(path)
