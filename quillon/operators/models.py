@@ -24,6 +24,8 @@ from .similarity import matrix
 MOLECULES, TARGETS, NEAR = 4096, 64, 64
 #: Blocks of targets that are wanted, and the most targets of a block where there are more.
 TARGET_BLOCKS, MOST_TARGETS = 64, 4096
+#: Molecules that are scored at once in single precision, and tasks of the grid at most.
+SINGLE_ROWS, MOST_STEPS = 2048, 10_000
 #: Rows of a step of a network's training, steps of a round at least, rows of a part at least, and its values at most.
 STEP_ROWS, ROUND_STEPS, PART_ROWS, PART_CELLS = 128, 400, 16_384, 1 << 21
 
@@ -324,23 +326,66 @@ def _upper(low: np.ndarray, high: np.ndarray, net: dict[str, np.ndarray]) -> np.
     return (top @ np.maximum(net["w3"], 0) + bottom @ np.minimum(net["w3"], 0) + net["b3"])[..., 0]
 
 
-def best_of_block(left: np.ndarray, ids: np.ndarray, part: np.ndarray, net: dict[str, np.ndarray], k: int, floor: float) -> tuple[np.ndarray, np.ndarray, int]:
+class Block:
+    """A block of molecules with what all targets need of it: intervals of groups of neighbours, and a copy in single precision."""
+
+    def __init__(self, left: np.ndarray, net: dict[str, np.ndarray]):
+        cuts = np.arange(0, len(left), NEAR)
+        self.left, self.group = left, np.arange(len(left)) // NEAR
+        self.low, self.high, self.most = np.minimum.reduceat(left, cuts), np.maximum.reduceat(left, cuts), np.abs(left).max(axis=0)
+        self.single = left.astype(np.float32)
+        self.w2, self.b2, self.w3 = (net[c].astype(np.float32) for c in ("w2", "b2", "w3"))
+        self.buffer = np.empty((min(len(left), SINGLE_ROWS), left.shape[1]), np.float32)
+
+    def quick(self, part: np.ndarray, rows: np.ndarray | None) -> np.ndarray:
+        """Scores in single precision of ``rows``, or of all."""
+        part, left, out = part.astype(np.float32), self.single if rows is None else self.single[rows], []
+        for i in range(0, len(left), SINGLE_ROWS):
+            some = left[i : i + SINGLE_ROWS]
+            h = np.add(some, part, out=self.buffer[: len(some)])
+            z = np.maximum(h, 0, out=h) @ self.w2
+            z += self.b2
+            out.append((np.maximum(z, 0, out=z) @ self.w3)[:, 0])
+        return np.concatenate(out) if out else np.zeros(0, np.float32)
+
+    def error(self, part: np.ndarray, net: dict[str, np.ndarray]) -> float:
+        """The most that ``quick`` can be off: a rounding for each sum and product, on the sum of all values' sizes."""
+        size = (self.most + np.abs(part)) @ np.abs(net["w2"]) + np.abs(net["b2"])
+        return 1e-9 + 2.0**-24 * (sum(net["w2"].shape) + 16) * float(size @ np.abs(net["w3"])[:, 0])
+
+
+def exact_scores(first: np.ndarray, net: dict[str, np.ndarray]) -> np.ndarray:
+    """Scores of rows of first layers before their relu; equal rows have equal scores, whatever rows are beside them: products
+    always have whole multiples of NEAR rows, and the last one is summed row by row."""
+    h = np.zeros((-(-len(first) // NEAR) * NEAR, first.shape[1]))
+    np.maximum(first, 0, out=h[: len(first)])
+    return (np.maximum(h @ net["w2"] + net["b2"], 0)[: len(first)] * net["w3"][:, 0]).sum(axis=1) + net["b3"][0]
+
+
+def best_of_block(left: np.ndarray | Block, ids: np.ndarray, part: np.ndarray, net: dict[str, np.ndarray], k: int, floor: float) -> tuple[np.ndarray, np.ndarray, int]:
     """(ids, scores, rows scored): molecules of a block that can be among a target's ``k`` best.
 
     Scores are those before the logistic function, which keeps their order.  Groups of NEAR neighbours have a bound by
-    intervals; the most promising group is scored first, and then those whose bound reaches the k-th score.
+    intervals; the most promising group is scored first, and then those whose bound reaches the k-th score.  They are
+    scored in single precision, which only leaves out what is below the k-th score by more than its error.
     """
-    cuts = np.arange(0, len(left), NEAR)
-    bound = _upper(np.minimum.reduceat(left, cuts) + part, np.maximum.reduceat(left, cuts) + part, net) + 1e-9
-    group = np.arange(len(left)) // NEAR
-    score = lambda rows: (np.maximum(np.maximum(left[rows] + part, 0) @ net["w2"] + net["b2"], 0) @ net["w3"] + net["b3"])[:, 0]
-    first = np.flatnonzero(group == int(bound.argmax()))
-    scores = score(first)
-    floor = max(floor, np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else floor
-    rest = np.flatnonzero((bound >= floor)[group] & (group != int(bound.argmax())))
-    rows, scores = np.concatenate([first, rest]), np.concatenate([scores, score(rest)])
-    best = np.lexsort((ids[rows], -scores))[:k]
-    return ids[rows[best]], scores[best], len(rows)
+    block = left if isinstance(left, Block) else Block(left, net)
+    bound = _upper(block.low + part, block.high + part, net) + 1e-9
+    score = lambda rows: exact_scores(block.left[rows] + part, net)
+    kth = lambda s: np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else -np.inf
+    best = int(bound.argmax())
+    first = np.arange(best * NEAR, min((best + 1) * NEAR, len(block.left)))
+    floor = max(floor, kth(score(first)))
+    chosen = bound >= floor
+    chosen[best] = True
+    rows = None if chosen.all() else np.flatnonzero(chosen[block.group])
+    quick, error = block.quick(part, rows) + net["b3"][0], block.error(part, net)
+    floor = max(floor, kth(quick) - error)
+    some = np.flatnonzero(quick >= floor - error)
+    some = some if rows is None else rows[some]
+    scores = score(some)
+    order = np.lexsort((ids[some], -scores))[:k]
+    return ids[some[order]], scores[order], len(quick)
 
 
 def pair_grid_top(molecules: DataFrame, targets: DataFrame, net: dict[str, np.ndarray], *, k: int = 100) -> DataFrame:
@@ -366,25 +411,26 @@ def pair_grid_top(molecules: DataFrame, targets: DataFrame, net: dict[str, np.nd
                 cell = lambda c: b.column(c)[r].as_py()  # noqa: B023, E731
                 ids, left = np.frombuffer(cell("ids"), np.int64), np.frombuffer(cell("values"), np.float64).reshape(-1, width)
                 own, parts = np.frombuffer(cell("goal_ids"), np.int64), np.frombuffer(cell("goal_values"), np.float64).reshape(-1, width)
-                floors = dict(cell("floors") or [])
-                found = [best_of_block(left, ids, p, net, k, floors.get(t, -np.inf)) for t, p in zip(own.tolist(), parts)]
+                floors, block = dict(cell("floors") or []), Block(left, net)
+                found = [best_of_block(block, ids, p, net, k, floors.get(t, -np.inf)) for t, p in zip(own.tolist(), parts)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, [len(f[0]) for f in found])), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], ["target_id", "mol_id", "_s"])
 
     goals = goals.select(F.col("block").alias("goal"), F.col("ids").alias("goal_ids"), F.col("values").alias("goal_values"))
     home = F.pmod(F.col("goal"), F.lit(n_mols)).cast("int")
 
-    def meet(rows: DataFrame, where: Column) -> DataFrame:
-        pairs = rows.withColumn("block", F.explode(where)).join(mols, "block").repartition("goal", "block")
+    def meet(rows: DataFrame, where: Column, blocks: int) -> DataFrame:
+        # dealt in turn to as many tasks as there are steps: they are few bytes for their work, and would be joined by these
+        pairs = rows.withColumn("block", F.explode(where)).join(mols, "block").repartition(min(n_goals * blocks, MOST_STEPS))
         return saved(pairs.select("ids", "values", "goal_ids", "goal_values", "floors").mapInArrow(run, "target_id long, mol_id long, _s double"), "grid-found")
 
     none = F.lit(None).cast("map<bigint,double>")
-    found = meet(goals.withColumn("floors", none), F.array(home))
+    found = meet(goals.withColumn("floors", none), F.array(home), 1)
     if n_mols > 1:
         least = found.groupBy("target_id").agg(F.count("*").alias("_n"), F.min("_s").alias("_least")).filter(F.col("_n") == k)
         member = _members(goals)
         floors = member.join(least, "target_id").groupBy("goal").agg(F.map_from_entries(F.collect_list(F.struct("target_id", "_least"))).alias("floors"))  # a block of targets
         others = F.array_remove(F.sequence(F.lit(0), F.lit(n_mols - 1)), home)
-        found = found.unionByName(meet(goals.join(floors, "goal", "left"), others))
+        found = found.unionByName(meet(goals.join(floors, "goal", "left"), others, n_mols - 1))
     w = W.partitionBy("target_id").orderBy(F.col("_s").desc(), "mol_id")
     ranked = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.select("target_id", "rank", "mol_id", (1 / (1 + F.exp(-F.col("_s")))).alias("score"))
