@@ -269,7 +269,7 @@ def file_manifest(spark, sf):
     """Tables of the input against a manifest that lacks one, has one too many, and wrong digests.  A table is a file or a
     folder of files, whose digests are digested once more."""
     files = readers.file_digests(spark, sf, pattern="*.parquet").select(F.regexp_extract("path", r"/([^/]+\.parquet)(/[^/]+)*$", 1).alias("path"), "digest")
-    files = files.groupBy("path").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ","), 256).alias("digest"))
+    files = saved(files, "digests").groupBy("path").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ","), 256).alias("digest"))
     wrong = F.when(F.col("path") == "nation.parquet", F.reverse("digest")).when(F.col("path") == "supplier.parquet", "none").otherwise(F.col("digest"))
     gone = spark.createDataFrame([("gone.parquet", "0" * 64)], "path string, digest string")
     return audit.compare_files(files.filter("path <> 'region.parquet'").withColumn("digest", wrong).unionByName(gone), files)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -193,9 +195,24 @@ def base_scores(spark: SparkSession, path: str, expected: DataFrame, *, required
 
 
 def file_digests(spark: SparkSession, path: str, *, pattern: str = "*") -> DataFrame:
-    """(path, digest, length) of files, read by Spark's tasks."""
+    """(path, digest, length) of files, read by Spark's tasks.
+
+    Files that the tasks can open are read piece by piece, so memory is the same for files of any size.  On other stores
+    Spark reads them, one whole file (of 2 GB at most) after the other.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
-    return files.select("path", F.sha2("content", 256).alias("digest"), "length")
+    if any(not f.startswith("file:") for f in files.inputFiles()):
+        return files.select("path", F.sha2("content", 256).alias("digest"), "length")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            digests = []
+            for name in b.column("path").to_pylist():
+                with open("/" + name.removeprefix("file:").lstrip("/"), "rb") as f:
+                    digests.append(hashlib.file_digest(f, "sha256").hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(digests, pa.string()), b.column("length")], ["path", "digest", "length"])
+
+    return files.select("path", "length").mapInArrow(run, "path string, digest string, length long")
 
 
 def missing_as_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
