@@ -40,29 +40,27 @@ def text_features(df: DataFrame, text: str, bins: int = 256, out: str = "text_ve
 def signed_text_features(df: DataFrame, text: str, bins: int = 256, out: str = "text_vec") -> DataFrame:
     """Signed counts: one hash gives the bin and another bit the sign, so collisions cancel out.
 
-    Each distinct text is featurised once: its tokens are summed by bin, and the bins are a vector.  Texts go by their
-    digest, so that no text is shuffled with each of its tokens.
+    A text's tokens are hashed and summed by bin where the text is read, so neither texts nor tokens are shuffled: texts go by
+    their digest, and each distinct one has one row of whole numbers.
     """
-    value = F.coalesce(F.col(text), F.lit(""))
-    digest = lambda c: F.unhex(F.sha2(c, 256))
-    tokens = F.filter(F.split("_whole", r"\s+"), lambda x: x != "")
-    texts = df.select(digest(value).alias("_text"), value.alias("_whole")).dropDuplicates(["_text"])
-    long = texts.select("_text", F.explode(F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit("<unknown>")))).alias("_t"))
-    h = F.xxhash64("_t")
-    sign = F.when(F.shiftright(h, 40) % 2 == 0, 1.0).otherwise(-1.0)
-    per = long.groupBy("_text", F.pmod(h, F.lit(bins)).cast("int").alias("_bin")).agg(F.sum(sign).alias("_n"))
-    found = per.groupBy("_text").agg(F.collect_list(F.struct("_bin", "_n")).alias("_m"))  # bins at most
+    value, taken = F.coalesce(F.col(text), F.lit("")), set(df.columns)
+    key = next(k for k in ("_digest" + "_" * i for i in range(len(taken) + 1)) if k not in taken)
+    digest = F.unhex(F.sha2(value, 256))
+    tokens = F.filter(F.split(value, r"\s+"), lambda x: x != "")
+    tokens = F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit("<unknown>")))
+    hashed = df.select(digest.alias("_text"), F.transform(tokens, lambda t: F.xxhash64(t)).alias("_h"))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            m = b.column("_m")
-            at, cells, whole = np.repeat(np.arange(len(m)), m.value_lengths().to_numpy()), m.flatten(), np.zeros((len(m), bins))
-            whole[at, cells.field("_bin").to_numpy()] = cells.field("_n").to_numpy()
-            yield pa.RecordBatch.from_arrays([b.column("_text"), pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * bins, pa.int32()), pa.array(whole.ravel()))], ["_text", "_dense"])
+            m = b.column("_h")
+            at, h = np.repeat(np.arange(len(m)), m.value_lengths().to_numpy()), m.flatten().to_numpy()
+            sign = np.where((h >> 40) & 1 == 0, 1, -1)
+            whole = np.bincount(at * bins + h % bins, weights=sign, minlength=len(m) * bins).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("_text"), pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * bins, pa.int32()), pa.array(whole))], ["_text", "_dense"])
 
     small_batches(df.sparkSession)
-    found = saved(found.mapInArrow(fill, "_text binary, _dense array<double>"), "text-features")
-    done = df.join(found.select("_text", array_to_vector("_dense").alias(out)), digest(value) == F.col("_text")).drop("_text")
+    found = saved(hashed.mapInArrow(fill, "_text binary, _dense array<int>").dropDuplicates(["_text"]), "text-features")
+    done = df.withColumn(key, digest).join(found, F.col(key) == F.col("_text")).withColumn(out, array_to_vector(F.col("_dense").cast("array<double>"))).drop("_text", "_dense", key)
     return VectorSizeHint(inputCol=out, size=bins, handleInvalid="optimistic").transform(done)
 
 
