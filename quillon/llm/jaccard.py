@@ -275,10 +275,19 @@ def describe(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
 
 
 def frequent_members(found: DataFrame, members: int) -> np.ndarray:
-    """Frequent shingles, ascending, from the counts that ``describe`` makes over all texts."""
+    """Frequent shingles, ascending, from the counts that ``describe`` makes over all texts.
+
+    Tasks pack them, 8 bytes each, so the driver has no row per shingle.
+    """
     least = max(FREQUENT_LEAST, members / FREQUENT_PART)
-    rows = found.filter("member is not null").groupBy("member").agg(F.sum("texts").alias("n")).filter(F.col("n") >= least).select("member").toPandas()
-    return np.sort(rows["member"].to_numpy(np.int64).astype(_U))
+    rows = found.filter("member is not null").groupBy("member").agg(F.sum("texts").alias("n")).filter(F.col("n") >= least).select("member")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.column(0).to_numpy().tobytes()], pa.binary())], ["members"])
+
+    raw = b"".join(bytes(r["members"]) for r in rows.mapInArrow(packed, "members binary").collect())
+    return np.sort(np.frombuffer(raw, np.int64).astype(_U))
 
 
 def _shortened(key: np.ndarray, node: np.ndarray, size: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
